@@ -1 +1,74 @@
-QUERIES = {}
+"""Training and scoring over the transactions: rows-only checks.
+
+The registered runs use few trees so that a check takes seconds; rows and columns are
+the whole tables.
+"""
+
+from __future__ import annotations
+
+from riskspark.catalog.shape import rounded
+from riskspark.config import ModelConfig
+from riskspark.operators import metrics as M, split as P, train as L
+from riskspark.operators.admission import admit
+from riskspark.session import scratch_path
+from riskspark.sources import testdata as D
+from riskspark.streaming import scoring as SS
+
+FEW_TREES = ModelConfig(trees=8)
+SMALL_GRID = {
+    "maxIter": (2, 4), "maxDepth": (3, 4), "stepSize": (0.05, 0.1),
+    "subsamplingRate": (0.7, 1.0), "featureSubsetStrategy": ("0.7", "1.0"),
+}
+
+
+def fitted(s, sf):
+    train, test = P.train_test(D.transactions(s, sf), "txn_id")
+    return L.fit(train, "txn_id", model=FEW_TREES), test
+
+
+def gbt_train_score(s, sf):
+    model, test = fitted(s, sf)
+    return rounded(L.score(test, model, keep=["txn_id", "isFraud"]))
+
+
+def score_transactions(s, sf):
+    """The admitted rows of the dirty table through a saved and reloaded pipeline."""
+    model, _ = fitted(s, sf)
+    path = L.save_model(model, scratch_path(s, "model"))
+    valid, _ = admit(D.score_requests(s, sf))
+    return rounded(L.score(valid, L.load_model(path), keep=["txn_id"]))
+
+
+def stream_scores(s, sf):
+    """The same rows scored on a stream, valid and quarantined ones in one pass."""
+    model, _ = fitted(s, sf)
+    requests = D.score_requests_from(D.transactions_from(D.stream_events(s, sf, only="events.parquet")))
+    out, bad, checkpoint = (scratch_path(s, n) for n in ("scored", "quarantine", "scoring-checkpoint"))
+    SS.run_scoring(requests, model, out, bad, checkpoint).awaitTermination()
+    return rounded(s.read.parquet(out).select("txn_id", "fraud_probability", "is_fraud", "threshold"))
+
+
+def experiments_scored(s, sf):
+    scored, _ = L.run_experiments(D.transactions(s, sf), "txn_id", model=FEW_TREES)
+    return rounded(scored)
+
+
+def experiment_metrics(s, sf):
+    scored, _ = L.run_experiments(D.transactions(s, sf), "txn_id", model=FEW_TREES)
+    return rounded(M.metric_bundle(scored.persist(), 0.5))
+
+
+def hyperparameter_search(s, sf):
+    train, _ = P.train_test(D.transactions(s, sf), "txn_id")
+    _, table = L.search(train, "txn_id", draws=3, folds=2, grid=SMALL_GRID)
+    return rounded(table)
+
+
+QUERIES = {
+    "gbt_train_score": (gbt_train_score, None),
+    "score_transactions": (score_transactions, None),
+    "stream_score_transactions": (stream_scores, None),
+    "experiments_scored": (experiments_scored, None),
+    "experiment_metrics": (experiment_metrics, None),
+    "hyperparameter_search": (hyperparameter_search, None),
+}

@@ -47,9 +47,7 @@ PLACE = "CASE " + " ".join(f"WHEN probability <= {b} THEN '{x}'" for b, x in zip
 
 
 def dq_over_time(s, sf):
-    events = D.transactions(s, sf).select("txn_id", "ts")
-    found = A.violations_long(D.score_requests(s, sf).join(events, "txn_id"), ["ts"])
-    return O.quality_errors_over_time(found)
+    return O.quality_errors_over_time(A.violations_long(D.score_requests(s, sf), ["ts"]))
 
 
 def online(s, sf):

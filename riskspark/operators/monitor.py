@@ -177,6 +177,23 @@ def add_fraud_rate(windows: DataFrame) -> DataFrame:
     )
 
 
+def latency_sums(bounds: Sequence[float] = LATENCY_BUCKETS_MS) -> dict[str, Column]:
+    return {f"le_{i}": c for i, c in enumerate(_cumulative(F.col("latency_ms"), bounds))}
+
+
+def add_latency_quantile(windows: DataFrame, q: float, bounds: Sequence[float]) -> DataFrame:
+    return windows.select(
+        "window_start", "window_end", F.col(f"le_{len(bounds)}").alias("requests"),
+        bucket_quantile(q, bounds).alias("quantile_ms"),
+    )
+
+
+def bucket_label(value: Column, bounds: Sequence[float]) -> Column:
+    """Upper bound of the bucket holding the value."""
+    place = reduce(lambda acc, b: acc + (value > F.lit(float(b))).cast("int"), bounds, F.lit(0))
+    return F.element_at(F.array(*[F.lit(f"{b:g}") for b in bounds], F.lit("+Inf")), place + 1)
+
+
 def request_rate(log: DataFrame, minutes: int = 5, slide: int = 1) -> DataFrame:
     return add_request_rate(sliding(log, request_sums(), minutes=minutes, slide=slide), minutes)
 
@@ -190,12 +207,7 @@ def latency_quantile(
     minutes: int = 5, slide: int = 1,
 ) -> DataFrame:
     """The q-quantile of latency per window, from bucket counts that add up over panes."""
-    sums = {f"le_{i}": c for i, c in enumerate(_cumulative(F.col("latency_ms"), bounds))}
-    windows = sliding(log, sums, minutes=minutes, slide=slide)
-    return windows.select(
-        "window_start", "window_end", F.col(f"le_{len(bounds)}").alias("requests"),
-        bucket_quantile(q, bounds).alias("quantile_ms"),
-    )
+    return add_latency_quantile(sliding(log, latency_sums(bounds), minutes=minutes, slide=slide), q, bounds)
 
 
 def fraud_rate(log: DataFrame, threshold: float = OPERATING_THRESHOLD, minutes: int = 5, slide: int = 1) -> DataFrame:
@@ -206,9 +218,7 @@ def fraud_rate(log: DataFrame, threshold: float = OPERATING_THRESHOLD, minutes:
 def probability_heatmap(log: DataFrame, bounds: Sequence[float] = PROBABILITY_BUCKETS, minutes: int = 5, slide: int = 1) -> DataFrame:
     """Predictions per window and upper bucket bound (not cumulative)."""
     p = F.col("probability")
-    place = reduce(lambda acc, b: acc + (p > F.lit(float(b))).cast("int"), bounds, F.lit(0))
-    label = F.element_at(F.array(*[F.lit(f"{b:g}") for b in bounds], F.lit("+Inf")), place + 1)
-    rows = log.where(p.isNotNull()).withColumn("le", label)
+    rows = log.where(p.isNotNull()).withColumn("le", bucket_label(p, bounds))
     return sliding(rows, {"predictions": F.count(F.lit(1))}, ["le"], minutes=minutes, slide=slide)
 
 

@@ -16,11 +16,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(EVENTS)
+def stream_events(
+    spark: SparkSession, folder: str, files_per_trigger: int | None = None, only: str = "*.parquet"
+) -> DataFrame:
+    """Files of a folder whose names match, as a stream of events."""
+    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", only)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(path)
+    return reader.parquet(folder)
 
 
 def lineitem_as_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,14 +95,14 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions(spark, sf_dir).drop("txn_id", "ts")
 
 
-def dirty_from(t: DataFrame) -> DataFrame:
+def dirty_from(t: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Transactions with every kind of failure at a fixed rate, and whole-row copies."""
     def every(n: int) -> Column:
         return F.col("txn_id") % n == 0
 
     null = F.lit(None)
     rows = t.select(
-        "txn_id",
+        "txn_id", *keep,
         F.when(every(523), F.lit(0).cast("bigint")).otherwise(F.col("step")).alias("step"),
         F.when(every(499), "UNKNOWN").when(every(491), null).otherwise(F.col("type")).alias("type"),
         F.when(every(503), -F.col("amount") - 1).when(every(509), null)
@@ -121,12 +124,16 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dirty_from(transactions(spark, sf_dir))
 
 
-def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty rows as scoring requests whose amount is still text."""
+def score_requests_from(t: DataFrame) -> DataFrame:
+    """Dirty rows as scoring requests whose amount is still text; keeps ``ts`` when there is one."""
     text = F.when(F.col("amount_cents_text") == "one hundred", F.col("amount_cents_text")).otherwise(
         F.col("amount").cast("string")
     )
-    return dirty(spark, sf_dir).withColumn("amount", text)
+    return dirty_from(t, keep=("ts",)).withColumn("amount", text)
+
+
+def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_requests_from(transactions(spark, sf_dir))
 
 
 def scored_from(t: DataFrame) -> DataFrame:
