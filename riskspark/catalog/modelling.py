@@ -55,7 +55,7 @@ def experiments_scored(s, sf):
 
 def experiment_metrics(s, sf):
     scored, _ = L.run_experiments(D.transactions(s, sf), "txn_id", model=FEW_TREES)
-    return rounded(M.metric_bundle(scored.persist(), 0.5))
+    return rounded(M.metric_bundle(scored, 0.5))
 
 
 def hyperparameter_search(s, sf):

@@ -3,8 +3,9 @@
 from riskspark.functions.columns import (
     at_or_above, count_where, hash_key, is_missing, is_numeric, is_string, non_finite, ratio,
 )
+from riskspark.functions.tables import small_table
 
 __all__ = [
     "at_or_above", "count_where", "hash_key", "is_missing", "is_numeric", "is_string",
-    "non_finite", "ratio",
+    "non_finite", "ratio", "small_table",
 ]

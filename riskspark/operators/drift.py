@@ -34,14 +34,16 @@ def numeric_distances(
 ) -> DataFrame:
     """Per feature: rows of both sides, Wasserstein-1 distance, the same divided by the
     reference's standard deviation, and the Kolmogorov-Smirnov statistic."""
+    # features travel as small integers: cheaper to shuffle and sort than their names
     entries = [
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features
+        F.struct(F.lit(i).alias("feature"), F.col(f).cast("double").alias("value"))
+        for i, f in enumerate(features, 1)
     ]
+    name = F.element_at(F.array(*[F.lit(f) for f in features]), F.col("feature"))
     long = _sides(reference, current, entries)
     table = ordered_cumsum(
         long, "value",
-        {"ref": count_where(F.col("side") == 0), "cur": count_where(F.col("side") == 1)},
-        ["feature"], buckets,
+        {"ref": 1 - F.col("side"), "cur": F.col("side")}, ["feature"], buckets,
     )
     gap = F.abs(
         F.col("cum_ref").cast("double") / F.col("total_ref")
@@ -51,7 +53,7 @@ def numeric_distances(
         F.max("total_ref").alias("reference_rows"), F.max("total_cur").alias("current_rows"),
         F.sum(gap * F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))).alias("wasserstein"),
         F.max(gap).alias("ks"),
-    )
+    ).withColumn("feature", name)
     spread = reference.agg(*[F.stddev_pop(F.col(f).cast("double")).alias(f) for f in features]).select(
         F.inline(F.array(*[
             F.struct(F.lit(f).alias("feature"), F.col(f).alias("std")) for f in features

@@ -8,8 +8,8 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.config import CORRELATED_COLUMNS
-from riskspark.functions import count_where, ratio
-from riskspark.plans import below_cut, exact_quantiles, lowest_hash_cuts
+from riskspark.functions import count_where, ratio, small_table
+from riskspark.plans import as_literal, below_cut, exact_quantiles, lowest_hash_cuts
 
 RISKY_TYPES = ("CASH_OUT", "TRANSFER")
 
@@ -43,15 +43,20 @@ def class_pivot(df: DataFrame, column: str = "type", target: str = "isFraud") ->
 
 
 def crosstab_with_margins(df: DataFrame, column: str = "type", target: str = "isFraud") -> DataFrame:
-    """Counts per value and class with an ``All`` row and column."""
+    """Counts per value and class with an ``All`` row and column.
+
+    The rollup runs over the grouped counts, not over the rows.
+    """
+    counts = df.groupBy(column).agg(
+        count_where(F.col(target) == 0).alias("class_0"),
+        count_where(F.col(target) == 1).alias("class_1"),
+        F.count(target).alias("all_classes"),
+    )
+    names = ("class_0", "class_1", "all_classes")
     return (
-        df.rollup(column)
-        .agg(F.grouping(column).alias("_all"),
-             count_where(F.col(target) == 0).alias("class_0"),
-             count_where(F.col(target) == 1).alias("class_1"),
-             F.count(target).alias("all_classes"))
-        .select(F.when(F.col("_all") == 1, "All").otherwise(F.col(column)).alias(column),
-                "class_0", "class_1", "all_classes")
+        counts.rollup(column)
+        .agg(F.grouping(column).alias("_all"), *[F.sum(n).alias(n) for n in names])
+        .select(F.when(F.col("_all") == 1, "All").otherwise(F.col(column)).alias(column), *names)
     )
 
 
@@ -103,7 +108,7 @@ def log_histogram(df: DataFrame, value: Column, bins: int = 50) -> DataFrame:
     logs = df.select(F.log10(value).alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
     ends = logs.agg(F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     if ends.lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, low double, high double, rows bigint")
+        return small_table(df.sparkSession, [], "bin int, low double, high double, rows bigint")
     width = (ends.hi - ends.lo) / bins or 1.0
     number = F.least(F.floor((F.col("x") - F.lit(ends.lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counted = logs.groupBy(number.alias("bin")).agg(F.count("*").alias("rows"))
@@ -128,10 +133,8 @@ def box_summary(df: DataFrame, value: Column, by: str = "isFraud") -> DataFrame:
             for f, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))
         ])
     )
-    # one row per class: collected so that the fences are literals of known size
-    found = q.limit(10_001).collect()
-    if len(found) <= 10_000:
-        q = df.sparkSession.createDataFrame(found, q.schema)
+    # one row per class
+    q = as_literal(q)
     fenced = rows.join(q, by).withColumns({
         "lo_fence": F.col("q1") - (F.col("q3") - F.col("q1")) * F.lit(1.5),
         "hi_fence": F.col("q3") + (F.col("q3") - F.col("q1")) * F.lit(1.5),

@@ -52,7 +52,7 @@ def with_prf(counts: DataFrame) -> DataFrame:
 
 def ranked(scored: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """One row per distinct score with running and total counts of both classes."""
-    sums = {"pos": count_where(F.col(y) == 1), "neg": count_where(F.col(y) == 0)}
+    sums = {"pos": (F.col(y) == 1).cast("int"), "neg": (F.col(y) == 0).cast("int")}
     return ordered_cumsum(scored, p, sums, by, buckets)
 
 

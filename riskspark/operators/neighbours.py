@@ -18,6 +18,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskspark.functions import small_table
+
 SLACK = 1e-9
 
 
@@ -169,6 +171,6 @@ def _no_pairs() -> pd.DataFrame:
 
 
 def _empty(df: DataFrame, id_type: str) -> DataFrame:
-    return df.sparkSession.createDataFrame(
-        [], f"id {id_type}, v array<double>, neighbour {id_type}, nv array<double>, rank int, distance double"
+    return small_table(
+        df.sparkSession, [], f"id {id_type}, v array<double>, neighbour {id_type}, nv array<double>, rank int, distance double"
     )

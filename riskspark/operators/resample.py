@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.config import SmoteConfig
-from riskspark.functions import count_where
+from riskspark.functions import count_where, small_table
 from riskspark.operators.neighbours import nearest_neighbours
 from riskspark.plans import below_cut, lowest_hash_cuts
 
@@ -71,6 +71,6 @@ def smote(
 
 def _no_rows(train: DataFrame, key: str, vector: str, target: str) -> DataFrame:
     kind = train.schema[key].dataType.simpleString()
-    return train.sparkSession.createDataFrame(
-        [], f"base {kind}, neighbour {kind}, copy int, gap double, {vector} array<double>, {target} int"
+    return small_table(
+        train.sparkSession, [], f"base {kind}, neighbour {kind}, copy int, gap double, {vector} array<double>, {target} int"
     )

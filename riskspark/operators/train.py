@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -17,12 +16,12 @@ from riskspark.config import (
     EXPERIMENTS, NUMERIC_FEATURES, Experiment, FeatureConfig, ModelConfig, SmoteConfig, SplitConfig,
 )
 from riskspark.errors import ScoringError
-from riskspark.functions import at_or_above
+from riskspark.functions import at_or_above, small_table
 from riskspark.operators.encode import VECTOR, categories, encode_stages, feature_stage, fit_scaler
 from riskspark.operators.features import add_features
 from riskspark.operators.resample import smote
 from riskspark.operators.split import train_test, with_class_weight
-from riskspark.session import ensure_checkpoint_dir
+from riskspark.session import ensure_checkpoint_dir, scratch_path
 
 WEIGHT = "weight"
 PROBABILITY = "fraud_probability"
@@ -125,24 +124,26 @@ def run_experiments(
     model: ModelConfig = ModelConfig(),
     split: SplitConfig = SplitConfig(),
     smote_config: SmoteConfig = SmoteConfig(),
+    path: str | None = None,
 ) -> tuple[DataFrame, dict[str, PipelineModel]]:
     """Every imbalance strategy fitted on one split and scored on the same test rows.
 
-    Gives (experiment, key, y, p) and the fitted pipelines.
+    Gives (experiment, key, y, p) and the fitted pipelines.  The scores are written once
+    as a table (``path``, or a fresh one in the shared folder): later metrics read it
+    several times, and none of them should score again or depend on lost executors.
     """
+    path = path or scratch_path(df.sparkSession, "experiments")
     train, test = train_test(df, key, target, split)
     train, test = train.persist(), test.persist()
-    fitted, scored = {}, []
+    fitted = {}
     for e in experiments:
         fitted[e.name] = fit(train, key, target, model, e.use_smote, e.use_class_weight, smote_config)
-        scored.append(
-            score(test, fitted[e.name], model.threshold, keep=[key, target]).select(
-                F.lit(e.name).alias("experiment"), key, F.col(target).alias("y"),
-                F.col(PROBABILITY).alias("p"),
-            )
-        )
+        score(test, fitted[e.name], model.threshold, keep=[key, target]).select(
+            key, F.col(target).alias("y"), F.col(PROBABILITY).alias("p")
+        ).write.mode("overwrite").parquet(f"{path}/experiment={e.name}")
     train.unpersist()
-    return reduce(DataFrame.unionByName, scored), fitted
+    test.unpersist()
+    return df.sparkSession.read.parquet(path).select("experiment", key, "y", "p"), fitted
 
 
 # The grid the random search draws from.
@@ -202,7 +203,8 @@ def search(
         numFolds=folds, foldCol="fold", seed=seed, parallelism=parallelism,
     )
     fitted = validator.fit(rows)
-    table = train.sparkSession.createDataFrame(
+    table = small_table(
+        train.sparkSession,
         [(i, *[str(c[n]) for n in grid], float(f1)) for i, (c, f1) in enumerate(zip(chosen, fitted.avgMetrics))],
         "draw int, " + ", ".join(f"{n} string" for n in grid) + ", mean_f1 double",
     )

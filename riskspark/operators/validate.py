@@ -10,16 +10,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskspark.config import ValidationRules
 from riskspark.errors import DataValidationError
-from riskspark.functions import count_where, is_missing, is_numeric, is_string
+from riskspark.functions import count_where, is_missing, is_numeric, is_string, small_table
+from riskspark.plans import as_literal
 
 REPORT_SCHEMA = "check string, item string, status string, value double, detail string"
-# Hashes seen more than once stay a broadcast side up to this many (8 bytes each).
-BROADCAST_HASHES = 1_000_000
+# Hashes seen more than once become a literal table up to this many (8 bytes each).
+LITERAL_HASHES = 100_000
 
 
 def _entry(check: str, item: str | None, status: Column, value: Column, detail: Column | None = None) -> Column:
@@ -73,7 +73,7 @@ def schema_report(df: DataFrame, rules: ValidationRules = ValidationRules()) ->
                 type_rows.append(("data_types", name, "PASSED" if ok else "FAILED", None,
                                   f"expected {wanted}, found {types[name].simpleString()}"))
     rows.append(("data_types", None, "FAILED" if wrong else "PASSED", float(wrong), None))
-    return df.sparkSession.createDataFrame(rows + type_rows, REPORT_SCHEMA)
+    return small_table(df.sparkSession, rows + type_rows, REPORT_SCHEMA)
 
 
 # --- counting rules: one aggregation ----------------------------------------------
@@ -128,7 +128,7 @@ def sanity_report(df: DataFrame, rules: ValidationRules = ValidationRules()) ->
     """Values below their minimum, per rule; missing values do not count."""
     minimums = _numeric_minimums(df, rules)
     if not minimums:
-        return df.sparkSession.createDataFrame([], "column string, violations bigint, status string")
+        return small_table(df.sparkSession, [], "column string, violations bigint, status string")
     counts = df.agg(*[count_where(F.col(c) < F.lit(low)).alias(c) for c, low in minimums.items()])
     return _rows(counts, [
         F.struct(F.lit(c).alias("column"), F.col(c).alias("violations"),
@@ -179,21 +179,16 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     suspects by all columns.  Copies collapse before the shuffle in both.
     """
     spark = df.sparkSession
-    columns = df.columns
     hashed = df.withColumn("_h", _row_hash(df))
-    repeated = (
-        hashed.groupBy("_h").agg(F.count("*").alias("n")).where("n > 1").select("_h")
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    repeated = hashed.groupBy("_h").agg(F.count("*").alias("n")).where("n > 1").select("_h")
+    # few: a literal table of known size; many: a shuffled join by hash
+    side = as_literal(repeated, LITERAL_HASHES)
     rows = df.agg(F.count(F.lit(1)).alias("rows"))
-    hashes = repeated.count()
-    if hashes == 0:
-        repeated.unpersist()
+    if side.isEmpty():
         copies = spark.range(1).select(F.lit(0).cast("bigint").alias("duplicates"))
     else:
-        side = F.broadcast(repeated) if hashes <= BROADCAST_HASHES else repeated
         copies = (
-            hashed.join(side, "_h", "left_semi").groupBy(*columns)
+            hashed.join(side, "_h", "left_semi").groupBy(*df.columns)
             .agg((F.count("*") - 1).alias("extra"))
             .agg(F.coalesce(F.sum("extra"), F.lit(0)).cast("bigint").alias("duplicates"))
         )

@@ -15,7 +15,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskspark.functions import hash_key
+from riskspark.functions import hash_key, small_table
 
 CELL_HEX_DIGITS = 4
 MAX_CLASSES = 10_000
@@ -61,8 +61,8 @@ def lowest_hash_cuts(
         open_classes = [(c, int(w)) for c, w in wanted.items() if 0 < w < totals[c]]
         if not open_classes:
             return [_whole_or_none(c, wanted.get(c, 0), n) for c, n in totals.items()]
-        schema = [histogram.schema["cls"].dataType.simpleString()]
-        targets = spark.createDataFrame(open_classes, f"cls {schema[0]}, want bigint")
+        kind = histogram.schema["cls"].dataType.simpleString()
+        targets = small_table(spark, open_classes, f"cls {kind}, want bigint")
         below = Window.partitionBy("cls").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
         # 65,536 cells per class at most, however many rows there are
         cells = (
@@ -76,8 +76,8 @@ def lowest_hash_cuts(
     finally:
         histogram.unpersist()
 
-    cut_cells = spark.createDataFrame(
-        [(r.cls, r.cell, r.rest) for r in cells], f"cls {schema[0]}, cell string, rest bigint"
+    cut_cells = small_table(
+        spark, [(r.cls, r.cell, r.rest) for r in cells], f"cls {kind}, cell string, rest bigint"
     )
     order = Window.partitionBy("cls").orderBy("digest", "key")
     last = (

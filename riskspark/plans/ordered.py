@@ -12,45 +12,85 @@ recomputed sketch could differ between the two branches that use it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET = "_bucket"
-# A literal table of wanted ranks stays on the driver up to this many rows.
-LITERAL_ROWS = 20_000
+# Buckets per shuffle partition: several, so that hashing them spreads the load evenly.
+BUCKETS_PER_PARTITION = 4
+MAX_BUCKETS = 4096
+# Bucket totals and wanted ranks become a literal table up to this many rows.
+LITERAL_ROWS = 100_000
+# The sketch sees this share of the rows; precision only affects balance.
+SKETCH_SHARE = 0.05
+SKETCH_GROUPS = 256
+SKETCH_POINTS = 256
 
 
 def default_buckets(df: DataFrame) -> int:
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(MAX_BUCKETS, BUCKETS_PER_PARTITION * partitions))
 
 
-def split_points(df: DataFrame, order: str, buckets: int | None = None) -> list[float]:
-    """At most ``buckets - 1`` distinct cut points; one column is scanned, nothing shuffled
-    but sketches.  Each bucket holds about 1/buckets of the rows unless one value does."""
+def split_points(
+    df: DataFrame, order: str, buckets: int | None = None, share: float = SKETCH_SHARE
+) -> list[float]:
+    """``buckets - 1`` cut points in order, repeated where one value fills whole buckets.
+
+    One column of a row sample is sketched.  Sketches are merged in two steps: per group
+    of input partitions, then a weighted quantile over the groups' few points, so no
+    single task merges the sketches of all input tasks.  A table too small to be sampled
+    gets no cut points, hence one bucket.
+    """
     buckets = buckets or default_buckets(df)
     if buckets < 2:
         return []
-    fractions = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 20 * buckets)
     c = F.col(order).cast("double")
-    row = (
-        df.where(c.isNotNull() & ~F.isnan(c))
-        .agg(F.percentile_approx(c, fractions, accuracy).alias("points"))
-        .first()
+    grid = _literal_array((i + 0.5) / SKETCH_POINTS for i in range(SKETCH_POINTS))
+    cuts = _literal_array(i / buckets for i in range(1, buckets))
+    groups = (
+        df.select(c.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+        .sample(fraction=min(1.0, share), seed=42)
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"))
+        .agg(F.expr(f"percentile_approx(_x, {grid}, {10 * SKETCH_POINTS})").alias("_points"),
+             F.count("*").alias("_rows"))
     )
-    return sorted(set(row.points or []))
+    # at most SKETCH_GROUPS * SKETCH_POINTS values
+    row = groups.select(F.explode("_points").alias("_point"), "_rows").agg(
+        F.expr(f"percentile(_point, {cuts}, _rows)").alias("points")
+    ).first()
+    return list(row.points or [])
+
+
+def _literal_array(values: Iterable[float]) -> str:
+    """As SQL text: one call to the JVM instead of one per value."""
+    return "array(" + ", ".join(f"{v!r}D" for v in values) + ")"
+
+
+def has_heavy_value(points: Sequence[float]) -> bool:
+    """Whether some single value fills at least a bucket."""
+    return len(set(points)) < len(points)
 
 
 def with_bucket(df: DataFrame, order: str, points: Sequence[float]) -> DataFrame:
     """Add the ordered bucket number: bucket i covers [points[i-1], points[i])."""
     if not points:
-        return df.withColumn(BUCKET, F.lit(0.0))
-    splits = [float("-inf"), *points, float("inf")]
-    return Bucketizer(
+        return df.withColumn(BUCKET, F.lit(0))
+    splits = [float("-inf"), *sorted(set(points)), float("inf")]
+    placed = Bucketizer(
         splits=splits, inputCol=order, outputCol=BUCKET, handleInvalid="keep"
     ).transform(df)
+    # as an integer: grouping on a double re-normalises it, and the partitioning would be lost
+    return placed.withColumn(BUCKET, F.col(BUCKET).cast("int"))
+
+
+def as_literal(table: DataFrame, most: int = LITERAL_ROWS) -> DataFrame:
+    """A small table fetched and turned into a literal one, whose known size lets Spark
+    broadcast it; a larger one unchanged, to be joined by shuffle."""
+    found = table.limit(most + 1).toArrow()
+    return table.sparkSession.createDataFrame(found) if found.num_rows <= most else table
 
 
 def ordered_cumsum(
@@ -63,35 +103,38 @@ def ordered_cumsum(
 ) -> DataFrame:
     """One row per (keys, order value), with running sums up to and including it.
 
-    ``sums`` maps a name to an aggregate such as ``F.count_if(...)``.  The result has
-    the keys, ``order`` (double), each name, ``cum_<name>``, ``total_<name>`` and
-    ``next_value``, the next larger order value of the same keys (null at the end).
-    Rows whose order value is null or NaN are left out.
+    ``sums`` maps a name to a whole-number column to be summed.  The result has the keys,
+    ``order`` (double), each name summed over the tied rows, ``cum_<name>``,
+    ``total_<name>`` and ``next_value``, the next larger order value of the same keys
+    (null at the end).  Rows whose order value is null or NaN are left out.
 
-    Ties collapse before the first shuffle (map-side combine), so one score held by a
-    third of all rows costs one row per task.
+    Where one value fills a bucket, ties collapse map-side before the first shuffle, so a
+    score held by a third of all rows costs one row per task.  Where none does, the
+    buckets are balanced as they are and rows are shuffled and sorted once.
     """
-    keys = list(keys)
-    names = list(sums)
+    keys, names = list(keys), list(sums)
     c = F.col(order).cast("double")
-    rows = df.withColumn(order, c + F.lit(0.0)).where(c.isNotNull() & ~F.isnan(c))
+    rows = df.select(
+        *keys, (c + F.lit(0.0)).alias(order), *[s.cast("bigint").alias(n) for n, s in sums.items()]
+    ).where(F.col(order).isNotNull() & ~F.isnan(order))
     if points is None:
         points = split_points(rows, order, buckets)
-    ties = (
-        with_bucket(rows, order, points)
-        .groupBy(*keys, BUCKET, order)
-        .agg(*[agg.alias(name) for name, agg in sums.items()])
-    )
+    bucketed = placed = with_bucket(rows, order, points)
+    if has_heavy_value(points):
+        placed = bucketed.groupBy(*keys, BUCKET, order).agg(*[F.sum(n).alias(n) for n in names])
 
     inside = Window.partitionBy(*keys, BUCKET).orderBy(order)
-    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    detail = ties.select(
-        *keys, BUCKET, order, *names,
-        *[F.sum(n).over(running).alias(f"_in_{n}") for n in names],
+    last_of_ties = F.col("_next_in").isNull() | (F.col("_next_in") != F.col(order))
+    # the default frame takes in ties; one sort serves all four functions
+    detail = placed.select(
+        *keys, BUCKET, order,
+        *[F.sum(n).over(inside).alias(f"_in_{n}") for n in names],
         F.lead(order).over(inside).alias("_next_in"),
+    ).where(last_of_ties).select(
+        "*", *[(F.col(f"_in_{n}") - F.lag(f"_in_{n}", 1, 0).over(inside)).alias(n) for n in names]
     )
+
     if not points:
-        # a single bucket: the window above already is the whole order
         whole = Window.partitionBy(*keys, BUCKET)
         return detail.select(
             *keys, order, *names,
@@ -100,21 +143,23 @@ def ordered_cumsum(
             F.col("_next_in").alias("next_value"),
         )
 
-    # at most len(points) + 1 rows per key combination
-    totals = ties.groupBy(*keys, BUCKET).agg(
+    # at most len(points) + 1 rows per key combination, collapsed before the shuffle
+    totals = bucketed.groupBy(*keys, BUCKET).agg(
         *[F.sum(n).alias(f"_s_{n}") for n in names], F.min(order).alias("_first")
     )
     group = keys or [F.lit(0)]
     by_bucket = Window.partitionBy(*group).orderBy(BUCKET)
     below = by_bucket.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
+    offsets = as_literal(totals.select(
         *keys, BUCKET,
         *[F.coalesce(F.sum(f"_s_{n}").over(below), F.lit(0)).alias(f"_before_{n}") for n in names],
         *[F.sum(f"_s_{n}").over(Window.partitionBy(*group)).alias(f"total_{n}") for n in names],
         F.lead("_first").over(by_bucket).alias("_next_first"),
-    )
-    return detail.join(offsets, [*keys, BUCKET]).select(
-        *keys, order, *names,
+    ))
+    # every bucket has its offsets; a left join infers no extra filter on the bucket number
+    same = [detail[k].eqNullSafe(offsets[k]) for k in keys] + [detail[BUCKET] == offsets[BUCKET]]
+    return detail.join(offsets, same, "left").select(
+        *[detail[k] for k in keys], order, *names,
         *[(F.col(f"_in_{n}") + F.col(f"_before_{n}")).alias(f"cum_{n}") for n in names],
         *[f"total_{n}" for n in names],
         F.coalesce("_next_in", "_next_first").alias("next_value"),
@@ -158,11 +203,7 @@ def exact_quantiles(
                 (F.col("_pos") - F.col("_lo")).alias("_part"))
         .distinct()
     )
-    # few keys: a literal table, whose known size lets Spark broadcast it; else a shuffled join
-    found = wanted.limit(LITERAL_ROWS + 1).collect()
-    if len(found) <= LITERAL_ROWS:
-        wanted = df.sparkSession.createDataFrame(found, wanted.schema)
-
+    wanted = as_literal(wanted)
     hit = rows.join(wanted.select(*keys, BUCKET).distinct(), [*keys, BUCKET], "left_semi")
     inside = Window.partitionBy(*keys, BUCKET).orderBy("_v")
     ordered = hit.groupBy(*keys, BUCKET, "_v").agg(F.count("*").alias("_c")).withColumn(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskspark.config import FEATURES
 from riskspark.errors import DriftDataError
-from riskspark.functions import hash_key
+from riskspark.functions import hash_key, small_table
 from riskspark.plans import below_cut, lowest_hash_cuts
 from riskspark.schema import TRANSACTION
 
@@ -58,7 +58,8 @@ def read_csv_or_report(spark: SparkSession, path: str) -> tuple[DataFrame | None
 
 
 def failed_report(spark: SparkSession, message: str) -> DataFrame:
-    return spark.createDataFrame(
+    return small_table(
+        spark,
         [("overall", None, "FAILED", None, message)],
         "check string, item string, status string, value double, detail string",
     )

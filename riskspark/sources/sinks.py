@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+from riskspark.functions import small_table
+
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     writer = df.write.mode("overwrite")
@@ -48,7 +50,8 @@ def write_with_stage_report(
     write_table(after.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
     rows = seen.get["rows"]
     size = _bytes_under(before.sparkSession, path)
-    return before.sparkSession.createDataFrame(
+    return small_table(
+        before.sparkSession,
         [(stage, rows, len(before.columns), rows, len(after.columns),
           [c for c in before.columns if c not in after.columns],
           [c for c in after.columns if c not in before.columns],
