@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -90,16 +90,30 @@ def approximate_quantiles(df: DataFrame, column: str, fractions: Sequence[float]
 def correlation_pairs(df: DataFrame, columns: Sequence[str] = CORRELATED_COLUMNS) -> DataFrame:
     """Pearson correlation of every pair, long and symmetric; null for a constant column.
 
-    One aggregation for the upper triangle; the mirror image is added afterwards.
+    One aggregation for the upper triangle; the mirror image is added afterwards.  Covariance
+    over deviations rather than ``corr``, which raises on a constant column in ANSI mode.
+    Both deviations are taken over the rows where the pair is present.
     """
-    pairs = list(combinations_with_replacement(columns, 2))
-    found = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    entries = []
+    pairs = list(combinations(columns, 2))
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+
+    def spread(of: str, given: str) -> Column:
+        return F.stddev_pop(F.when(F.col(given).isNotNull(), F.col(of)))
+
+    found = numbers.agg(
+        *[F.struct(F.covar_pop(a, b).alias("cov"), spread(a, b).alias("sa"), spread(b, a).alias("sb")).alias(f"{a}|{b}")
+          for a, b in pairs],
+        *[F.stddev_pop(c).alias(c) for c in columns],
+    )
+
+    def entry(a: str, b: str, value: Column) -> Column:
+        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value.alias("corr"))
+
+    entries = [entry(c, c, F.when(F.col(c) > 0, F.lit(1.0))) for c in columns]
     for a, b in pairs:
-        value = F.nanvl(F.col(f"`{a}|{b}`"), F.lit(None).cast("double"))
-        entries.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value.alias("corr")))
-        if a != b:
-            entries.append(F.struct(F.lit(b).alias("a"), F.lit(a).alias("b"), value.alias("corr")))
+        p = F.col(f"`{a}|{b}`")
+        value = F.try_divide(p["cov"], p["sa"] * p["sb"])
+        entries += [entry(a, b, value), entry(b, a, value)]
     return found.select(F.inline(F.array(*entries)))
 
 

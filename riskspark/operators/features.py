@@ -54,6 +54,12 @@ def clean(
     return df.transform(add_features, features).transform(preprocess, target, drop)
 
 
+def with_row_key(df: DataFrame, out: str = "row_key") -> DataFrame:
+    """A key from the row's own content, for tables without an id; equal rows share it,
+    so a split by it keeps copies on one side."""
+    return df.withColumn(out, F.md5(F.to_json(F.struct(*df.columns))))
+
+
 def features_and_target(df: DataFrame, target: str = "isFraud") -> tuple[list[str], str]:
     """Names of the feature columns (all but the target) and of the target."""
     require_target(df, target)

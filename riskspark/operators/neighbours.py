@@ -150,7 +150,7 @@ def nearest_neighbours(
             "id": qs["id"].to_numpy()[q], "v": qs["v"].to_numpy()[q],
             "neighbour": ids[p], "nv": vectors[p], "d2": d2[q, p],
         })
-        return found[np.isfinite(found["d2"])]
+        return found[np.isfinite(found["d2"])] if np.isfinite(d2[q, p]).any() else _no_pairs()
 
     candidates = queries.groupBy("cell", "block", "part").cogroup(
         targets.groupBy("cell", "block", "part")
@@ -167,7 +167,7 @@ def nearest_neighbours(
 
 
 def _no_pairs() -> pd.DataFrame:
-    return pd.DataFrame({"id": [], "v": [], "neighbour": [], "nv": [], "d2": []})
+    return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("id", "v", "neighbour", "nv", "d2")})
 
 
 def _empty(df: DataFrame, id_type: str) -> DataFrame:
