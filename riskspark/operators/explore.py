@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from itertools import combinations
+from functools import reduce
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -11,6 +13,8 @@ from riskspark.config import CORRELATED_COLUMNS
 from riskspark.functions import count_where, ratio, small_table
 from riskspark.plans import as_literal, below_cut, exact_quantiles, lowest_hash_cuts
 
+# A variance below this share of the squared range counts as zero.
+NO_SPREAD = 1e-24
 RISKY_TYPES = ("CASH_OUT", "TRANSFER")
 
 
@@ -90,32 +94,54 @@ def approximate_quantiles(df: DataFrame, column: str, fractions: Sequence[float]
 def correlation_pairs(df: DataFrame, columns: Sequence[str] = CORRELATED_COLUMNS) -> DataFrame:
     """Pearson correlation of every pair, long and symmetric; null for a constant column.
 
-    One aggregation for the upper triangle; the mirror image is added afterwards.  Covariance
-    over deviations rather than ``corr``, which raises on a constant column in ANSI mode.
-    Both deviations are taken over the rows where the pair is present.
+    A first pass gives means and ranges; a second sums products of the centred columns, one
+    sum per pair and column.  A pair with missing values gets its own sums over the rows
+    where both are present.  Both passes yield one row, from which the table is filled.
     """
-    pairs = list(combinations(columns, 2))
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-
-    def spread(of: str, given: str) -> Column:
-        return F.stddev_pop(F.when(F.col(given).isNotNull(), F.col(of)))
-
-    found = numbers.agg(
-        *[F.struct(F.covar_pop(a, b).alias("cov"), spread(a, b).alias("sa"), spread(b, a).alias("sb")).alias(f"{a}|{b}")
-          for a, b in pairs],
-        *[F.stddev_pop(c).alias(c) for c in columns],
+    first = numbers.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[e for c in columns for e in (F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"m_{c}"),
+                                       F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"))],
+    ).first()
+    full = {c for c in columns if first[f"n_{c}"] == first["rows"]}
+    centred = numbers.select(*[(F.col(c) - F.lit(first[f"m_{c}"] or 0.0)).alias(c) for c in columns])
+
+    pairs = list(combinations_with_replacement(columns, 2))
+    sums: dict[str, Column] = {}
+
+    def name(given: tuple[str, str], *factors: str) -> str:
+        return "*".join(factors) + ("" if full.issuperset(given) else f"|{given[0]},{given[1]}")
+
+    for pair in pairs:
+        present = F.col(pair[0]).isNotNull() & F.col(pair[1]).isNotNull()
+        for factors in {(), pair, (pair[0],), (pair[1],), (pair[0],) * 2, (pair[1],) * 2}:
+            term = reduce(lambda x, y: x * y, [F.col(f) for f in factors], F.lit(1.0))
+            value = term if full.issuperset(pair) else F.when(present, term)
+            sums.setdefault(name(pair, *factors), F.sum(value))
+    found = centred.agg(*[c.alias(n) for n, c in sums.items()]).first().asDict()
+
+    def correlation(a: str, b: str) -> float | None:
+        pair = (a, b)
+        n = found[name(pair)]
+        if not n:
+            return None
+
+        def moment(x: str, y: str) -> float:
+            return found[name(pair, x, y)] / n - found[name(pair, x)] / n * found[name(pair, y)] / n
+
+        for c in pair:
+            span = first[f"hi_{c}"] - first[f"lo_{c}"]
+            # rounding noise of a constant column is no spread
+            if not moment(c, c) > NO_SPREAD * span * span:
+                return None
+        return 1.0 if a == b else moment(a, b) / math.sqrt(moment(a, a) * moment(b, b))
+
+    table = {(x, y): correlation(a, b) for a, b in pairs for x, y in ((a, b), (b, a))}
+    return small_table(
+        df.sparkSession, [(a, b, r) for (a, b), r in table.items()], "a string, b string, corr double"
     )
 
-    def entry(a: str, b: str, value: Column) -> Column:
-        return F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), value.alias("corr"))
-
-    entries = [entry(c, c, F.when(F.col(c) > 0, F.lit(1.0))) for c in columns]
-    for a, b in pairs:
-        p = F.col(f"`{a}|{b}`")
-        value = F.try_divide(p["cov"], p["sa"] * p["sb"])
-        entries += [entry(a, b, value), entry(b, a, value)]
-    return found.select(F.inline(F.array(*entries)))
-
 
 def log_histogram(df: DataFrame, value: Column, bins: int = 50) -> DataFrame:
     """Equal-width histogram of log10(value); empty bins are listed with 0."""

@@ -8,7 +8,6 @@ aggregation over the table; only duplicate detection shuffles.  Reports are long
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -22,16 +21,6 @@ REPORT_SCHEMA = "check string, item string, status string, value double, detail
 LITERAL_HASHES = 100_000
 
 
-def _entry(check: str, item: str | None, status: Column, value: Column, detail: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"),
-        F.lit(item).cast("string").alias("item"),
-        status.alias("status"),
-        value.cast("double").alias("value"),
-        (detail if detail is not None else F.lit(None)).cast("string").alias("detail"),
-    )
-
-
 def _rows(one_row: DataFrame, entries: Sequence[Column]) -> DataFrame:
     return one_row.select(F.inline(F.array(*entries)))
 
@@ -57,6 +46,10 @@ def unexpected_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
 
 def schema_report(df: DataFrame, rules: ValidationRules = ValidationRules()) -> DataFrame:
     """Required columns and data types, from the schema alone."""
+    return small_table(df.sparkSession, _schema_rows(df, rules), REPORT_SCHEMA)
+
+
+def _schema_rows(df: DataFrame, rules: ValidationRules) -> list[tuple]:
     missing = missing_columns(df, rules.required)
     rows = [("schema", None, "FAILED" if missing else "PASSED", float(len(missing)), None)]
     rows += [("schema", c, "FAILED", None, "missing column") for c in missing]
@@ -73,7 +66,7 @@ def schema_report(df: DataFrame, rules: ValidationRules = ValidationRules()) ->
                 type_rows.append(("data_types", name, "PASSED" if ok else "FAILED", None,
                                   f"expected {wanted}, found {types[name].simpleString()}"))
     rows.append(("data_types", None, "FAILED" if wrong else "PASSED", float(wrong), None))
-    return small_table(df.sparkSession, rows + type_rows, REPORT_SCHEMA)
+    return rows + type_rows
 
 
 # --- counting rules: one aggregation ----------------------------------------------
@@ -204,48 +197,50 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 # --- the whole report --------------------------------------------------------------------
 
 def validate(df: DataFrame, rules: ValidationRules = ValidationRules()) -> DataFrame:
-    """All checks and the overall verdict as one long report."""
-    minimums = _numeric_minimums(df, rules)
-    rows = F.col("rows")
-    nulls = {c: F.col(f"null__{c}") for c in df.columns}
-    total_nulls = reduce(lambda a, b: a + b, nulls.values(), F.lit(0).cast("bigint"))
-    broken = reduce(lambda a, b: a + b, [F.col(f"low__{c}") for c in minimums], F.lit(0).cast("bigint"))
+    """All checks and the overall verdict as one long report.
 
-    entries = [
-        _entry("dataset_size", "rows", _status(rows == 0), rows),
-        _entry("dataset_size", "columns", _status(F.lit(not df.columns)), F.lit(len(df.columns))),
-        _entry("null_values", None, _status(total_nulls > 0, "WARNING"), total_nulls),
-        *[_entry("null_values", c, _status(n > 0, "WARNING"), n,
-                 F.format_string("%.6f%%", percent(n, rows))) for c, n in nulls.items()],
-        _entry("numerical_sanity", None, _status(broken > 0), broken),
-        *[_entry("numerical_sanity", c, _status(F.col(f"low__{c}") > 0), F.col(f"low__{c}"))
-          for c in minimums],
+    The counts come from one aggregation and one duplicate search, one row each; the report
+    is filled from them.
+    """
+    counts = profile(df, rules).first().asDict()
+    copies = duplicate_count(df).first()
+    rows = counts["rows"]
+
+    def verdict(count: int, bad: str = "FAILED") -> str:
+        return bad if count else "PASSED"
+
+    def share(count: int) -> float | None:
+        return 100.0 * count / rows if rows else None
+
+    def entry(check: str, item: str | None, status: str, value: float | None, detail: str | None = None) -> tuple:
+        return check, item, status, None if value is None else float(value), detail
+
+    nulls = {c: counts[f"null__{c}"] for c in df.columns}
+    low = {c: counts[f"low__{c}"] for c in _numeric_minimums(df, rules)}
+    checks = [
+        entry("dataset_size", "rows", verdict(rows == 0), rows),
+        entry("dataset_size", "columns", verdict(not df.columns), len(df.columns)),
+        entry("null_values", None, verdict(sum(nulls.values()), "WARNING"), sum(nulls.values())),
+        *[entry("null_values", c, verdict(n, "WARNING"), n, f"{share(n):.6f}%" if rows else None)
+          for c, n in nulls.items()],
+        entry("duplicates", None, copies.status, copies.duplicates),
+        entry("duplicates", "percent", "INFO", copies.duplicate_percent),
+        entry("numerical_sanity", None, verdict(sum(low.values())), sum(low.values())),
+        *[entry("numerical_sanity", c, verdict(n), n) for c, n in low.items()],
     ]
     if rules.target in df.columns:
-        entries += [
-            _entry("target_column", rules.target, _status(F.col("bad_target") > 0), F.col("bad_target")),
-            _entry("target_column", "fraud", F.lit("INFO"), F.col("fraud")),
-            _entry("target_column", "non_fraud", F.lit("INFO"), F.col("non_fraud")),
-            _entry("target_column", "fraud_percent", F.lit("INFO"),
-                   F.coalesce(percent(F.col("fraud"), rows), F.lit(0.0))),
+        checks += [
+            entry("target_column", rules.target, verdict(counts["bad_target"]), counts["bad_target"]),
+            entry("target_column", "fraud", "INFO", counts["fraud"]),
+            entry("target_column", "non_fraud", "INFO", counts["non_fraud"]),
+            entry("target_column", "fraud_percent", "INFO", share(counts["fraud"]) or 0.0),
         ]
     else:
-        entries.append(_entry("target_column", rules.target, F.lit("FAILED"), F.lit(None), F.lit("missing column")))
-    counted = _rows(profile(df, rules), entries)
-    copies = duplicate_count(df).select(F.inline(F.array(
-        _entry("duplicates", None, F.col("status"), F.col("duplicates")),
-        _entry("duplicates", "percent", F.lit("INFO"), F.col("duplicate_percent")),
-    )))
-    checks = schema_report(df, rules).unionByName(counted).unionByName(copies)
-    return with_overall(checks)
-
-
-def with_overall(checks: DataFrame) -> DataFrame:
-    """Append the verdict: FAILED when any check failed (a warning never fails)."""
-    overall = checks.agg(count_where(F.col("status") == "FAILED").alias("failed")).select(F.inline(F.array(
-        _entry("overall", None, _status(F.col("failed") > 0), F.col("failed"))
-    )))
-    return checks.unionByName(overall)
+        checks.append(entry("target_column", rules.target, "FAILED", None, "missing column"))
+    checks = _schema_rows(df, rules) + checks
+    failed = sum(c[2] == "FAILED" for c in checks)
+    checks.append(entry("overall", None, verdict(failed), failed))
+    return small_table(df.sparkSession, checks, REPORT_SCHEMA)
 
 
 def overall_status(report: DataFrame) -> str:

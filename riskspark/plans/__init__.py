@@ -1,9 +1,11 @@
 """Plans that need care at scale: ordered running sums, exact quantiles, exact cuts."""
 
 from riskspark.plans.cuts import HashCut, below_cut, lowest_hash_cuts
-from riskspark.plans.ordered import as_literal, exact_quantiles, ordered_cumsum, split_points, with_bucket
+from riskspark.plans.ordered import (
+    SKETCH_SHARE, as_literal, exact_quantiles, ordered_cumsum, split_points, with_bucket,
+)
 
 __all__ = [
-    "HashCut", "as_literal", "below_cut", "exact_quantiles", "lowest_hash_cuts", "ordered_cumsum",
+    "HashCut", "SKETCH_SHARE", "as_literal", "below_cut", "exact_quantiles", "lowest_hash_cuts", "ordered_cumsum",
     "split_points", "with_bucket",
 ]

@@ -1,9 +1,10 @@
 """Exact random subsets as a plain filter.
 
 To pick exactly n rows of each class in a reproducible random order, it is enough to
-know the n-th smallest digest of the class.  A 16-bit digest histogram finds the cell
-holding it, one more pass orders that single cell (1/65536 of the class), and the choice
-becomes a comparison with a literal: no sort, no shuffle of the table, any file order.
+know the n-th smallest digest of the class.  A histogram over the first digits of the
+digest finds the cell holding it; while that cell is large, the next digits divide it
+again; the last cell is ordered.  The choice then is a comparison with a literal: no
+sort and no shuffle of the table, whatever its size and file order.
 """
 
 from __future__ import annotations
@@ -16,18 +17,23 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.functions import hash_key, small_table
+from riskspark.plans.ordered import as_literal
 
-CELL_HEX_DIGITS = 4
+# Cells per class and level: 16 ** 3, so a task sends at most 4,096 rows per class.
+HEX_DIGITS = 3
+# A cell up to this size is ordered by one task.
+ORDERED_ROWS = 1_000_000
 MAX_CLASSES = 10_000
+# Digests are hex: these sort after and before all of them.
+ALL, NONE = "g", ""
 
 
 @dataclass(frozen=True)
 class HashCut:
-    """Rows of the class up to and including (digest, key) belong to the subset."""
+    """Rows of the class whose digest is at most ``digest`` belong to the subset."""
 
     cls: Any
-    digest: str | None
-    key: Any
+    digest: str
     rows: int
     class_rows: int
 
@@ -45,71 +51,76 @@ def lowest_hash_cuts(
     """
     spark = df.sparkSession
     cls = F.col(by) if by else F.lit(0)
-    digest = hash_key(key, seed)
-    rows = df.select(cls.alias("cls"), F.col(key).alias("key"), digest.alias("digest")).withColumn(
-        "cell", F.substring("digest", 1, CELL_HEX_DIGITS)
-    )
-    histogram = rows.groupBy("cls", "cell").agg(F.count("*").alias("n")).persist()
-    try:
-        totals_rows = (
-            histogram.groupBy("cls").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
-        )
-        if len(totals_rows) > MAX_CLASSES:
-            raise ValueError(f"column {by!r} has too many values to be a class label")
-        totals = {r.cls: r.n for r in totals_rows}
-        wanted = sizes(totals)
-        open_classes = [(c, int(w)) for c, w in wanted.items() if 0 < w < totals[c]]
-        if not open_classes:
-            return [_whole_or_none(c, wanted.get(c, 0), n) for c, n in totals.items()]
-        kind = histogram.schema["cls"].dataType.simpleString()
-        targets = small_table(spark, open_classes, f"cls {kind}, want bigint")
-        below = Window.partitionBy("cls").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-        # 65,536 cells per class at most, however many rows there are
-        cells = (
-            histogram.withColumn("before", F.coalesce(F.sum("n").over(below), F.lit(0)))
-            .withColumnRenamed("cls", "hcls")
-            .join(targets, F.col("hcls").eqNullSafe(F.col("cls")))
-            .where((F.col("before") < F.col("want")) & (F.col("want") <= F.col("before") + F.col("n")))
-            .select("cls", "cell", (F.col("want") - F.col("before")).alias("rest"))
-            .collect()
+    rows = df.select(cls.alias("cls"), F.col(key).alias("key"), hash_key(key, seed).alias("digest"))
+    kind = rows.schema["cls"].dataType.simpleString()
+
+    def histogram(part: DataFrame, digits: int) -> DataFrame:
+        return part.groupBy("cls", F.substring("digest", 1, digits).alias("cell")).agg(F.count("*").alias("n"))
+
+    digits = HEX_DIGITS
+    cells = as_literal(histogram(rows, digits))
+    found = cells.groupBy("cls").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"column {by!r} has too many values to be a class label")
+    totals = {r.cls: r.n for r in found}
+    wanted = sizes(totals)
+    targets = [(c, int(w)) for c, w in wanted.items() if 0 < w < totals[c]]
+    cut_cells: list[tuple] = []
+    while targets:
+        located = _locate(cells, small_table(spark, targets, f"target_cls {kind}, want bigint"))
+        cut_cells = [(r.cls, r.cell, r.rest) for r in located]
+        if max(r.n for r in located) <= ORDERED_ROWS or digits >= 32:
+            break
+        part = _inside(rows, spark, cut_cells, kind, digits)
+        targets = [(c, rest) for c, _, rest in cut_cells]
+        digits += HEX_DIGITS
+        cells = as_literal(histogram(part, digits))
+
+    cuts = {}
+    if cut_cells:
+        order = Window.partitionBy("cls").orderBy("digest", "key")
+        last = (
+            _inside(rows, spark, cut_cells, kind, digits)
+            .withColumn("place", F.row_number().over(order)).where(F.col("place") == F.col("rest")).collect()
         )
-    finally:
-        histogram.unpersist()
+        cuts = {r.cls: HashCut(r.cls, r.digest, wanted[r.cls], totals[r.cls]) for r in last}
+    return [cuts.get(c) or _whole_or_none(c, wanted.get(c, 0), n) for c, n in totals.items()]
 
-    cut_cells = small_table(
-        spark, [(r.cls, r.cell, r.rest) for r in cells], f"cls {kind}, cell string, rest bigint"
-    )
-    order = Window.partitionBy("cls").orderBy("digest", "key")
-    last = (
-        rows.withColumnRenamed("cls", "rcls")
-        .join(cut_cells, F.col("rcls").eqNullSafe(F.col("cls")) & (rows.cell == cut_cells.cell))
-        .select("cls", "digest", "key", "rest")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") == F.col("rest"))
+
+def _locate(cells: DataFrame, targets: DataFrame) -> list:
+    """The cell holding the wanted row of each class, and its place inside the cell."""
+    below = Window.partitionBy("cls").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    # at most 4,096 cells per class
+    return (
+        cells.withColumn("before", F.coalesce(F.sum("n").over(below), F.lit(0)))
+        .join(targets, F.col("cls").eqNullSafe(F.col("target_cls")))
+        .where((F.col("before") < F.col("want")) & (F.col("want") <= F.col("before") + F.col("n")))
+        .select("cls", "cell", "n", (F.col("want") - F.col("before")).alias("rest"))
         .collect()
     )
-    cuts = {r.cls: HashCut(r.cls, r.digest, r.key, wanted[r.cls], totals[r.cls]) for r in last}
-    return [cuts.get(c) or _whole_or_none(c, wanted.get(c, 0), n) for c, n in totals.items()]
+
+
+def _inside(rows: DataFrame, spark, cut_cells: list[tuple], kind: str, digits: int) -> DataFrame:
+    """Rows of the cut cells, with the wanted place; a join with a literal table."""
+    cut = small_table(spark, cut_cells, f"cut_cls {kind}, cut_cell string, rest bigint")
+    same = F.col("cls").eqNullSafe(F.col("cut_cls")) & (F.substring("digest", 1, digits) == F.col("cut_cell"))
+    return rows.join(cut, same).drop("cut_cls", "cut_cell")
 
 
 def _whole_or_none(cls: Any, want: int, n: int) -> HashCut:
-    return HashCut(cls, "g" if want >= n else "", None, n if want >= n else 0, n)
+    return HashCut(cls, ALL if want >= n else NONE, n if want >= n else 0, n)
 
 
 def below_cut(cuts: Sequence[HashCut], key: str, by: str | None = None, seed: int = 42) -> Column:
-    """True for the rows the cuts select; a projection, so it also runs on a stream."""
-    digest = hash_key(key, seed)
-
-    def inside(cut: HashCut) -> Column:
-        if cut.key is None:
-            return digest < F.lit(cut.digest)
-        return (digest < F.lit(cut.digest)) | (
-            (digest == F.lit(cut.digest)) & (F.col(key) <= F.lit(cut.key))
-        )
+    """True for the rows the cuts select; a projection, so it also runs on a stream.
 
+    Equal digests mean equal keys, so comparing digests is enough.
+    """
     if not by:
-        return inside(cuts[0]) if cuts else F.lit(False)
-    return reduce(
-        lambda acc, cut: acc | (F.col(by).eqNullSafe(F.lit(cut.cls)) & inside(cut)),
-        cuts, F.lit(False),
-    )
+        limit = F.lit(cuts[0].digest if cuts else NONE)
+    else:
+        limit = reduce(
+            lambda acc, cut: acc.when(F.col(by).eqNullSafe(F.lit(cut.cls)), F.lit(cut.digest)),
+            cuts, F.when(F.lit(False), F.lit(NONE)),
+        ).otherwise(F.lit(NONE))
+    return hash_key(key, seed) <= limit

@@ -12,6 +12,7 @@ recomputed sketch could differ between the two branches that use it.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -69,9 +70,9 @@ def _literal_array(values: Iterable[float]) -> str:
     return "array(" + ", ".join(f"{v!r}D" for v in values) + ")"
 
 
-def has_heavy_value(points: Sequence[float]) -> bool:
-    """Whether some single value fills at least a bucket."""
-    return len(set(points)) < len(points)
+def heavy_values(points: Sequence[float]) -> list[float]:
+    """Values that fill at least a whole bucket on their own: the repeated cut points."""
+    return sorted(v for v, n in Counter(points).items() if n > 1)
 
 
 def with_bucket(df: DataFrame, order: str, points: Sequence[float]) -> DataFrame:
@@ -108,9 +109,9 @@ def ordered_cumsum(
     ``total_<name>`` and ``next_value``, the next larger order value of the same keys
     (null at the end).  Rows whose order value is null or NaN are left out.
 
-    Where one value fills a bucket, ties collapse map-side before the first shuffle, so a
-    score held by a third of all rows costs one row per task.  Where none does, the
-    buckets are balanced as they are and rows are shuffled and sorted once.
+    Rows are shuffled and sorted once, by bucket.  Values that fill a bucket on their own
+    are collapsed map-side first, so a score held by a third of all rows costs one row per
+    task; what remains is balanced.
     """
     keys, names = list(keys), list(sums)
     c = F.col(order).cast("double")
@@ -120,8 +121,13 @@ def ordered_cumsum(
     if points is None:
         points = split_points(rows, order, buckets)
     bucketed = placed = with_bucket(rows, order, points)
-    if has_heavy_value(points):
-        placed = bucketed.groupBy(*keys, BUCKET, order).agg(*[F.sum(n).alias(n) for n in names])
+    heavy = heavy_values(points)
+    if heavy:
+        is_heavy = F.expr(f"`{order}` IN ({', '.join(f'{v!r}D' for v in heavy)})")
+        collapsed = bucketed.where(is_heavy).groupBy(*keys, BUCKET, order).agg(
+            *[F.sum(n).alias(n) for n in names]
+        )
+        placed = bucketed.where(~is_heavy).unionByName(collapsed)
 
     inside = Window.partitionBy(*keys, BUCKET).orderBy(order)
     last_of_ties = F.col("_next_in").isNull() | (F.col("_next_in") != F.col(order))

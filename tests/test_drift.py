@@ -57,7 +57,7 @@ def test_method_follows_reference_size():
 
 @pytest.mark.parametrize("buckets", [1, 6])
 def test_distances_against_numpy(spark, buckets, monkeypatch):
-    monkeypatch.setattr("riskspark.plans.ordered.SKETCH_SHARE", 1.0)
+    monkeypatch.setattr(R, "SKETCH_SHARE", 1.0)
     rng = np.random.default_rng(5)
     a, b = rng.normal(size=300).round(1), rng.normal(0.4, 1.3, size=200).round(1)
     found = R.numeric_distances(

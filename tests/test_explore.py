@@ -42,6 +42,14 @@ def test_constant_column_has_no_correlation(spark):
     assert found["a", "c"] is None and len(found) == 9
 
 
+def test_correlation_over_the_rows_where_both_are_present(spark):
+    values = [(1.0, 2.0), (2.0, None), (3.0, 5.0), (None, 1.0), (4.0, 4.0), (7.0, 9.5)]
+    found = {(r.a, r.b): r.corr for r in E.correlation_pairs(spark.createDataFrame(values, "a double, b double"), ["a", "b"]).collect()}
+    both = np.array([v for v in values if None not in v])
+    assert found["a", "b"] == pytest.approx(np.corrcoef(both.T)[0, 1])
+    assert found["a", "a"] == found["b", "b"] == 1.0
+
+
 def test_sketches_stay_within_their_error(t):
     exact = dict(rows(E.cardinality(t, ["nameOrig", "nameDest", "type"])))
     for name, n in rows(E.approximate_cardinality(t, list(exact))):

@@ -61,8 +61,8 @@ def test_no_row_window_without_a_bucket(values):
 def test_split_points_balance_and_flag_heavy_values(values):
     points = split_points(values, "x", 10, share=1.0)
     assert len(points) == 9 and points == sorted(points)
-    assert O.has_heavy_value(points)
-    assert not O.has_heavy_value(split_points(values.where("x <> 0.5"), "x", 10, share=1.0))
+    assert O.heavy_values(points) == [0.5]
+    assert O.heavy_values(split_points(values.where("x <> 0.5"), "x", 10, share=1.0)) == []
 
 
 @pytest.mark.parametrize("buckets", [1, 7])
@@ -89,6 +89,16 @@ def test_hash_cuts_are_exact_and_stable(values):
     assert sorted(rows(again, "id")) == sorted(rows(chosen, "id"))
 
 
+def test_large_cells_are_divided_again(values, monkeypatch):
+    from riskspark.plans import cuts
+
+    half = lambda totals: {c: n // 2 for c, n in totals.items()}
+    one = lowest_hash_cuts(values, "id", half, by="k")
+    monkeypatch.setattr(cuts, "HEX_DIGITS", 1)
+    monkeypatch.setattr(cuts, "ORDERED_ROWS", 3)
+    assert lowest_hash_cuts(values, "id", half, by="k") == one
+
+
 def test_hash_cuts_take_all_or_nothing(values):
     everything = lowest_hash_cuts(values, "id", lambda t: {c: n + 5 for c, n in t.items()})
     assert values.where(below_cut(everything, "id")).count() == 3000
