@@ -10,9 +10,11 @@ from riskspark.config import FEATURES, NUMERIC_FEATURES, DriftConfig
 from riskspark.operators import drift as R, features as X
 from riskspark.sources import testdata as D
 
-PAIR = """,
-ref AS (SELECT * FROM featured WHERE step <= 360),
-cur AS (SELECT * REPLACE (amount * 2 AS amount, 'TRANSFER' AS type) FROM featured WHERE step > 360),
+def drift_views(reference: str, current: str) -> str:
+    """Plain windows over the values of each feature, and shares of each type."""
+    return f""",
+ref AS ({reference}),
+cur AS ({current}),
 long AS (""" + " UNION ALL ".join(
     f"SELECT '{f}' AS feature, {f} AS v, 0 AS side FROM ref UNION ALL SELECT '{f}', {f}, 1 FROM cur" for f in NUMERIC_FEATURES
 ) + """),
@@ -35,6 +37,12 @@ feat AS (SELECT feature, 'normed_wasserstein' AS method, normed_wasserstein AS d
 """
 
 
+PAIR = drift_views(
+    "SELECT * FROM featured WHERE step <= 360",
+    "SELECT * REPLACE (amount * 2 AS amount, 'TRANSFER' AS type) FROM featured WHERE step > 360",
+)
+
+
 def pair(s, sf):
     return D.drift_pair(X.add_features(D.transactions(s, sf)))
 
@@ -80,7 +88,16 @@ QUERIES = {
         TABLES + PAIR + """SELECT feature, method, round(drift_score, 6) AS drift_score, CAST(0.1 AS DOUBLE) AS drift_threshold,
         drift_score >= 0.1 AS drift_detected FROM feat""",
     ),
-    "drift_p_values": (lambda s, sf: rounded(R.feature_drift(*pair(s, sf), method="p_value")), None),
+    "drift_p_values": (
+        lambda s, sf: rounded(R.feature_drift(*pair(s, sf), method="p_value")),
+        # five types give four degrees of freedom: the tail is exp(-x/2) (1 + x/2)
+        TABLES + PAIR + """, x AS (SELECT feature, ks * sqrt(CAST(reference_rows AS DOUBLE) * current_rows / (reference_rows + current_rows)) AS x FROM num),
+        p AS (SELECT feature, 'ks_p_value' AS method, CASE WHEN max(x) < 0.04 THEN 1 ELSE least(greatest(
+            sum(CASE WHEN j % 2 = 1 THEN 2 ELSE -2 END * exp(CAST(-2 AS DOUBLE) * j * j * x * x)), 0), 1) END AS s
+          FROM x CROSS JOIN range(1, 101) r(j) GROUP BY feature
+          UNION ALL SELECT feature, 'chi_square_p_value', exp(-chi_square / 2) * (1 + chi_square / 2) FROM cat WHERE df = 4)
+        SELECT feature, method, round(s, 6) AS drift_score, CAST(0.05 AS DOUBLE) AS drift_threshold, s < 0.05 AS drift_detected FROM p""",
+    ),
     "drift_summary": (
         lambda s, sf: summary(s, sf, "distance"),
         TABLES + PAIR + """SELECT string_agg(feature, ',' ORDER BY feature) FILTER (WHERE drift_score >= 0.1) AS drifted_features,

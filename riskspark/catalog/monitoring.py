@@ -30,7 +30,7 @@ def _histogram(value: str, bounds, labels) -> str:
     ) + f" UNION ALL SELECT '+Inf', count({value}) FROM requests"
 
 
-def _quantile_sql(q: float) -> str:
+def latency_quantile_sql(q: float, having: str = "") -> str:
     bounds = list(LATENCY_BUCKETS_MS)
     counts = ", ".join(f"count(*) FILTER (WHERE latency_ms <= {b}) AS c{i}" for i, b in enumerate(bounds))
     cases = " ".join(
@@ -38,7 +38,7 @@ def _quantile_sql(q: float) -> str:
         f"coalesce((rnk - {f'c{i - 1}' if i else '0'}) / nullif(CAST(c{i} - {f'c{i - 1}' if i else '0'} AS DOUBLE), 0), 0)"
         for i, b in enumerate(bounds)
     )
-    return TABLES + sliding_sql() + f""", h AS (SELECT window_start, count(latency_ms) AS n, {counts} FROM w GROUP BY window_start),
+    return TABLES + sliding_sql() + f""", h AS (SELECT window_start, count(latency_ms) AS n, {counts} FROM w GROUP BY w.window_start {having}),
     r AS (SELECT *, CAST(n AS DOUBLE) * {q} AS rnk FROM h)
     SELECT {WINDOW}, n AS requests, round(CASE WHEN n = 0 THEN NULL {cases} ELSE {bounds[-1]}::DOUBLE END, 6) AS quantile_ms FROM r"""
 
@@ -107,7 +107,7 @@ QUERIES = {
         TABLES + sliding_sql() + f"""SELECT {WINDOW}, count(*) AS requests, count(*) FILTER (WHERE status >= 400) AS errors,
         round(CAST(count(*) FILTER (WHERE status >= 400) AS DOUBLE) / greatest(CAST(count(*) AS DOUBLE), 1e-9), 6) AS error_rate FROM w GROUP BY w.window_start""",
     ),
-    "p95_latency_5m": (lambda s, sf: rounded(O.latency_quantile(LOG(s, sf))), _quantile_sql(0.95)),
+    "p95_latency_5m": (lambda s, sf: rounded(O.latency_quantile(LOG(s, sf))), latency_quantile_sql(0.95)),
     "fraud_rate_5m": (
         lambda s, sf: rounded(O.fraud_rate(LOG(s, sf))),
         TABLES + sliding_sql(extra="WHERE probability IS NOT NULL") + f"""SELECT {WINDOW}, count(*) FILTER (WHERE probability >= 0.9) AS fraud,

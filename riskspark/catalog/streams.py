@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskspark.catalog.monitoring import WINDOW, sliding_sql
+from riskspark.catalog.drift import drift_views
+from riskspark.catalog.monitoring import PLACE, WINDOW, latency_quantile_sql, sliding_sql
 from riskspark.catalog.shape import rounded
 from riskspark.catalog.tables_sql import TABLES, VIOLATIONS
 from riskspark.operators import features as X
@@ -82,7 +83,15 @@ QUERIES = {
         round(CAST(count(*) FILTER (WHERE probability >= 0.9) AS DOUBLE) / count(*), 6) AS fraud_rate FROM w GROUP BY w.window_start """
         + CLOSED.format(source="requests"),
     ),
-    "stream_p95_latency_5m": (lambda s, sf: rounded(_run(s, SM.latency_series(requests(s, sf)), "latency")), None),
+    "stream_p95_latency_5m": (
+        lambda s, sf: rounded(_run(s, SM.latency_series(requests(s, sf)), "latency")),
+        latency_quantile_sql(0.95, CLOSED.format(source="requests")),
+    ),
+    "stream_prob_heatmap": (
+        lambda s, sf: rounded(_run(s, SM.probability_series(requests(s, sf)), "heatmap")),
+        TABLES + sliding_sql(extra=_PREDICTED) + f"SELECT {WINDOW}, {PLACE} AS le, count(*) AS predictions FROM w GROUP BY w.window_start, le "
+        + CLOSED.format(source="requests"),
+    ),
     "stream_dq_errors_5m": (
         quality,
         TABLES + VIOLATIONS + ", vt AS (SELECT v.category, t.ts FROM violations v JOIN transactions t ON t.txn_id = v.txn_id)"
@@ -102,5 +111,9 @@ QUERIES = {
         SELECT *, round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 6) AS "precision", round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 6) AS recall,
         round(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score FROM c""",
     ),
-    "stream_drift": (drift, None),
+    "stream_drift": (
+        drift,
+        TABLES + drift_views("SELECT * FROM featured WHERE step <= 360", "SELECT * FROM featured WHERE step > 360")
+        + """SELECT feature, method, round(drift_score, 6) AS drift_score, drift_score >= 0.1 AS drift_detected, (SELECT count(*) FROM cur) AS rows FROM feat""",
+    ),
 }
