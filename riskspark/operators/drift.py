@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from riskspark.config import DriftConfig
 from riskspark.functions import count_where, is_missing
 from riskspark.operators.admission import require_drift_input
-from riskspark.plans import SKETCH_SHARE, ordered_cumsum, split_points
+from riskspark.plans import SKETCH_SHARE, ordered_cumsum, sketch
 
 # Below this a Kolmogorov p-value is 1 to double precision.
 KOLMOGOROV_ONE = 0.04
@@ -43,10 +43,10 @@ def numeric_distances(
     long = _sides(reference, current, entries)
     # cut points from sampled rows, taken before each row becomes one row per feature
     sampled = _sides(*(df.sample(SKETCH_SHARE, seed=42) for df in (reference, current)), entries)
-    points = split_points(sampled, "value", buckets, share=1.0)
+    cuts = sketch(sampled, "value", buckets, share=1.0)
     table = ordered_cumsum(
         long, "value",
-        {"ref": 1 - F.col("side"), "cur": F.col("side")}, ["feature"], points=points,
+        {"ref": 1 - F.col("side"), "cur": F.col("side")}, ["feature"], cuts=cuts,
     )
     gap = F.abs(
         F.col("cum_ref").cast("double") / F.col("total_ref")

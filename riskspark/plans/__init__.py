@@ -2,10 +2,10 @@
 
 from riskspark.plans.cuts import HashCut, below_cut, lowest_hash_cuts
 from riskspark.plans.ordered import (
-    SKETCH_SHARE, as_literal, exact_quantiles, ordered_cumsum, split_points, with_bucket,
+    SKETCH_SHARE, Sketch, as_literal, exact_quantiles, ordered_cumsum, sketch, split_points, with_bucket,
 )
 
 __all__ = [
-    "HashCut", "SKETCH_SHARE", "as_literal", "below_cut", "exact_quantiles", "lowest_hash_cuts", "ordered_cumsum",
-    "split_points", "with_bucket",
+    "HashCut", "SKETCH_SHARE", "Sketch", "as_literal", "below_cut", "exact_quantiles", "lowest_hash_cuts", "ordered_cumsum",
+    "sketch", "split_points", "with_bucket",
 ]

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Sequence
+from typing import NamedTuple
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -28,6 +29,8 @@ LITERAL_ROWS = 100_000
 SKETCH_SHARE = 0.05
 SKETCH_GROUPS = 256
 SKETCH_POINTS = 256
+# From this many rows per value on, collapsing all ties before the shuffle pays.
+COLLAPSE_FROM = 4.0
 
 
 def default_buckets(df: DataFrame) -> int:
@@ -35,9 +38,14 @@ def default_buckets(df: DataFrame) -> int:
     return max(1, min(MAX_BUCKETS, BUCKETS_PER_PARTITION * partitions))
 
 
-def split_points(
-    df: DataFrame, order: str, buckets: int | None = None, share: float = SKETCH_SHARE
-) -> list[float]:
+class Sketch(NamedTuple):
+    """Cut points, and how many sampled rows share a value on average."""
+
+    points: list[float]
+    rows_per_value: float = 1.0
+
+
+def sketch(df: DataFrame, order: str, buckets: int | None = None, share: float = SKETCH_SHARE) -> Sketch:
     """``buckets - 1`` cut points in order, repeated where one value fills whole buckets.
 
     One column of a row sample is sketched.  Sketches are merged in two steps: per group
@@ -47,7 +55,7 @@ def split_points(
     """
     buckets = buckets or default_buckets(df)
     if buckets < 2:
-        return []
+        return Sketch([])
     c = F.col(order).cast("double")
     grid = _literal_array((i + 0.5) / SKETCH_POINTS for i in range(SKETCH_POINTS))
     cuts = _literal_array(i / buckets for i in range(1, buckets))
@@ -56,13 +64,18 @@ def split_points(
         .sample(fraction=min(1.0, share), seed=42)
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"))
         .agg(F.expr(f"percentile_approx(_x, {grid}, {10 * SKETCH_POINTS})").alias("_points"),
-             F.count("*").alias("_rows"))
+             F.approx_count_distinct("_x").alias("_values"), F.count("*").alias("_rows"))
     )
     # at most SKETCH_GROUPS * SKETCH_POINTS values
-    row = groups.select(F.explode("_points").alias("_point"), "_rows").agg(
-        F.expr(f"percentile(_point, {cuts}, _rows)").alias("points")
+    row = groups.select(F.explode("_points").alias("_point"), "_rows", "_values").agg(
+        F.expr(f"percentile(_point, {cuts}, _rows)").alias("points"),
+        F.sum("_rows").alias("rows"), F.sum("_values").alias("values"),
     ).first()
-    return list(row.points or [])
+    return Sketch(list(row.points or []), (row.rows or 0) / max(1, row.values or 0))
+
+
+def split_points(df: DataFrame, order: str, buckets: int | None = None, share: float = SKETCH_SHARE) -> list[float]:
+    return sketch(df, order, buckets, share).points
 
 
 def _literal_array(values: Iterable[float]) -> str:
@@ -100,7 +113,7 @@ def ordered_cumsum(
     sums: dict[str, Column],
     keys: Sequence[str] = (),
     buckets: int | None = None,
-    points: Sequence[float] | None = None,
+    cuts: Sketch | None = None,
 ) -> DataFrame:
     """One row per (keys, order value), with running sums up to and including it.
 
@@ -109,25 +122,28 @@ def ordered_cumsum(
     ``total_<name>`` and ``next_value``, the next larger order value of the same keys
     (null at the end).  Rows whose order value is null or NaN are left out.
 
-    Rows are shuffled and sorted once, by bucket.  Values that fill a bucket on their own
-    are collapsed map-side first, so a score held by a third of all rows costs one row per
-    task; what remains is balanced.
+    Values shared by many rows are collapsed map-side before the shuffle.  Where values
+    are mostly distinct only those that fill a bucket on their own are, so a score held by
+    a third of all rows costs one row per task, and the other rows, balanced by then, are
+    shuffled and sorted once.
     """
     keys, names = list(keys), list(sums)
     c = F.col(order).cast("double")
     rows = df.select(
         *keys, (c + F.lit(0.0)).alias(order), *[s.cast("bigint").alias(n) for n, s in sums.items()]
     ).where(F.col(order).isNotNull() & ~F.isnan(order))
-    if points is None:
-        points = split_points(rows, order, buckets)
+    points, rows_per_value = cuts or sketch(rows, order, buckets)
     bucketed = placed = with_bucket(rows, order, points)
     heavy = heavy_values(points)
-    if heavy:
+
+    def collapse(part: DataFrame) -> DataFrame:
+        return part.groupBy(*keys, BUCKET, order).agg(*[F.sum(n).alias(n) for n in names])
+
+    if rows_per_value >= COLLAPSE_FROM:
+        placed = collapse(bucketed)
+    elif heavy:
         is_heavy = F.expr(f"`{order}` IN ({', '.join(f'{v!r}D' for v in heavy)})")
-        collapsed = bucketed.where(is_heavy).groupBy(*keys, BUCKET, order).agg(
-            *[F.sum(n).alias(n) for n in names]
-        )
-        placed = bucketed.where(~is_heavy).unionByName(collapsed)
+        placed = bucketed.where(~is_heavy).unionByName(collapse(bucketed.where(is_heavy)))
 
     inside = Window.partitionBy(*keys, BUCKET).orderBy(order)
     last_of_ties = F.col("_next_in").isNull() | (F.col("_next_in") != F.col(order))

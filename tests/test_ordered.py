@@ -24,22 +24,25 @@ def cumsum(values, **kw):
 
 def test_buckets_do_not_change_the_answer(values):
     one = cumsum(values, buckets=1)
-    assert one == cumsum(values, points=[0.1, 0.2, 0.5, 0.9])
-    # repeated points: the plan for heavy values
-    assert one == cumsum(values, points=[0.1, 0.5, 0.5, 0.5, 0.9])
-    assert one == cumsum(values, points=[-5.0, 0.3, 7.0])
+    assert one == cumsum(values, cuts=O.Sketch([0.1, 0.2, 0.5, 0.9]))
+    # repeated points: the value 0.5 is collapsed first
+    assert one == cumsum(values, cuts=O.Sketch([0.1, 0.5, 0.5, 0.5, 0.9]))
+    assert one == cumsum(values, cuts=O.Sketch([-5.0, 0.3, 7.0]))
+    # many rows per value: all ties are collapsed first
+    assert one == cumsum(values, cuts=O.Sketch([0.1, 0.5, 0.5, 0.9], 10.0))
+    assert one == cumsum(values)
 
 
 def test_totals_by_shuffled_join(values, monkeypatch):
     one = cumsum(values, buckets=1)
     monkeypatch.setattr(O, "LITERAL_ROWS", 2)
     monkeypatch.setattr(O, "as_literal", lambda t, most=2: t)
-    assert one == cumsum(values, points=[0.1, 0.2, 0.5, 0.9])
+    assert one == cumsum(values, cuts=O.Sketch([0.1, 0.2, 0.5, 0.9]))
 
 
 def test_against_numpy(values):
     x = np.array([r.x for r in values.where("k = 'a'").collect()])
-    found = [r for r in cumsum(values, points=[0.25, 0.75]) if r[0] == "a"]
+    found = [r for r in cumsum(values, cuts=O.Sketch([0.25, 0.75])) if r[0] == "a"]
     distinct, counts = np.unique(x, return_counts=True)
     assert [r[1] for r in found] == distinct.tolist()
     assert [r[2] for r in found] == counts.tolist()
@@ -49,11 +52,11 @@ def test_against_numpy(values):
 
 def test_null_and_nan_are_left_out(spark):
     table = spark.createDataFrame([(1.0,), (None,), (float("nan"),), (2.0,)], "x double")
-    assert len(rows(ordered_cumsum(table, "x", {"n": F.lit(1)}, points=[1.5]))) == 2
+    assert len(rows(ordered_cumsum(table, "x", {"n": F.lit(1)}, cuts=O.Sketch([1.5])))) == 2
 
 
 def test_no_row_window_without_a_bucket(values):
-    plan = ordered_cumsum(values, "x", {"n": F.lit(1)}, points=[0.2, 0.4])
+    plan = ordered_cumsum(values, "x", {"n": F.lit(1)}, cuts=O.Sketch([0.2, 0.4]))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in text
 
@@ -62,6 +65,10 @@ def test_split_points_balance_and_flag_heavy_values(values):
     points = split_points(values, "x", 10, share=1.0)
     assert len(points) == 9 and points == sorted(points)
     assert O.heavy_values(points) == [0.5]
+    # values are counted per input partition, so the ratio is never overstated
+    assert 1.0 < O.sketch(values, "x", 10, share=1.0).rows_per_value <= 3000 / 1001
+    tied = values.withColumn("x", F.col("x") > 0.5).withColumn("x", F.col("x").cast("double"))
+    assert O.sketch(tied, "x", 10, share=1.0).rows_per_value > O.COLLAPSE_FROM
     assert O.heavy_values(split_points(values.where("x <> 0.5"), "x", 10, share=1.0)) == []
 
 
