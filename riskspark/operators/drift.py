@@ -76,7 +76,8 @@ def category_counts(reference: DataFrame, current: DataFrame, features: Sequence
         count_where(F.col("side") == 0).alias("ref"), count_where(F.col("side") == 1).alias("cur")
     )
     totals = counts.groupBy("feature").agg(F.sum("ref").alias("total_ref"), F.sum("cur").alias("total_cur"))
-    return counts.join(totals, "feature")
+    # one row per feature, however many categories
+    return counts.join(F.broadcast(totals), "feature")
 
 
 def categorical_distances(

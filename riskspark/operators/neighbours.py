@@ -1,12 +1,14 @@
 """Exact k nearest neighbours without comparing all pairs.
 
-Points are assigned to the nearest of a few pivots (Voronoi cells, after Lu, Shen, Chen
+Copies first: of each distinct vector only the k + 1 smallest ids can be anyone's
+neighbour (ties go to the smaller id), and one search serves all copies.  The distinct
+vectors are assigned to the nearest of a few pivots (Voronoi cells, after Lu, Shen, Chen
 and Ooi, "Efficient Processing of k Nearest Neighbor Joins using MapReduce", VLDB 2012).
-A point's k-th distance inside its own block, or to the pivots, bounds its true k-th
-distance; by the triangle inequality it only has to visit cells whose ball that bound
-reaches.  Cells are cut into blocks of limited size, and queries visiting a block into
-groups of limited size, so no task holds an unbounded group, and at most k rows per
-query and block are emitted.  Every bound is conservative: the result is exact, ties by id.
+Distances inside a vector's own block, or to the pivots, bound its search radius; by the
+triangle inequality it only has to visit cells whose ball that radius reaches.  Cells are
+cut into blocks of limited size, and the visitors of a block into groups of limited size,
+so no task holds an unbounded group, and at most k + 1 rows per visitor and block come
+out.  Every bound is conservative: the result is exact.
 """
 
 from __future__ import annotations
@@ -19,8 +21,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.functions import small_table
+from riskspark.plans import as_literal
 
 SLACK = 1e-9
+# Distances held at once, and rows sent on at once, by one task.
+CELLS_AT_ONCE = 4_000_000
+ROWS_AT_ONCE = 20_000
+# Copies of one vector beyond this many are joined back in parts of about this size.
+COPIES_PER_PART = 100_000
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -36,6 +44,11 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack(vectors.to_numpy()).astype(float)
 
 
+def _slices(rows: int, width: int) -> Iterator[slice]:
+    step = max(1, CELLS_AT_ONCE // max(1, width))
+    return (slice(i, i + step) for i in range(0, rows, step))
+
+
 def nearest_neighbours(
     df: DataFrame,
     key: str,
@@ -46,131 +59,156 @@ def nearest_neighbours(
 ) -> DataFrame:
     """Rows (id, v, neighbour, nv, rank, distance): the k nearest other points of each point.
 
-    ``vector`` is an array<double>; ``key`` must be unique.  Points beyond ``block_rows``
-    per cell are split, not dropped.
+    ``vector`` is an array<double> without nulls; ``key`` must be unique.
     """
-    points = df.select(F.col(key).alias("id"), vector.alias("v"))
-    id_type = points.schema["id"].dataType.simpleString()
-    rows = points.count()
-    # expected number of pivots: max_pivots at most, whatever the table size
-    n_pivots = min(max_pivots, max(1, math.ceil(rows / block_rows)))
-    if n_pivots == 1 or rows <= k:
-        chosen = points.limit(1)
-    else:
-        place = F.pmod(F.xxhash64("id", F.lit("pivot")), F.lit(rows))
-        chosen = points.where(place < n_pivots)
-    sample = chosen.select("v").collect() or points.limit(1).select("v").collect()
-    if not sample:
-        return _empty(df, id_type)
-    pivots = np.unique(np.array([r.v for r in sample], dtype=float), axis=0)
+    # -0.0 and 0.0 are the same coordinate
+    points = df.select(F.col(key).alias("id"), F.transform(vector, lambda x: x + F.lit(0.0)).alias("v"))
+    kind = points.schema["id"].dataType.simpleString()
+    # the limit on the row number also applies map-side, before the shuffle by vector
+    targets = points.withColumn(
+        "place", F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    ).where(F.col("place") <= k + 1).select("id", "v", (F.col("place") == 1).alias("head"))
+
+    found = _search(targets, kind, k, block_rows, max_pivots)
+    if found is None:
+        return small_table(
+            df.sparkSession, [],
+            f"id {kind}, v array<double>, neighbour {kind}, nv array<double>, rank int, distance double",
+        )
+    return _to_all_copies(points, found, k)
+
+
+def _search(targets: DataFrame, kind: str, k: int, block_rows: int, max_pivots: int) -> DataFrame | None:
+    """(v, near): the k + 1 nearest targets of each distinct vector, itself included."""
+    heads = targets.where("head")
+    rows = heads.count()
+    if rows == 0:
+        return None
+    # expected number of pivots: at most max_pivots, whatever the table size
+    wanted = min(max_pivots, math.ceil(rows / block_rows))
+    place = F.pmod(F.xxhash64("id", F.lit("pivot")), F.lit(rows))
+    sample = heads.where(place < wanted).select("v").collect() if wanted > 1 else []
+    pivots = np.array([r.v for r in sample or heads.select("v").limit(1).collect()], dtype=float)
+
+    row = f"id {kind}, v array<double>, head boolean"
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                d2 = _squared(_matrix(batch["v"]), pivots)
+            for part in _slices(len(batch), len(pivots)):
+                some = batch.iloc[part]
+                d2 = _squared(_matrix(some["v"]), pivots)
                 cell = d2.argmin(axis=1)
-                yield batch.assign(
-                    cell=cell.astype("int32"), reach=np.sqrt(d2[np.arange(len(batch)), cell])
-                )
+                yield some.assign(cell=cell.astype("int32"), reach=np.sqrt(d2[np.arange(len(some)), cell]))
 
-    point_schema = f"id {id_type}, v array<double>, cell int, reach double"
-    assigned = points.mapInPandas(assign, point_schema)
+    assigned = targets.mapInPandas(assign, f"{row}, cell int, reach double")
     # one row per pivot
-    stats = assigned.groupBy("cell").agg(F.count("*").alias("n"), F.max("reach").alias("reach")).collect()
     radius = np.full(len(pivots), -1.0)
     blocks = np.zeros(len(pivots), dtype="int32")
-    for r in stats:
-        radius[r.cell] = r.reach
-        blocks[r.cell] = math.ceil(r.n / block_rows)
+    for r in assigned.groupBy("cell").agg(F.count("*").alias("n"), F.max("reach").alias("reach")).collect():
+        radius[r.cell], blocks[r.cell] = r.reach, math.ceil(r.n / block_rows)
 
     def place_in_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch[["id", "v", "cell"]].assign(
-                block=(batch["h"].to_numpy() % blocks[batch["cell"].to_numpy()]).astype("int32")
-            )
+            block = batch["h"].to_numpy() % blocks[batch["cell"].to_numpy()]
+            yield batch[["id", "v", "head", "cell"]].assign(block=block.astype("int32"))
 
     home = assigned.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 31))).mapInPandas(
-        place_in_block, f"id {id_type}, v array<double>, cell int, block int"
+        place_in_block, f"{row}, cell int, block int"
     )
 
     def bound_in_block(group: pd.DataFrame) -> pd.DataFrame:
-        vectors = _matrix(group["v"])
-        to_pivots = _squared(vectors, pivots)
-        bound = np.full(len(group), np.inf)
-        if len(pivots) > k:
-            # distinct pivots are points themselves; one of them may be the point
-            bound = np.partition(to_pivots, k, axis=1)[:, k]
-        if len(group) > k:
-            own = _squared(vectors, vectors)
-            # position k counts the point itself at distance 0
-            bound = np.minimum(bound, np.partition(own, k, axis=1)[:, k])
-        return pd.DataFrame({"id": group["id"], "v": group["v"], "bound": np.sqrt(bound)})
+        asking = group[group["head"]]
+        if asking.empty:
+            return pd.DataFrame({"id": pd.Series([], dtype=object), "v": pd.Series([], dtype=object), "bound": []})
+        vectors, block = _matrix(asking["v"]), _matrix(group["v"])
+        bound = np.full(len(asking), np.inf)
+        # pivots are points, and the vector itself counts: position k is the (k + 1)-th
+        for others in (pivots, block):
+            if len(others) > k:
+                for part in _slices(len(asking), len(others)):
+                    near = np.partition(_squared(vectors[part], others), k, axis=1)[:, k]
+                    bound[part] = np.minimum(bound[part], near)
+        return pd.DataFrame({"id": asking["id"], "v": asking["v"], "bound": np.sqrt(bound)})
 
     bounded = home.groupBy("cell", "block").applyInPandas(
-        bound_in_block, f"id {id_type}, v array<double>, bound double"
+        bound_in_block, f"id {kind}, v array<double>, bound double"
     )
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
-            to_pivots = np.sqrt(_squared(_matrix(batch["v"]), pivots))
-            bound = batch["bound"].to_numpy()[:, None]
-            reaches = to_pivots - bound <= radius[None, :] + SLACK * (1.0 + to_pivots)
-            q, cell = np.nonzero(reaches & (blocks > 0)[None, :])
-            n = blocks[cell]
-            q, cell = np.repeat(q, n), np.repeat(cell, n)
-            block = np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n)
-            yield pd.DataFrame({
-                "id": batch["id"].to_numpy()[q], "v": batch["v"].to_numpy()[q],
-                "cell": cell.astype("int32"), "block": block.astype("int32"),
-            })
-
-    visit = bounded.mapInPandas(visits, f"id {id_type}, v array<double>, cell int, block int")
-    # one row per block: how many groups its queries are split into
+            ids, vs = batch["id"].to_numpy(), batch["v"].to_numpy()
+            for part in _slices(len(batch), len(pivots)):
+                to_pivots = np.sqrt(_squared(_matrix(batch["v"].iloc[part]), pivots))
+                bound = batch["bound"].to_numpy()[part, None]
+                reached = to_pivots - bound <= radius[None, :] + SLACK * (1.0 + to_pivots)
+                q, cell = np.nonzero(reached & (blocks > 0)[None, :])
+                n = blocks[cell]
+                q, cell = np.repeat(q + part.start, n), np.repeat(cell, n)
+                block = np.arange(len(q)) - np.repeat(np.cumsum(n) - n, n)
+                for i in range(0, len(q), ROWS_AT_ONCE):
+                    s = slice(i, i + ROWS_AT_ONCE)
+                    yield pd.DataFrame({
+                        "id": ids[q[s]], "v": vs[q[s]],
+                        "cell": cell[s].astype("int32"), "block": block[s].astype("int32"),
+                    })
+
+    visit = bounded.mapInPandas(visits, f"id {kind}, v array<double>, cell int, block int")
+    # one row per block: how many groups its visitors are split into
     load = visit.groupBy("cell", "block").agg(
         F.ceil(F.count("*") / F.lit(float(block_rows))).cast("int").alias("groups")
     )
     queries = visit.join(load, ["cell", "block"]).withColumn(
         "part", F.pmod(F.xxhash64("id", F.lit("query")), F.col("groups")).cast("int")
     ).drop("groups")
-    targets = home.join(load, ["cell", "block"]).withColumn(
+    copies = home.join(load, ["cell", "block"]).withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
     ).drop("groups")
 
     def closest(qs: pd.DataFrame, ps: pd.DataFrame) -> pd.DataFrame:
+        if qs.empty or ps.empty:
+            return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("id", "v", "neighbour", "nv", "d2")})
         ps = ps.sort_values("id")
         ids, vectors = ps["id"].to_numpy(), ps["v"].to_numpy()
         d2 = _squared(_matrix(qs["v"]), _matrix(ps["v"]))
-        d2[qs["id"].to_numpy()[:, None] == ids[None, :]] = np.inf
-        order = np.argsort(d2, axis=1, kind="stable")[:, :k]
-        q = np.repeat(np.arange(len(qs)), order.shape[1])
-        p = order.ravel()
-        found = pd.DataFrame({
+        # stable: equal distances stay in id order
+        order = np.argsort(d2, axis=1, kind="stable")[:, :k + 1]
+        q, p = np.repeat(np.arange(len(qs)), order.shape[1]), order.ravel()
+        return pd.DataFrame({
             "id": qs["id"].to_numpy()[q], "v": qs["v"].to_numpy()[q],
             "neighbour": ids[p], "nv": vectors[p], "d2": d2[q, p],
         })
-        return found[np.isfinite(found["d2"])] if np.isfinite(d2[q, p]).any() else _no_pairs()
 
     candidates = queries.groupBy("cell", "block", "part").cogroup(
-        targets.groupBy("cell", "block", "part")
-    ).applyInPandas(
-        lambda qs, ps: closest(qs, ps) if len(qs) and len(ps) else _no_pairs(),
-        f"id {id_type}, v array<double>, neighbour {id_type}, nv array<double>, d2 double",
-    )
+        copies.groupBy("cell", "block", "part")
+    ).applyInPandas(closest, f"id {kind}, v array<double>, neighbour {kind}, nv array<double>, d2 double")
     best = Window.partitionBy("id").orderBy("d2", "neighbour")
     return (
-        candidates.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("id", "v", "neighbour", "nv", "rank", F.sqrt("d2").alias("distance"))
+        candidates.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1)
+        # at most k + 1 entries per vector
+        .groupBy("id", "v").agg(F.sort_array(F.collect_list(F.struct("d2", "neighbour", "nv"))).alias("near"))
+        .select("v", "near")
     )
 
 
-def _no_pairs() -> pd.DataFrame:
-    return pd.DataFrame({c: pd.Series([], dtype=object) for c in ("id", "v", "neighbour", "nv", "d2")})
+def _to_all_copies(points: DataFrame, found: DataFrame, k: int) -> DataFrame:
+    """Give every point its vector's neighbours, without itself.
 
-
-def _empty(df: DataFrame, id_type: str) -> DataFrame:
-    return small_table(
-        df.sparkSession, [], f"id {id_type}, v array<double>, neighbour {id_type}, nv array<double>, rank int, distance double"
+    Vectors with very many copies are spread over several join keys; there are at most
+    rows / COPIES_PER_PART of them.
+    """
+    heavy = as_literal(
+        points.groupBy("v").agg(F.ceil(F.count("*") / F.lit(float(COPIES_PER_PART))).cast("int").alias("parts"))
+        .where("parts > 1")
+    )
+    parts = F.coalesce("parts", F.lit(1))
+    members = points.join(heavy, "v", "left").withColumn(
+        "part", F.pmod(F.xxhash64("id"), parts).cast("int")
+    ).drop("parts")
+    answers = found.join(heavy, "v", "left").withColumn(
+        "part", F.explode(F.sequence(F.lit(0), parts - 1))
+    ).drop("parts")
+    others = F.slice(F.filter("near", lambda n: n["neighbour"] != F.col("id")), 1, k)
+    return members.join(answers, ["v", "part"]).select("id", "v", F.posexplode(others).alias("i", "n")).select(
+        "id", "v", F.col("n.neighbour").alias("neighbour"), F.col("n.nv").alias("nv"),
+        (F.col("i") + 1).alias("rank"), F.sqrt("n.d2").alias("distance"),
     )

@@ -63,7 +63,10 @@ def fit(
     rows = weighted.select(VECTOR, target, WEIGHT)
     if use_smote:
         arrays = encoded.withColumn(VECTOR, vector_to_array(VECTOR))
-        made = smote(arrays, key, VECTOR, target, smote_config)
+        # written once: boosting reads its input several times, and the search is costly
+        path = scratch_path(train.sparkSession, "synthetic")
+        smote(arrays, key, VECTOR, target, smote_config).write.parquet(path)
+        made = train.sparkSession.read.parquet(path)
         minority = with_class_weight_value(weighted, target)
         rows = rows.unionByName(
             made.select(array_to_vector(VECTOR).alias(VECTOR), F.col(target).cast("int").alias(target),

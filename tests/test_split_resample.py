@@ -82,6 +82,18 @@ def test_neighbours_equal_brute_force(spark, block_rows, kind):
     assert found == brute(points, 4)
 
 
+def test_a_vector_with_very_many_copies_is_joined_in_parts(spark, monkeypatch):
+    from riskspark.operators import neighbours as N
+
+    monkeypatch.setattr(N, "COPIES_PER_PART", 10)
+    points = {i: (0.0, 0.0) if i % 3 else (float(i), 1.0) for i in range(90)}
+    df = spark.createDataFrame([(i, list(v)) for i, v in points.items()], "id long, v array<double>")
+    found = {}
+    for r in N.nearest_neighbours(df, "id", F.col("v"), 4, block_rows=16).orderBy("id", "rank").collect():
+        found.setdefault(r.id, []).append(r.neighbour)
+    assert found == brute(points, 4)
+
+
 def test_neighbours_of_tiny_tables(spark):
     two = spark.createDataFrame([(1, [0.0]), (2, [3.0])], "id long, v array<double>")
     assert rows(nearest_neighbours(two, "id", F.col("v"), 5).select("id", "neighbour", "rank", "distance").orderBy("id")) == [
