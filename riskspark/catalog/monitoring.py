@@ -108,6 +108,11 @@ QUERIES = {
         round(CAST(count(*) FILTER (WHERE status >= 400) AS DOUBLE) / greatest(CAST(count(*) AS DOUBLE), 1e-9), 6) AS error_rate FROM w GROUP BY w.window_start""",
     ),
     "p95_latency_5m": (lambda s, sf: rounded(O.latency_quantile(LOG(s, sf))), latency_quantile_sql(0.95)),
+    "p95_latency_exact_1h": (
+        lambda s, sf: rounded(O.exact_latency_quantile(LOG(s, sf))),
+        TABLES + """SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, count(*) AS requests,
+        round(quantile_cont(latency_ms, 0.95), 6) AS quantile_ms FROM requests GROUP BY date_trunc('hour', ts)""",
+    ),
     "fraud_rate_5m": (
         lambda s, sf: rounded(O.fraud_rate(LOG(s, sf))),
         TABLES + sliding_sql(extra="WHERE probability IS NOT NULL") + f"""SELECT {WINDOW}, count(*) FILTER (WHERE probability >= 0.9) AS fraud,

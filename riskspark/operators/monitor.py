@@ -15,6 +15,7 @@ from riskspark.config import LATENCY_BUCKETS_MS, OPERATING_THRESHOLD, PROBABILIT
 from riskspark.functions import at_or_above, count_where, ratio
 from riskspark.operators.admission import known_category
 from riskspark.operators.metrics import confusion, with_prf
+from riskspark.plans import exact_quantiles
 
 MIN_DENOMINATOR = 1e-9
 
@@ -210,6 +211,14 @@ def latency_quantile(
     return add_latency_quantile(sliding(log, latency_sums(bounds), minutes=minutes, slide=slide), q, bounds)
 
 
+def exact_latency_quantile(log: DataFrame, q: float = 0.95, minutes: int = 60, buckets: int | None = None) -> DataFrame:
+    """The exact q-quantile of latency per tumbling window."""
+    rows = log.select(F.window("ts", f"{minutes} minutes").getField("start").alias("window_start"), "latency_ms")
+    return exact_quantiles(rows, "latency_ms", [q], ["window_start"], buckets).select(
+        "window_start", F.col("n").alias("requests"), F.col("quantile").alias("quantile_ms")
+    )
+
+
 def fraud_rate(log: DataFrame, threshold: float = OPERATING_THRESHOLD, minutes: int = 5, slide: int = 1) -> DataFrame:
     predictions = log.where(F.col("probability").isNotNull())
     return add_fraud_rate(sliding(predictions, prediction_sums(threshold), minutes=minutes, slide=slide))

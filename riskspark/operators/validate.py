@@ -14,11 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from riskspark.config import ValidationRules
 from riskspark.errors import DataValidationError
 from riskspark.functions import count_where, is_missing, is_numeric, is_string, small_table
-from riskspark.plans import as_literal
 
 REPORT_SCHEMA = "check string, item string, status string, value double, detail string"
 # Hashes seen more than once become a literal table up to this many (8 bytes each).
-LITERAL_HASHES = 100_000
+LITERAL_HASHES = 20_000
 
 
 def _rows(one_row: DataFrame, entries: Sequence[Column]) -> DataFrame:
@@ -174,12 +173,13 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     hashed = df.withColumn("_h", _row_hash(df))
     repeated = hashed.groupBy("_h").agg(F.count("*").alias("n")).where("n > 1").select("_h")
-    # few: a literal table of known size; many: a shuffled join by hash
-    side = as_literal(repeated, LITERAL_HASHES)
+    found = repeated.limit(LITERAL_HASHES + 1).toArrow()
     rows = df.agg(F.count(F.lit(1)).alias("rows"))
-    if side.isEmpty():
+    if found.num_rows == 0:
         copies = spark.range(1).select(F.lit(0).cast("bigint").alias("duplicates"))
     else:
+        # few: a literal table of known size; many: a shuffled join by hash
+        side = spark.createDataFrame(found) if found.num_rows <= LITERAL_HASHES else repeated
         copies = (
             hashed.join(side, "_h", "left_semi").groupBy(*df.columns)
             .agg((F.count("*") - 1).alias("extra"))

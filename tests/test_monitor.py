@@ -50,6 +50,11 @@ def test_bucket_quantile(spark):
     assert O.latency_quantile(log, 0.95, bounds=(5.0, 50.0)).first().quantile_ms == 50.0
 
 
+def test_exact_quantile_per_window(spark):
+    log = spark.createDataFrame([(START, float(v)) for v in range(1, 21)], "ts timestamp, latency_ms double")
+    assert rows(O.exact_latency_quantile(log, 0.95, buckets=3), "requests", "quantile_ms") == [(20, pytest.approx(19.05))]
+
+
 def test_sliding_equals_the_built_in_window(spark):
     log = spark.range(500).select(
         (F.lit(START) + F.make_dt_interval(secs=(F.col("id") * 37 % 3600).cast("decimal(18,6)"))).alias("ts"),
