@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from riskspark.llm.decontaminate import contamination
 from riskspark.llm.packing import pack
+from riskspark.llm.personal_data import personal_data
+from riskspark.llm.quality_rules import quality_rules
 from riskspark.llm.token_cache import token_counts
 from riskspark.session import scratch_path
 
@@ -18,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "kept", "failed_rules")
+
+
 def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts over all documents, from a cache that starts empty, so that all is encoded."""
     out = token_counts(table(spark, sf_dir, "documents"), scratch_path(spark, "token-cache"),
@@ -29,7 +38,46 @@ def pack_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
+def personal_data_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
+DECONTAMINATE_SQL = r"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+gram AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+    SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i
+    FROM iw WHERE len(w) > 0)),
+lengths AS (SELECT DISTINCT n FROM gram),
+windows AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, lengths WHERE len(w) >= n)),
+hits AS (SELECT doc_id, windows.n, i, item_id FROM windows JOIN gram USING (g)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS xs
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(xs, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
+    "op1_risk_controlled_rules": (quality_query, None),
     "op2_token_cache": (token_counts_query, None),
     "op4_concat_and_cut": (pack_query, None),
+    "op5_offset_preserving_pii": (personal_data_query, None),
+    "op8_ngram_decontamination": (decontaminate_query, DECONTAMINATE_SQL),
 }
