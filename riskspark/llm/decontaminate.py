@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.llm.common import id_and_text, materialize
 
-# Fixed value: a word is a run of ASCII letters, ASCII digits and characters beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*"
+# Fixed value: a word is a run of ASCII letters (before folding), ASCII digits and characters beyond ASCII.
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 WINDOW = 13
 BROADCAST_ROWS = 1_000_000  # hashes of benchmark windows sent to every executor; joined by shuffle beyond
 

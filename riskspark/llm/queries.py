@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.llm.decontaminate import contamination
+from riskspark.llm.licenses import licenses
 from riskspark.llm.packing import pack
 from riskspark.llm.personal_data import personal_data
 from riskspark.llm.quality_rules import quality_rules
@@ -38,6 +39,10 @@ def pack_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
 
 
+def licenses_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses(table(spark, sf_dir, "documents"))
+
+
 def personal_data_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_risk_controlled_rules": (quality_query, None),
     "op2_token_cache": (token_counts_query, None),
+    "op3_sentence_rule_licenses": (licenses_query, None),
     "op4_concat_and_cut": (pack_query, None),
     "op5_offset_preserving_pii": (personal_data_query, None),
     "op8_ngram_decontamination": (decontaminate_query, DECONTAMINATE_SQL),
