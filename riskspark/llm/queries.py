@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.llm.decontaminate import contamination
 from riskspark.llm.licenses import licenses
+from riskspark.llm.minhash import near_duplicates
 from riskspark.llm.packing import pack
 from riskspark.llm.personal_data import personal_data
 from riskspark.llm.quality_rules import quality_rules
@@ -43,6 +44,33 @@ def licenses_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"))
 
 
+def near_duplicates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
+NEAR_DUPLICATES_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
+    SELECT doc_id, w, least(4, len(w)) AS k, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (
+  SELECT a AS node, a AS seen FROM both_ways UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON e.a = r.seen),
+low AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, w.doc_id) AS component_id,
+       coalesce(component, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN low ON low.node = w.doc_id
+"""
+
+
 def personal_data_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -85,5 +113,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op3_sentence_rule_licenses": (licenses_query, None),
     "op4_concat_and_cut": (pack_query, None),
     "op5_offset_preserving_pii": (personal_data_query, None),
+    "op7_fast_sketch_near_duplicates": (near_duplicates_query, NEAR_DUPLICATES_SQL),
     "op8_ngram_decontamination": (decontaminate_query, DECONTAMINATE_SQL),
 }
