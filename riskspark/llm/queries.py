@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.llm.decontaminate import contamination
 from riskspark.llm.licenses import licenses
+from riskspark.llm.line_dedup import dedup_lines
 from riskspark.llm.minhash import near_duplicates
 from riskspark.llm.packing import pack
 from riskspark.llm.personal_data import personal_data
@@ -107,6 +108,10 @@ FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_risk_controlled_rules": (quality_query, None),
     "op2_token_cache": (token_counts_query, None),
@@ -115,4 +120,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op5_offset_preserving_pii": (personal_data_query, None),
     "op7_fast_sketch_near_duplicates": (near_duplicates_query, NEAR_DUPLICATES_SQL),
     "op8_ngram_decontamination": (decontaminate_query, DECONTAMINATE_SQL),
+    "op9_fuzzy_line_dedup": (line_dedup_query, None),
 }
