@@ -14,6 +14,7 @@ from riskspark.llm.minhash import near_duplicates
 from riskspark.llm.packing import pack
 from riskspark.llm.personal_data import personal_data
 from riskspark.llm.quality_rules import quality_rules
+from riskspark.llm.substring_dedup import remove_repeats
 from riskspark.llm.token_cache import token_counts
 from riskspark.session import scratch_path
 
@@ -112,6 +113,10 @@ def line_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_risk_controlled_rules": (quality_query, None),
     "op2_token_cache": (token_counts_query, None),
@@ -121,4 +126,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op7_fast_sketch_near_duplicates": (near_duplicates_query, NEAR_DUPLICATES_SQL),
     "op8_ngram_decontamination": (decontaminate_query, DECONTAMINATE_SQL),
     "op9_fuzzy_line_dedup": (line_dedup_query, None),
+    "op10_lyndon_group_substring_dedup": (substring_dedup_query, None),
 }
