@@ -16,6 +16,7 @@ from riskspark.llm.personal_data import personal_data
 from riskspark.llm.quality_rules import quality_rules
 from riskspark.llm.substring_dedup import remove_repeats
 from riskspark.llm.token_cache import token_counts
+from riskspark.llm.warc import archive_round_trip
 from riskspark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +47,21 @@ def licenses_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses(table(spark, sf_dir, "documents"))
 
 
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
 def near_duplicates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4).select(
         "doc_id", "n_shingles", "component_id", "kept")
@@ -123,6 +139,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op3_sentence_rule_licenses": (licenses_query, None),
     "op4_concat_and_cut": (pack_query, None),
     "op5_offset_preserving_pii": (personal_data_query, None),
+    "op6_two_level_capture_index": (warc_query, WARC_SQL),
     "op7_fast_sketch_near_duplicates": (near_duplicates_query, NEAR_DUPLICATES_SQL),
     "op8_ngram_decontamination": (decontaminate_query, DECONTAMINATE_SQL),
     "op9_fuzzy_line_dedup": (line_dedup_query, None),
