@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.session import scratch_path
 
@@ -22,3 +22,16 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
         *[F.col(f"`{c}`") for c in more],
     )
+
+
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The hash of id and text by which operators name a row in their ``row`` column."""
+    return F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` whose row key is among ``rows.row``; all columns kept. The key holds the id, so
+    copies of one text spread over tasks; the kept rows grow with the corpus and are not sent whole."""
+    named = docs.withColumn("__row", row_key(id_col, text_col))
+    wanted = rows.select(F.col("row").alias("__row")).hint("merge")
+    return named.join(wanted, "__row", "left_semi").drop("__row")

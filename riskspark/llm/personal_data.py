@@ -51,8 +51,9 @@ BRACKETED = re.compile(
     r"|\{[ \t]*(at|arroba|dot|punkt|punto|point)[ \t]*\}|<[ \t]*(at|arroba|dot|punkt|punto|point)[ \t]*>)[ \t]*")
 SIGN_OF = {"at": "@", "arroba": "@"}  # every other bracketed word is a dot
 # "name at host dot tld": plain words count only in this whole shape, or with "@" already there
+# (an article after "at" opens no host name: "at the dot com party")
 SPOKEN = re.compile(
-    r"(?<![a-z0-9._%+-])[a-z0-9._%+-]+(?P<at>[ \t]+at[ \t]+|@)[a-z0-9-]+(?P<rest>(?:(?:\.|[ \t]+dot[ \t]+)[a-z0-9-]+)+)")
+    r"(?<![a-z0-9._%+-])[a-z0-9._%+-]+(?P<at>[ \t]+at[ \t]+(?!(?:a|an|the|this|that)[ \t])|@)[a-z0-9-]+(?P<rest>(?:(?:\.|[ \t]+dot[ \t]+)[a-z0-9-]+)+)")
 SPOKEN_DOT = re.compile(r"[ \t]+dot[ \t]+")
 NUMBER_DOT = re.compile(rf"(?<=[0-9]){_dot}(?=[0-9])")
 

@@ -10,14 +10,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskspark.llm.common import id_and_text, materialize
+from riskspark.llm.common import materialize
 
 # Code points of the two character sets of the base measures (fixed values).
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
 SYMBOLS = [ord(c) for c in "#*$%&|<>"]
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
-MEASURE_SCHEMA = "doc_id long, stratum string, " + ", ".join(f"{m} long" for m in MEASURES)
+MEASURE_SCHEMA = "doc_id long, row long, stratum string, " + ", ".join(f"{m} long" for m in MEASURES)
 
 #: Rule -> its score; a document whose score is above the rule's cutoff is rejected. All scores
 #: are shares or bounded means, so one fixed grid of cutoffs serves any corpus.
@@ -66,18 +66,21 @@ def repeated_words(ids: np.ndarray, kinds: int) -> int:
 
 
 def measures(docs: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, stratum and the measures of each document's whole text (null text: empty)."""
+    """doc_id, row, stratum and the measures of each document's whole text (null text: empty).
+    ``row`` hashes id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [measure_text(t) for t in b.column("text").to_pylist()]
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * len(MEASURES)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), b.column("stratum"), *columns],
-                names=["doc_id", "stratum", *MEASURES])
+                [b.column("doc_id").cast(pa.int64()), b.column("row"), b.column("stratum"), *columns],
+                names=["doc_id", "row", "stratum", *MEASURES])
 
-    source = id_and_text(docs.withColumn("__stratum", F.col(f"`{stratum}`").cast("string")), id_col, text_col, "__stratum")
-    return source.withColumnRenamed("__stratum", "stratum").mapInArrow(run, MEASURE_SCHEMA)
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("row"),
+                         F.col(f"`{stratum}`").cast("string").alias("stratum"), text.alias("text"))
+    return source.mapInArrow(run, MEASURE_SCHEMA)
 
 
 def binomial_lower_tail(n: int, k: int, p: float) -> float:
@@ -114,11 +117,11 @@ def choose_cutoffs(
     failure, which needs no further correction. With probability 1 - ``error`` every stratum
     so loses at most ``risk`` of its good documents. Of the passing cutoffs the one with the best
     share of bad documents caught, less ``loss_weight`` times the share of good ones lost, is taken,
-    the mildest of equals;
-    a rule that gains nothing gets no cutoff.
+    the mildest of equals; a rule that gains nothing gets no cutoff.
     """
     held = labels.where(F.col(f"`{label}`").isin(0, 1)).groupBy(F.col(f"`{label_id}`").alias("doc_id")).agg(
         F.min(F.col(f"`{label}`")).alias("good"))
+
     @F.pandas_udf("double")
     def tail(n: pd.Series, k: pd.Series) -> pd.Series:
         limit = risk / len(RULES)

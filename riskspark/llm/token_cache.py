@@ -58,11 +58,15 @@ def token_counts(
         "digest", F.xxhash64("doc_id", "digest").alias("row"), "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = byte_level_counter(tokenizer_path)
+        count, last = byte_level_counter(tokenizer_path), None
         for b in batches:
-            n = [count(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("digest"), pa.array(n, pa.int64())], names=["digest", "n_tokens"])
+            digests, n = [], []
+            for d, text in zip(b.column("digest").to_pylist(), b.column("text").to_pylist(), strict=True):
+                if d != last:  # rows that repeat id and text follow one another in the sorted join
+                    digests.append(d)
+                    n.append(count(text))
+                last = d
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(n, pa.int64())], names=["digest", "n_tokens"])
 
     # a broadcast of the chosen rows would grow with the corpus
     fresh = (texts.join(chosen.hint("merge"), ["digest", "row"], "left_semi").select("digest", "text")
