@@ -69,8 +69,8 @@ def near_duplicates_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 NEAR_DUPLICATES_SQL = r"""
 WITH RECURSIVE w AS (
-  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
 sh AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + k - 1], ' ') AS s FROM (
     SELECT doc_id, w, least(4, len(w)) AS k, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM w WHERE len(w) > 0)),
