@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from riskspark.catalog.shape import rounded
-from riskspark.catalog.tables_sql import LONG_SCORES, TABLES, bundle_views, rank_views
+from riskspark.catalog.tables_sql import LONG_SCORES, TABLES, VALID, bundle_views, rank_views
 from riskspark.operators import metrics as M
 from riskspark.sources import testdata as D
 
@@ -15,17 +17,32 @@ def long_scores(spark, sf, keep=("y",)):
     return M.to_long(D.scored(spark, sf), BOTH, keep)
 
 
+def spoilt_scores(spark, sf):
+    """Both models' scores, the candidate's partly null, NaN, infinite or above 1."""
+    at = {n: (F.col("experiment") == "candidate") & (F.col("txn_id") % n == 0) for n in (97, 101, 103, 107)}
+    p = F.when(at[97], F.lit(None)).when(at[101], F.lit(float("nan"))).when(at[103], F.lit(float("inf"))).when(
+        at[107], F.lit(1.5)).otherwise(F.col("p"))
+    return long_scores(spark, sf, ("y", "txn_id")).withColumn("p", p)
+
+
 def candidate(spark, sf):
     return D.scored(spark, sf).withColumnRenamed("p_candidate", "p")
 
 
-CONFUSION = """, c AS (SELECT experiment, count(*) FILTER (WHERE y = 0 AND p < 0.9) AS tn, count(*) FILTER (WHERE y = 0 AND p >= 0.9) AS fp,
-  count(*) FILTER (WHERE y = 1 AND p < 0.9) AS fn, count(*) FILTER (WHERE y = 1 AND p >= 0.9) AS tp FROM long_scores GROUP BY experiment)
+CONFUSION = f""", c AS (SELECT experiment, count(*) FILTER (WHERE y = 0 AND {VALID} AND p < 0.9) AS tn, count(*) FILTER (WHERE y = 0 AND {VALID} AND p >= 0.9) AS fp,
+  count(*) FILTER (WHERE y = 1 AND {VALID} AND p < 0.9) AS fn, count(*) FILTER (WHERE y = 1 AND {VALID} AND p >= 0.9) AS tp,
+  count(*) FILTER (WHERE NOT {VALID}) AS invalid_scores FROM long_scores GROUP BY experiment)
+"""
+# the candidate's scores with some that are no probability
+SPOILT = """,
+spoilt AS (
+  SELECT experiment, y, CASE WHEN experiment <> 'candidate' THEN p WHEN txn_id % 97 = 0 THEN NULL WHEN txn_id % 101 = 0 THEN CAST('nan' AS DOUBLE)
+    WHEN txn_id % 103 = 0 THEN CAST('inf' AS DOUBLE) WHEN txn_id % 107 = 0 THEN 1.5 ELSE p END AS p FROM long_scores)
 """
 PRF = """round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 6) AS "precision",
   round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 6) AS recall,
   round(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score"""
-BUNDLE_COLUMNS = """test_samples, CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp,
+BUNDLE_COLUMNS = """test_samples, CAST(invalid_scores AS BIGINT) AS invalid_scores, CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp,
   round("precision", 6) AS "precision", round(recall, 6) AS recall, round(f1_score, 6) AS f1_score,
   round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc"""
 
@@ -44,8 +61,16 @@ QUERIES = {
         lambda s, sf: M.confusion(long_scores(s, sf), THRESHOLD, by=["experiment"]),
         TABLES + LONG_SCORES + CONFUSION + "SELECT * FROM c",
     ),
+    "confusion_invalid_scores": (
+        lambda s, sf: M.confusion(spoilt_scores(s, sf), THRESHOLD, by=["experiment"]),
+        TABLES + LONG_SCORES + SPOILT + CONFUSION.replace("long_scores", "spoilt") + "SELECT * FROM c",
+    ),
+    "metrics_invalid_scores": (
+        lambda s, sf: rounded(M.metric_bundle(spoilt_scores(s, sf), THRESHOLD)),
+        TABLES + LONG_SCORES + SPOILT + bundle_views("spoilt") + f"SELECT grp AS experiment, {BUNDLE_COLUMNS} FROM bundle",
+    ),
     "prf": (
-        lambda s, sf: rounded(M.with_prf(M.confusion(long_scores(s, sf), THRESHOLD, by=["experiment"])).drop(*M.COUNTS)),
+        lambda s, sf: rounded(M.with_prf(M.confusion(long_scores(s, sf), THRESHOLD, by=["experiment"])).drop(*M.COUNTS, "invalid_scores")),
         TABLES + LONG_SCORES + CONFUSION + f"SELECT experiment, {PRF} FROM c",
     ),
     "roc_auc": (

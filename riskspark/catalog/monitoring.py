@@ -8,6 +8,7 @@ from riskspark.catalog.shape import rounded
 from riskspark.catalog.tables_sql import TABLES, VIOLATIONS
 from riskspark.config import LATENCY_BUCKETS_MS, PROBABILITY_BUCKETS
 from riskspark.operators import admission as A, monitor as O
+from riskspark.operators.train import decide
 from riskspark.sources import testdata as D
 
 LOG = D.requests
@@ -21,6 +22,15 @@ w AS (SELECT date_trunc('minute', ts) - to_minutes(CAST(k AS BIGINT)) AS window_
 """
 
 
+def uneven_sql(minutes: int, slide: int, source: str = "requests") -> str:
+    """Every row in each window of ``minutes`` that starts at a multiple of ``slide`` minutes."""
+    return f""",
+w AS (SELECT * FROM (
+  SELECT make_timestamp(((epoch(date_trunc('minute', ts))::BIGINT // {60 * slide}) - k) * {60 * slide} * 1000000) AS window_start, r.*
+  FROM {source} r CROSS JOIN range({-(-minutes // slide)}) g(k)) WHERE ts < window_start + to_minutes({minutes}))
+"""
+
+
 WINDOW = "CAST(window_start AS VARCHAR) AS window_start, CAST(window_start + to_minutes(5) AS VARCHAR) AS window_end"
 
 
@@ -92,7 +102,7 @@ QUERIES = {
         FROM requests WHERE status >= 400 GROUP BY 1, 2, 3""",
     ),
     "decision": (
-        lambda s, sf: D.scored(s, sf).select("txn_id", (F.col("p_candidate") >= 0.9).alias("is_fraud")),
+        lambda s, sf: D.scored(s, sf).select("txn_id", decide(F.col("p_candidate"), 0.9).alias("is_fraud")),
         TABLES + "SELECT txn_id, p_candidate >= 0.9 AS is_fraud FROM scored",
     ),
     "prob_histogram": (lambda s, sf: O.probability_histogram(LOG(s, sf)), _histogram("probability", PROBABILITY_BUCKETS, LABELS_PROB)),
@@ -113,6 +123,17 @@ QUERIES = {
         TABLES + """SELECT CAST(date_trunc('hour', ts) AS VARCHAR) AS window_start, count(*) AS requests,
         round(quantile_cont(latency_ms, 0.95), 6) AS quantile_ms FROM requests GROUP BY date_trunc('hour', ts)""",
     ),
+    "p95_latency_exact_5m": (
+        lambda s, sf: rounded(O.exact_latency_quantile(LOG(s, sf), minutes=5, slide=1)),
+        TABLES + sliding_sql() + """SELECT CAST(window_start AS VARCHAR) AS window_start, count(latency_ms) AS requests,
+        round(quantile_cont(latency_ms, 0.95), 6) AS quantile_ms FROM w GROUP BY w.window_start""",
+    ),
+    "rate_5m_every_2m": (
+        lambda s, sf: rounded(O.request_rate(LOG(s, sf), 5, 2)),
+        TABLES + uneven_sql(5, 2) + """SELECT CAST(window_start AS VARCHAR) AS window_start, CAST(window_start + to_minutes(5) AS VARCHAR) AS window_end,
+        count(*) AS requests, count(*) FILTER (WHERE status >= 400) AS errors,
+        round(CAST(count(*) AS DOUBLE) / 300, 6) AS requests_per_second FROM w GROUP BY w.window_start""",
+    ),
     "fraud_rate_5m": (
         lambda s, sf: rounded(O.fraud_rate(LOG(s, sf))),
         TABLES + sliding_sql(extra="WHERE probability IS NOT NULL") + f"""SELECT {WINDOW}, count(*) FILTER (WHERE probability >= 0.9) AS fraud,
@@ -132,7 +153,8 @@ QUERIES = {
         lambda s, sf: rounded(online(s, sf).withColumn("day", F.col("day").cast("string"))),
         TABLES + """, l AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, y, p_candidate AS p FROM scored WHERE txn_id % 5 <> 0),
         c AS (SELECT day, count(*) FILTER (WHERE y = 0 AND p < 0.9) AS tn, count(*) FILTER (WHERE y = 0 AND p >= 0.9) AS fp,
-          count(*) FILTER (WHERE y = 1 AND p < 0.9) AS fn, count(*) FILTER (WHERE y = 1 AND p >= 0.9) AS tp FROM l GROUP BY day)
+          count(*) FILTER (WHERE y = 1 AND p < 0.9) AS fn, count(*) FILTER (WHERE y = 1 AND p >= 0.9) AS tp,
+          count(*) FILTER (WHERE NOT coalesce(p >= 0 AND p <= 1, FALSE)) AS invalid_scores FROM l GROUP BY day)
         SELECT *, round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 6) AS "precision", round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 6) AS recall,
         round(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score FROM c""",
     ),

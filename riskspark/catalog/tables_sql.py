@@ -85,13 +85,17 @@ long_scores AS (
 """
 
 
+# null and NaN fail it too
+VALID = "coalesce(p >= 0 AND p <= 1, FALSE)"
+
+
 def rank_views(source: str = "long_scores", key: str = "experiment") -> str:
     """Plain windows over the distinct scores of each group."""
     return f""",
 ties AS (
   SELECT {key} AS grp, p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos,
     sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS neg
-  FROM {source} GROUP BY {key}, p),
+  FROM {source} WHERE {VALID} GROUP BY {key}, p),
 ranked AS (
   SELECT grp, p, pos, neg, sum(pos) OVER (PARTITION BY grp) AS tot_pos, sum(neg) OVER (PARTITION BY grp) AS tot_neg,
     sum(pos) OVER (PARTITION BY grp ORDER BY p DESC) AS tp,
@@ -111,16 +115,17 @@ areas AS (
   FROM ranked GROUP BY grp),
 counts AS (
   SELECT {key} AS grp, count(*) AS test_samples,
-    sum(CASE WHEN y = 0 AND p < {threshold} THEN 1 ELSE 0 END) AS tn,
-    sum(CASE WHEN y = 0 AND p >= {threshold} THEN 1 ELSE 0 END) AS fp,
-    sum(CASE WHEN y = 1 AND p < {threshold} THEN 1 ELSE 0 END) AS fn,
-    sum(CASE WHEN y = 1 AND p >= {threshold} THEN 1 ELSE 0 END) AS tp
+    sum(CASE WHEN {VALID} THEN 0 ELSE 1 END) AS invalid_scores,
+    sum(CASE WHEN y = 0 AND {VALID} AND p < {threshold} THEN 1 ELSE 0 END) AS tn,
+    sum(CASE WHEN y = 0 AND {VALID} AND p >= {threshold} THEN 1 ELSE 0 END) AS fp,
+    sum(CASE WHEN y = 1 AND {VALID} AND p < {threshold} THEN 1 ELSE 0 END) AS fn,
+    sum(CASE WHEN y = 1 AND {VALID} AND p >= {threshold} THEN 1 ELSE 0 END) AS tp
   FROM {source} GROUP BY {key}),
 bundle AS (
-  SELECT c.grp, test_samples, tn, fp, fn, tp,
+  SELECT c.grp, test_samples, invalid_scores, tn, fp, fn, tp,
     coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0) AS "precision",
     coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0) AS recall,
     coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0) AS f1_score,
     roc_auc, pr_auc
-  FROM counts c JOIN areas a ON a.grp IS NOT DISTINCT FROM c.grp)
+  FROM counts c LEFT JOIN areas a ON a.grp IS NOT DISTINCT FROM c.grp)
 """

@@ -106,8 +106,6 @@ class DriftConfig:
     distance_threshold: float = 0.1
     p_value_threshold: float = 0.05
     share_threshold: float = 0.5
-    # at most this many reference rows -> p-value tests, above -> distances
-    p_value_max_rows: int = 1000
     log_base: float = 2.718281828459045
 
     def __post_init__(self) -> None:

@@ -1,11 +1,11 @@
 """Column expressions shared by the operators."""
 
 from riskspark.functions.columns import (
-    at_or_above, count_where, hash_key, is_missing, is_numeric, is_string, non_finite, ratio,
+    as_number, at_or_above, count_where, hash_key, invalid_score, is_missing, is_numeric, is_string, non_finite, ratio,
 )
 from riskspark.functions.tables import small_table
 
 __all__ = [
-    "at_or_above", "count_where", "hash_key", "is_missing", "is_numeric", "is_string",
+    "as_number", "at_or_above", "count_where", "hash_key", "invalid_score", "is_missing", "is_numeric", "is_string",
     "non_finite", "ratio", "small_table",
 ]

@@ -20,12 +20,23 @@ def is_missing(name: str, dtype: T.DataType) -> Column:
     return F.col(name).isNull()
 
 
+def as_number(name: str) -> Column:
+    """The column as a double, NaN as null."""
+    return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+
+
 def non_finite(name: str) -> Column:
     """Null, NaN or infinite; never null itself."""
     c = F.col(name).cast("double")
     return F.coalesce(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(True))
 
 
+def invalid_score(name: str) -> Column:
+    """No usable probability: null, NaN, infinite or outside [0, 1]; never null itself."""
+    c = F.col(name).cast("double")
+    return non_finite(name) | (c < 0) | (c > 1)
+
+
 def count_where(condition: Column) -> Column:
     return F.count_if(condition)
 

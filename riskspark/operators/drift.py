@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskspark.config import DriftConfig
-from riskspark.functions import count_where, is_missing
+from riskspark.functions import at_or_above, count_where, is_missing
 from riskspark.operators.admission import require_drift_input
 from riskspark.plans import SKETCH_SHARE, ordered_cumsum, sketch
 
@@ -43,7 +43,7 @@ def numeric_distances(
     long = _sides(reference, current, entries)
     # cut points from sampled rows, taken before each row becomes one row per feature
     sampled = _sides(*(df.sample(SKETCH_SHARE, seed=42) for df in (reference, current)), entries)
-    cuts = sketch(sampled, "value", buckets, share=1.0)
+    cuts = sketch(sampled, "value", buckets, share=1.0, seen=SKETCH_SHARE)
     table = ordered_cumsum(
         long, "value",
         {"ref": 1 - F.col("side"), "cur": F.col("side")}, ["feature"], cuts=cuts,
@@ -127,19 +127,16 @@ def chi_square_upper_tail(x: float, df: int) -> float:
         return 1.0
     if math.isinf(x):
         return 0.0
-    half = x / 2.0
-    if df % 2 == 0:
-        term, total = 1.0, 1.0
-        for i in range(1, df // 2):
-            term *= half / i
-            total += term
-        return min(1.0, math.exp(-half) * total)
-    total = math.erfc(math.sqrt(half))
-    term = math.sqrt(half) / math.gamma(1.5) if df > 1 else 0.0
-    for i in range(1, (df - 1) // 2 + 1):
-        total += math.exp(-half) * term
-        term *= half / (i + 0.5)
-    return min(1.0, total)
+    if x <= 0:
+        return 1.0
+    # terms half^a e^-half / gamma(a + 1) for a = 0, 1, ... or 0.5, 1.5, ...; summed from their
+    # logarithms, as e^-half alone is 0 for a large statistic
+    half, odd = x / 2.0, df % 2
+    powers = [a + odd / 2.0 for a in range((df - odd) // 2)]
+    logs = [a * math.log(half) - half - math.lgamma(a + 1.0) for a in powers]
+    top = max(logs, default=0.0)
+    total = math.exp(top) * math.fsum(math.exp(v - top) for v in logs)
+    return min(1.0, total + (math.erfc(math.sqrt(half)) if odd else 0.0))
 
 
 @F.pandas_udf(T.DoubleType())
@@ -184,10 +181,6 @@ def feature_drift(
     )
 
 
-def choose_method(reference_rows: int, config: DriftConfig = DriftConfig()) -> str:
-    return "p_value" if reference_rows <= config.p_value_max_rows else "distance"
-
-
 def drift_summary(per_feature: DataFrame, config: DriftConfig = DriftConfig()) -> DataFrame:
     """The dataset verdict: share of drifted features against the share threshold."""
     features = len(config.numeric) + len(config.categorical)
@@ -215,14 +208,15 @@ def missing_counts(reference: DataFrame, current: DataFrame, features: Sequence[
 
 
 def compare(
-    reference: DataFrame, current: DataFrame, config: DriftConfig = DriftConfig(), method: str = "auto"
+    reference: DataFrame, current: DataFrame, config: DriftConfig = DriftConfig(), method: str = "distance"
 ) -> tuple[DataFrame, DataFrame]:
-    """Check both tables, then (per-feature results, one-row summary)."""
+    """Check both tables, then (per-feature results, one-row summary).
+
+    ``method`` is "distance" or "p_value"; the size of the tables has no say in it.
+    """
     features = [*config.categorical, *config.numeric]
     reference_rows = require_drift_input(reference, "reference", features, config.numeric)
     current_rows = require_drift_input(current, "current", features, config.numeric)
-    if method == "auto":
-        method = choose_method(reference_rows, config)
     per_feature = feature_drift(reference, current, config, method)
     summary = drift_summary(per_feature, config).withColumns({
         "reference_rows": F.lit(reference_rows), "current_rows": F.lit(current_rows),
@@ -237,7 +231,7 @@ def score_drift(
     def with_decision(df: DataFrame) -> DataFrame:
         return df.select(
             F.col(score).alias("probability"),
-            F.when(F.col(score) >= threshold, "fraud").otherwise("non_fraud").alias("decision"),
+            F.when(at_or_above(F.col(score), threshold), "fraud").otherwise("non_fraud").alias("decision"),
         )
 
     only = DriftConfig(

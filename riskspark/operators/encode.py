@@ -9,11 +9,9 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.config import NUMERIC_FEATURES, TRANSACTION_TYPES, FeatureConfig
-from riskspark.functions import is_numeric, is_string
+from riskspark.functions import as_number, is_numeric, is_string
 
 VECTOR = "features"
-# A category with more values than this is an id, not a category.
-MAX_CATEGORIES = 1000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -25,13 +23,11 @@ def categorical_columns(df: DataFrame) -> list[str]:
 
 
 def categories(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values; the first is the reference level that gets no column."""
-    found = (
-        df.where(F.col(column).isNotNull()).select(column).distinct().limit(MAX_CATEGORIES + 1).collect()
-    )
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"column {column!r} has more than {MAX_CATEGORIES} values")
-    return sorted(r[0] for r in found)
+    """Sorted distinct values; the first is the reference level that gets no column.
+
+    Every level becomes a column of the result, so their number is that of columns wanted.
+    """
+    return sorted(r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().collect())
 
 
 def one_hot(column: str, levels: Sequence[str]) -> dict[str, Column]:
@@ -54,10 +50,10 @@ class Scaler:
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str] = NUMERIC_FEATURES) -> Scaler:
-    """One aggregation; a constant column gets divisor 1 and so becomes 0."""
+    """One aggregation, NaN as missing; a constant column gets divisor 1 and so becomes 0."""
     row = df.agg(*[
         e for c in columns
-        for e in (F.avg(c).alias(f"mean__{c}"), F.stddev_pop(c).alias(f"std__{c}"))
+        for e in (F.avg(as_number(c)).alias(f"mean__{c}"), F.stddev_pop(as_number(c)).alias(f"std__{c}"))
     ]).first()
     return Scaler({
         c: (float(row[f"mean__{c}"] or 0.0), float(row[f"std__{c}"] or 0.0) or 1.0) for c in columns

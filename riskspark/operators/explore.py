@@ -9,7 +9,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.config import CORRELATED_COLUMNS
-from riskspark.functions import count_where, ratio, small_table
+from riskspark.functions import as_number, count_where, ratio, small_table
 from riskspark.plans import as_literal, below_cut, exact_quantiles, lowest_hash_cuts
 
 # A variance below this share of the squared range counts as zero.
@@ -92,12 +92,13 @@ def approximate_quantiles(df: DataFrame, column: str, fractions: Sequence[float]
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str] = CORRELATED_COLUMNS) -> DataFrame:
     """Pearson correlation of every pair, long and symmetric; null for a constant column.
+    NaN counts as missing.
 
     A first pass gives means and ranges; a second sums products of the centred columns, one
     sum per pair and column.  A pair with missing values gets its own sums over the rows
     where both are present.  Both passes yield one row, from which the table is filled.
     """
-    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    numbers = df.select(*[as_number(c).alias(c) for c in columns])
     first = numbers.agg(
         F.count(F.lit(1)).alias("rows"),
         *[e for c in columns for e in (F.count(c).alias(f"n_{c}"), F.avg(c).alias(f"m_{c}"),
@@ -199,7 +200,8 @@ def log_balance_change() -> Column:
 
 
 def stats_by_class(df: DataFrame, column: str = "amount", by: str = "isFraud") -> DataFrame:
-    """Rows, mean, median and maximum per class."""
+    """Rows, mean, median and maximum per class; NaN counts as missing."""
+    df = df.select(by, as_number(column).alias(column))
     basic = df.groupBy(by).agg(
         F.count(column).alias("rows"), F.avg(column).alias("mean"), F.max(column).alias("max")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskspark.config import DROPPED_COLUMNS, FeatureConfig
 from riskspark.errors import MissingTargetError
+from riskspark.functions import count_where
 
 
 def add_features(df: DataFrame, config: FeatureConfig = FeatureConfig()) -> DataFrame:
@@ -67,20 +68,19 @@ def features_and_target(df: DataFrame, target: str = "isFraud") -> tuple[list[st
 
 
 def stage_report(before: DataFrame, after: DataFrame, stage: str) -> DataFrame:
-    """Shape in, shape out and column changes; the schema gives all but the row count.
-
-    These stages keep every row, so one count serves both shapes.
-    """
+    """Shape in, shape out and column changes, with the rows of both sides counted."""
     removed = [c for c in before.columns if c not in after.columns]
     created = [c for c in after.columns if c not in before.columns]
-    return before.agg(F.count(F.lit(1)).alias("rows")).select(
+    counted = before.select(F.lit(0).alias("side")).unionByName(after.select(F.lit(1).alias("side"))).agg(
+        count_where(F.col("side") == 0).alias("input_rows"), count_where(F.col("side") == 1).alias("output_rows"))
+    return counted.select(
         F.lit(stage).alias("stage"),
-        F.col("rows").alias("input_rows"),
+        "input_rows",
         F.lit(len(before.columns)).alias("input_columns"),
-        F.col("rows").alias("output_rows"),
+        "output_rows",
         F.lit(len(after.columns)).alias("output_columns"),
         F.lit(",".join(removed)).alias("features_removed"),
         F.lit(",".join(created)).alias("features_created"),
         F.lit(",".join(after.columns)).alias("final_columns"),
-        F.when(F.col("rows") > 0, "SUCCESS").otherwise("EMPTY").alias("status"),
+        F.when(F.col("output_rows") > 0, "SUCCESS").otherwise("EMPTY").alias("status"),
     )

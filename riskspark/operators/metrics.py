@@ -2,6 +2,9 @@
 
 Every rank metric comes from one pass: scores collapse to (score, positives, negatives)
 rows and get running sums by the bucketed plan of ``ordered_cumsum``.
+
+One rule for scores that are no probability (null, NaN, infinite, outside [0, 1]): they are in
+no count, rank or curve, and every table of counts says how many they were (``invalid_scores``).
 """
 
 from __future__ import annotations
@@ -10,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskspark.functions import at_or_above, count_where, ratio
+from riskspark.functions import at_or_above, count_where, invalid_score, ratio
 from riskspark.plans import ordered_cumsum
 
 COUNTS = ("tn", "fp", "fn", "tp")
@@ -24,12 +27,13 @@ def to_long(scored: DataFrame, scores: dict[str, str], keep: Sequence[str] = ("y
 
 
 def confusion(scored: DataFrame, threshold: float, y: str = "y", p: str = "p", by: Sequence[str] = ()) -> DataFrame:
-    """tn, fp, fn, tp with score >= threshold as positive; always four cells."""
-    hit = at_or_above(F.col(p), threshold)
-    pos, neg = F.col(y) == 1, F.col(y) == 0
+    """tn, fp, fn, tp with score >= threshold as positive (always four cells), and invalid_scores."""
+    hit, bad = at_or_above(F.col(p), threshold), invalid_score(p)
+    pos, neg = (F.col(y) == 1) & ~bad, (F.col(y) == 0) & ~bad
     return scored.groupBy(*by).agg(
         count_where(neg & ~hit).alias("tn"), count_where(neg & hit).alias("fp"),
         count_where(pos & ~hit).alias("fn"), count_where(pos & hit).alias("tp"),
+        count_where(bad).alias("invalid_scores"),
     )
 
 
@@ -51,7 +55,8 @@ def with_prf(counts: DataFrame) -> DataFrame:
 
 
 def ranked(scored: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
-    """One row per distinct score with running and total counts of both classes."""
+    """One row per distinct valid score with running and total counts of both classes."""
+    scored = scored.where(~invalid_score(p))
     sums = {"pos": (F.col(y) == 1).cast("int"), "neg": (F.col(y) == 0).cast("int")}
     return ordered_cumsum(scored, p, sums, by, buckets)
 
@@ -89,15 +94,16 @@ def metric_bundle(
     scored: DataFrame, threshold: float, y: str = "y", p: str = "p",
     by: Sequence[str] = ("experiment",), buckets: int | None = None,
 ) -> DataFrame:
-    """Rows, confusion counts, precision, recall, F1, ROC-AUC and average precision per group.
+    """Rows, invalid scores, confusion counts, precision, recall, F1, ROC-AUC and average
+    precision per group.
 
-    The confusion counts come from the ranked rows, so the scored table is read once for
-    the counts and once for the cut points.
+    The confusion counts come from the ranked rows, so the scored table is read once for the
+    counts, once for the cut points, and once for the rows and invalid scores of each group;
+    a group without any valid score still has its row.
     """
     hit = F.col(p) >= F.lit(float(threshold))
     zero = F.lit(0).cast("bigint")
     table = ranked(scored, y, p, by, buckets).groupBy(*by).agg(
-        F.sum(F.col("pos") + F.col("neg")).alias("test_samples"),
         F.sum(F.when(~hit, F.col("neg")).otherwise(zero)).alias("tn"),
         F.sum(F.when(hit, F.col("neg")).otherwise(zero)).alias("fp"),
         F.sum(F.when(~hit, F.col("pos")).otherwise(zero)).alias("fn"),
@@ -105,7 +111,16 @@ def metric_bundle(
         F.sum(_auc_term()).alias("roc_auc"),
         F.sum(_ap_term()).alias("pr_auc"),
     )
-    return with_prf(table)
+    whole = scored.groupBy(*by).agg(
+        F.count("*").alias("test_samples"), count_where(invalid_score(p)).alias("invalid_scores"))
+    # without groups both sides are one row
+    keys = list(by) or ["_one"]
+    if not by:
+        whole, table = whole.withColumn("_one", F.lit(1)), table.withColumn("_one", F.lit(1))
+    renamed = table.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    joined = whole.join(renamed, same, "left").drop(*[f"_{k}" for k in keys], "_one")
+    return with_prf(joined.withColumns({c: F.coalesce(c, zero) for c in COUNTS}))
 
 
 def _with_last(table: DataFrame, by: Sequence[str], point: Column, last: Column) -> DataFrame:

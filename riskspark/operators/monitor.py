@@ -6,6 +6,7 @@ then pane rows (not log rows) are copied into the windows they belong to.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -132,18 +133,18 @@ def sliding(
     log: DataFrame, sums: dict[str, Column], by: Sequence[str] = (), ts: str = "ts",
     minutes: int = 5, slide: int = 1,
 ) -> DataFrame:
-    """Additive aggregates per sliding window: (window_start, window_end, by..., sums...)."""
+    """Additive aggregates per sliding window: (window_start, by..., sums..., window_end).
+
+    Rows collapse into panes that divide both the window and the slide, so every pane lies
+    whole inside each window that holds its start, whatever the two lengths.
+    """
     by = list(by)
-    panes = log.groupBy(F.window(ts, f"{slide} minutes").getField("start").alias("_pane"), *by).agg(
-        *[c.alias(n) for n, c in sums.items()]
-    )
-    step = F.explode(F.sequence(F.lit(0), F.lit(minutes // slide - 1))).alias("_k")
-    back = F.make_dt_interval(mins=F.col("_k") * slide)
+    pane = F.window(ts, f"{math.gcd(minutes, slide)} minutes").getField("start").alias("_pane")
+    panes = log.groupBy(pane, *by).agg(*[c.alias(n) for n, c in sums.items()])
     return (
-        panes.select("*", step)
-        .groupBy((F.col("_pane") - back).alias("window_start"), *by)
+        panes.groupBy(F.window("_pane", f"{minutes} minutes", f"{slide} minutes").alias("_w"), *by)
         .agg(*[F.sum(n).alias(n) for n in sums])
-        .withColumn("window_end", F.col("window_start") + F.make_dt_interval(mins=F.lit(minutes)))
+        .select(F.col("_w.start").alias("window_start"), *by, *sums, F.col("_w.end").alias("window_end"))
     )
 
 
@@ -211,9 +212,15 @@ def latency_quantile(
     return add_latency_quantile(sliding(log, latency_sums(bounds), minutes=minutes, slide=slide), q, bounds)
 
 
-def exact_latency_quantile(log: DataFrame, q: float = 0.95, minutes: int = 60, buckets: int | None = None) -> DataFrame:
-    """The exact q-quantile of latency per tumbling window."""
-    rows = log.select(F.window("ts", f"{minutes} minutes").getField("start").alias("window_start"), "latency_ms")
+def exact_latency_quantile(
+    log: DataFrame, q: float = 0.95, minutes: int = 60, slide: int | None = None, buckets: int | None = None
+) -> DataFrame:
+    """The exact q-quantile of latency per window (tumbling without ``slide``).
+
+    Quantiles do not add up over panes, so a row goes to each of its minutes / slide windows.
+    """
+    window = F.window("ts", f"{minutes} minutes", f"{slide or minutes} minutes")
+    rows = log.select(window.getField("start").alias("window_start"), "latency_ms")
     return exact_quantiles(rows, "latency_ms", [q], ["window_start"], buckets).select(
         "window_start", F.col("n").alias("requests"), F.col("quantile").alias("quantile_ms")
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.config import METRICS, THRESHOLD_GRID, PromotionCriteria
-from riskspark.functions import at_or_above, count_where, non_finite
+from riskspark.functions import at_or_above, count_where, invalid_score, non_finite
 from riskspark.operators.metrics import with_prf
 
 
@@ -16,7 +16,7 @@ def threshold_grid(
     scored: DataFrame, thresholds: Sequence[float] | None = None,
     y: str = "y", p: str = "p", by: Sequence[str] = (),
 ) -> DataFrame:
-    """Confusion counts and P/R/F1 at each threshold: one scan for the whole grid.
+    """Confusion counts, P/R/F1 and invalid scores at each threshold: one scan for the whole grid.
 
     Each score is placed once among the sorted thresholds; counts per place (at most
     len(grid) + 1 rows per group) are then summed from the top.
@@ -26,13 +26,16 @@ def threshold_grid(
     place = reduce(
         lambda acc, t: acc + at_or_above(F.col(p), t).cast("int"), levels, F.lit(0)
     )
-    counted = scored.where(F.col(p).isNotNull()).groupBy(*by, place.alias("place")).agg(
-        count_where(F.col(y) == 1).alias("pos"), count_where(F.col(y) == 0).alias("neg")
+    place = F.when(invalid_score(p), F.lit(-1)).otherwise(place)
+    counted = scored.groupBy(*by, place.alias("place")).agg(
+        count_where(F.col(y) == 1).alias("pos"), count_where(F.col(y) == 0).alias("neg"),
+        F.count("*").alias("n"),
     )
     # a grid position sees a place as "at or above" when place >= rank of its threshold
     ranks = {t: i + 1 for i, t in enumerate(levels)}
     cells = counted.groupBy(*by).agg(
-        F.collect_list(F.struct("place", "pos", "neg")).alias("cells")
+        F.collect_list(F.when(F.col("place") >= 0, F.struct("place", "pos", "neg"))).alias("cells"),
+        F.coalesce(F.sum(F.when(F.col("place") < 0, F.col("n"))), F.lit(0).cast("bigint")).alias("invalid_scores"),
     )
 
     def total(field: str, rank: int, above: bool) -> Column:
@@ -48,6 +51,7 @@ def threshold_grid(
             F.lit(i).alias("position"), F.lit(float(t)).alias("threshold"),
             total("neg", ranks[t], False).alias("tn"), total("neg", ranks[t], True).alias("fp"),
             total("pos", ranks[t], False).alias("fn"), total("pos", ranks[t], True).alias("tp"),
+            F.col("invalid_scores"),
         )
         for i, t in enumerate(grid)
     ]
@@ -115,22 +119,22 @@ def comparison_report(
 
 def model_metadata(
     metrics: DataFrame, chosen_threshold: DataFrame, experiments: DataFrame, model_name: str,
-    min_recall: float = 0.95,
+    min_recall: float = 0.95, default_threshold: float = 0.5,
 ) -> DataFrame:
-    """One row describing the deployment candidate: its strategy and metrics at both thresholds."""
-    chosen = best_experiment(metrics, min_recall)
-    at_chosen = F.struct(*[F.col(f"t.{c}") for c in ("precision", "recall", "f1_score", "fp", "fn")])
-    return (
-        chosen.join(experiments, "experiment").alias("c")
-        .join(chosen_threshold.alias("t"), F.col("c.experiment") == F.col("t.experiment"))
-        .select(
-            F.lit(model_name).alias("model_name"), F.col("c.experiment").alias("selected_experiment"),
-            F.col("c.use_smote"), F.col("c.use_class_weight"),
-            F.col("t.threshold").alias("selected_threshold"),
-            F.struct(*[F.col(f"c.{m}").alias(m) for m in METRICS]).alias("at_default_threshold"),
-            at_chosen.alias("at_selected_threshold"),
-        )
-    )
+    """The deployment candidate as (model, experiment, use_smote, use_class_weight, threshold,
+    selected, metric, value): its metrics at the default and at the selected threshold."""
+    chosen = best_experiment(metrics, min_recall).join(experiments, "experiment")
+    head = ["experiment", "use_smote", "use_class_weight"]
+
+    def rows(table: DataFrame, threshold: Column, selected: bool, names: Sequence[str]) -> DataFrame:
+        return table.select(
+            F.lit(model_name).alias("model"), *head, threshold.cast("double").alias("threshold"),
+            F.lit(selected).alias("selected"),
+            F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in names])))
+
+    at_selected = chosen.select(*head).join(chosen_threshold, "experiment")
+    return rows(chosen, F.lit(default_threshold), False, METRICS).unionByName(
+        rows(at_selected, F.col("threshold"), True, ("precision", "recall", "f1_score", "fp", "fn")))
 
 
 # --- promotion ------------------------------------------------------------------------
@@ -144,7 +148,8 @@ def metric_deltas(metrics: DataFrame, candidate: str = "candidate", champion: st
     sides = metrics.groupBy(*by).agg(
         *[of(candidate, m).alias(f"candidate_{m}") for m in METRICS],
         *[of(champion, m).alias(f"champion_{m}") for m in METRICS],
-        of(candidate, "fn").alias("candidate_fn"), of(champion, "fn").alias("champion_fn"),
+        *[of(model, c).alias(f"{side}_{c}") for c in ("fn", "test_samples", "invalid_scores")
+          for side, model in (("candidate", candidate), ("champion", champion))],
     )
     return sides.withColumns(
         {f"{m}_delta": F.col(f"candidate_{m}") - F.col(f"champion_{m}") for m in METRICS}
@@ -152,7 +157,11 @@ def metric_deltas(metrics: DataFrame, candidate: str = "candidate", champion: st
 
 
 def promotion_gate(deltas: DataFrame, criteria: PromotionCriteria = PromotionCriteria()) -> DataFrame:
-    """PROMOTE when every gate holds, else REJECT with the failed gates in order."""
+    """PROMOTE when every gate holds, else REJECT with the failed gates in order.
+
+    A model that scores a row with anything but a probability, or other rows than its rival,
+    cannot be compared, whatever its metrics over the rest.
+    """
     def holds(metric: str, least: float) -> Column:
         return F.coalesce(at_or_above(F.col(f"{metric}_delta"), least), F.lit(False))
 
@@ -164,6 +173,10 @@ def promotion_gate(deltas: DataFrame, criteria: PromotionCriteria = PromotionCri
         "candidate_metrics_valid": ~reduce(
             lambda a, b: a | b, [non_finite(f"candidate_{m}") for m in METRICS]
         ),
+        "scores_valid": F.coalesce(
+            (F.col("candidate_invalid_scores") == 0) & (F.col("champion_invalid_scores") == 0), F.lit(False)),
+        "same_rows": F.coalesce(
+            F.col("candidate_test_samples") == F.col("champion_test_samples"), F.lit(False)),
     }
     gated = deltas.withColumns({f"check_{n}": c for n, c in checks.items()})
     failed = F.filter(
@@ -174,7 +187,7 @@ def promotion_gate(deltas: DataFrame, criteria: PromotionCriteria = PromotionCri
     return gated.withColumns({
         "decision": F.when(none, "PROMOTE").otherwise("REJECT"),
         "approval_state": F.when(none, "PENDING_APPROVAL").otherwise("REJECTED"),
-        "reason": F.when(none, "All promotion gates passed.").otherwise(
-            F.concat(F.lit("Promotion rejected: "), F.array_join("failed_criteria", ", "))
+        "reason": F.when(none, "candidate holds every gate").otherwise(
+            F.concat(F.lit("candidate misses: "), F.array_join("failed_criteria", ", "))
         ),
     })

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from riskspark.config import ValidationRules
@@ -259,7 +261,12 @@ def require_valid(df: DataFrame, rules: ValidationRules = ValidationRules()) ->
 
 def validate_csv(spark: SparkSession, path: str, rules: ValidationRules = ValidationRules()) -> DataFrame:
     """Validate a CSV file; an unreadable file gives a FAILED report, not an exception."""
-    from riskspark.sources.readers import read_csv_or_report
+    from riskspark.sources.readers import failed_report, read_csv_or_report
 
     df, failure = read_csv_or_report(spark, path)
-    return validate(df, rules) if failure is None else failure
+    if failure is not None:
+        return failure
+    try:
+        return validate(df, rules)
+    except (Py4JJavaError, PySparkException) as error:  # files that open but do not decode
+        return failed_report(spark, f"unreadable: {str(error).splitlines()[0]}")

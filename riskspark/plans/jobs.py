@@ -14,14 +14,25 @@ from riskspark.config import (
     EXPERIMENTS, DriftConfig, Experiment, FeatureConfig, ModelConfig, PromotionCriteria, SmoteConfig,
     SplitConfig, ValidationRules,
 )
-from riskspark.errors import DataValidationError
+from riskspark.errors import DataValidationError, ScoringError
 from riskspark.functions import small_table
-from riskspark.operators import drift as D, features as X, metrics as M, selection as S, split as P, train as L, validate as V
+from riskspark.operators import admission as A, drift as D, features as X, metrics as M, selection as S, split as P, train as L, validate as V
 from riskspark.sources import readers as R, sinks as W
 
 KEY = "row_key"
 
 
+def require_scored(inputs: DataFrame, scored: DataFrame, key: str, score: str, what: str) -> None:
+    """Stop on scores that are no probability, and on rows that were lost or scored twice."""
+    found = A.scored_sanity(scored, score).first()
+    if not found.valid:
+        raise ScoringError(f"{what}: of {found.rows} scores {found.non_finite} are not finite and "
+                           f"{found.outside_unit_interval} lie outside [0, 1]")
+    lost = A.lost_rows(inputs, scored, key).count()
+    if lost:
+        raise ScoringError(f"{what}: {lost} keys have more or fewer scores than rows")
+
+
 def validate_job(
     spark: SparkSession, raw_path: str, report_path: str, rules: ValidationRules = ValidationRules()
 ) -> DataFrame:
@@ -38,9 +49,9 @@ def prepare_job(
 ) -> DataFrame:
     """Preprocess, then add features, each written once; gives both stage reports."""
     spark = raw.sparkSession
-    first = W.write_with_stage_report(raw, X.preprocess(raw), f"{out}/preprocessed.parquet", "preprocess", partition_by)
+    first = W.write_with_stage_report(raw, X.preprocess, f"{out}/preprocessed.parquet", "preprocess", partition_by)
     kept = spark.read.parquet(f"{out}/preprocessed.parquet")
-    second = W.write_with_stage_report(kept, X.add_features(kept, features), f"{out}/cleaned.parquet", "features", partition_by)
+    second = W.write_with_stage_report(kept, lambda df: X.add_features(df, features), f"{out}/cleaned.parquet", "features", partition_by)
     return first.unionByName(second)
 
 
@@ -48,6 +59,7 @@ def train_job(
     table: DataFrame, out: str, key: str | None = None, target: str = "isFraud",
     experiments: Sequence[Experiment] = EXPERIMENTS, model: ModelConfig = ModelConfig(),
     split: SplitConfig = SplitConfig(), smote: SmoteConfig = SmoteConfig(), min_recall: float = 0.95,
+    *, model_name: str,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit every experiment, choose one and its threshold, save its pipeline.
 
@@ -57,6 +69,9 @@ def train_job(
     if key is None:
         key, table = KEY, X.with_row_key(table, KEY)
     scored, fitted = L.run_experiments(table, key, target, experiments, model, split, smote, f"{out}/scored")
+    _, test = P.train_test(table, key, target, split)
+    for e in experiments:
+        require_scored(test, scored.where(F.col("experiment") == e.name), key, "p", e.name)
     metrics = M.metric_bundle(scored, 0.5)
     W.write_report(S.comparison_report(metrics, scored, min_recall=min_recall), f"{out}/comparison")
     report = table.sparkSession.read.json(f"{out}/comparison")
@@ -67,14 +82,14 @@ def train_job(
         "experiment string, use_smote boolean, use_class_weight boolean",
     )
     thresholds = S.best_threshold(S.threshold_grid(scored, by=["experiment"]), min_recall, ["experiment"])
-    W.write_report(S.model_metadata(metrics, thresholds, settings, "FraudDetector", min_recall), f"{out}/metadata")
+    W.write_report(S.model_metadata(metrics, thresholds, settings, model_name, min_recall), f"{out}/metadata")
     return fitted[chosen], report
 
 
 def drift_job(
     spark: SparkSession, reference_path: str, current_path: str, out: str,
     sample_size: int | None = None, key: str | None = None,
-    config: DriftConfig = DriftConfig(), method: str = "auto",
+    config: DriftConfig = DriftConfig(), method: str = "distance",
 ) -> DataFrame:
     """Load, check, compare, and write per-feature results and the summary as JSON."""
     reference = R.load_drift_table(spark, reference_path, sample_size, key)
@@ -104,6 +119,8 @@ def retrain_job(
             key, F.col(target).alias("y"), F.col(L.PROBABILITY).alias("p")
         ).write.mode("overwrite").parquet(f"{out}/scored/experiment={name}")
     scored = raw.sparkSession.read.parquet(f"{out}/scored")
+    for name in ("candidate", "champion"):
+        require_scored(test, scored.where(F.col("experiment") == name), key, "p", name)
     metrics = M.metric_bundle(scored, model.threshold)
     W.append_decisions(S.promotion_gate(S.metric_deltas(metrics), criteria), f"{out}/decisions")
     return W.read_decisions(raw.sparkSession, f"{out}/decisions")

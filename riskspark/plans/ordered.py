@@ -12,17 +12,20 @@ recomputed sketch could differ between the two branches that use it.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BUCKET = "_bucket"
-# Buckets per shuffle partition: several, so that hashing them spreads the load evenly.
+# Buckets per shuffle partition at least: several, so that hashing them spreads the load evenly.
 BUCKETS_PER_PARTITION = 4
-MAX_BUCKETS = 4096
+# Rows of a bucket at most, about: what one task sorts at ease.
+BUCKET_ROWS = 2_000_000
 # Bucket totals and wanted ranks become a literal table up to this many rows.
 LITERAL_ROWS = 100_000
 # The sketch sees this share of the rows; precision only affects balance.
@@ -35,7 +38,7 @@ COLLAPSE_FROM = 4.0
 
 def default_buckets(df: DataFrame) -> int:
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(MAX_BUCKETS, BUCKETS_PER_PARTITION * partitions))
+    return max(1, BUCKETS_PER_PARTITION * partitions)
 
 
 class Sketch(NamedTuple):
@@ -45,20 +48,24 @@ class Sketch(NamedTuple):
     rows_per_value: float = 1.0
 
 
-def sketch(df: DataFrame, order: str, buckets: int | None = None, share: float = SKETCH_SHARE) -> Sketch:
+def sketch(
+    df: DataFrame, order: str, buckets: int | None = None, share: float = SKETCH_SHARE, seen: float | None = None
+) -> Sketch:
     """``buckets - 1`` cut points in order, repeated where one value fills whole buckets.
 
+    Without ``buckets`` their number follows the rows: several per shuffle partition, and more
+    where a bucket would exceed ``BUCKET_ROWS``. ``seen`` is the share of all rows that ``df``
+    sampled by ``share`` holds, where it is not ``share`` itself.
+
     One column of a row sample is sketched.  Sketches are merged in two steps: per group
     of input partitions, then a weighted quantile over the groups' few points, so no
     single task merges the sketches of all input tasks.  A table too small to be sampled
     gets no cut points, hence one bucket.
     """
-    buckets = buckets or default_buckets(df)
-    if buckets < 2:
+    if buckets == 1:
         return Sketch([])
     c = F.col(order).cast("double")
     grid = _literal_array((i + 0.5) / SKETCH_POINTS for i in range(SKETCH_POINTS))
-    cuts = _literal_array(i / buckets for i in range(1, buckets))
     groups = (
         df.select(c.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
         .sample(fraction=min(1.0, share), seed=42)
@@ -66,12 +73,21 @@ def sketch(df: DataFrame, order: str, buckets: int | None = None, share: float =
         .agg(F.expr(f"percentile_approx(_x, {grid}, {10 * SKETCH_POINTS})").alias("_points"),
              F.approx_count_distinct("_x").alias("_values"), F.count("*").alias("_rows"))
     )
-    # at most SKETCH_GROUPS * SKETCH_POINTS values
-    row = groups.select(F.explode("_points").alias("_point"), "_rows", "_values").agg(
-        F.expr(f"percentile(_point, {cuts}, _rows)").alias("points"),
-        F.sum("_rows").alias("rows"), F.sum("_values").alias("values"),
-    ).first()
-    return Sketch(list(row.points or []), (row.rows or 0) / max(1, row.values or 0))
+    # at most SKETCH_GROUPS rows of SKETCH_POINTS values
+    found = [r for r in groups.collect() if r["_points"]]
+    if not found:
+        return Sketch([])
+    rows = sum(r["_rows"] for r in found)
+    buckets = buckets or max(default_buckets(df), math.ceil(rows / (seen or share) / BUCKET_ROWS))
+    if buckets < 2:
+        return Sketch([])
+    points = np.concatenate([r["_points"] for r in found])
+    weights = np.concatenate([np.full(len(r["_points"]), r["_rows"] / len(r["_points"])) for r in found])
+    by_value = np.argsort(points, kind="stable")
+    reached = np.cumsum(weights[by_value])
+    at = np.searchsorted(reached, reached[-1] * np.arange(1, buckets) / buckets)
+    cuts = points[by_value][np.minimum(at, len(points) - 1)]
+    return Sketch(cuts.tolist(), rows / max(1, sum(r["_values"] for r in found)))
 
 
 def split_points(df: DataFrame, order: str, buckets: int | None = None, share: float = SKETCH_SHARE) -> list[float]:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from riskspark.config import FEATURES
@@ -50,11 +51,11 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 def read_csv_or_report(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None]:
     """(table, None), or (None, one-row FAILED report) when the file cannot be read."""
     if not path_exists(spark, path):
-        return None, failed_report(spark, f"Dataset file does not exist at {path}")
+        return None, failed_report(spark, f"no file at {path}")
     try:
         return read_csv_inferred(spark, path), None
-    except AnalysisException as error:
-        return None, failed_report(spark, f"Failed to read CSV: {error}")
+    except (Py4JJavaError, PySparkException) as error:
+        return None, failed_report(spark, f"unreadable: {str(error).splitlines()[0]}")
 
 
 def failed_report(spark: SparkSession, message: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -40,19 +40,19 @@ def read_decisions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_with_stage_report(
-    before: DataFrame, after: DataFrame, path: str, stage: str, partition_by: Sequence[str] = ()
+    before: DataFrame, step: Callable[[DataFrame], DataFrame], path: str, stage: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Write ``after`` and report the stage from that one pass; no row is scanned again.
-
-    Stages here never change the number of rows, so the output count is the input count.
-    """
-    seen = Observation(f"stage-{stage}")
-    write_table(after.observe(seen, F.count(F.lit(1)).alias("rows")), path, partition_by)
-    rows = seen.get["rows"]
+    """Write ``step(before)`` and report the stage from that one pass; rows are counted where
+    they enter and where they leave."""
+    came, left = Observation(f"{stage}-in"), Observation(f"{stage}-out")
+    rows = F.count(F.lit(1)).alias("rows")
+    after = step(before.observe(came, rows))
+    write_table(after.observe(left, rows), path, partition_by)
+    rows_in, rows_out = came.get["rows"], left.get["rows"]
     size = _bytes_under(before.sparkSession, path)
     return small_table(
         before.sparkSession,
-        [(stage, rows, len(before.columns), rows, len(after.columns),
+        [(stage, rows_in, len(before.columns), rows_out, len(after.columns),
           [c for c in before.columns if c not in after.columns],
           [c for c in after.columns if c not in before.columns],
           list(after.columns), path, round(size / 1048576, 2), "SUCCESS")],

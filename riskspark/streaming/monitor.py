@@ -1,12 +1,13 @@
 """Request-log series on a stream.
 
-Rows first collapse into panes as long as the slide, and panes into sliding windows, so
+Rows first collapse into panes that divide window and slide, and panes into sliding windows, so
 the second state store and its shuffle see panes, not log rows.  Rows later than the
 watermark are dropped and show up in the query progress.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,7 +31,7 @@ def sliding(
 ) -> DataFrame:
     """Additive aggregates per closed sliding window (append mode)."""
     by = list(by)
-    panes = timed.groupBy(F.window(ts, f"{slide} minutes").alias("pane"), *by).agg(
+    panes = timed.groupBy(F.window(ts, f"{math.gcd(minutes, slide)} minutes").alias("pane"), *by).agg(
         *[c.alias(n) for n, c in sums.items()]
     )
     windows = panes.groupBy(

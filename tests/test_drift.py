@@ -20,7 +20,7 @@ def table(spark, shifted=False, n=100):
     return spark.createDataFrame(rows, "type string, " + ", ".join(f"{c} double" for c in NUMERIC_FEATURES))
 
 
-@pytest.mark.parametrize("method", ["auto", "distance", "p_value"])
+@pytest.mark.parametrize("method", ["distance", "p_value"])
 def test_shift_is_found(spark, method):
     per_feature, summary = R.compare(table(spark), table(spark, True), method=method)
     drifted = {r.feature for r in per_feature.where("drift_detected").collect()}
@@ -51,8 +51,25 @@ def test_bad_input_is_an_error(spark):
         R.feature_drift(good, good, method="other")
 
 
-def test_method_follows_reference_size():
-    assert R.choose_method(1000) == "p_value" and R.choose_method(1001) == "distance"
+def test_row_count_does_not_choose_the_method(spark):
+    small = table(spark).limit(20)
+    for reference in (small, small.crossJoin(spark.range(60)).drop("id")):
+        assert {r.method for r in R.compare(reference, small)[0].collect()} == {"normed_wasserstein", "jensen_shannon"}
+
+
+# published quantiles and exact closed forms
+@pytest.mark.parametrize(("x", "df", "want"), [
+    (9.487729036781154, 4, 0.05), (11.070497693516351, 5, 0.05), (3000.0, 1000, 0.0), (3000.0, 1001, 0.0), (1e6, 149, 0.0),
+    (1e6, 10_000, 0.0), (2.0, 2, 0.36787944117144233), (0.0, 7, 1.0), (10.0, 1, 0.0015654022580025495), (1000.0, 1000, 0.4940),
+    (1001.0, 1001, 0.4940), (10_000.0, 10_000, 0.4981), (1.0, 1000, 1.0), (float("inf"), 3, 0.0)])
+def test_chi_square_tail(x, df, want):
+    assert R.chi_square_upper_tail(x, df) == pytest.approx(want, abs=1e-4 if want > 0.4 else 1e-9)
+
+
+def test_one_nan_is_not_a_fraud(spark):
+    good = spark.createDataFrame([(0.1,)] * 8 + [(0.95,)] * 2, "p double")
+    bad = spark.createDataFrame([(0.1,)] * 8 + [(0.95,), (float("nan"),)], "p double")
+    assert R.score_drift(good, bad, "p", 0.9).where("feature = 'decision'").first().drift_score > 0
 
 
 @pytest.mark.parametrize("buckets", [1, 6])

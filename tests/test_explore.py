@@ -42,6 +42,19 @@ def test_constant_column_has_no_correlation(spark):
     assert found["a", "c"] is None and len(found) == 9
 
 
+def test_nan_counts_as_missing(spark):
+    from riskspark.operators.encode import categories, fit_scaler
+
+    nan = float("nan")
+    rows_ = [(1.0, 2.0, 0), (2.0, nan, 0), (3.0, 5.0, 1), (nan, 1.0, 1), (4.0, 4.0, 1), (7.0, 9.5, 0)]
+    df = spark.createDataFrame(rows_, "a double, b double, y int")
+    nulls = df.select(*[F.nanvl(c, F.lit(None)).alias(c) for c in ("a", "b")], "y")
+    assert sorted(E.correlation_pairs(df, ["a", "b"]).collect()) == sorted(E.correlation_pairs(nulls, ["a", "b"]).collect())
+    assert sorted(E.stats_by_class(df, "a", "y").collect()) == sorted(E.stats_by_class(nulls, "a", "y").collect())
+    assert fit_scaler(df, ["a", "b"]) == fit_scaler(nulls, ["a", "b"])
+    assert len(categories(spark.range(2000).selectExpr("CAST(id AS STRING) AS c"), "c")) == 2000
+
+
 def test_correlation_over_the_rows_where_both_are_present(spark):
     values = [(1.0, 2.0), (2.0, None), (3.0, 5.0), (None, 1.0), (4.0, 4.0), (7.0, 9.5)]
     found = {(r.a, r.b): r.corr for r in E.correlation_pairs(spark.createDataFrame(values, "a double, b double"), ["a", "b"]).collect()}

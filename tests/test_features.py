@@ -54,8 +54,12 @@ def test_stage_reports(raw, tmp_path, spark):
     cleaned = X.clean(raw)
     assert X.stage_report(raw, cleaned, "clean").first().output_columns == 10
     path = str(tmp_path / "cleaned.parquet")
-    written = write_with_stage_report(raw, cleaned, path, "clean").first()
+    written = write_with_stage_report(raw, X.clean, path, "clean").first()
     assert (written.input_rows, written.input_columns, written.output_columns, written.status) == (2, 11, 10, "SUCCESS")
+    fewer = write_with_stage_report(raw, lambda df: df.where("step = 1"), str(tmp_path / "fewer"), "filter").first()
+    assert (fewer.input_rows, fewer.output_rows) == (2, 1)
+    counted = X.stage_report(raw, raw.where("step = 1"), "filter").first()
+    assert (counted.input_rows, counted.output_rows) == (2, 1)
     assert written.features_created == ["balance_diff_orig", "balance_diff_dest", "amount_to_balance_ratio"]
     back = spark.read.parquet(path)
     assert back.columns == cleaned.columns and back.count() == 2

@@ -55,16 +55,19 @@ def test_exact_quantile_per_window(spark):
     assert rows(O.exact_latency_quantile(log, 0.95, buckets=3), "requests", "quantile_ms") == [(20, pytest.approx(19.05))]
 
 
-def test_sliding_equals_the_built_in_window(spark):
+@pytest.mark.parametrize(("minutes", "slide"), [(5, 1), (5, 2), (6, 4), (5, 5), (60, 7)])
+def test_sliding_equals_the_built_in_window(spark, minutes, slide):
     log = spark.range(500).select(
         (F.lit(START) + F.make_dt_interval(secs=(F.col("id") * 37 % 3600).cast("decimal(18,6)"))).alias("ts"),
         F.when(F.col("id") % 5 == 0, 500).otherwise(200).alias("status"))
-    ours = O.sliding(log, O.request_sums()).select("window_start", "window_end", "requests", "errors")
-    plain = log.groupBy(F.window("ts", "5 minutes", "1 minute").alias("w")).agg(
+    ours = O.sliding(log, O.request_sums(), minutes=minutes, slide=slide).select("window_start", "window_end", "requests", "errors")
+    plain = log.groupBy(F.window("ts", f"{minutes} minutes", f"{slide} minutes").alias("w")).agg(
         F.count("*").alias("requests"), F.count_if(O.is_error()).alias("errors")
     ).select("w.start", "w.end", "requests", "errors")
     assert sorted(rows(ours)) == sorted(rows(plain))
-    assert "Expand" not in ours._jdf.queryExecution().executedPlan().toString()
+    # rows collapse into panes before anything is copied into windows
+    plan = ours._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 2 and "Expand" not in plan[plan.rindex("Aggregate"):]
 
 
 def test_label_join_respects_the_delay(spark):
@@ -74,3 +77,9 @@ def test_label_join_respects_the_delay(spark):
         [(1, START + hour, 1), (2, START + 80 * hour, 1)], "txn_id long, label_ts timestamp, y int")
     found = O.online_performance(scored, labels).first()
     assert (found.tp, found.fn, found.precision) == (1, 0, 1.0)
+
+
+def test_exact_quantile_per_sliding_window(spark):
+    log = spark.createDataFrame([(START + dt.timedelta(minutes=m), float(m)) for m in range(10)], "ts timestamp, latency_ms double")
+    found = dict(rows(O.exact_latency_quantile(log, 0.5, minutes=5, slide=1), "window_start", "quantile_ms"))
+    assert len(found) == 14 and found[START] == 2.0 and found[START - dt.timedelta(minutes=4)] == 0.0

@@ -82,7 +82,8 @@ CHAMPION = ("champion", .8, .9, .85, .95, .8, 0, 0, 10, 0)
 
 def gate(spark, pr_auc, recall, f1, fn, criteria=PromotionCriteria(), precision=.9):
     table = [("candidate", precision, recall, f1, .95, pr_auc, 0, 0, fn, 0), CHAMPION]
-    return S.promotion_gate(S.metric_deltas(spark.createDataFrame(table, METRIC_DDL)), criteria).first()
+    metrics = spark.createDataFrame(table, METRIC_DDL).withColumns({"test_samples": F.lit(100), "invalid_scores": F.lit(0)})
+    return S.promotion_gate(S.metric_deltas(metrics), criteria).first()
 
 
 @pytest.mark.parametrize("values, decision, failed", [
@@ -118,6 +119,31 @@ def test_comparison_report_and_metadata(spark):
     assert len(report[0].threshold_analysis) == 5
     grid_best = S.best_threshold(S.threshold_grid(scored, by=["experiment"]), by=["experiment"])
     configs = spark.createDataFrame([("a", True, False), ("b", False, True)], "experiment string, use_smote boolean, use_class_weight boolean")
-    found = S.model_metadata(metrics, grid_best, configs, "detector").first()
-    assert (found.selected_experiment, found.use_smote, found.selected_threshold) == ("b", False, .5)
-    assert found.at_selected_threshold.recall == 1.0
+    found = S.model_metadata(metrics, grid_best, configs, "detector")
+    assert {(r.model, r.experiment, r.use_smote) for r in found.collect()} == {("detector", "b", False)}
+    assert found.where("selected AND metric = 'recall'").first().value == 1.0
+    assert found.where("NOT selected").count() == 5
+
+
+def test_a_model_with_nan_scores_is_never_promoted(spark):
+    frauds = [("champion", 1, .95)] * 9 + [("champion", 1, .1)] + [("candidate", 1, .95)] * 5 + [("candidate", 1, float("nan"))] * 5
+    others = [(m, 0, .1) for m in ("champion", "candidate") for _ in range(20)]
+    scored = spark.createDataFrame(frauds + others, "experiment string, y int, p double")
+    metrics = M.metric_bundle(scored, 0.9)
+    found = S.promotion_gate(S.metric_deltas(metrics)).first()
+    assert found.decision == "REJECT" and "scores_valid" in found.failed_criteria
+    assert (found.candidate_test_samples, found.candidate_invalid_scores, found.champion_invalid_scores) == (30, 5, 0)
+    # bundle, counts and grid agree on the rows
+    counts = {r.experiment: r for r in M.confusion(scored, 0.9, by=["experiment"]).collect()}
+    grid = {r.experiment: r for r in S.threshold_grid(scored, [0.9], by=["experiment"]).collect()}
+    for r in metrics.collect():
+        for other in (counts[r.experiment], grid[r.experiment]):
+            assert [getattr(r, c) for c in (*M.COUNTS, "invalid_scores")] == [getattr(other, c) for c in (*M.COUNTS, "invalid_scores")]
+        assert r.test_samples == sum(getattr(r, c) for c in (*M.COUNTS, "invalid_scores"))
+
+
+def test_other_rows_are_no_comparison(spark):
+    scored = spark.createDataFrame([("champion", i % 2, .9 * (i % 2)) for i in range(10)] + [("candidate", 1, .95), ("candidate", 0, .1)],
+                                   "experiment string, y int, p double")
+    found = S.promotion_gate(S.metric_deltas(M.metric_bundle(scored, 0.5))).first()
+    assert "same_rows" in found.failed_criteria

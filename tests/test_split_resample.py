@@ -124,3 +124,24 @@ def test_synthetic_points_lie_between_minority_neighbours(spark):
 def test_nothing_to_oversample(spark):
     balanced = spark.createDataFrame([(1, 0, [0.0]), (2, 1, [1.0])], "id long, isFraud int, features array<double>")
     assert S.smote(balanced, "id", "features").count() == 0
+
+
+def test_rows_that_share_a_key_all_take_part(spark):
+    rows_ = [(f"m{i}", 0, [float(i), 0.0]) for i in range(60)] + [("same", 1, [1.0, 2.0])] * 7 + [(f"f{i}", 1, [float(i), 5.0]) for i in range(5)]
+    table = spark.createDataFrame(rows_, "id string, isFraud int, features array<double>")
+    made = S.smote(table, "id", "features", config=SmoteConfig(k=5))
+    assert made.count() == 48
+    assert {r["count"] for r in made.groupBy("base").count().collect()} == {4}
+
+
+def test_too_few_neighbours_are_refused(spark):
+    table = spark.createDataFrame([(i, int(i < 3), [float(i)]) for i in range(20)], "id long, isFraud int, features array<double>")
+    with pytest.raises(ValueError):
+        S.smote(table, "id", "features", config=SmoteConfig(k=5))
+
+
+def test_very_many_copies_are_unrolled_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(S, "PART_COPIES", 7)
+    table = spark.createDataFrame([(i, int(i < 4), [float(i)]) for i in range(100)], "id long, isFraud int, features array<double>")
+    made = S.smote(table, "id", "features", config=SmoteConfig(k=3))
+    assert made.count() == made.select("base", "copy").distinct().count() == 92

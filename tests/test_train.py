@@ -98,12 +98,12 @@ def test_a_model_without_two_classes_is_refused(fitted):
 def test_training_job_writes_everything(spark, transactions, tmp_path):
     both = [Experiment("smote_only", True, False), Experiment("scale_weight_only", False, True)]
     out = str(tmp_path / "run")
-    model, report = J.train_job(transactions, out, "txn_id", experiments=both, model=TINY, min_recall=.1)
+    model, report = J.train_job(transactions, out, "txn_id", experiments=both, model=TINY, min_recall=.1, model_name="detector")
     assert report.count() == 2 and report.where("is_selected").count() == 1
     assert L.load_model(f"{out}/model").stages[-1].getNumTrees == model.stages[-1].getNumTrees == 3
     scored = spark.read.parquet(f"{out}/scored")
     assert dict(rows(scored.groupBy("experiment").count())) == {e.name: 300 for e in both}
-    assert spark.read.json(f"{out}/metadata").count() == 1
+    assert spark.read.json(f"{out}/metadata").where("selected").count() == 5
 
 
 def test_search_reports_every_draw(transactions):
@@ -141,3 +141,16 @@ def test_validation_job(spark, sf, tmp_path):
     D.dirty(spark, sf).drop("txn_id", "amount_cents_text").write.option("header", True).csv(str(tmp_path / "bad.csv"))
     with pytest.raises(DataValidationError):
         J.validate_job(spark, str(tmp_path / "bad.csv"), str(tmp_path / "r2"))
+    for name, content in (("broken.csv.gz", b"\x1f\x8b\x08\x00no gzip stream"), ("other.csv", b"\x00\x01PAR1\xff")):
+        (tmp_path / name).write_bytes(content)
+        with pytest.raises(DataValidationError):
+            J.validate_job(spark, str(tmp_path / name), str(tmp_path / f"r-{name}"))
+
+
+def test_jobs_refuse_scores_that_are_no_probability(spark):
+    inputs = spark.createDataFrame([(i,) for i in range(4)], "k long")
+    good = spark.createDataFrame([(i, .5) for i in range(4)], "k long, p double")
+    J.require_scored(inputs, good, "k", "p", "good")
+    for bad in (good.withColumn("p", F.lit(float("nan"))), good.withColumn("p", F.lit(1.5)), good.where("k > 0"), good.unionAll(good)):
+        with pytest.raises(ScoringError):
+            J.require_scored(inputs, bad, "k", "p", "bad")
