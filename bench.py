@@ -9,13 +9,13 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 
-from riskspark.config import NUMERIC_FEATURES  # noqa: E402
+from riskspark.config import NUMERIC_FEATURES, ModelConfig  # noqa: E402
 from riskspark.operators import (  # noqa: E402
-    drift, explore, features, metrics, monitor, selection, split, validate,
+    drift, explore, features, metrics, monitor, resample, selection, split, train, validate,
 )
-from riskspark.session import build_session  # noqa: E402
+from riskspark.session import build_session, scratch_path  # noqa: E402
 from riskspark.sources import testdata as D  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -35,11 +35,26 @@ def workloads(spark: SparkSession):
     def sink(df: DataFrame) -> None:
         df.write.format("noop").mode("overwrite").save()
 
+    # the same rows ten times under other ids and in many files: the scale of the published runs
+    tenfold = scratch_path(spark, "tenfold")
+    raw.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(10)))).withColumn(
+        "nameOrig", F.concat("nameOrig", F.lit("-"), F.col("_copy"))).drop("_copy").repartition(32).write.parquet(tenfold)
+    large = spark.read.parquet(tenfold)
+    labelled = transactions.select("txn_id", "isFraud", F.array("amount", "oldbalanceOrg", "newbalanceDest").alias("features"))
+
+    def fit_and_score():
+        fit, test = split.train_test(transactions, "txn_id")
+        sink(train.score(test, train.fit(fit, "txn_id", model=ModelConfig(trees=5)), keep=["txn_id"]))
+
     def drift_pair():
         return D.drift_pair(features.add_features(transactions))
 
     return {
         "feature_stage": lambda: sink(features.clean(raw)),
+        "feature_stage_write_10x": lambda: features.clean(large).write.mode("overwrite").parquet(f"{tenfold}-clean"),
+        "validate_10x": lambda: validate.validate(large).collect(),
+        "smote": lambda: sink(resample.smote(labelled, "txn_id", "features")),
+        "fit_5_trees_and_score": fit_and_score,
         "validate": lambda: validate.validate(raw).collect(),
         "duplicates": lambda: validate.duplicate_count(raw).collect(),
         "fraud_rate_by_type": lambda: explore.fraud_rate_by(transactions).collect(),

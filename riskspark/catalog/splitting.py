@@ -46,14 +46,23 @@ def smote_knn(s, sf):
 
 
 def smote_sample(s, sf):
-    """Synthetic training frauds in the scaled and one-hot space."""
+    """Synthetic training frauds in the scaled and one-hot space: how many each fraud is the base
+    of, and whether all lie on the way to a neighbour that is another training fraud."""
     train, _ = P.train_test(T(s, sf), "txn_id")
     featured = X.add_features(train)
     numbers = C.standardize(featured)
     hot = C.one_hot("type", C.categories(train, "type"))
     vector = F.array(*[F.col(c) for c in C.NUMERIC_FEATURES], *hot.values())
     rows = numbers.select("txn_id", "isFraud", vector.alias("features"))
-    return S.smote(rows, "txn_id", "features", "isFraud", SmoteConfig())
+    made = S.smote(rows, "txn_id", "features", "isFraud", SmoteConfig())
+    frauds = rows.where("isFraud = 1")
+    ends = made.join(frauds.select(F.col("txn_id").alias("base"), F.col("features").alias("a")), "base").join(
+        frauds.select(F.col("txn_id").alias("neighbour"), F.col("features").alias("b")), "neighbour")
+    way = F.zip_with("a", "b", lambda x, y: x + F.col("gap") * (y - x))
+    gaps = F.zip_with("features", way, lambda x, y: F.abs(x - y) < 1e-9)
+    between = F.forall(gaps, lambda ok: ok) & (F.col("base") != F.col("neighbour")) & (F.col("gap") >= 0) & (F.col("gap") < 1)
+    return ends.groupBy("base").agg(F.count("*").alias("rows"), F.bool_and(between).alias("on_segment"),
+                                    F.max("isFraud").alias("isFraud"))
 
 
 def smote_balance(s, sf):
@@ -96,5 +105,12 @@ QUERIES = {
         TABLES + _split_views("isFraud") + """, n AS (SELECT count(*) FILTER (WHERE isFraud = 0) AS n0, count(*) FILTER (WHERE isFraud = 1) AS n1 FROM split WHERE split = 'train')
         SELECT CAST(0 AS INT) AS isFraud, n0 AS rows, CAST(0 AS BIGINT) AS synthetic FROM n UNION ALL SELECT 1, n0, n0 - n1 FROM n""",
     ),
-    "smote_sample": (smote_sample, None),
+    "smote_sample": (
+        smote_sample,
+        TABLES + _split_views("isFraud") + """, n AS (SELECT count(*) FILTER (WHERE isFraud = 0) - count(*) FILTER (WHERE isFraud = 1) AS missing,
+          count(*) FILTER (WHERE isFraud = 1) AS n1 FROM split WHERE split = 'train'),
+        f AS (SELECT txn_id, row_number() OVER (ORDER BY md5(concat(CAST(txn_id AS VARCHAR), ':42')), txn_id) AS place FROM split WHERE split = 'train' AND isFraud = 1),
+        c AS (SELECT txn_id AS base, CAST(missing // n1 + CASE WHEN place <= missing % n1 THEN 1 ELSE 0 END AS BIGINT) AS rows FROM f, n)
+        SELECT base, rows, true AS on_segment, CAST(1 AS INT) AS isFraud FROM c WHERE rows > 0""",
+    ),
 }

@@ -106,7 +106,8 @@ QUERIES = {
     "stream_label_join": (
         labels,
         TABLES + """, c AS (SELECT count(*) FILTER (WHERE y = 0 AND p_candidate < 0.9) AS tn, count(*) FILTER (WHERE y = 0 AND p_candidate >= 0.9) AS fp,
-          count(*) FILTER (WHERE y = 1 AND p_candidate < 0.9) AS fn, count(*) FILTER (WHERE y = 1 AND p_candidate >= 0.9) AS tp
+          count(*) FILTER (WHERE y = 1 AND p_candidate < 0.9) AS fn, count(*) FILTER (WHERE y = 1 AND p_candidate >= 0.9) AS tp,
+          count(*) FILTER (WHERE NOT coalesce(p_candidate >= 0 AND p_candidate <= 1, FALSE)) AS invalid_scores
           FROM scored WHERE txn_id % 5 <> 0)
         SELECT *, round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 6) AS "precision", round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 6) AS recall,
         round(coalesce(CAST(2 * tp AS DOUBLE) / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1_score FROM c""",
