@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskspark.config import SplitConfig
 from riskspark.functions import count_where
-from riskspark.plans import HashCut, below_cut, lowest_hash_cuts
+from riskspark.plans import HashCut, lowest_hash_cuts, with_below_cut
 
 SPLIT = "split"
 
@@ -36,11 +36,11 @@ def split_cuts(df: DataFrame, key: str, target: str = "isFraud", config: SplitCo
 
 
 def assign_split(df: DataFrame, key: str, target: str = "isFraud", config: SplitConfig = SplitConfig()) -> DataFrame:
-    """Add ``split`` = train / test with exact sizes; the result is a projection."""
+    """Add ``split`` = train / test with exact sizes; a projection while classes are few."""
     cuts = split_cuts(df, key, target, config)
     by = target if config.stratify else None
-    in_test = below_cut(cuts, key, by=by, seed=config.seed)
-    return df.withColumn(SPLIT, F.when(in_test, "test").otherwise("train"))
+    marked = with_below_cut(df, cuts, SPLIT, key, by=by, seed=config.seed)
+    return marked.withColumn(SPLIT, F.when(F.col(SPLIT), "test").otherwise("train"))
 
 
 def train_test(df: DataFrame, key: str, target: str = "isFraud", config: SplitConfig = SplitConfig()) -> tuple[DataFrame, DataFrame]:

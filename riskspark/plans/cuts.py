@@ -23,7 +23,8 @@ from riskspark.plans.ordered import as_literal
 HEX_DIGITS = 3
 # A cell up to this size is ordered by one task.
 ORDERED_ROWS = 1_000_000
-MAX_CLASSES = 10_000
+# More classes than this compare by a joined table instead of one condition each.
+CASE_CLASSES = 50
 # Digests are hex: these sort after and before all of them.
 ALL, NONE = "g", ""
 
@@ -47,7 +48,7 @@ def lowest_hash_cuts(
 ) -> list[HashCut]:
     """The cut of every class, where ``sizes`` turns class counts into wanted counts.
 
-    ``key`` must identify a row and ``by`` must be a label with few values.
+    ``key`` must identify a row; the driver holds one cut per value of ``by``.
     """
     spark = df.sparkSession
     cls = F.col(by) if by else F.lit(0)
@@ -59,9 +60,8 @@ def lowest_hash_cuts(
 
     digits = HEX_DIGITS
     cells = as_literal(histogram(rows, digits))
-    found = cells.groupBy("cls").agg(F.sum("n").alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"column {by!r} has too many values to be a class label")
+    # one number per class: the wanted sizes are decided on the driver
+    found = cells.groupBy("cls").agg(F.sum("n").alias("n")).collect()
     totals = {r.cls: r.n for r in found}
     wanted = sizes(totals)
     targets = [(c, int(w)) for c, w in wanted.items() if 0 < w < totals[c]]
@@ -124,3 +124,17 @@ def below_cut(cuts: Sequence[HashCut], key: str, by: str | None = None, seed: in
             cuts, F.when(F.lit(False), F.lit(NONE)),
         ).otherwise(F.lit(NONE))
     return hash_key(key, seed) <= limit
+
+
+def with_below_cut(
+    df: DataFrame, cuts: Sequence[HashCut], name: str, key: str, by: str | None = None, seed: int = 42
+) -> DataFrame:
+    """``df`` with a boolean column: whether the cuts select the row. A projection while classes
+    are few, else a join with the table of cuts, whose size is known."""
+    if not by or len(cuts) <= CASE_CLASSES:
+        return df.withColumn(name, below_cut(cuts, key, by, seed))
+    kind = df.schema[by].dataType.simpleString()
+    table = small_table(df.sparkSession, [(c.cls, c.digest) for c in cuts], f"_cut_cls {kind}, _cut_digest string")
+    joined = df.join(table, F.col(by).eqNullSafe(F.col("_cut_cls")), "left")
+    limit = F.coalesce("_cut_digest", F.lit(NONE))
+    return joined.withColumn(name, hash_key(key, seed) <= limit).drop("_cut_cls", "_cut_digest")

@@ -145,3 +145,11 @@ def test_very_many_copies_are_unrolled_in_parts(spark, monkeypatch):
     table = spark.createDataFrame([(i, int(i < 4), [float(i)]) for i in range(100)], "id long, isFraud int, features array<double>")
     made = S.smote(table, "id", "features", config=SmoteConfig(k=3))
     assert made.count() == made.select("base", "copy").distinct().count() == 92
+
+
+def test_a_split_by_very_many_labels(spark):
+    labels = spark.range(60_000).selectExpr("id", "IF(id % 20001 = 20000, NULL, CONCAT('c', id % 20001)) AS label")
+    marked = P.assign_split(labels, "id", "label")
+    assert marked.columns == ["id", "label", "split"] and marked.count() == 60_000
+    assert marked.where("split = 'test'").count() == 18_000
+    assert marked.where("split = 'test'").groupBy("label").count().agg(F.max("count")).first()[0] == 1
