@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -19,7 +21,8 @@ def test_entry_runs(spark):
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    c.sql(f"CREATE VIEW events AS SELECT * FROM '{SF}/events.parquet'")
+    for path in Path(SF).glob("*.parquet"):
+        c.sql(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     return c
 
 
