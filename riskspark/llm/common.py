@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.session import scratch_path
 
+# files of one bucketed table, at most about
+BUCKET_FILES = 100_000
+
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared folder and read it back: its lineage ends at files that
@@ -35,3 +40,16 @@ def keep_rows(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col
     named = docs.withColumn("__row", row_key(id_col, text_col))
     wanted = rows.select(F.col("row").alias("__row")).hint("merge")
     return named.join(wanted, "__row", "left_semi").drop("__row")
+
+
+def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``df`` written as a table bucketed by ``column``: later joins on it move only their other
+    side. Every write task opens a file per bucket; where tasks x buckets would make too many
+    files, rows are sent to their buckets first, so that each bucket is one file."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex[:12]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if df.rdd.getNumPartitions() * n > BUCKET_FILES:
+        df = df.repartition(n, column)
+    df.write.option("compression", "zstd").bucketBy(n, column).saveAsTable(table)
+    return spark.table(table)

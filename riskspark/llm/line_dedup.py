@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,19 +9,20 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskspark.llm.common import materialize
+from riskspark.llm.common import bucketed, materialize
 from riskspark.llm.links import link
 from riskspark.llm.minhash import mix
 
 SHINGLE = 9            # bytes; long enough that unrelated lines of one language share few
-BANDS, ROWS = 10, 3    # lines at similarity 0.8 share no band with probability 8e-4, at 0.9 2e-6
+BANDS, ROWS = 12, 4    # lines at similarity 0.8 share no band with probability 0.002, at 0.9 3e-6
 PERCENT = 80
-CHUNK = 40_000         # bytes hashed at once, so that the arrays stay in the processor's cache
+CHUNK = 160_000        # bytes hashed at once, so that the arrays stay in the processor's cache
 
 _seed = np.random.default_rng(9)
 _BYTE = _seed.integers(1, 2**63, 256, dtype=np.uint64)
-_FLIP = _seed.integers(1, 2**63, BANDS * ROWS, dtype=np.uint64)
-_TIMES = _seed.integers(1, 2**62, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = (_seed.integers(1, 2**62, 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).tolist()
+_FLIP = _seed.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
+_TIMES = _seed.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -36,19 +36,23 @@ def text_lines(text: str) -> list[tuple[int, bytes]]:
     return [(i, n) for i, line in enumerate(text.split("\n")) if (n := normal_line(line))]
 
 
+def rolling_hashes(raw: bytes) -> np.ndarray:
+    """64-bit hashes of all ``SHINGLE``-byte strings of ``raw``, in order."""
+    one = _BYTE[np.frombuffer(raw, np.uint8)]
+    h = one
+    for k, width in enumerate((1, 2, 4)):  # hashes of 2, 4, then 8 bytes
+        h = h[:-width] * np.uint64(_FACTORS[k]) + h[width:]
+    return mix(h[:-1] * np.uint64(_FACTORS[3]) + one[8:])
+
+
 def line_bands(lines: list[bytes]) -> np.ndarray:
     """MinHash band keys, one row per line; every line has at least ``SHINGLE`` bytes."""
-    raw = np.frombuffer(b"".join(lines), np.uint8)
-    one = _BYTE[raw]
-    h = one
-    for width in (1, 2, 4):  # hashes of 2, 4, then 8 bytes
-        h = h[:-width] * _STEP + mix(h[width:])
-    h = mix(h[:-1] * _STEP + one[8:])
+    h = (rolling_hashes(b"".join(lines)) >> np.uint64(32)).astype(np.uint32)
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
     ends = np.cumsum(sizes)
     bounds = np.stack([ends - sizes, ends - SHINGLE + 1], axis=1).ravel()
     # the last end may be the end of the array, which reduceat does not take as a start
-    h = np.append(h, np.uint64(0))
+    h = np.append(h, np.uint32(0))
     keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(lines), axis=0)
     for band in range(BANDS):
         for i in range(band * ROWS, (band + 1) * ROWS):
@@ -57,11 +61,9 @@ def line_bands(lines: list[bytes]) -> np.ndarray:
     return keys
 
 
-def similar_lines(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
-    x = {a[i : i + SHINGLE] for i in range(len(a) - SHINGLE + 1)}
-    y = {b[i : i + SHINGLE] for i in range(len(b) - SHINGLE + 1)}
-    common = len(x & y)
-    return 100 * common >= percent * (len(x) + len(y) - common)
+def shingle_hashes(line: bytes) -> np.ndarray:
+    """The set of a line's shingles, by their 64-bit hashes; empty for shorter lines."""
+    return np.unique(rolling_hashes(line)) if len(line) >= SHINGLE else np.empty(0, np.uint64)
 
 
 def _halves(line: bytes) -> tuple[int, int]:
@@ -69,53 +71,61 @@ def _halves(line: bytes) -> tuple[int, int]:
     return int(d[0]), int(d[1])
 
 
-def _line_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """row, pos, lo, hi of every line with a word."""
+LINE_SCHEMA = "row long, pos int, lo long, hi long, bands array<long>"
+
+
+def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """row, pos and digest of every line with a word, and its band keys where it is long enough for
+    a shingle and the first of its kind in the batch."""
     for batch in batches:
-        rows, places, low, high = [], [], [], []
+        rows, places, digests = [], [], []
+        kinds: dict[bytes, tuple[int, int]] = {}
+        first: list[int] = []      # places in the output whose line has band keys
+        todo: list[bytes] = []
         for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
             for i, line in text_lines(text):
-                a, b = _halves(line)
+                found = kinds.get(line)
+                if found is None:
+                    found = kinds[line] = _halves(line)
+                    if len(line) >= SHINGLE:
+                        first.append(len(rows))
+                        todo.append(line)
                 rows.append(row)
                 places.append(i)
-                low.append(a)
-                high.append(b)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(places, pa.int32()), pa.array(low, pa.int64()), pa.array(high, pa.int64())],
-            names=["row", "pos", "lo", "hi"])
-
-
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, node for the distinct lines of each batch that are long enough for a shingle."""
-    for batch in batches:
-        lines = {n for text in batch.column("text").to_pylist() for _, n in text_lines(text) if len(n) >= SHINGLE}
-        todo: list[bytes] = []
+                digests.append(found)
+        keys = [np.empty(0, np.int64)]
+        part: list[bytes] = []
         held = 0
-        for line in lines:
-            todo.append(line)
+        for line in todo:
+            part.append(line)
             held += len(line)
             if held >= CHUNK:
-                yield _banded(todo)
-                todo, held = [], 0
-        if todo:
-            yield _banded(todo)
-
-
-def _banded(lines: list[bytes]) -> pa.RecordBatch:
-    nodes = np.fromiter((_halves(x)[0] for x in lines), np.int64, len(lines))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(line_bands(lines).view(np.int64).ravel()), pa.array(np.repeat(nodes, BANDS))], names=["key", "node"])
+                keys.append(line_bands(part).view(np.int64).ravel())
+                part, held = [], 0
+        if part:
+            keys.append(line_bands(part).view(np.int64).ravel())
+        # lines without keys have an empty list
+        lengths = np.zeros(len(rows) + 1, np.int32)
+        lengths[np.array(first, np.int64) + 1] = BANDS
+        bands = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(np.concatenate(keys)))
+        both = np.array(digests, np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rows, pa.int64()), pa.array(places, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1]), bands],
+            names=["row", "pos", "lo", "hi", "bands"])
 
 
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, data = [], []
+        nodes, data, sizes = [], [], []
         for wanted, text in zip(batch.column("wanted").to_pylist(), batch.column("text").to_pylist(), strict=True):
             lines = text.split("\n")
             for w in wanted:
                 nodes.append(w["lo"])
-                data.append(normal_line(lines[w["pos"]]))
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(data, pa.binary())], names=["node", "data"])
+                line = normal_line(lines[w["pos"]])
+                data.append(line)
+                sizes.append(len(shingle_hashes(line)))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array(data, pa.binary()), pa.array(sizes, pa.int64())], names=["node", "data", "size"])
 
 
 def _cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,20 +142,14 @@ def _cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["row", "n_lines", "n_removed", "text"])
 
 
-def bucketed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text, a unique row number and all other columns under one struct, written as a
-    table bucketed by the row number: later joins on it move only their small side."""
-    spark = docs.sparkSession
-    name = f"line_dedup_{uuid.uuid4().hex[:12]}"
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text, a unique row number and all other columns under one struct, bucketed by row."""
     others = [c for c in docs.columns if c not in (id_col, text_col)]
     rest = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(None).cast("string")
-    source = docs.select(
+    return bucketed(docs.select(
         F.monotonically_increasing_id().alias("row"), F.col(f"`{id_col}`").alias("doc_id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.col(f"`{text_col}`").isNull().alias("no_text"),
-        rest.alias("rest"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source.write.option("compression", "zstd").bucketBy(n, "row").saveAsTable(name)
-    return spark.table(name)
+        rest.alias("rest")), "row", "line_dedup")
 
 
 def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -162,25 +166,26 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     are documents of their own, of which the first keeps the lines; an empty table gives no rows;
     extra columns, whatever their names, are carried in ``rest``.
     """
-    source = bucketed(docs, id_col, text_col)
+    source = numbered(docs, id_col, text_col)
     texts = source.select("row", "text")
-    lines = materialize(texts.mapInArrow(_line_ids, "row long, pos int, lo long, hi long"), "line-ids")
+    read = materialize(texts.mapInArrow(_line_rows, LINE_SCHEMA), "line-ids")
+    lines = read.drop("bands")
 
     # the rows of a bucket are distinct lines by now (copies inside a batch have met); both
     # bounds come from one shuffle, whose sort spills
     by_key = Window.partitionBy("key")
     members = materialize(
-        texts.select("text").mapInArrow(_band_rows, "key long, node long")
+        read.select(F.explode("bands").alias("key"), F.col("lo").alias("node"))
         .withColumn("lowest", F.min("node").over(by_key)).withColumn("highest", F.max("node").over(by_key))
-        .where("lowest <> highest").select("key", "node").distinct().withColumn("size", F.lit(1)), "line-buckets")
+        .where("lowest <> highest").select("key", "node").distinct(), "line-buckets")
     nodes = members.select(F.col("node").alias("lo")).distinct()
     places = (lines.groupBy("lo").agg(F.min(F.struct("row", "pos")).alias("at")).join(nodes, "lo", "left_semi")
               .select("at.row", F.struct("lo", "at.pos").alias("w")))
     # one list per document, at most its lines
     wanted = materialize(places.groupBy("row").agg(F.collect_list("w").alias("wanted")), "line-wanted")
     sets = materialize(texts.join(wanted.hint("merge"), "row").select("wanted", "text")
-                       .mapInArrow(_wanted_lines, "node long, data binary"), "line-texts")
-    labels, _ = link(members, sets, lambda a, b: similar_lines(a, b, percent), percent)
+                       .mapInArrow(_wanted_lines, "node long, data binary, size long"), "line-texts")
+    labels, _ = link(members, sets, shingle_hashes, percent)
 
     labels = labels.select(F.col("node").alias("lo"), "root")
     grouped = lines.join(labels, "lo", "left").select(
@@ -190,10 +195,10 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     grouped = materialize(
         grouped.join(roots, "c1", "left").select("row", "pos", "c1", F.when(F.col("is_root").isNull(), F.col("hi")).alias("c2")),
         "line-groups")
-    numbered = source.select("row", "doc_id")
+    owners = source.select("row", "doc_id")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "pos")
     first = materialize(
-        grouped.join(numbered, "row").groupBy("c1", "c2").agg(F.min(order).alias("first"), F.count("*").alias("n"))
+        grouped.join(owners, "row").groupBy("c1", "c2").agg(F.min(order).alias("first"), F.count("*").alias("n"))
         .where("n > 1").select(F.col("c1").alias("f1"), F.col("c2").alias("f2"), F.col("first.row").alias("keep_row"),
                                F.col("first.pos").alias("keep_pos")), "line-first")
     drops = (grouped.join(first, (F.col("c1") == F.col("f1")) & F.col("c2").eqNullSafe(F.col("f2")))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.llm.common import materialize
 from riskspark.llm.components import components
@@ -14,68 +16,164 @@ STAR_ROUNDS = 2
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
-    """Rows (key, node, size) whose key at least two nodes share; written once."""
+    """Rows (key, node) whose key at least two nodes share; written once."""
     keys = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("key")
     keys = materialize(keys, "bucket-keys")
     return materialize(members.join(keys, "key"), "buckets")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, similar: Callable[[bytes, bytes], bool]) -> DataFrame:
-    """The pairs (a, b) whose full contents are similar; contents travel to the pairs by shuffle."""
+def compared(pairs: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """(a, b, common): the size of the intersection of each pair's full sets; contents travel to
+    the pairs by shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = lru_cache(maxsize=4096)(elements)  # members of a group come back again and again
         for b in batches:
-            keep = [similar(x.as_py(), y.as_py()) for x, y in zip(b.column("data_a"), b.column("data_b"), strict=True)]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            common = [
+                len(np.intersect1d(known(x.as_py()), known(y.as_py()), assume_unique=True))
+                for x, y in zip(b.column("data_a"), b.column("data_b"), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(common, pa.int64())], names=["a", "b", "common"])
 
     left = sets.select(F.col("node").alias("a"), F.col("data").alias("data_a"))
     right = sets.select(F.col("node").alias("b"), F.col("data").alias("data_b"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a long, b long, common long")
 
 
-def link(members: DataFrame, sets: DataFrame, similar: Callable[[bytes, bytes], bool], percent: int) -> tuple[DataFrame, DataFrame]:
+def shared_sizes(sets: DataFrame, nodes: DataFrame, elements: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """(node, shared): how many elements of each node's set some other of the nodes holds too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for node, data in zip(b.column("node").to_pylist(), b.column("data").to_pylist(), strict=True):
+                items = elements(data).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), node)), pa.array(items)], names=["node", "item"])
+
+    items = sets.join(nodes, "node", "left_semi").select("node", "data").mapInArrow(run, "node long, item long")
+    alone = (items.groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("n")).where("n = 1")
+             .groupBy("node").agg(F.count("*").alias("alone")))
+    return sets.select("node", "size").join(nodes, "node", "left_semi").join(alone, "node", "left").select(
+        "node", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+
+
+def novel_elements(sets: DataFrame, homes: DataFrame, elements: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """(home, item, node): the elements of each node's set that the set of its home lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            columns = (b.column(c) for c in ("home", "node", "data", "home_data"))
+            for home, node, data, other in zip(*columns, strict=True):
+                items = np.setdiff1d(elements(data.as_py()), elements(other.as_py()), assume_unique=True).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(items), home.as_py())), pa.array(items), pa.array(np.full(len(items), node.as_py()))],
+                    names=["home", "item", "node"])
+
+    at_home = sets.select(F.col("node").alias("home"), F.col("data").alias("home_data"))
+    return (homes.select("node", "home").join(sets.select("node", "data"), "node").join(at_home, "home")
+            .mapInArrow(run, "home long, item long, node long"))
+
+
+def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.ndarray], percent: int) -> tuple[DataFrame, DataFrame]:
     """(labels, edges): labels are ``components`` of the verified links between bucket members.
 
-    ``members`` are the rows of ``shared_buckets``, ``sets`` has (node, data). A pair is a
-    candidate if it shares a key and its sizes allow ``percent`` similarity. First, twice, each
-    node is compared with one pivot: of the pivots of its buckets that lie outside its component
-    the one most of its buckets share. So a large group of near copies costs one comparison per
-    node. Then every remaining candidate pair across two components is compared, so no candidate
-    is left out; inside one component a further link would change nothing.
+    ``members`` has (key, node), rows of keys that nodes share; ``sets`` has (node, data, size),
+    ``elements`` gives the distinct hashes that ``data`` stands for. A pair is a candidate if it
+    shares a key and its sizes allow ``percent`` Jaccard similarity. First, twice, each node is
+    compared with one pivot: of the pivots of its buckets that lie outside its component the first
+    time the one that meets most other nodes, which is the middle of its group, the second time the
+    one most of its buckets share. So a large group of near copies costs one comparison per node.
+
+    Then the remaining candidate pairs across two components are compared; inside one component
+    a further link would change nothing. Two exact bounds keep nodes that drifted a little too far
+    from a large group from being compared with each of its members. Elements that no other
+    remaining node holds are common to no pair. And two nodes compared with one pivot that share
+    no element the pivot lacks differ in all such elements of both, and at least in as many of
+    the pivot's as the numbers they lack differ. Pairs that do share one are found by it.
     """
+    members = materialize(members.select("key", "node").join(sets.select("node", "size"), "node"), "link-members")
+    crowds = members.groupBy("key").agg(F.count("*").alias("crowd"))
+    weights = materialize(members.join(crowds, "key").groupBy("node").agg(F.sum("crowd").alias("weight")), "link-weights")
+    sizes = sets.select("node", "size")
     labelled = members.withColumn("comp", F.col("node"))
     tested = edges = labels = None
-    fits = F.expr(f"100 * least(size, other_size) >= {percent} * greatest(size, other_size)")
+
+    def linked(a: str, b: str, common: str) -> Column:
+        return 100 * F.col(common) >= percent * (F.col(a) + F.col(b) - F.col(common))
 
     def settle(pairs: DataFrame) -> None:
-        """Verify new pairs, extend the edges, label the buckets anew."""
+        """Compare new pairs, extend the edges, label the buckets anew."""
         nonlocal tested, edges, labels, labelled
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "link-pairs")
-        found = materialize(verified(pairs, sets, similar), "link-edges")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        edges = found if edges is None else edges.unionByName(found)
+        found = compared(materialize(pairs, "link-pairs"), sets, elements)
+        found = materialize(
+            found.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b"), "link-compared")
+        tested = found if tested is None else tested.unionByName(found)
+        edges = tested.where(linked("size_a", "size_b", "common")).select("a", "b")
         labels = components(edges)
         labelled = members.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
 
+    def fits(a: str, b: str) -> Column:
+        """Whether sets with at most ``a`` and ``b`` elements in common can reach the similarity."""
+        common = F.least(F.col(a), F.col(b))
+        return 100 * common >= percent * (F.col("size") + F.col("other_size") - common)
+
+    homes = None
     for turn in range(STAR_ROUNDS):
+        rated = labelled.join(weights, "node") if turn == 0 else labelled.withColumn("weight", F.lit(0))
         open_keys = materialize(
-            labelled.groupBy("key").agg(
-                F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("place"), F.col("node").alias("pivot"),
+            rated.groupBy("key").agg(
+                F.min(F.struct((-F.col("weight")).alias("less"), F.xxhash64("node", F.lit(turn)).alias("place"), F.col("node").alias("pivot"),
                                F.col("size").alias("other_size"), F.col("comp").alias("other"))).alias("p"),
                 F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .where("lo <> hi").select("key", "p.pivot", "p.other_size", "p.other"), "link-pivots")
-        chosen = (labelled.join(open_keys, "key").where(F.col("comp") != F.col("other")).where(fits)
-                  .groupBy("node", "pivot").count()
-                  .groupBy("node").agg(F.max(F.struct("count", "pivot")).alias("best"))
-                  .select(F.least("node", "best.pivot").alias("a"), F.greatest("node", "best.pivot").alias("b")).distinct())
-        settle(chosen)
+            .where("lo <> hi").select("key", "p.pivot", "p.other_size", "p.other", (-F.col("p").getField("less")).alias("rank")), "link-pivots")
+        chosen = materialize(
+            labelled.join(open_keys, "key").where(F.col("comp") != F.col("other")).where(fits("size", "other_size"))
+            .groupBy("node", "pivot", "rank").count()
+            .groupBy("node").agg(F.max(F.struct("rank", "count", "pivot")).alias("best")).select("node", "best.pivot"), "link-chosen")
+        settle(chosen.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+        if homes is None:
+            homes = _homes(chosen, tested, sizes)
     mixed = materialize(labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
                         .where("lo <> hi").select("key"), "link-mixed")
     rest = materialize(labelled.join(mixed, "key"), "link-rest")
-    other = rest.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("comp").alias("other_comp"))
-    across = (rest.join(other, "key").where("comp < other_comp").where(fits)
-              .select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
-    settle(across)
+    shared = materialize(shared_sizes(sets, rest.select("node").distinct(), elements), "link-shared")
+    # a node too far from every set of any size needs no partner
+    able = F.col("shared") * 100 >= percent * F.col("size")
+    # at most one key per band and node
+    keys = rest.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    rest = materialize(rest.join(shared, "node").where(able).join(homes, "node", "left").join(keys, "node"), "link-able")
+
+    apart = F.col("novel") + F.col("other_novel") + F.abs(F.col("lacks") - F.col("other_lacks"))
+    near = (100 + percent) * apart <= (100 - percent) * (F.col("size") + F.col("other_size"))
+    one_home = F.coalesce(F.col("home") == F.col("other_home"), F.lit(False))
+    names = ["node", "size", "comp", "shared", "home", "novel", "lacks"]
+    renamed = {n: "other" if n == "node" else f"other_{n}" for n in [*names, "keys"]}
+    by_key = rest.join(rest.withColumnsRenamed(renamed), "key").where("comp < other_comp").where(
+        fits("shared", "other_shared")).where(~one_home | near).where(
+        # each pair at one of the keys it shares
+        F.array_min(F.array_intersect("keys", "other_keys")) == F.col("key"))
+    nodes = rest.select(*names).distinct()
+    novel = materialize(novel_elements(sets, nodes.where("home IS NOT NULL AND home <> node"), elements), "link-novel")
+    held = novel.groupBy("home", "item").agg(F.count("*").alias("n")).where("n > 1").select("home", "item")
+    held = materialize(novel.join(held, ["home", "item"]).select("home", "item", "node"), "link-held")
+    held = held.join(nodes.drop("home"), "node")
+    other = held.withColumnsRenamed({k: v for k, v in renamed.items() if k not in ("home", "keys")})
+    by_novel = held.join(other, ["home", "item"]).where("comp < other_comp").where(fits("shared", "other_shared"))
+    pair = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
+    settle(by_key.select(*pair).unionByName(by_novel.select(*pair)).distinct())
     return labels, edges
+
+
+def _homes(chosen: DataFrame, tested: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(node, home, novel, lacks): the pivot a node was compared with, how many of the node's
+    elements the pivot lacks and the reverse; a pivot is its own home."""
+    pairs = chosen.withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot")).join(
+        tested.select("a", "b", "common"), ["a", "b"])
+    pivots = chosen.select("pivot").distinct()
+    own = pivots.select(F.col("pivot").alias("node"), F.col("pivot").alias("home"), F.lit(0).cast("long").alias("novel"),
+                        F.lit(0).cast("long").alias("lacks"))
+    away = (pairs.join(pivots.toDF("node"), "node", "left_anti").join(sizes, "node")
+            .join(sizes.toDF("pivot", "pivot_size"), "pivot")
+            .select("node", F.col("pivot").alias("home"), (F.col("size") - F.col("common")).alias("novel"),
+                    (F.col("pivot_size") - F.col("common")).alias("lacks")))
+    return materialize(own.unionByName(away), "link-homes")

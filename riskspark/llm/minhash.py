@@ -90,14 +90,6 @@ def band_keys(items: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.nda
     return key
 
 
-def similar_sets(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
-    """Whether two sorted sets of 64-bit hashes reach the similarity."""
-    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    together = np.sort(np.concatenate([x, y]), kind="stable")
-    common = int((together[1:] == together[:-1]).sum())
-    return 100 * common >= percent * (len(x) + len(y) - common)
-
-
 SKETCH_SCHEMA = "doc_id long, row long, n_shingles long, digest binary, bands array<long>"
 
 
@@ -127,24 +119,27 @@ def sketches(source: DataFrame, shingle: int) -> DataFrame:
 
 
 def shingle_sets(source: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(node, data): the full shingle sets of the wanted (row, node)."""
+    """(node, data, size): the full shingle sets of the wanted (row, node)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, last = Shingler(shingle), None
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 b = batch.slice(at, 1000)
-                nodes, data = [], []
+                nodes, data, sizes = [], [], []
                 for node, text in zip(b.column("node").to_pylist(), b.column("text").to_pylist(), strict=True):
                     if node != last:  # repeated rows of one key follow one another
+                        found = shingles(text)
                         nodes.append(node)
-                        data.append(shingles(text).tobytes())
+                        data.append(found.tobytes())
+                        sizes.append(len(found))
                     last = node
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(data, pa.binary())], names=["node", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(data, pa.binary()), pa.array(sizes, pa.int64())],
+                                                 names=["node", "data", "size"])
 
     # the wanted rows grow with the corpus, so they are never broadcast
     return source.select("row", "text").join(wanted.hint("merge"), "row").select("node", "text").mapInArrow(
-        run, "node long, data binary")
+        run, "node long, data binary, size long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, id_col: str = "doc_id",
@@ -166,14 +161,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = PERCENT, i
     classes = materialize(
         rows.where("digest IS NOT NULL").groupBy("digest").agg(
             F.min("doc_id").alias("low"), F.count("*").alias("n_copies"), F.min("row").alias("row"),
-            F.max("n_shingles").cast("int").alias("size"), F.first("bands").alias("bands"))
+            F.first("bands").alias("bands"))
         .withColumn("node", F.monotonically_increasing_id()),
         "near-classes")
-    members = shared_buckets(classes.select(F.explode("bands").alias("key"), "node", "size"))
+    members = shared_buckets(classes.select(F.explode("bands").alias("key"), "node"))
     nodes = members.select("node").distinct()
     wanted = materialize(classes.select("node", "row").join(nodes, "node", "left_semi"), "near-wanted")
     sets = materialize(shingle_sets(source, wanted, shingle), "near-sets")
-    labels, _ = link(members, sets, lambda a, b: similar_sets(a, b, percent), percent)
+    labels, _ = link(members, sets, lambda x: np.frombuffer(x, np.uint64), percent)
     rooted = classes.select("digest", "low", "n_copies", "node").join(labels, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     lows = materialize(rooted.groupBy("root").agg(F.min("low").alias("component"), F.count("*").alias("n")), "near-components")

@@ -4,11 +4,21 @@ import random
 import numpy as np
 import pytest
 
-from riskspark.llm.line_dedup import SHINGLE, dedup_lines, line_bands, normal_line, similar_lines, text_lines
+from riskspark.llm.line_dedup import SHINGLE, dedup_lines, line_bands, normal_line, shingle_hashes, text_lines
 
 DDL = "doc_id long, text string, lang string, row long, rest string"
 
 
+def line_shingles(line):
+    return {line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1)}
+
+
+def similar_lines(a, b):
+    x, y = line_shingles(a), line_shingles(b)
+    assert len(x) == len(shingle_hashes(a)) and len(x & y) == len(np.intersect1d(shingle_hashes(a), shingle_hashes(b)))
+    return 100 * len(x & y) >= 80 * len(x | y)
+
+
 def brute(rows):
     """Text left per row, by comparing all pairs of distinct lines."""
     order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))

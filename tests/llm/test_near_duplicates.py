@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from riskspark.llm.components import components
-from riskspark.llm.minhash import Shingler, band_keys, near_duplicates, similar_sets, sketch
+from riskspark.llm.minhash import Shingler, band_keys, near_duplicates, sketch
 
 DDL = "doc_id long, text string, lang string, row string, node string"
 
@@ -71,6 +71,24 @@ def test_matches_all_pairs(spark, shingle):
     assert found == brute(rows, shingle)
 
 
+def test_large_group_around_the_threshold(spark):
+    """Near copies of one text, edited so that many lie just beyond the similarity of the rest."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(160):
+        near = list(base)
+        shared = rng.choice([[], [5, 25], [5, 25, 45, 65], list(range(3, 60, 9))])
+        for at in shared + rng.sample(range(150), rng.randint(0, 9)):
+            near[at] = f"s{at}" if at in shared else f"n{i}-{at}"
+        texts.append(" ".join(near))
+    rows = list(enumerate(texts))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=4)
+    found = sorted((tuple(r) for r in got.select("doc_id", "n_shingles", "component_id", "kept").collect()), key=str)
+    assert found == brute(rows, 4)
+    assert 3 < len({r[2] for r in found}) < 150
+
+
 def test_repeated_rows_and_null_ids(spark):
     text = "a b c d e f g h i j"
     df = spark.createDataFrame([(None, text, *"xyz"), (7, text, *"xyz"), (7, text, *"xyz"), (None, None, *"xyz"),
@@ -109,4 +127,3 @@ def test_shingles():
     s = Shingler(4)
     assert len(s("a b c d a b c d")) == 4 and len(s("a b")) == 1 and len(s(" ")) == 0
     assert (s("A b\tC d") == s("a  B c\nD")).all() and (s("É b") != s("é b")).all()
-    assert similar_sets(s("a b c d e f g h").tobytes(), s("a b c d e f g h i").tobytes())
