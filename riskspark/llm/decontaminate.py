@@ -13,6 +13,7 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 OTHER = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
 WINDOW = 13
 BROADCAST_ROWS = 1_000_000  # hashes of benchmark windows sent to every executor; joined by shuffle beyond
+LEADS = 20_000              # first word pairs that fit a literal set; beyond, every window is hashed
 
 
 def folded_words(text: Column) -> Column:
@@ -23,33 +24,42 @@ def folded_words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), fold)
 
 
-def window_hashes(words: Column, lengths: list[int]) -> Column:
-    """struct(pos, len, h) for every window of each length; words are hashed once.
+def lead_hash(hashes: Column, i: Column, n: int) -> Column:
+    """Hash of the first two words (or the only one) of the window at ``i``."""
+    return F.xxhash64(F.slice(hashes, i, min(2, n)))
 
-    The one-element arrays bind the word hashes to a lambda variable: a plain column could be
+
+def window_hashes(words: Column, leads: dict[int, list[int] | None]) -> Column:
+    """struct(pos, len, h) for every window of each length that starts with one of its leads
+    (None: every window), behind one marker with pos 0. Words are hashed once.
+
+    The one-element array binds the word hashes to a lambda variable: a plain column could be
     inlined by the optimizer and be computed again for each window.
     """
     def of_length(hashes: Column, n: int) -> Column:
         starts = F.when(F.size(hashes) >= n, F.sequence(F.lit(1), F.size(hashes) - n + 1)).otherwise(
             F.array().cast("array<int>"))
+        if leads[n] is not None:
+            starts = F.filter(starts, lambda i: lead_hash(hashes, i, n).isin(leads[n]))
         return F.transform(starts, lambda i: F.struct(
             i.alias("pos"), F.lit(n).alias("len"), F.xxhash64(F.slice(hashes, i, n)).alias("h")))
 
     bound = F.array(F.transform(words, lambda w: F.xxhash64(w)))
     none = F.array(F.struct(F.lit(0).alias("pos"), F.lit(0).alias("len"), F.lit(None).cast("long").alias("h")))
-    return F.flatten(F.transform(bound, lambda hs: F.concat(none, *[of_length(hs, n) for n in lengths])))
+    return F.flatten(F.transform(bound, lambda hs: F.concat(none, *[of_length(hs, n) for n in leads])))
 
 
 def benchmark_windows(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """gram, len, h, items: each distinct window of the benchmark with the items that hold it."""
+    """gram, len, h, lead, items: each distinct window of the benchmark with the items that hold it."""
     words = id_and_text(benchmark, id_col, text_col).select(
         F.col("doc_id").cast("string").alias("item_id"), folded_words(F.col("text")).alias("w")).where(F.size("w") > 0)
     n = F.least(F.size("w"), F.lit(window))
     rows = words.select("item_id", "w", n.alias("len"), F.explode(F.sequence(F.lit(1), F.size("w") - n + 1)).alias("i"))
     part = F.slice("w", F.col("i"), F.col("len"))
-    return (rows.select("item_id", "len", F.array_join(part, " ").alias("gram"),
-                        F.xxhash64(F.transform(part, lambda w: F.xxhash64(w))).alias("h"))
-            .groupBy("gram", "len", "h").agg(F.collect_set("item_id").alias("items")))
+    hashed = F.transform(part, lambda w: F.xxhash64(w))
+    return (rows.select("item_id", "len", F.array_join(part, " ").alias("gram"), F.xxhash64(hashed).alias("h"),
+                        F.xxhash64(F.slice(hashed, 1, 2)).alias("lead"))
+            .groupBy("gram", "len", "h", "lead").agg(F.collect_set("item_id").alias("items")))
 
 
 def benchmark_hits(
@@ -59,17 +69,21 @@ def benchmark_hits(
     """(documents, hits): documents has doc_id, row, n_words per input row; hits has doc_id, row,
     pos, len, items per verified occurrence of a benchmark window (``row`` hashes id and text).
 
-    One pass over the text: all window hashes stream past the broadcast hash set, and only
-    windows whose hash is in it (with one marker row per document) are written. Their words are
-    then compared, so a hash collision is no hit.
+    One pass over the text: windows that start with two words some benchmark window starts with
+    are hashed and stream past the broadcast hash set; only windows whose hash is in it (with one
+    marker row per document) are written. Their words are then compared, so a hash collision is
+    no hit.
     """
     grams = materialize(benchmark_windows(benchmark, window, item_col, item_text), "benchmark-windows")
-    lengths = sorted(r[0] for r in grams.select("len").distinct().collect())  # at most `window` numbers
+    leads: dict[int, list[int] | None] = {r[0]: None for r in grams.select("len").distinct().collect()}  # at most `window` keys
+    pairs = grams.select("len", "lead").distinct().limit(LEADS + 1).collect()
+    if len(pairs) <= LEADS:
+        leads = {n: [r.lead for r in pairs if r.len == n] for n in leads}
     hashes = grams.select("h", F.lit(True).alias("in_set")).distinct()
     hashes = F.broadcast(hashes) if grams.count() <= BROADCAST_ROWS else hashes.hint("merge")
     worded = id_and_text(docs, id_col, text_col).select(
         "doc_id", F.xxhash64("doc_id", "text").alias("row"), folded_words(F.col("text")).alias("w"))
-    windows = worded.select("doc_id", "row", "w", F.inline(window_hashes(F.col("w"), lengths)))
+    windows = worded.select("doc_id", "row", "w", F.inline(window_hashes(F.col("w"), leads)))
     found = materialize(
         windows.join(hashes, "h", "left").where("in_set OR pos = 0")
         .select("doc_id", "row", F.size("w").alias("n_words"), "pos", "len",
