@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark.llm.common import id_and_text, materialize
-from riskspark.llm.tokens import WordCoder
+from riskspark.llm.tokens import word_coder
 
 TOKENS_SCHEMA = "doc_id long, part int, before long, doc_tokens long, ids binary"
 PIECES_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -23,7 +23,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str
     """First pass: each document's ids, and the tokens before it within its partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordCoder(tokenizer_path)
+        coder = word_coder(tokenizer_path)
         end = np.array([end_id], coder.dtype).tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -63,7 +63,7 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int =
         rows.append((part, base))
         base += total
     bases = spark.createDataFrame(rows, "part int, base long")
-    width = WordCoder(tokenizer_path).dtype.itemsize
+    width = word_coder(tokenizer_path).dtype.itemsize
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -24,7 +24,7 @@ BYTE_LEVEL_PATTERN = (
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 LONG_RUN = 5_000          # longer runs of one kind of character go to the library
-MEMO_WORDS = 300_000      # words remembered per task; the memory starts again beyond that
+MEMO_WORDS = 500_000      # words remembered per worker; the memory starts again beyond that
 
 
 def version_digest(path: str) -> str:
@@ -94,7 +94,7 @@ class WordCoder:
     """Ids of texts under a lower-casing word BPE that drops white space.
 
     Tokens never span ASCII white space there, so each chunk between such space is encoded
-    once per task and remembered. New chunks of Latin letters (up to U+024F, where lower-casing
+    once and remembered. New chunks of Latin letters (up to U+024F, where lower-casing
     and composition work per character) are encoded together by one call; the end-of-word mark
     is a zero byte, which no such chunk holds. All other chunks go to the library.
     """
@@ -161,3 +161,9 @@ class WordCoder:
         if new:
             self._learn(new)
         return [b"".join(map(self.memo.__getitem__, c)) for c in chunks]
+
+
+@lru_cache(maxsize=2)
+def word_coder(path: str) -> WordCoder:
+    """One coder per worker process, so that tasks that follow one another share its memory."""
+    return WordCoder(path)
