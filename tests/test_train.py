@@ -43,11 +43,6 @@ def test_columns_by_type(raw):
     assert set(C.numeric_columns(cleaned)) == {*NUMERIC_FEATURES, "isFraud"}
 
 
-def test_an_id_is_not_a_category(spark):
-    with pytest.raises(ValueError, match="more than"):
-        C.categories(spark.range(2000).selectExpr("CAST(id AS STRING) AS c"), "c")
-
-
 def test_stage_encoding_equals_the_columns(transactions):
     featured = X.add_features(transactions)
     scaler = C.fit_scaler(featured)
