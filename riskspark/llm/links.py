@@ -87,7 +87,8 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
     from a large group from being compared with each of its members. Elements that no other
     remaining node holds are common to no pair. And two nodes compared with one pivot that share
     no element the pivot lacks differ in all such elements of both, and at least in as many of
-    the pivot's as the numbers they lack differ. Pairs that do share one are found by it.
+    the pivot's as the numbers they lack differ. Pairs that do share some are found by them, and the
+    same difference, less what they share, must be small enough.
     """
     members = materialize(members.select("key", "node").join(sets.select("node", "size"), "node"), "link-members")
     crowds = members.groupBy("key").agg(F.count("*").alias("crowd"))
@@ -156,9 +157,14 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
     novel = materialize(novel_elements(sets, nodes.where("home IS NOT NULL AND home <> node"), elements), "link-novel")
     held = novel.groupBy("home", "item").agg(F.count("*").alias("n")).where("n > 1").select("home", "item")
     held = materialize(novel.join(held, ["home", "item"]).select("home", "item", "node"), "link-held")
-    held = held.join(nodes.drop("home"), "node")
-    other = held.withColumnsRenamed({k: v for k, v in renamed.items() if k not in ("home", "keys")})
-    by_novel = held.join(other, ["home", "item"]).where("comp < other_comp").where(fits("shared", "other_shared"))
+    # at most the elements of one set
+    items = held.groupBy("node").agg(F.collect_set("item").alias("items"))
+    held = held.join(nodes.drop("home").join(items, "node"), "node")
+    other = held.withColumnsRenamed({"items": "other_items"} | {k: v for k, v in renamed.items() if k not in ("home", "keys")})
+    both = F.array_intersect("items", "other_items")
+    still = (100 + percent) * (apart - 2 * F.size(both)) <= (100 - percent) * (F.col("size") + F.col("other_size"))
+    by_novel = held.join(other, ["home", "item"]).where("comp < other_comp").where(
+        fits("shared", "other_shared")).where(still).where(F.array_min(both) == F.col("item"))
     pair = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
     settle(by_key.select(*pair).unionByName(by_novel.select(*pair)).distinct())
     return labels, edges
