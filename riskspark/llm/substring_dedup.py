@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.common import id_and_text, materialize
+from riskspark.llm.common import bucketed, id_and_text, materialize
 from riskspark.llm.minhash import mix
 from riskspark.llm.suffix_groups import neighbour_prefixes, suffix_array
 
@@ -22,7 +21,8 @@ BATCH_BYTES = 150_000      # text of several anchors ordered together
 PIECE = 1 << 20            # window starts hashed at once
 
 _BYTE = np.random.default_rng(10).integers(1, 2**63, 256, dtype=np.uint64)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+# one odd factor per doubling of the hashed width
+_FACTORS = {1 << k: np.uint64(0x9E3779B97F4A7C15 + 0xBF58476D1CE4E5B8 * k & 0xFFFFFFFFFFFFFFFF | 1) for k in range(5)}
 _PLACE = np.uint64(2**28 - 1)
 
 
@@ -38,7 +38,7 @@ def anchors(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, ...]:
         part = np.frombuffer(raw[base : base + PIECE + length - 1], np.uint8)
         h, width = _BYTE[part], 1
         while width < GRAM:
-            h = h[:-width] * _STEP + mix(h[width:])
+            h = h[:-width] * _FACTORS[width] + h[width:]
             width *= 2
         h = mix(h)
         low = (h & ~_PLACE) | np.arange(len(h), dtype=np.uint64)
@@ -305,12 +305,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     repeat each other's; null ids stay null; an empty table gives no rows; extra columns are
     ignored.
     """
-    spark = docs.sparkSession
-    name = f"substring_dedup_{uuid.uuid4().hex[:12]}"
-    # written once, bucketed by row: the two joins on it move only their small side
-    (id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-     .write.option("compression", "zstd").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "row").saveAsTable(name))
-    source = spark.table(name)
+    source = bucketed(
+        id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "row", "substring_dedup")
     cuts = repeated_ranges(source.select("row", "text"), length).groupBy("row").agg(
         F.collect_list(F.struct("a", "b")).alias("cuts"))
     cuts = materialize(cuts, "substring-cuts")

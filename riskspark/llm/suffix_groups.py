@@ -36,7 +36,25 @@ def suffix_array(symbols: list[int]) -> list[int]:
     prev = [-1] * n
     end = n
     while end > 0:
-        start = group[order[end - 1]]
+        i = order[end - 1]
+        start = group[i]
+        if start == end - 1:  # a group of one, by far the most frequent
+            j = i - 1
+            while j >= 0 and group[j] >= start:
+                j = prev[j]
+            prev[i] = j
+            if j >= 0:
+                g = group[j]
+                last = g + size[g] - 1
+                if last != g:
+                    size[g] -= 1
+                    at, other = place[j], order[last]
+                    order[at], order[last] = other, j
+                    place[other], place[j] = at, last
+                    group[j] = last
+                    size[last] = 1
+            end = start
+            continue
         met: dict[int, int] = {}
         # from left to right, so that a neighbour in the same group has its pointer already
         members = order[start:end]
