@@ -155,7 +155,7 @@ RANGE_SCHEMA = "h long, cd long, ranges array<struct<a:int,b:int>>"
 def _ordered(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Covered ranges of the contexts of each anchor; rows of one anchor follow one another."""
     held: list[tuple[int, int, int, bytes]] = []   # h, cd, offset in the context, string
-    whole: list[tuple[int, int, int]] = []         # contexts that occur twice are covered whole
+    whole: list[tuple[int, int, int, int]] = []    # h, cd and a range covered as it stands
     weight = 0
     group: list[tuple] = []
 
@@ -163,14 +163,18 @@ def _ordered(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
         """Reduce the open group to the distinct strings its contexts share."""
         nonlocal weight
         contexts = [(data, rel) for _, _, rel, _, data in group]
-        strings: dict[bytes, int] = {}
+        found: list[tuple[int, int, int, bytes]] = []
         for (h, cd, _, times, data), (a, b) in zip(group, shared_parts(contexts, length), strict=True):
             if times > 1:
-                whole.append((h, cd, len(data)))
+                whole.append((h, cd, 0, len(data)))
             if b > a:
-                held.append((h, cd, a if times == 1 else -1, data[a:b]))
-                strings[data[a:b]] = 1
-        weight += sum(map(len, strings))
+                found.append((h, cd, a if times == 1 else -1, data[a:b]))
+        strings = {f[3] for f in found}
+        if len(strings) > 1:
+            held.extend(found)
+            weight += sum(map(len, strings))
+        elif len(found) > 1:  # all share one string, and no other anchor can hold its windows
+            whole.extend((h, cd, a, a + len(part)) for h, cd, a, part in found if a >= 0)
         group.clear()
 
     def flush() -> pa.RecordBatch:
@@ -190,10 +194,10 @@ def _ordered(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
                 keys_h.append(h)
                 keys_cd.append(cd)
                 ranges.append([{"a": a + offset, "b": b + offset} for a, b in own])
-        for h, cd, n in whole:
+        for h, cd, a, b in whole:
             keys_h.append(h)
             keys_cd.append(cd)
-            ranges.append([{"a": 0, "b": n}])
+            ranges.append([{"a": a, "b": b}])
         held, whole, weight = [], [], 0
         return pa.RecordBatch.from_arrays(
             [pa.array(keys_h, pa.int64()), pa.array(keys_cd, pa.int64()),
