@@ -31,6 +31,7 @@ RULES = {
     "short_words": "1 - least(try_divide(word_chars, n_words) / 8, 1)",
 }
 GRID = 200  # cutoffs are k / GRID
+BUCKETS = 1000  # of document ids, by which labels are dealt to design and test
 
 
 def measure_text(text: str) -> tuple[int, ...]:
@@ -102,71 +103,151 @@ def rule_scores() -> F.Column:
     ])
 
 
+def least_good(risk: float, error: float) -> int:
+    """Good documents needed for a bound: the least n with (1 - risk) ** n <= error."""
+    return math.ceil(math.log(error) / math.log1p(-risk))
+
+
+def _with_stratum(rows: DataFrame, per: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their stratum, null being one; ``per`` is a written table."""
+    # one small row per stratum: sent whole while few, joined by shuffle beyond
+    per = F.broadcast(per) if per.count() <= 10_000 else per.hint("merge")
+    per = per.withColumnRenamed("stratum", "s")
+    return rows.join(per, F.col("stratum").eqNullSafe(F.col("s")), "left").drop("s")
+
+
+def _halved(holdout: DataFrame, risk: float, limit: float) -> DataFrame:
+    """The holdout with ``design`` (else the document is tested) and n_bad, n_design, n_test of its
+    stratum. Bad documents are in both parts. The hash of the id alone decides, and a quarter of
+    the good ones at most, as far as the rest can still pass, goes to the design."""
+    run = Window.partitionBy("stratum").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
+    good = F.sum("good").over(Window.partitionBy("stratum"))
+    # at most BUCKETS rows per stratum
+    cells = (holdout.groupBy("stratum", "bucket").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"))
+             .withColumn("n_good", good).withColumn("upto", F.sum("good").over(run))
+             .withColumn("taken", F.col("upto") <= F.least(F.floor(F.col("n_good") / 4), F.col("n_good") - least_good(risk, limit))))
+    per = cells.groupBy("stratum").agg(
+        F.coalesce(F.max(F.when(F.col("taken"), F.col("bucket"))), F.lit(-1)).alias("border"), F.sum("bad").alias("n_bad"),
+        F.sum(F.when(F.col("taken"), F.col("good")).otherwise(0)).alias("n_design"),
+        F.sum(F.when(F.col("taken"), 0).otherwise(F.col("good"))).alias("n_test"))
+    return _with_stratum(holdout, materialize(per, "quality-strata")).withColumn(
+        "design", F.col("bucket") <= F.col("border")).drop("bucket", "border")
+
+
+def _path(holdout: DataFrame, loss_weight: float) -> DataFrame | None:
+    """stratum and its path: structs (turn, at, rule, cut), ``at`` counting from 0 in ``RULES``.
+
+    Greedy over the design part: each turn takes, among the documents that the rules so far keep, the
+    rule and cutoff of the best share of bad documents caught, less ``loss_weight`` times the
+    share of good ones lost; a turn without gain ends the path."""
+    rows = holdout.where("design OR good = 0")
+    key = Window.partitionBy("stratum", "at")
+    upto = key.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
+    path = picks = None
+    for turn in range(len(RULES)):
+        left = rows
+        if path is not None:
+            left = _with_stratum(rows, path).where("path IS NOT NULL AND NOT exists(path, p -> bins[p.at] > p.cut)")
+        # a cutoff is a whole below the lowest bin it rejects
+        table = (
+            left.select("stratum", "good", "n_bad", "n_design", F.posexplode("bins").alias("at", "bin"))
+            .groupBy("stratum", "at", "bin").agg(
+                F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"),
+                F.first("n_bad").alias("n_bad"), F.first("n_design").alias("n_design"))
+            .withColumn("gain", F.coalesce(F.try_divide(F.sum("bad").over(upto), "n_bad"), F.lit(0.0))
+                        - loss_weight * F.coalesce(F.try_divide(F.sum("good").over(upto), "n_design"), F.lit(0.0)))
+            .withColumn("cut", F.col("bin") - 1).where("gain > 0 AND cut >= 0")
+        )
+        if path is not None:
+            table = _with_stratum(table, path).where("NOT exists(path, p -> p.at = at)")
+        best = Window.partitionBy("stratum").orderBy(F.desc("gain"), F.desc("cut"), "at")
+        names = F.array(*[F.lit(r) for r in RULES])
+        pick = materialize(
+            table.withColumn("place", F.row_number().over(best)).where("place = 1")
+            .select("stratum", F.lit(turn).alias("turn"), "at", names[F.col("at")].alias("rule"), "cut"), "quality-pick")
+        if pick.isEmpty():
+            break
+        picks = pick if picks is None else picks.unionByName(pick)
+        path = materialize(picks.groupBy("stratum").agg(
+            F.array_sort(F.collect_list(F.struct("turn", "at", "rule", "cut"))).alias("path")), "quality-path")
+    return path
+
+
+CUTOFF_SCHEMA = "stratum string, rule string, cutoff double, n_good long, good_lost long, bad_caught long, p_value double"
+
+
 def choose_cutoffs(
     measured: DataFrame, labels: DataFrame, risk: float = 0.01, error: float = 0.05, min_words: int = 50,
     loss_weight: float = 20.0, label_id: str = "doc_id", label: str = "quality",
 ) -> DataFrame:
-    """stratum, rule, cutoff, n_good, good_lost, bad_caught, p_value.
+    """stratum, rule, cutoff, n_good, good_lost, bad_caught, p_value; the last four are those of all
+    cutoffs of the stratum together.
 
     Holdout: documents labelled 1 (good) or 0 (bad) that pass the base rules; of several labels
-    of one document the lowest holds, null labels count for nothing. The allowed share ``risk``
-    of falsely rejected good documents in a stratum is divided evenly among the rules. Cutoffs of
-    a rule are tried from the mildest down; a cutoff passes if the exact binomial probability of
-    losing as few good documents as seen, were the true share at its limit, is at most
-    ``error`` / (rules x strata) (Bonferroni over the chains); the chain ends at its first
-    failure, which needs no further correction. With probability 1 - ``error`` every stratum
-    so loses at most ``risk`` of its good documents. Of the passing cutoffs the one with the best
-    share of bad documents caught, less ``loss_weight`` times the share of good ones lost, is taken,
-    the mildest of equals; a rule that gains nothing gets no cutoff.
+    of one document the lowest holds, null labels count for nothing. Each stratum tests one
+    chain of cutoff vectors, each stricter than the last: rule by rule in the order of its
+    path, from the mildest cutoff of the grid down to the path's. The path comes from the bad documents and a
+    part of the good ones, the test from the other good ones, so the order does not depend on them. A vector
+    passes if the exact binomial probability of losing as few good documents to any of its rules as
+    seen, were the true share ``risk``, is at most ``error`` / strata (Bonferroni over
+    strata); the chain ends at its first failure, which needs no further correction. With
+    probability 1 - ``error`` every stratum so loses at most ``risk`` of its good documents. Of
+    the passing vectors the one with the best share of bad documents caught, less ``loss_weight`` times the
+    share of good ones lost, is taken, the mildest of equals; without gain there is none.
     """
     held = labels.where(F.col(f"`{label}`").isin(0, 1)).groupBy(F.col(f"`{label_id}`").alias("doc_id")).agg(
-        F.min(F.col(f"`{label}`")).alias("good"))
+        F.min(F.col(f"`{label}`")).cast("long").alias("good"))
 
     @F.pandas_udf("double")
     def tail(n: pd.Series, k: pd.Series) -> pd.Series:
-        limit = risk / len(RULES)
-        return pd.Series([binomial_lower_tail(a, b, limit) for a, b in zip(n.tolist(), k.tolist(), strict=True)], dtype=float)
+        return pd.Series([binomial_lower_tail(a, b, risk) for a, b in zip(n.tolist(), k.tolist(), strict=True)], dtype=float)
 
-    scored = materialize(
+    # the lowest k with score <= k / GRID: only cutoffs below it reject the document
+    bins = F.transform(rule_scores(), lambda r: F.least(F.lit(GRID), F.ceil(r["score"] * GRID)).cast("int"))
+    holdout = materialize(
         measured.where(f"n_words >= {min_words} AND 100 * n_repeat_words <= 50 * n_words")
         .join(held, "doc_id")
-        .select("stratum", "good", F.inline(rule_scores()))
-        # the lowest k with score <= k / GRID: only cutoffs below it reject the document
-        .withColumn("bin", F.least(F.lit(GRID), F.ceil(F.col("score") * GRID)).cast("int"))
-        .groupBy("stratum", "rule", "bin").agg(F.sum("good").alias("good"), F.count("*").alias("n")),
+        .select("stratum", "good", bins.alias("bins"), F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).alias("bucket")),
         "quality-holdout")
-    chains = max(1, scored.select("stratum").distinct().count()) * len(RULES)
-    key = Window.partitionBy("stratum", "rule")
-    above = key.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, -1)
-    upto = key.orderBy(F.desc("bin")).rowsBetween(Window.unboundedPreceding, 0)
-    bad = F.col("n") - F.col("good")
-    # one row per grid point with a document: at most rules x grid rows per stratum
+    limit = error / max(1, holdout.select("stratum").distinct().count())
+    holdout = _halved(holdout, risk, limit)
+    path = _path(holdout, loss_weight)
+    if path is None:
+        return measured.sparkSession.createDataFrame([], CUTOFF_SCHEMA)
+    # the chain spends GRID - cut steps on a rule, after those of the rules before it
+    starts = F.transform("path", lambda p: F.struct(
+        p["rule"].alias("rule"), p["at"].alias("at"), p["cut"].alias("cut"),
+        F.aggregate(F.filter("path", lambda q: q["turn"] < p["turn"]), F.lit(0), lambda n, q: n + GRID - q["cut"]).alias("start")))
+    chain = materialize(path.select("stratum", starts.alias("path")), "quality-chain")
+    upto = Window.partitionBy("stratum").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    best = Window.partitionBy("stratum").orderBy(F.desc("gain"), "step")
+    # one row per step at which some document is first rejected: at most rules x grid per stratum
     table = (
-        scored.withColumn("n_good", F.sum("good").over(key))
-        .withColumn("n_bad", F.sum(bad).over(key))
-        .withColumn("good_lost", F.coalesce(F.sum("good").over(above), F.lit(0)))
-        .withColumn("bad_caught", F.coalesce(F.sum(bad).over(above), F.lit(0)))
+        _with_stratum(holdout.where("good = 0 OR NOT design"), chain)
+        .withColumn("step", F.expr(f"array_min(transform(filter(path, p -> bins[p.at] > p.cut), p -> p.start + {GRID} - bins[p.at] + 1))"))
+        .where("step IS NOT NULL")
+        .groupBy("stratum", "step").agg(F.sum("good").alias("good"), F.sum(1 - F.col("good")).alias("bad"),
+                                        F.first("n_test").alias("n_good"), F.first("n_bad").alias("n_bad"))
+        .withColumn("good_lost", F.sum("good").over(upto)).withColumn("bad_caught", F.sum("bad").over(upto))
         .withColumn("p_value", tail("n_good", "good_lost"))
-        .withColumn("chain", F.min((F.col("p_value") <= error / chains).cast("int")).over(upto))
+        .withColumn("passes", F.min((F.col("p_value") <= limit).cast("int")).over(upto))
         .withColumn("gain", F.expr(f"try_divide(bad_caught, n_bad) - {loss_weight} * try_divide(good_lost, n_good)"))
-        .where("chain = 1 AND gain > 0")
+        .where("passes = 1 AND gain > 0")
+        .withColumn("place", F.row_number().over(best)).where("place = 1")
     )
-    best = Window.partitionBy("stratum", "rule").orderBy(F.desc("gain"), F.desc("bin"))
-    return (table.withColumn("place", F.row_number().over(best)).where("place = 1")
-            .select("stratum", "rule", (F.col("bin") / GRID).alias("cutoff"), "n_good", "good_lost", "bad_caught", "p_value"))
+    return (
+        _with_stratum(materialize(table.select("stratum", "step", "n_good", "good_lost", "bad_caught", "p_value"), "quality-steps"), chain)
+        .select("*", F.inline("path")).where("step > start")
+        .select("stratum", "rule", (F.greatest(F.col("cut"), GRID - F.col("step") + F.col("start")) / GRID).alias("cutoff"),
+                "n_good", "good_lost", "bad_caught", "p_value"))
 
 
 def judge(measured: DataFrame, cutoffs: DataFrame, min_words: int = 50) -> DataFrame:
     """The measures with base_failed, failed_rules and kept."""
     per = cutoffs.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
-    per = materialize(per, "quality-cutoffs")
-    strata = per.count()
-    # one small map per stratum: sent whole while few, joined by shuffle beyond
-    per = F.broadcast(per) if strata <= 10_000 else per.hint("merge")
-    per = per.withColumnRenamed("stratum", "s")
     failed = F.filter(rule_scores(), lambda r: F.coalesce(r["score"] > F.element_at("cutoffs", r["rule"]), F.lit(False)))
     return (
-        measured.join(per, F.col("stratum").eqNullSafe(F.col("s")), "left").drop("s")
+        _with_stratum(measured, materialize(per, "quality-cutoffs"))
         .withColumn("base_failed", F.expr(f"n_words < {min_words} OR 100 * n_repeat_words > 50 * n_words"))
         .withColumn("failed_rules", F.transform(failed, lambda r: r["rule"]))
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))

@@ -81,6 +81,42 @@ def test_few_labels_give_no_cutoffs(spark):
     assert all(r.kept for r in got.collect())
 
 
+def test_default_risk_needs_some_hundred_labels(spark):
+    """480 good labels a stratum, as sf0.1 has for its smaller languages, and the shipped 1 %."""
+    rng = random.Random(7)
+    rows, labels = [], []
+    for i in range(4 * 530):
+        bad = i % 530 >= 480
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(60)]
+        rows.append((i, " ".join(w + "#" if bad else w for w in words), ["en", "de", "fr", None][i // 530], "s", "r", "c"))
+        labels.append((i, 0 if bad else 1, 0))
+    docs, held = spark.createDataFrame(rows, DDL), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = choose_cutoffs(measures(docs), held).collect()
+    assert {r.stratum for r in found} == {"en", "de", "fr", None}
+    assert all(r.p_value <= 0.05 / 4 and r.n_good >= 437 for r in found)
+    kept = {r.doc_id: r.kept for r in quality_rules(docs, held).collect()}
+    assert not any(kept[i] for i, q, _ in labels if q == 0)
+    assert sum(not kept[i] for i, q, _ in labels if q == 1) <= 0.01 * 4 * 480
+
+
+def test_the_limit_holds_for_all_rules_together(spark):
+    """Two rules that lose 0.8 % of the good documents each may not both pass at 1 %."""
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(6000):
+        bad, odd = i % 10 == 0, i % 125
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(60)]
+        hashes = (bad and i % 20 == 0) or odd == 1
+        shouts = (bad and i % 20 != 0) or odd == 3
+        text = " ".join((w.upper() if shouts else w) + ("#" if hashes else "") for w in words)
+        rows.append((i, text, "en", "s", "r", "c"))
+        labels.append((i, 0 if bad else 1, 0))
+    docs, held = spark.createDataFrame(rows, DDL), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    kept = {r.doc_id: r.kept for r in quality_rules(docs, held).collect()}
+    good = [i for i, q, _ in labels if q == 1]
+    assert sum(not kept[i] for i in good) <= 0.01 * len(good)
+
+
 def test_odd_rows_and_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     same = " ".join(["a b c"] * 30)
