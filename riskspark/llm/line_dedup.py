@@ -13,14 +13,14 @@ from riskspark.llm.common import bucketed, materialize
 from riskspark.llm.links import link
 from riskspark.llm.minhash import mix
 
-SHINGLE = 9            # bytes; long enough that unrelated lines of one language share few
+SHINGLE = 5            # code points, so that scripts of two and three bytes are judged alike
 BANDS, ROWS = 12, 4    # lines at similarity 0.8 share no band with probability 0.002, at 0.9 3e-6
 PERCENT = 80
 CHUNK = 160_000        # bytes hashed at once, so that the arrays stay in the processor's cache
 
 _seed = np.random.default_rng(9)
 _BYTE = _seed.integers(1, 2**63, 256, dtype=np.uint64)
-_FACTORS = (_seed.integers(1, 2**62, 4, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).tolist()
+_FACTORS = (_seed.integers(1, 2**62, 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).tolist()
 _FLIP = _seed.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
 _TIMES = _seed.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -36,19 +36,28 @@ def text_lines(text: str) -> list[tuple[int, bytes]]:
     return [(i, n) for i, line in enumerate(text.split("\n")) if (n := normal_line(line))]
 
 
+def points(line: bytes) -> int:
+    """Code points of a normalised line."""
+    return len(line) if line.isascii() else len(line.decode())
+
+
 def rolling_hashes(raw: bytes) -> np.ndarray:
-    """64-bit hashes of all ``SHINGLE``-byte strings of ``raw``, in order."""
-    one = _BYTE[np.frombuffer(raw, np.uint8)]
+    """64-bit hashes of all strings of ``SHINGLE`` code points of ``raw``, in order."""
+    if raw.isascii():
+        one = _BYTE[np.frombuffer(raw, np.uint8)]
+    else:
+        code = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
+        one = np.where(code < 256, _BYTE[np.minimum(code, 255)], mix(code * _STEP))
     h = one
-    for k, width in enumerate((1, 2, 4)):  # hashes of 2, 4, then 8 bytes
+    for k, width in enumerate((1, 2)):  # hashes of 2, then 4 code points
         h = h[:-width] * np.uint64(_FACTORS[k]) + h[width:]
-    return mix(h[:-1] * np.uint64(_FACTORS[3]) + one[8:])
+    return mix(h[:-1] * np.uint64(_FACTORS[2]) + one[4:])
 
 
 def line_bands(lines: list[bytes]) -> np.ndarray:
-    """MinHash band keys, one row per line; every line has at least ``SHINGLE`` bytes."""
+    """MinHash band keys, one row per line; every line has at least ``SHINGLE`` code points."""
     h = (rolling_hashes(b"".join(lines)) >> np.uint64(32)).astype(np.uint32)
-    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    sizes = np.fromiter(map(points, lines), np.int64, len(lines))
     ends = np.cumsum(sizes)
     bounds = np.stack([ends - sizes, ends - SHINGLE + 1], axis=1).ravel()
     # the last end may be the end of the array, which reduceat does not take as a start
@@ -63,7 +72,7 @@ def line_bands(lines: list[bytes]) -> np.ndarray:
 
 def shingle_hashes(line: bytes) -> np.ndarray:
     """The set of a line's shingles, by their 64-bit hashes; empty for shorter lines."""
-    return np.unique(rolling_hashes(line)) if len(line) >= SHINGLE else np.empty(0, np.uint64)
+    return np.unique(rolling_hashes(line)) if points(line) >= SHINGLE else np.empty(0, np.uint64)
 
 
 def _halves(line: bytes) -> tuple[int, int]:
@@ -87,7 +96,7 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found = kinds.get(line)
                 if found is None:
                     found = kinds[line] = _halves(line)
-                    if len(line) >= SHINGLE:
+                    if points(line) >= SHINGLE:
                         first.append(len(rows))
                         todo.append(line)
                 rows.append(row)
@@ -156,10 +165,10 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     """Every document: doc_id, rest (its other columns), n_lines, n_removed and the text left.
 
     Lines between ``\\n`` that hold a word are compared after ``normal_line``. Equal lines, and
-    lines whose sets of ``SHINGLE``-byte shingles reach ``percent`` Jaccard similarity, are
+    lines whose sets of shingles of ``SHINGLE`` code points reach ``percent`` Jaccard similarity, are
     linked; of each component of links the line of the lowest doc_id (null last), then of the
     first row, then the first in the text stays, all others go with one line end. Lines of fewer
-    than ``SHINGLE`` bytes are linked only if equal. Blank lines stay.
+    than ``SHINGLE`` code points are linked only if equal. Blank lines stay.
 
     Equal lines are found by 128-bit digests, so a line that a third of the documents holds is
     one node; near links use 64 bits of it. Null text stays null and has no lines; repeated rows

@@ -105,3 +105,37 @@ def test_bands_of_the_shortest_line():
     both = line_bands([a, b])
     assert (both[0] == line_bands([a])[0]).all() and (both[1] == line_bands([b])[0]).all()
     assert not (both[0] == both[1]).any()
+
+
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщ", "天地玄黃宇宙洪荒日月盈昃辰宿列張寒來暑往"])
+def test_one_word_edits_in_short_lines(spark, letters):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices(letters, k=rng.randint(2, 9)))
+    planted = []
+    for _ in range(60):
+        words = [word() for _ in range(9)]
+        while not 50 <= len(" ".join(words)) <= 130:
+            words = [word() for _ in range(rng.randint(8, 20))]
+        edited = list(words)
+        at = rng.randrange(1, len(words) - 1)
+        edited[at] = edited[at][:-1] + rng.choice(letters)
+        planted.append((" ".join(words), " ".join(edited)))
+
+    def near(a, b):
+        x, y = ({t[i : i + 5] for i in range(len(t) - 4)} for t in (a, b))
+        return 100 * len(x & y) >= 80 * len(x | y)
+
+    want = [near(a, b) for a, b in planted]
+    assert sum(want) > 30
+    rows = [(2 * i + k, line) for i, pair in enumerate(planted) for k, line in enumerate(pair)]
+    got = {r.doc_id: r.n_removed for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [bool(got[2 * i + 1]) for i in range(len(planted))] == want
+    assert not any(got[2 * i] for i in range(len(planted)))
+
+
+def test_hashes_do_not_depend_on_neighbours():
+    lines = ["plain ascii line", "näive zeile", "天地玄黃宇宙"]
+    both = line_bands([x.encode() for x in lines])
+    for k, line in enumerate(lines):
+        assert (both[k] == line_bands([line.encode()])[0]).all()
+        assert len(shingle_hashes(line.encode())) == len(line) - SHINGLE + 1
