@@ -14,7 +14,7 @@ from riskspark.llm.links import link
 from riskspark.llm.minhash import mix
 
 SHINGLE = 5            # code points, so that scripts of two and three bytes are judged alike
-BANDS, ROWS = 12, 4    # lines at similarity 0.8 share no band with probability 0.002, at 0.9 3e-6
+BANDS, ROWS = 20, 4    # lines at similarity 0.8 share no band with probability 3e-5, at 0.9 5e-10
 PERCENT = 80
 CHUNK = 160_000        # bytes hashed at once, so that the arrays stay in the processor's cache
 
