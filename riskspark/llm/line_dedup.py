@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from riskspark.llm.common import bucketed, materialize
-from riskspark.llm.links import link
+from riskspark.llm.links import link, shared_buckets
 from riskspark.llm.minhash import mix
 
 SHINGLE = 5            # code points, so that scripts of two and three bytes are judged alike
@@ -180,13 +180,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     read = materialize(texts.mapInArrow(_line_rows, LINE_SCHEMA), "line-ids")
     lines = read.drop("bands")
 
-    # the rows of a bucket are distinct lines by now (copies inside a batch have met); both
-    # bounds come from one shuffle, whose sort spills
-    by_key = Window.partitionBy("key")
-    members = materialize(
-        read.select(F.explode("bands").alias("key"), F.col("lo").alias("node"))
-        .withColumn("lowest", F.min("node").over(by_key)).withColumn("highest", F.max("node").over(by_key))
-        .where("lowest <> highest").select("key", "node").distinct(), "line-buckets")
+    members = shared_buckets(read.select(F.explode("bands").alias("key"), F.col("lo").alias("node")).distinct())
     nodes = members.select(F.col("node").alias("lo")).distinct()
     places = (lines.groupBy("lo").agg(F.min(F.struct("row", "pos")).alias("at")).join(nodes, "lo", "left_semi")
               .select("at.row", F.struct("lo", "at.pos").alias("w")))

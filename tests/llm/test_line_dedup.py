@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from riskspark.llm import line_dedup, links
 from riskspark.llm.line_dedup import SHINGLE, dedup_lines, line_bands, normal_line, shingle_hashes, text_lines
 
 DDL = "doc_id long, text string, lang string, row long, rest string"
@@ -154,3 +155,14 @@ def test_bands_miss_few_lines_near_the_limit():
             lines += [a, b]
     keys = line_bands(lines)
     assert (~(keys[::2] == keys[1::2]).any(axis=1)).sum() <= 1  # 12 bands of 4 miss about ten of 6,000
+
+
+def test_buckets_need_no_window(spark, monkeypatch):
+    """A window would send all rows of a band key through one task."""
+    plans = []
+    for module in (line_dedup, links):
+        real = module.materialize
+        monkeypatch.setattr(module, "materialize", lambda df, name, real=real: (
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString()), real(df, name))[1])
+    dedup_lines(spark.createDataFrame([(1, "one line of text"), (2, "one line of texts")], "doc_id long, text string")).count()
+    assert plans and not any("Window" in p for p in plans)
