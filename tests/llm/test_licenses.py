@@ -1,6 +1,7 @@
 import pytest
 
-from riskspark.llm.licenses import SENTENCES, licenses, normalise
+from riskspark.llm import license_table
+from riskspark.llm.licenses import SENTENCES, licenses, normalise, plain_sentences
 
 DDL = "doc_id long, text string, sid string, pos string"
 MIT = ("MIT License\n\nCopyright (c) 2020 Foo Bar\n\n" + SENTENCES["mit-grant"].replace(", ", ",\n", 4) + "\n\n"
@@ -45,3 +46,41 @@ def test_own_knowledge_and_empty_table(spark):
 @pytest.mark.parametrize(("text", "want"), [("A  b,C!", "a b c"), ("", ""), ("É x", "x")])
 def test_normalise(text, want):
     assert normalise(text) == want
+
+
+LESSER = ("This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\n"
+          "License as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.")
+REAL = [
+    (BSD + "\n3. Neither the name of Example, Inc. nor the names of its contributors may be used to endorse or promote "
+     "products derived from this software without specific prior written permission.", "BSD-3-Clause,all-rights-reserved"),
+    (BSD + "\n3. Neither the name of Example may appear anywhere.", "all-rights-reserved"),
+    ("// SPDX-License-Identifier: BSD-3-Clause", "BSD-3-Clause"),
+    ("# SPDX-License-Identifier: GPL-2.0", "GPL-2.0-only"),
+    ("# SPDX-License-Identifier: GPL-2.0+", "GPL-2.0-or-later"),
+    ("# SPDX-License-Identifier: (MIT OR Apache-2.0)", "Apache-2.0,MIT"),
+    ("SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL-3.0-or-later"),
+    (LESSER, "LGPL-2.1-or-later"),
+    (LESSER.replace("Lesser", "Affero").replace("2.1", "3").replace("library", "program"), "AGPL-3.0-or-later"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "CC-BY-NC-ND-4.0"),
+    ("Licensed under the Eclipse Public License 2.0.", "EPL-2.0"),
+    ("Licensed under CC BY-SA 3.0.", "CC-BY-SA-3.0"),
+]
+
+
+def test_real_forms(spark):
+    got = licenses(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(REAL)], "doc_id long, text string")).collect()
+    assert [r.licenses for r in sorted(got)] == [w for _, w in REAL]
+
+
+def test_full_texts_and_all_identifiers(spark):
+    texts, ids = license_table.texts(), license_table.spdx_ids()
+    rows = [(n, t) for n, t in texts.items()] + [("id " + i, "SPDX-License-Identifier: " + i) for i in ids]
+    got = {r.doc_id: r for r in licenses(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert [n for n in texts if license_table.current(n) not in got[n].licenses.split(",")] == []
+    assert [n for n, x in texts.items() if got[n].n_known < sum(s.count(" ") >= 3 for s in plain_sentences(x))] == []
+    assert [i for i in ids if got["id " + i].licenses != license_table.current(i)] == []
+
+
+def test_headings_of_full_texts_are_no_licence_sentences(spark):
+    got = licenses(spark.createDataFrame([(1, "Preamble. See below. And so on. We read it.")], "doc_id long, text string")).first()
+    assert (got.n_known, got.licenses) == (0, "")
