@@ -10,20 +10,23 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from riskspark.llm.common import bucketed, materialize
-from riskspark.llm.links import link, shared_buckets
+from riskspark.llm.links import link
 from riskspark.llm.minhash import mix
 
 SHINGLE = 5            # code points, so that scripts of two and three bytes are judged alike
-BANDS, ROWS = 20, 4    # lines at similarity 0.8 share no band with probability 3e-5, at 0.9 5e-10
+BANDS, ROWS = 36, 6    # lines at similarity 0.8 share no band with probability 1.8e-5, at 0.9 3e-12
 PERCENT = 80
-CHUNK = 160_000        # bytes hashed at once, so that the arrays stay in the processor's cache
+CHUNK = 64_000         # bytes sketched at once, so that the arrays stay in the processor's cache
+RANGE_KEYS = 2_000_000  # band keys that one range of the key space holds, about
 
 _seed = np.random.default_rng(9)
 _BYTE = _seed.integers(1, 2**63, 256, dtype=np.uint64)
 _FACTORS = (_seed.integers(1, 2**62, 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).tolist()
-_FLIP = _seed.integers(0, 2**32, BANDS * ROWS, dtype=np.uint32)
-_TIMES = _seed.integers(0, 2**31, BANDS * ROWS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_ROUNDS = 2 * BANDS * ROWS
+_FLIP = _seed.integers(0, 2**32, _ROUNDS, dtype=np.uint32)
+_TIMES = _seed.integers(0, 2**31, _ROUNDS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_EMPTY = np.uint32(2**32 - 1)
 
 
 def normal_line(line: str) -> bytes:
@@ -41,35 +44,85 @@ def points(line: bytes) -> int:
     return len(line) if line.isascii() else len(line.decode())
 
 
-def rolling_hashes(raw: bytes) -> np.ndarray:
-    """64-bit hashes of all strings of ``SHINGLE`` code points of ``raw``, in order."""
+def rolling_hashes(raw: bytes, wide: bool = True) -> np.ndarray:
+    """Hashes of all strings of ``SHINGLE`` code points of ``raw``, in order: of 64 bits, or of 32."""
     if raw.isascii():
         one = _BYTE[np.frombuffer(raw, np.uint8)]
     else:
         code = np.frombuffer(raw.decode().encode("utf-32-le"), np.uint32)
         one = np.where(code < 256, _BYTE[np.minimum(code, 255)], mix(code * _STEP))
-    h = one
+    h = one if wide else (one >> np.uint64(32)).astype(np.uint32)
+    one, kind = h, h.dtype.type
     for k, width in enumerate((1, 2)):  # hashes of 2, then 4 code points
-        h = h[:-width] * np.uint64(_FACTORS[k]) + h[width:]
-    return mix(h[:-1] * np.uint64(_FACTORS[2]) + one[4:])
+        h = h[:-width] * kind(_FACTORS[k] % 2**32 if not wide else _FACTORS[k]) + h[width:]
+    h = h[:-1] * kind(_FACTORS[2] % 2**32 if not wide else _FACTORS[2]) + one[4:]
+    if wide:
+        return mix(h)
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return h ^ (h >> np.uint32(16))
+
+
+def line_sketches(items: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """MinHash-like signatures of ``n`` sets at once, one row per set: ``items`` are 32-bit hashes,
+    ``owner`` names the set of each.
+
+    Every round hashes all items anew into a coordinate of their set, which keeps the lowest (round,
+    hash); sets whose coordinates are all filled leave. The last rounds send all items to one
+    coordinate each, so none stays empty. Two sets agree in a coordinate with probability equal to
+    their similarity, as with one hash function per coordinate, for far fewer hashes of long lines.
+    """
+    size = BANDS * ROWS
+    bins = np.full(n * size, _EMPTY, np.uint32)
+    at = owner * size
+    for turn in range(_ROUNDS):
+        h = (items ^ _FLIP[turn]) * _TIMES[turn]
+        h ^= h >> np.uint32(15)
+        place = at + ((h >> np.uint32(16)) * np.uint32(size) >> np.uint32(16)) if turn < size else at + (turn - size)
+        h *= np.uint32(0x2C1B3C6D)
+        np.minimum.at(bins, place, (h >> np.uint32(9)) | np.uint32(turn << 23))
+        unfilled = bins.reshape(n, size).max(axis=1) == _EMPTY
+        left = np.count_nonzero(unfilled)
+        if left == 0:
+            break
+        if left < 0.8 * n:
+            rest = unfilled[at // size]
+            items, at = items[rest], at[rest]
+    return bins.reshape(n, size)
 
 
 def line_bands(lines: list[bytes]) -> np.ndarray:
-    """MinHash band keys, one row per line; every line has at least ``SHINGLE`` code points."""
-    h = (rolling_hashes(b"".join(lines)) >> np.uint64(32)).astype(np.uint32)
+    """Band keys, one row per line; every line has at least ``SHINGLE`` code points."""
+    h = rolling_hashes(b"".join(lines), wide=False)
     sizes = np.fromiter(map(points, lines), np.int64, len(lines))
-    ends = np.cumsum(sizes)
-    bounds = np.stack([ends - sizes, ends - SHINGLE + 1], axis=1).ravel()
-    # the last end may be the end of the array, which reduceat does not take as a start
-    h = np.append(h, np.uint32(0))
+    inside = np.ones(sizes.sum(), bool)
+    for k in range(1, SHINGLE):  # no string runs over the end of its line
+        inside[np.cumsum(sizes) - k] = False
+    owner = np.repeat(np.arange(len(lines)), sizes - SHINGLE + 1)
+    rows = line_sketches(h[inside[: len(h)]], owner, len(lines)).reshape(len(lines), BANDS, ROWS)
     keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[None, :], len(lines), axis=0)
-    for band in range(BANDS):
-        for i in range(band * ROWS, (band + 1) * ROWS):
-            low = np.minimum.reduceat((h ^ _FLIP[i]) * _TIMES[i], bounds)[::2]
-            keys[:, band] = mix(keys[:, band] * _STEP + low)
+    for i in range(ROWS):
+        keys = mix(keys * _STEP + rows[:, :, i])
     return keys
 
 
+def all_bands(lines: list[bytes]) -> np.ndarray:
+    """``line_bands`` in chunks of lines of about one length, which need about as many rounds."""
+    out = np.empty((len(lines), BANDS), np.uint64)
+    order = sorted(range(len(lines)), key=lambda i: len(lines[i]))
+    part: list[int] = []
+    held = 0
+    for i in order:
+        part.append(i)
+        held += len(lines[i])
+        if held >= CHUNK:
+            out[part] = line_bands([lines[j] for j in part])
+            part, held = [], 0
+    if part:
+        out[part] = line_bands([lines[j] for j in part])
+    return out
+
+
 def shingle_hashes(line: bytes) -> np.ndarray:
     """The set of a line's shingles, by their 64-bit hashes; empty for shorter lines."""
     return np.unique(rolling_hashes(line)) if points(line) >= SHINGLE else np.empty(0, np.uint64)
@@ -80,47 +133,128 @@ def _halves(line: bytes) -> tuple[int, int]:
     return int(d[0]), int(d[1])
 
 
-LINE_SCHEMA = "row long, pos int, lo long, hi long, bands array<long>"
+LINE_SCHEMA = "row long, pos int, lo long, hi long"
 
 
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """row, pos and digest of every line with a word, and its band keys where it is long enough for
-    a shingle and the first of its kind in the batch."""
+    """row, pos and digest of every line with a word."""
     for batch in batches:
         rows, places, digests = [], [], []
         kinds: dict[bytes, tuple[int, int]] = {}
-        first: list[int] = []      # places in the output whose line has band keys
-        todo: list[bytes] = []
         for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
             for i, line in text_lines(text):
                 found = kinds.get(line)
                 if found is None:
                     found = kinds[line] = _halves(line)
-                    if points(line) >= SHINGLE:
-                        first.append(len(rows))
-                        todo.append(line)
                 rows.append(row)
                 places.append(i)
                 digests.append(found)
-        keys = [np.empty(0, np.int64)]
-        part: list[bytes] = []
-        held = 0
-        for line in todo:
-            part.append(line)
-            held += len(line)
-            if held >= CHUNK:
-                keys.append(line_bands(part).view(np.int64).ravel())
-                part, held = [], 0
-        if part:
-            keys.append(line_bands(part).view(np.int64).ravel())
-        # lines without keys have an empty list
-        lengths = np.zeros(len(rows) + 1, np.int32)
-        lengths[np.array(first, np.int64) + 1] = BANDS
-        bands = pa.ListArray.from_arrays(pa.array(np.cumsum(lengths, dtype=np.int32)), pa.array(np.concatenate(keys)))
         both = np.array(digests, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rows, pa.int64()), pa.array(places, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1]), bands],
-            names=["row", "pos", "lo", "hi", "bands"])
+            [pa.array(rows, pa.int64()), pa.array(places, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1])],
+            names=["row", "pos", "lo", "hi"])
+
+
+RUN_SCHEMA = "place int, keys binary, node_high binary, node_low binary"
+_KEY_BITS, _NODE_BITS = 44, 40
+
+
+def _runs(place: np.ndarray, keys: np.ndarray, nodes: np.ndarray) -> pa.RecordBatch:
+    """One row per place: its sorted keys as differences (4 bytes each where all fit) and nodes of 5 bytes."""
+    starts = np.flatnonzero(np.diff(place, prepend=-1)) if len(place) else np.empty(0, np.int64)
+    ends = np.append(starts[1:], len(place)).astype(np.int64)
+    packed, high, low = [], [], []
+    for a, b in zip(starts, ends, strict=True):
+        gaps = np.diff(keys[a:b], prepend=np.uint64(0))
+        small = len(gaps) < 2 or int(gaps[1:].max()) < 2**32
+        packed.append(keys[a : a + 1].tobytes() + gaps[1:].astype("<u4").tobytes() if small else b"\0" * 8 + keys[a:b].tobytes())
+        high.append((nodes[a:b] >> np.uint64(8)).astype("<u4").tobytes())
+        low.append(nodes[a:b].astype("u1").tobytes())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(place[starts], pa.int32()), *(pa.array(x, pa.binary()) for x in (packed, high, low))],
+        names=["place", "keys", "node_high", "node_low"])
+
+
+def _unpacked(keys: bytes, high: bytes, low: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(low)
+    if len(keys) == 8 + 8 * n:  # written whole, after a mark of eight bytes
+        key = np.frombuffer(keys, "<u8", n, 8)
+    else:
+        key = np.cumsum(np.concatenate([np.frombuffer(keys, "<u8", 1), np.frombuffer(keys, "<u4", n - 1, 8).astype("<u8")]))
+    return key, (np.frombuffer(high, "<u4").astype(np.uint64) << np.uint64(8)) | np.frombuffer(low, "u1")
+
+
+def _band_runs(ranges: int):
+    """Band keys of the wanted lines of each batch, as sorted runs per range of the key space.
+
+    A key that several lines of the batch hold is known to be shared: all of them go to a place
+    beyond the ranges, which only hands them on, and one goes to the key's range for the batch.
+    So a range sees a key once per batch, however many lines hold it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines, nodes = [], []
+            for wanted, text in zip(batch.column("wanted").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                parts = text.split("\n")
+                for w in wanted:
+                    line = normal_line(parts[w["pos"]])
+                    if points(line) >= SHINGLE:
+                        lines.append(line)
+                        nodes.append(w["lo"])
+            if not lines:
+                continue
+            keys = (all_bands(lines) >> np.uint64(64 - _KEY_BITS)).ravel()
+            node = np.repeat(np.array(nodes, np.int64).view(np.uint64) >> np.uint64(64 - _NODE_BITS), BANDS)
+            order = np.argsort(keys, kind="stable")
+            keys, node = keys[order], node[order]
+            first = np.diff(keys, prepend=~keys[:1]) != 0
+            place = (keys * np.uint64(ranges) >> np.uint64(_KEY_BITS)).astype(np.int32)
+            yield _runs(place[first], keys[first], node[first])
+            again = ~first | np.append(~first[1:], False)
+            if again.any():
+                yield _runs(place[again] + ranges, keys[again], node[again])
+
+    return run
+
+
+def _shared_keys(ranges: int):
+    """(key, node) of the keys of a range that several lines hold."""
+
+    def run(place: tuple[pa.Scalar, ...], runs: pa.Table) -> pa.Table:
+        found = [_unpacked(*r) for r in zip(*(runs.column(c).to_pylist() for c in ("keys", "node_high", "node_low")), strict=True)]
+        keys, nodes = (np.concatenate(x) for x in zip(*found, strict=True))
+        if place[0].as_py() < ranges:
+            order = np.argsort(keys, kind="stable")
+            keys, nodes = keys[order], nodes[order]
+            same = keys[1:] == keys[:-1]
+            shared = np.append(same, False) | np.append(False, same)
+            keys, nodes = keys[shared], nodes[shared]
+        return pa.table({"key": keys.view(np.int64), "part": nodes.view(np.int64)})
+
+    return run
+
+
+def shared_bands(texts: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, node) of the band keys that several distinct lines hold, and one place (row, pos) per
+    distinct line (lo).
+
+    Every distinct line is sketched once. Most of its keys are its own, so they travel packed, 9
+    bytes each, to ranges of the key space that find those held more than once; a range has about
+    ``RANGE_KEYS`` of them whatever the corpus. Keys of 44 bits and the 40 bits by which a range
+    names a line may coincide for others; such members only cost a comparison.
+    """
+    spark = texts.sparkSession
+    places = materialize(lines.groupBy("lo").agg(F.min(F.struct("row", "pos")).alias("at"))
+                         .select("lo", "at.row", "at.pos"), "line-places")
+    # one list per document, at most its lines
+    wanted = places.groupBy("row").agg(F.collect_list(F.struct("lo", "pos")).alias("wanted"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(4 * parts, places.count() * BANDS // RANGE_KEYS + 1)
+    runs = texts.join(wanted.hint("merge"), "row").select("wanted", "text").mapInArrow(_band_runs(ranges), RUN_SCHEMA)
+    shared = materialize(runs.groupBy("place").applyInArrow(_shared_keys(ranges), "key long, part long").distinct(), "line-keys")
+    names = places.select(F.shiftrightunsigned("lo", 64 - _NODE_BITS).alias("part"), F.col("lo").alias("node"))
+    return materialize(shared.join(names, "part").select("key", "node"), "line-buckets"), places
 
 
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,15 +311,13 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     """
     source = numbered(docs, id_col, text_col)
     texts = source.select("row", "text")
-    read = materialize(texts.mapInArrow(_line_rows, LINE_SCHEMA), "line-ids")
-    lines = read.drop("bands")
+    lines = materialize(texts.mapInArrow(_line_rows, LINE_SCHEMA), "line-ids")
 
-    members = shared_buckets(read.select(F.explode("bands").alias("key"), F.col("lo").alias("node")).distinct())
+    members, places = shared_bands(texts, lines)
     nodes = members.select(F.col("node").alias("lo")).distinct()
-    places = (lines.groupBy("lo").agg(F.min(F.struct("row", "pos")).alias("at")).join(nodes, "lo", "left_semi")
-              .select("at.row", F.struct("lo", "at.pos").alias("w")))
     # one list per document, at most its lines
-    wanted = materialize(places.groupBy("row").agg(F.collect_list("w").alias("wanted")), "line-wanted")
+    wanted = materialize(places.join(nodes, "lo", "left_semi").groupBy("row").agg(
+        F.collect_list(F.struct("lo", "pos")).alias("wanted")), "line-wanted")
     sets = materialize(texts.join(wanted.hint("merge"), "row").select("wanted", "text")
                        .mapInArrow(_wanted_lines, "node long, data binary, size long"), "line-texts")
     labels, _ = link(members, sets, shingle_hashes, percent)

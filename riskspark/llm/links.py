@@ -134,9 +134,13 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
         settle(chosen.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
         if homes is None:
             homes = _homes(chosen, tested, sizes)
-    mixed = materialize(labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                        .where("lo <> hi").select("key"), "link-mixed")
-    rest = materialize(labelled.join(mixed, "key"), "link-rest")
+    mixed = materialize(
+        labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"),
+                                    F.min("node").alias("a"), F.max("node").alias("b"))
+        .where("lo <> hi").select("key", "n", "a", "b"), "link-mixed")
+    # a key of two nodes is one pair
+    twos = mixed.where("n = 2").select("a", "b").distinct()
+    rest = materialize(labelled.join(mixed.where("n > 2").select("key"), "key"), "link-rest")
     shared = materialize(shared_sizes(sets, rest.select("node").distinct(), elements), "link-shared")
     # a node too far from every set of any size needs no partner
     able = F.col("shared") * 100 >= percent * F.col("size")
@@ -166,7 +170,9 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
     by_novel = held.join(other, ["home", "item"]).where("comp < other_comp").where(
         fits("shared", "other_shared")).where(still).where(F.array_min(both) == F.col("item"))
     pair = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
-    settle(by_key.select(*pair).unionByName(by_novel.select(*pair)).distinct())
+    twos = (twos.join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "other_size"), "b")
+            .where(fits("size", "other_size")).select("a", "b"))
+    settle(by_key.select(*pair).unionByName(by_novel.select(*pair)).unionByName(twos).distinct())
     return labels, edges
 
 
