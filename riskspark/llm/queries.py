@@ -14,6 +14,7 @@ from riskspark.llm.minhash import near_duplicates
 from riskspark.llm.packing import pack
 from riskspark.llm.personal_data import personal_data
 from riskspark.llm.quality_rules import quality_rules
+from riskspark.llm.source_audit import source_audit
 from riskspark.llm.substring_dedup import remove_repeats
 from riskspark.llm.token_cache import token_counts
 from riskspark.llm.warc import archive_round_trip
@@ -133,6 +134,40 @@ def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def source_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit(table(spark, sf_dir, "documents"))
+
+
+SOURCE_AUDIT_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+s AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n,
+         1 + 1000000000 * CAST(coalesce(c.n, 0) + 1 AS HUGEINT) // (coalesce(total, 0) + v) AS p,
+         1 + 1000000000 * CAST(lang_n + 1 AS HUGEINT) // (lang_total + v) AS q
+  FROM g JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN s USING (lang, source)
+       LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+       LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source),
+more AS (SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value FROM p WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (SELECT * FROM pair UNION ALL SELECT * FROM more) QUALIFY part = 'pair' OR rank <= 200
+"""
+
+
 QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_risk_controlled_rules": (quality_query, None),
     "op2_token_cache": (token_counts_query, None),
@@ -144,4 +179,5 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_ngram_decontamination": (decontaminate_query, DECONTAMINATE_SQL),
     "op9_fuzzy_line_dedup": (line_dedup_query, None),
     "op10_lyndon_group_substring_dedup": (substring_dedup_query, None),
+    "op13_chunk_factorized_audit": (source_audit_query, SOURCE_AUDIT_SQL),
 }
