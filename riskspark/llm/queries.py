@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from riskspark.llm.alignment import cross_alignment
 from riskspark.llm.decontaminate import contamination
 from riskspark.llm.licenses import licenses
 from riskspark.llm.line_dedup import dedup_lines
@@ -134,6 +135,11 @@ def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def source_audit_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit(table(spark, sf_dir, "documents"))
 
@@ -179,5 +185,6 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_ngram_decontamination": (decontaminate_query, DECONTAMINATE_SQL),
     "op9_fuzzy_line_dedup": (line_dedup_query, None),
     "op10_lyndon_group_substring_dedup": (substring_dedup_query, None),
+    "op12_pair_bitmap_alignment": (alignment_query, None),
     "op13_chunk_factorized_audit": (source_audit_query, SOURCE_AUDIT_SQL),
 }
