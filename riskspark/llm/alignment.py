@@ -20,7 +20,8 @@ from tokenizers import Tokenizer
 from riskspark.llm.common import materialize
 from riskspark.llm.tokens import BYTE_LEVEL_PATTERN, LONG_RUN, _byte_of_char, _ranks
 
-MEMO_UNITS = 300_000        # space-separated units remembered per worker; the memory starts again beyond that
+MEMO_UNITS = 300_000        # space-separated units remembered per worker, and their characters;
+MEMO_CHARS = 12_000_000     # the memory starts again beyond either
 BLOCK_DOCS = 65_536         # document numbers of one bitmap container
 BLOCK_BYTES = 32_000_000    # text of one block, about
 DENSE = 4_096               # documents from which a container is a bitmap instead of a list
@@ -77,6 +78,7 @@ class PairCoder:
             ranks = _ranks({t: i for t, i in vocab.items() if t not in special})
             self.fast = tiktoken.Encoding("from-file", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.memo: dict[str, Aligned | None] = {}
+        self.chars = 0
 
     @staticmethod
     def _sizes(token_bytes: dict[int, bytes]) -> np.ndarray:
@@ -103,6 +105,7 @@ class PairCoder:
 
     def _learn(self, units: list[str]) -> None:
         b_ids = self.b.encode(units, num_threads=1)
+        self.chars += sum(map(len, units))
         for unit, b in zip(units, b_ids, strict=True):
             raw = f" {unit}"
             a = (self.fast.encode_ordinary(raw) if len(unit) < LONG_RUN
@@ -111,8 +114,9 @@ class PairCoder:
 
     def align(self, texts: list[str]) -> list[list[Aligned] | None]:
         """Per text its aligned parts in order, or None where it has no tokens."""
-        if len(self.memo) > MEMO_UNITS:
+        if len(self.memo) > MEMO_UNITS or self.chars > MEMO_CHARS:
             self.memo.clear()
+            self.chars = 0
         cut = [None if self.fast is None or not t or "  " in t or t[0] == " " or t[-1] == " " else t.split(" ") for t in texts]
         new = list(set(chain.from_iterable(u for u in cut if u)).difference(self.memo))
         for at in range(0, len(new), 20_000):
@@ -148,7 +152,9 @@ def containers(pairs: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndar
     planes += [(k, (more >> k) & 1 == 1) for k in range(int(more.max(initial=0)).bit_length())]
     for plane, chosen in planes:
         p, d = pair[chosen], doc[chosen].astype("<u2")
-        first = np.flatnonzero(np.append(True, p[1:] != p[:-1])) if len(p) else np.empty(0, np.int64)
+        if not len(p):
+            continue
+        first = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
         ends = np.append(first[1:], len(p)).astype(np.int64)
         raw = d.tobytes()
         for a, b in zip(first.tolist(), ends.tolist(), strict=True):
