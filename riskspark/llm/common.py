@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskspark.session import scratch_path
 
 # files of one bucketed table, at most about
 BUCKET_FILES = 100_000
+BUCKET_BYTES = 256_000_000
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -20,6 +22,13 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let the driver collect its garbage now: shuffle files of steps whose result is written, and
+    whose DataFrames are gone, are deleted instead of lying until it happens to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the columns an operator reads, under fixed names; null text counts as empty."""
     return docs.select(
@@ -42,13 +51,14 @@ def keep_rows(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col
     return named.join(wanted, "__row", "left_semi").drop("__row")
 
 
-def bucketed(df: DataFrame, column: str, name: str) -> DataFrame:
+def bucketed(df: DataFrame, column: str, name: str, size: int = 0) -> DataFrame:
     """``df`` written as a table bucketed by ``column``: later joins on it move only their other
-    side. Every write task opens a file per bucket; where tasks x buckets would make too many
+    side. A bucket is read by one task, so ``size`` bytes make at least one bucket per ``BUCKET_BYTES``.
+    Every write task opens a file per bucket; where tasks x buckets would make too many
     files, rows are sent to their buckets first, so that each bucket is one file."""
     spark = df.sparkSession
     table = f"{name}_{uuid.uuid4().hex[:12]}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(size // BUCKET_BYTES + 1, BUCKET_FILES))
     if df.rdd.getNumPartitions() * n > BUCKET_FILES:
         df = df.repartition(n, column)
     df.write.option("compression", "zstd").bucketBy(n, column).saveAsTable(table)

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.common import bucketed, materialize
+from riskspark.llm.common import bucketed, drop_shuffles, materialize
 from riskspark.llm.links import link
 from riskspark.llm.minhash import mix
 
@@ -314,6 +314,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     lines = materialize(texts.mapInArrow(_line_rows, LINE_SCHEMA), "line-ids")
 
     members, places = shared_bands(texts, lines)
+    drop_shuffles(docs.sparkSession)  # the packed keys
     nodes = members.select(F.col("node").alias("lo")).distinct()
     # one list per document, at most its lines
     wanted = materialize(places.join(nodes, "lo", "left_semi").groupBy("row").agg(
@@ -321,6 +322,7 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     sets = materialize(texts.join(wanted.hint("merge"), "row").select("wanted", "text")
                        .mapInArrow(_wanted_lines, "node long, data binary, size long"), "line-texts")
     labels, _ = link(members, sets, shingle_hashes, percent)
+    drop_shuffles(docs.sparkSession)
 
     labels = labels.select(F.col("node").alias("lo"), "root")
     grouped = lines.join(labels, "lo", "left").select(

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskspark.llm.common import materialize
+from riskspark.llm.common import drop_shuffles, materialize
 from riskspark.llm.components import components
 
 STAR_ROUNDS = 2
@@ -56,20 +56,22 @@ def shared_sizes(sets: DataFrame, nodes: DataFrame, elements: Callable[[bytes],
 
 
 def novel_elements(sets: DataFrame, homes: DataFrame, elements: Callable[[bytes], np.ndarray]) -> DataFrame:
-    """(home, item, node): the elements of each node's set that the set of its home lacks."""
+    """(home, item, node): the elements of each node's set that the set of its home lacks, by 32 of their
+    bits: where two agree by chance, a bound only grows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             columns = (b.column(c) for c in ("home", "node", "data", "home_data"))
             for home, node, data, other in zip(*columns, strict=True):
-                items = np.setdiff1d(elements(data.as_py()), elements(other.as_py()), assume_unique=True).view(np.int64)
+                items = np.setdiff1d(elements(data.as_py()), elements(other.as_py()), assume_unique=True)
+                items = np.unique((items >> np.uint64(32)).astype(np.uint32).view(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(items), home.as_py())), pa.array(items), pa.array(np.full(len(items), node.as_py()))],
                     names=["home", "item", "node"])
 
     at_home = sets.select(F.col("node").alias("home"), F.col("data").alias("home_data"))
     return (homes.select("node", "home").join(sets.select("node", "data"), "node").join(at_home, "home")
-            .mapInArrow(run, "home long, item long, node long"))
+            .mapInArrow(run, "home long, item int, node long"))
 
 
 def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.ndarray], percent: int) -> tuple[DataFrame, DataFrame]:
@@ -109,6 +111,7 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
         found = materialize(
             found.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b"), "link-compared")
         tested = found if tested is None else tested.unionByName(found)
+        drop_shuffles(sets.sparkSession)
         edges = tested.where(linked("size_a", "size_b", "common")).select("a", "b")
         labels = components(edges)
         labelled = members.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
@@ -161,6 +164,7 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
     novel = materialize(novel_elements(sets, nodes.where("home IS NOT NULL AND home <> node"), elements), "link-novel")
     held = novel.groupBy("home", "item").agg(F.count("*").alias("n")).where("n > 1").select("home", "item")
     held = materialize(novel.join(held, ["home", "item"]).select("home", "item", "node"), "link-held")
+    drop_shuffles(sets.sparkSession)
     # at most the elements of one set
     items = held.groupBy("node").agg(F.collect_set("item").alias("items"))
     held = held.join(nodes.drop("home").join(items, "node"), "node")
