@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskspark.llm.alignment import cross_alignment
 from riskspark.llm.decontaminate import contamination
@@ -14,6 +14,7 @@ from riskspark.llm.line_dedup import dedup_lines
 from riskspark.llm.minhash import near_duplicates
 from riskspark.llm.packing import pack
 from riskspark.llm.personal_data import personal_data
+from riskspark.llm.ppm import ppm_scores
 from riskspark.llm.quality_rules import quality_rules
 from riskspark.llm.source_audit import source_audit
 from riskspark.llm.substring_dedup import remove_repeats
@@ -135,6 +136,12 @@ def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def ppm_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document in five, by the checksum of its id, is held out of training."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    return ppm_scores(table(spark, sf_dir, "documents"), held_out)
+
+
 def alignment_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                            public_tokenizers.path("piece_bpe_32k.model"))
@@ -185,6 +192,7 @@ QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_ngram_decontamination": (decontaminate_query, DECONTAMINATE_SQL),
     "op9_fuzzy_line_dedup": (line_dedup_query, None),
     "op10_lyndon_group_substring_dedup": (substring_dedup_query, None),
+    "op11_ppm_scores": (ppm_query, None),
     "op12_pair_bitmap_alignment": (alignment_query, None),
     "op13_chunk_factorized_audit": (source_audit_query, SOURCE_AUDIT_SQL),
 }
