@@ -148,7 +148,9 @@ def _word_places(words: list[bytes], ranges: int) -> np.ndarray:
 
 
 def _runs(place: np.ndarray) -> Iterator[tuple[int, int, int]]:
-    starts = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.empty(0, np.int64)
+    if not len(place):
+        return
+    starts = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
     for a, b in zip(starts.tolist(), np.append(starts[1:], len(place)).tolist(), strict=True):
         yield int(place[a]), int(a), int(b)
 
