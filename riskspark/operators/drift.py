@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from riskspark.config import DriftConfig
 from riskspark.functions import at_or_above, count_where, is_missing
 from riskspark.operators.admission import require_drift_input
-from riskspark.plans import SKETCH_SHARE, ordered_cumsum, sketch
+from riskspark.plans import SKETCH_SHARE, as_literal, ordered_cumsum, sketch
 
 # Below this a Kolmogorov p-value is 1 to double precision.
 KOLMOGOROV_ONE = 0.04
@@ -44,25 +44,25 @@ def numeric_distances(
     # cut points from sampled rows, taken before each row becomes one row per feature
     sampled = _sides(*(df.sample(SKETCH_SHARE, seed=42) for df in (reference, current)), entries)
     cuts = sketch(sampled, "value", buckets, share=1.0, seen=SKETCH_SHARE)
+    # each side is read once more, exploded and shuffled; totals, spread and distances read what that wrote
     table = ordered_cumsum(
         long, "value",
-        {"ref": 1 - F.col("side"), "cur": F.col("side")}, ["feature"], cuts=cuts,
+        {"ref": 1 - F.col("side"), "cur": F.col("side")}, ["feature"], cuts=cuts, store=True,
     )
+    value, ref = F.col("value"), F.col("ref").cast("double")
+    # one row per feature
+    means = as_literal(table.groupBy("feature").agg(F.try_divide(F.sum(value * ref), F.sum(ref)).alias("mean")))
     gap = F.abs(
         F.col("cum_ref").cast("double") / F.col("total_ref")
         - F.col("cum_cur").cast("double") / F.col("total_cur")
     )
-    distances = table.where((F.col("total_ref") > 0) & (F.col("total_cur") > 0)).groupBy("feature").agg(
+    off = value - F.col("mean")
+    return table.where((F.col("total_ref") > 0) & (F.col("total_cur") > 0)).join(F.broadcast(means), "feature").groupBy("feature").agg(
         F.max("total_ref").alias("reference_rows"), F.max("total_cur").alias("current_rows"),
-        F.sum(gap * F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))).alias("wasserstein"),
+        F.sum(gap * F.coalesce(F.col("next_value") - value, F.lit(0.0))).alias("wasserstein"),
         F.max(gap).alias("ks"),
-    ).withColumn("feature", name)
-    spread = reference.agg(*[F.stddev_pop(F.col(f).cast("double")).alias(f) for f in features]).select(
-        F.inline(F.array(*[
-            F.struct(F.lit(f).alias("feature"), F.col(f).alias("std")) for f in features
-        ]))
-    )
-    return distances.join(spread, "feature").withColumn(
+        F.sqrt(F.sum(off * off * ref) / F.max("total_ref")).alias("std"),
+    ).withColumn("feature", name).withColumn(
         "normed_wasserstein", F.col("wasserstein") / F.greatest(F.col("std"), F.lit(MIN_STD))
     )
 
@@ -85,7 +85,11 @@ def categorical_distances(
 ) -> DataFrame:
     """Per feature: Jensen-Shannon distance, and the chi-square statistic of the current
     counts against the reference shares with its degrees of freedom."""
-    counts = category_counts(reference, current, features)
+    return distances_of_counts(category_counts(reference, current, features), log_base)
+
+
+def distances_of_counts(counts: DataFrame, log_base: float = math.e) -> DataFrame:
+    """``categorical_distances`` from ``category_counts``."""
     p = F.col("ref").cast("double") / F.col("total_ref")
     q = F.col("cur").cast("double") / F.col("total_cur")
     m = (p + q) / F.lit(2.0)
@@ -154,8 +158,14 @@ def feature_drift(
 
     Distances drift at or above their threshold, p-values below theirs.
     """
-    numeric = numeric_distances(reference, current, config.numeric)
-    categorical = categorical_distances(reference, current, config.categorical, config.log_base)
+    return verdicts(
+        numeric_distances(reference, current, config.numeric),
+        categorical_distances(reference, current, config.categorical, config.log_base), config, method,
+    )
+
+
+def verdicts(numeric: DataFrame, categorical: DataFrame, config: DriftConfig = DriftConfig(), method: str = "distance") -> DataFrame:
+    """``feature_drift`` from the distances of both kinds of features."""
     if method == "p_value":
         parts = [
             numeric.select("feature", F.lit("ks_p_value").alias("method"),

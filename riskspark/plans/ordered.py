@@ -21,6 +21,8 @@ import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskspark.session import scratch_path
+
 BUCKET = "_bucket"
 # Buckets per shuffle partition at least: several, so that hashing them spreads the load evenly.
 BUCKETS_PER_PARTITION = 4
@@ -123,6 +125,13 @@ def as_literal(table: DataFrame, most: int = LITERAL_ROWS) -> DataFrame:
     return table.sparkSession.createDataFrame(found) if found.num_rows <= most else table
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for plans that use it more than once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ordered_cumsum(
     df: DataFrame,
     order: str,
@@ -130,6 +139,7 @@ def ordered_cumsum(
     keys: Sequence[str] = (),
     buckets: int | None = None,
     cuts: Sketch | None = None,
+    store: bool = False,
 ) -> DataFrame:
     """One row per (keys, order value), with running sums up to and including it.
 
@@ -142,6 +152,11 @@ def ordered_cumsum(
     are mostly distinct only those that fill a bucket on their own are, so a score held by
     a third of all rows costs one row per task, and the other rows, balanced by then, are
     shuffled and sorted once.
+
+    ``df`` is read twice, for bucket totals and for the rows. With ``store`` it is read once: the
+    shuffled and collapsed rows are written, both passes read those, and the result has the
+    bucket number too. That pays where ``df`` is costly, or where ties or an explosion of columns make its
+    rows many.
     """
     keys, names = list(keys), list(sums)
     c = F.col(order).cast("double")
@@ -172,7 +187,9 @@ def ordered_cumsum(
         "*", *[(F.col(f"_in_{n}") - F.lag(f"_in_{n}", 1, 0).over(inside)).alias(n) for n in names]
     )
 
-    if not points:
+    if store:
+        detail = stored(detail, "ordered")
+    if not points and not store:
         whole = Window.partitionBy(*keys, BUCKET)
         return detail.select(
             *keys, order, *names,
@@ -182,7 +199,7 @@ def ordered_cumsum(
         )
 
     # at most len(points) + 1 rows per key combination, collapsed before the shuffle
-    totals = bucketed.groupBy(*keys, BUCKET).agg(
+    totals = (detail if store else bucketed).groupBy(*keys, BUCKET).agg(
         *[F.sum(n).alias(f"_s_{n}") for n in names], F.min(order).alias("_first")
     )
     group = keys or [F.lit(0)]
@@ -201,6 +218,7 @@ def ordered_cumsum(
         *[(F.col(f"_in_{n}") + F.col(f"_before_{n}")).alias(f"cum_{n}") for n in names],
         *[f"total_{n}" for n in names],
         F.coalesce("_next_in", "_next_first").alias("next_value"),
+        *([detail[BUCKET]] if store else []),
     )
 
 

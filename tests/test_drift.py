@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -121,3 +122,63 @@ def test_score_drift(spark):
     m, n = .85, .15
     js = math.sqrt((.9 * math.log(.9 / m) + .1 * math.log(.1 / n) + .8 * math.log(.8 / m) + .2 * math.log(.2 / n)) / 2)
     assert found["decision"].drift_score == pytest.approx(js)
+
+
+# --- the kept index ------------------------------------------------------------------------
+
+def index_pair(spark, rng, n, m):
+    ref = [(float(a), float(b), f"c{k}") for a, b, k in zip(rng.normal(size=n).round(2), rng.exponential(50, n).round(1), rng.integers(0, 5, n))]
+    cur = [(float(a), float(b), f"c{k}") for a, b, k in zip(rng.normal(0.3, 2, m).round(2), rng.exponential(40, m).round(1), rng.integers(1, 7, m))]
+    ddl = "v double, w double, c string"
+    return spark.createDataFrame(ref, ddl), spark.createDataFrame(cur, ddl)
+
+
+@pytest.mark.parametrize("m", [1, 3, 400])
+def test_index_gives_the_same_distances(spark, tmp_path, m):
+    from riskspark.operators.drift_index import build_index, category_distances, compared
+
+    ref, cur = index_pair(spark, np.random.default_rng(m), 500, m)
+    index = build_index(ref, str(tmp_path / "index"), ["v", "w"], ["c"], cells=20)
+    assert len(index.points) > 10
+    names = ["feature", "reference_rows", "current_rows", "wasserstein", "ks", "std", "normed_wasserstein"]
+    found = compared(index, cur)
+    want = {r[0]: r[1:] for r in R.numeric_distances(ref, cur, ["v", "w"]).select(names).collect()}
+    got = {r[0]: r[1:] for r in found.distances.select(names).collect()}
+    assert got.keys() == want.keys()
+    for f in want:
+        assert got[f] == pytest.approx(want[f])
+    want = R.categorical_distances(ref, cur, ["c"]).first().asDict()
+    assert category_distances(index, cur, math.e).first().asDict() == pytest.approx(want)
+    if m < 10:  # touched cells, and one crossed between any two
+        assert len(found.cells) <= 2 * (2 * m + 1)
+
+
+def test_values_on_and_beyond_the_cut_points(spark, tmp_path):
+    from riskspark.operators.drift_index import build_index, compared
+
+    ref = spark.createDataFrame([(float(x),) for x in range(100)], "v double")
+    index = build_index(ref, str(tmp_path / "index"), ["v"], [], cells=10)
+    for values in ([-50.0], [*index.points, 500.0], [50.5] * 3):
+        cur = spark.createDataFrame([(float(x),) for x in values], "v double")
+        want, got = (d.first() for d in (R.numeric_distances(ref, cur, ["v"]), compared(index, cur).distances))
+        assert (got.wasserstein, got.ks) == pytest.approx((want.wasserstein, want.ks)), values
+
+
+def test_a_comparison_reads_only_touched_cells(spark, tmp_path):
+    import shutil
+
+    from riskspark.operators.drift_index import build_index, compared, open_index
+
+    spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS v", "'x' AS c").write.parquet(str(tmp_path / "reference"))
+    ref = spark.read.parquet(str(tmp_path / "reference"))
+    index = build_index(ref, str(tmp_path / "index"), ["v"], ["c"], cells=50)
+    shutil.move(tmp_path / "reference", tmp_path / "gone")  # nothing may read it again
+    cur = spark.createDataFrame([(100.5, "x"), (101.5, "x")], "v double, c string")
+    again = build_index(ref, str(tmp_path / "index"), ["v"], ["c"])
+    assert again.points == index.points == open_index(spark, str(tmp_path / "index")).points
+    found = compared(index, cur)
+    assert found.distances.first().reference_rows == 5000 and 1 <= len(found.cells) <= 3
+    scan = found.distances._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*cell#", scan)
+    with pytest.raises(FileNotFoundError):
+        open_index(spark, str(tmp_path / "none"))

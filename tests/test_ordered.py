@@ -113,9 +113,16 @@ def test_hash_cuts_take_all_or_nothing(values):
     assert values.where(below_cut(nothing, "id")).count() == 0
 
 
-def test_a_label_with_too_many_values_is_refused(values, monkeypatch):
-    from riskspark.plans import cuts
+def test_very_many_classes(spark):
+    table = spark.range(60_000).selectExpr("id", "id % 20000 AS c")
+    cuts = lowest_hash_cuts(table, "id", lambda t: {c: 1 for c in t}, by="c")
+    assert len(cuts) == 20_000 and all(c.rows == 1 and c.class_rows == 3 for c in cuts)
+
 
-    monkeypatch.setattr(cuts, "MAX_CLASSES", 5)
-    with pytest.raises(ValueError, match="too many values"):
-        lowest_hash_cuts(values, "id", lambda t: t, by="id")
+def test_stored_rows_give_the_same(spark, values):
+    one = cumsum(values, buckets=1)
+    for cuts in (O.Sketch([]), O.Sketch([0.1, 0.2, 0.5, 0.9]), O.Sketch([0.1, 0.5, 0.5, 0.5, 0.9]), O.Sketch([0.1, 0.5, 0.9], 10.0)):
+        sums = {"n": F.lit(1), "odd": F.col("id") % 2}
+        found = ordered_cumsum(values, "x", sums, ["k"], cuts=cuts, store=True)
+        assert sorted(rows(found.drop(O.BUCKET))) == one
+        assert "Range" not in found._jdf.queryExecution().optimizedPlan().toString()  # the source is not read again
