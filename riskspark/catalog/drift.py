@@ -125,6 +125,7 @@ QUERIES = {
           CAST(count(*) FILTER (WHERE side = 1) AS DOUBLE) / (SELECT count(*) FROM a WHERE side = 1) AS q FROM a GROUP BY 1),
         js AS (SELECT sqrt(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2) AS s FROM cats),
         u AS (SELECT 'probability' AS feature, 'normed_wasserstein' AS method, s FROM num UNION ALL SELECT 'decision', 'jensen_shannon', s FROM js)
-        SELECT feature, method, round(s, 6) AS drift_score, CAST(0.1 AS DOUBLE) AS drift_threshold, s >= 0.1 AS drift_detected FROM u""",
+        SELECT feature, method, round(s, 6) AS drift_score, CAST(0.1 AS DOUBLE) AS drift_threshold, s >= 0.1 AS drift_detected,
+          CAST(0 AS BIGINT) AS reference_invalid_scores, CAST(0 AS BIGINT) AS current_invalid_scores FROM u""",
     ),
 }

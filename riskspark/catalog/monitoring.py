@@ -34,10 +34,48 @@ w AS (SELECT * FROM (
 WINDOW = "CAST(window_start AS VARCHAR) AS window_start, CAST(window_start + to_minutes(5) AS VARCHAR) AS window_end"
 
 
-def _histogram(value: str, bounds, labels) -> str:
-    return TABLES + " UNION ALL ".join(
-        f"SELECT '{label}' AS le, count(*) FILTER (WHERE {value} <= {b}) AS cumulative FROM requests" for label, b in zip(labels, bounds)
-    ) + f" UNION ALL SELECT '+Inf', count({value}) FROM requests"
+#: Scores and latencies that are none, spread over the log: what the rules must leave out and report.
+SPOILED = """, spoiled AS (SELECT * REPLACE (
+  CASE request_id % 40 WHEN 0 THEN 'NaN'::DOUBLE WHEN 1 THEN 1.5 WHEN 2 THEN 'Infinity'::DOUBLE WHEN 3 THEN -0.25 WHEN 4 THEN NULL
+    ELSE probability END AS probability,
+  CASE request_id % 37 WHEN 0 THEN 'NaN'::DOUBLE WHEN 1 THEN NULL WHEN 2 THEN '-Infinity'::DOUBLE ELSE latency_ms END AS latency_ms) FROM requests),
+valid AS (SELECT * REPLACE (CASE WHEN isfinite(probability) AND probability BETWEEN 0 AND 1 THEN probability END AS probability,
+  CASE WHEN isfinite(latency_ms) THEN latency_ms END AS latency_ms),
+  CAST(probability IS NOT NULL AND NOT (isfinite(probability) AND probability BETWEEN 0 AND 1) AS INT) AS invalid FROM spoiled)
+"""
+
+
+def spoiled(log):
+    k, nan, inf = F.col("request_id"), F.lit(float("nan")), F.lit(float("inf"))
+    p = F.when(k % 40 == 0, nan).when(k % 40 == 1, 1.5).when(k % 40 == 2, inf).when(k % 40 == 3, -0.25)
+    t = F.when(k % 37 == 0, nan).when(k % 37 == 2, -inf)
+    return log.withColumns({"probability": p.when(k % 40 != 4, F.col("probability")), "latency_ms": t.when(k % 37 != 1, F.col("latency_ms"))})
+
+
+def _histogram(value: str, bounds, labels, source: str = "requests", beside: str = "") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{label}' AS le, count(*) FILTER (WHERE {value} <= {b}) AS cumulative{beside} FROM {source}" for label, b in zip(labels, bounds)
+    ) + f" UNION ALL SELECT '+Inf', count({value}){beside} FROM {source}"
+
+
+def _summary(source: str, invalid: str) -> str:
+    return f"""SELECT count(probability) AS total, count(*) FILTER (WHERE probability >= 0.9) AS fraud, count(*) FILTER (WHERE probability < 0.9) AS non_fraud,
+        round(avg(probability), 6) AS average_probability, round(min(probability), 6) AS min_probability, round(max(probability), 6) AS max_probability,
+        count(*) FILTER (WHERE probability < 0.9) AS below_threshold, count(*) FILTER (WHERE probability >= 0.9) AS at_or_above_threshold,
+        {invalid} AS invalid_scores,
+        round(CAST(count(*) FILTER (WHERE probability >= 0.9) AS DOUBLE) / count(probability), 6) AS fraud_rate FROM {source}"""
+
+
+NO_INVALID = "CAST(0 AS BIGINT)"
+
+
+def fraud_rate_sql(spoilt: bool = False, having: str = "") -> str:
+    """Rates per window; over the spoiled log a window may hold invalid scores only."""
+    source, count = ("valid", "CAST(sum(invalid) AS BIGINT)") if spoilt else ("requests", NO_INVALID)
+    where = "WHERE probability IS NOT NULL" + (" OR invalid = 1" if spoilt else "")
+    return TABLES + (SPOILED if spoilt else "") + sliding_sql(source, where) + f"""SELECT {WINDOW}, count(*) FILTER (WHERE probability >= 0.9) AS fraud,
+        count(*) FILTER (WHERE probability < 0.9) AS non_fraud, {count} AS invalid_scores,
+        round(CAST(count(*) FILTER (WHERE probability >= 0.9) AS DOUBLE) / greatest(CAST(count(probability) AS DOUBLE), 1e-9), 6) AS fraud_rate FROM w GROUP BY w.window_start {having}"""
 
 
 def latency_quantile_sql(q: float, having: str = "") -> str:
@@ -87,11 +125,22 @@ QUERIES = {
     ),
     "prediction_summary": (
         lambda s, sf: rounded(O.prediction_summary(LOG(s, sf))),
-        TABLES + """SELECT count(probability) AS total, count(*) FILTER (WHERE probability >= 0.9) AS fraud, count(*) FILTER (WHERE probability < 0.9) AS non_fraud,
-        round(avg(probability), 6) AS average_probability, round(min(probability), 6) AS min_probability, round(max(probability), 6) AS max_probability,
-        count(*) FILTER (WHERE probability < 0.9) AS below_threshold, count(*) FILTER (WHERE probability >= 0.9) AS at_or_above_threshold,
-        round(CAST(count(*) FILTER (WHERE probability >= 0.9) AS DOUBLE) / count(probability), 6) AS fraud_rate FROM requests""",
+        TABLES + _summary("requests", NO_INVALID),
+    ),
+    "prediction_summary_spoiled": (
+        lambda s, sf: rounded(O.prediction_summary(spoiled(LOG(s, sf)))),
+        TABLES + SPOILED + _summary("valid", "CAST(sum(invalid) AS BIGINT)"),
+    ),
+    "latency_summary_spoiled": (
+        lambda s, sf: rounded(O.latency_summary(spoiled(LOG(s, sf)))),
+        TABLES + SPOILED + """SELECT count(latency_ms) AS count, round(avg(latency_ms), 6) AS average_ms, round(min(latency_ms), 6) AS min_ms,
+        round(max(latency_ms), 6) AS max_ms FROM valid""",
+    ),
+    "prob_histogram_spoiled": (
+        lambda s, sf: O.probability_histogram(spoiled(LOG(s, sf))),
+        TABLES + SPOILED + _histogram("probability", PROBABILITY_BUCKETS, LABELS_PROB, "valid", ", CAST(sum(invalid) AS BIGINT) AS invalid_scores"),
     ),
+    "fraud_rate_5m_spoiled": (lambda s, sf: rounded(O.fraud_rate(spoiled(LOG(s, sf)))), fraud_rate_sql(spoilt=True)),
     "labelled_requests": (
         lambda s, sf: O.labelled_requests(LOG(s, sf)),
         TABLES + "SELECT method, path AS endpoint, CAST(status AS VARCHAR) AS status, count(*) AS requests FROM requests GROUP BY 1, 2, 3",
@@ -105,8 +154,9 @@ QUERIES = {
         lambda s, sf: D.scored(s, sf).select("txn_id", decide(F.col("p_candidate"), 0.9).alias("is_fraud")),
         TABLES + "SELECT txn_id, p_candidate >= 0.9 AS is_fraud FROM scored",
     ),
-    "prob_histogram": (lambda s, sf: O.probability_histogram(LOG(s, sf)), _histogram("probability", PROBABILITY_BUCKETS, LABELS_PROB)),
-    "latency_histogram": (lambda s, sf: O.latency_histogram(LOG(s, sf)), _histogram("latency_ms", LATENCY_BUCKETS_MS, LABELS_LAT)),
+    "prob_histogram": (lambda s, sf: O.probability_histogram(LOG(s, sf)), TABLES + _histogram(
+        "probability", PROBABILITY_BUCKETS, LABELS_PROB, beside=f", {NO_INVALID} AS invalid_scores")),
+    "latency_histogram": (lambda s, sf: O.latency_histogram(LOG(s, sf)), TABLES + _histogram("latency_ms", LATENCY_BUCKETS_MS, LABELS_LAT)),
     "rate_5m": (
         lambda s, sf: rounded(O.request_rate(LOG(s, sf))),
         TABLES + sliding_sql() + f"""SELECT {WINDOW}, count(*) AS requests, count(*) FILTER (WHERE status >= 400) AS errors,
@@ -136,9 +186,7 @@ QUERIES = {
     ),
     "fraud_rate_5m": (
         lambda s, sf: rounded(O.fraud_rate(LOG(s, sf))),
-        TABLES + sliding_sql(extra="WHERE probability IS NOT NULL") + f"""SELECT {WINDOW}, count(*) FILTER (WHERE probability >= 0.9) AS fraud,
-        count(*) FILTER (WHERE probability < 0.9) AS non_fraud,
-        round(CAST(count(*) FILTER (WHERE probability >= 0.9) AS DOUBLE) / greatest(CAST(count(*) AS DOUBLE), 1e-9), 6) AS fraud_rate FROM w GROUP BY w.window_start""",
+        fraud_rate_sql(),
     ),
     "prob_heatmap": (
         lambda s, sf: rounded(O.probability_heatmap(LOG(s, sf))),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskspark.catalog.drift import drift_views
-from riskspark.catalog.monitoring import PLACE, WINDOW, latency_quantile_sql, sliding_sql
+from riskspark.catalog.monitoring import PLACE, WINDOW, fraud_rate_sql, latency_quantile_sql, sliding_sql, spoiled
 from riskspark.catalog.shape import rounded
 from riskspark.catalog.tables_sql import TABLES, VIOLATIONS
 from riskspark.operators import features as X
@@ -78,10 +78,11 @@ QUERIES = {
     ),
     "stream_fraud_rate_5m": (
         lambda s, sf: rounded(_run(s, SM.fraud_series(requests(s, sf)), "fraud")),
-        TABLES + sliding_sql(extra=_PREDICTED) + f"""SELECT {WINDOW}, count(*) FILTER (WHERE probability >= 0.9) AS fraud,
-        count(*) FILTER (WHERE probability < 0.9) AS non_fraud,
-        round(CAST(count(*) FILTER (WHERE probability >= 0.9) AS DOUBLE) / count(*), 6) AS fraud_rate FROM w GROUP BY w.window_start """
-        + CLOSED.format(source="requests"),
+        fraud_rate_sql(having=CLOSED.format(source="requests")),
+    ),
+    "stream_fraud_rate_5m_spoiled": (
+        lambda s, sf: rounded(_run(s, SM.fraud_series(spoiled(requests(s, sf))), "fraud-spoiled")),
+        fraud_rate_sql(True, CLOSED.format(source="requests")),
     ),
     "stream_p95_latency_5m": (
         lambda s, sf: rounded(_run(s, SM.latency_series(requests(s, sf)), "latency")),
@@ -96,8 +97,7 @@ QUERIES = {
         quality,
         TABLES + VIOLATIONS + ", vt AS (SELECT v.category, t.ts FROM violations v JOIN transactions t ON t.txn_id = v.txn_id)"
         + sliding_sql("vt") + f"SELECT {WINDOW}, category, count(*) AS errors FROM w GROUP BY w.window_start, category "
-        # the optimizer moves the violation filter below the watermark, so only bad rows advance it
-        + CLOSED.format(source="vt"),
+        + CLOSED.format(source="transactions"),
     ),
     "stream_admission": (
         admission,

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from riskspark.config import DriftConfig
-from riskspark.functions import at_or_above, count_where, is_missing
+from riskspark.functions import at_or_above, count_where, invalid_score, is_missing
 from riskspark.operators.admission import require_drift_input
 from riskspark.plans import SKETCH_SHARE, as_literal, ordered_cumsum, sketch
 
@@ -237,15 +237,23 @@ def compare(
 def score_drift(
     reference: DataFrame, current: DataFrame, score: str, threshold: float, config: DriftConfig = DriftConfig()
 ) -> DataFrame:
-    """Drift of the predicted probability and of the decision made from it."""
+    """Drift of the predicted probability and of the decision made from it.
+
+    Scores that are no probability are compared in neither; each row tells how many either side has.
+    """
     def with_decision(df: DataFrame) -> DataFrame:
-        return df.select(
+        return df.where(~invalid_score(score)).select(
             F.col(score).alias("probability"),
             F.when(at_or_above(F.col(score), threshold), "fraud").otherwise("non_fraud").alias("decision"),
         )
 
+    def invalid(df: DataFrame, name: str) -> DataFrame:
+        return df.agg(count_where(invalid_score(score)).alias(name))
+
     only = DriftConfig(
         numeric=("probability",), categorical=("decision",),
         distance_threshold=config.distance_threshold, share_threshold=config.share_threshold,
     )
-    return feature_drift(with_decision(reference), with_decision(current), only)
+    # two tables of one row
+    counts = invalid(reference, "reference_invalid_scores").join(F.broadcast(invalid(current, "current_invalid_scores")))
+    return feature_drift(with_decision(reference), with_decision(current), only).join(F.broadcast(counts))

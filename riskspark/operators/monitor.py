@@ -2,6 +2,10 @@
 
 Sliding windows are built in two steps: rows collapse into panes as long as the slide,
 then pane rows (not log rows) are copied into the windows they belong to.
+
+A logged probability that is none (NaN, infinite, outside [0, 1]) is in no count, rate or bucket; it is
+reported as ``invalid_scores``. A null probability is a request without a prediction. A latency that
+is null, NaN or infinite was not measured.
 """
 
 from __future__ import annotations
@@ -10,13 +14,14 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.config import LATENCY_BUCKETS_MS, OPERATING_THRESHOLD, PROBABILITY_BUCKETS
-from riskspark.functions import at_or_above, count_where, ratio
+from riskspark.functions import at_or_above, count_where, invalid_score, non_finite, ratio
 from riskspark.operators.admission import known_category
 from riskspark.operators.metrics import confusion, with_prf
-from riskspark.plans import exact_quantiles
+from riskspark.plans import split_points, with_bucket
+from riskspark.plans.ordered import BUCKET, stored
 
 MIN_DENOMINATOR = 1e-9
 
@@ -43,9 +48,23 @@ def requests_by_status(log: DataFrame) -> DataFrame:
     return log.groupBy(F.col("status").cast("string").alias("status")).agg(F.count("*").alias("requests"))
 
 
+def latency() -> Column:
+    """The measured latency, else null."""
+    return F.when(~non_finite("latency_ms"), F.col("latency_ms"))
+
+
+def probability_of(name: str = "probability") -> Column:
+    """The logged probability, null where it is none."""
+    return F.when(~invalid_score(name), F.col(name))
+
+
+def is_invalid(name: str = "probability") -> Column:
+    return F.col(name).isNotNull() & invalid_score(name)
+
+
 def latency_summary(log: DataFrame) -> DataFrame:
     zero = F.lit(0.0)
-    return log.agg(
+    return log.withColumn("latency_ms", latency()).agg(
         F.count("latency_ms").alias("count"),
         F.coalesce(F.avg("latency_ms"), zero).alias("average_ms"),
         F.coalesce(F.min("latency_ms"), zero).alias("min_ms"),
@@ -55,10 +74,10 @@ def latency_summary(log: DataFrame) -> DataFrame:
 
 def prediction_summary(log: DataFrame, threshold: float = OPERATING_THRESHOLD, probability: str = "probability") -> DataFrame:
     """Counts, rate and range of the logged probabilities; rows without one made no prediction."""
-    p = F.col(probability)
+    p = probability_of(probability)
     hit = at_or_above(p, threshold)
-    return log.where(p.isNotNull()).agg(
-        F.count(F.lit(1)).alias("total"),
+    return log.where(F.col(probability).isNotNull()).agg(
+        F.count(p).alias("total"),
         count_where(hit).alias("fraud"),
         count_where(~hit).alias("non_fraud"),
         F.coalesce(F.avg(p), F.lit(0.0)).alias("average_probability"),
@@ -66,6 +85,7 @@ def prediction_summary(log: DataFrame, threshold: float = OPERATING_THRESHOLD, p
         F.max(p).alias("max_probability"),
         count_where(~hit).alias("below_threshold"),
         count_where(hit).alias("at_or_above_threshold"),
+        count_where(is_invalid(probability)).alias("invalid_scores"),
     ).withColumn("fraud_rate", ratio(F.col("fraud"), F.col("total")))
 
 
@@ -92,22 +112,26 @@ def _cumulative(value: Column, bounds: Sequence[float]) -> list[Column]:
     ]
 
 
-def histogram(log: DataFrame, value: str, bounds: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Cumulative ``le`` buckets, +Inf last; one pass, at most len(bounds) + 1 rows per group."""
-    wide = log.groupBy(*by).agg(*_cumulative(F.col(value), bounds))
+def histogram(
+    log: DataFrame, value: Column, bounds: Sequence[float], by: Sequence[str] = (), beside: dict[str, Column] | None = None
+) -> DataFrame:
+    """Cumulative ``le`` buckets, +Inf last; one pass, at most len(bounds) + 1 rows per group, each with
+    the aggregates ``beside``."""
+    beside = beside or {}
+    wide = log.groupBy(*by).agg(*_cumulative(value, bounds), *[c.alias(n) for n, c in beside.items()])
     labels = [f"{b:g}" for b in bounds] + ["+Inf"]
-    return wide.select(*by, F.inline(F.array(*[
+    return wide.select(*by, *beside, F.inline(F.array(*[
         F.struct(F.lit(label).alias("le"), F.col(f"le_{i}").alias("cumulative"))
         for i, label in enumerate(labels)
     ])))
 
 
 def probability_histogram(log: DataFrame) -> DataFrame:
-    return histogram(log, "probability", PROBABILITY_BUCKETS)
+    return histogram(log, probability_of(), PROBABILITY_BUCKETS, beside={"invalid_scores": count_where(is_invalid())})
 
 
 def latency_histogram(log: DataFrame, bounds: Sequence[float] = LATENCY_BUCKETS_MS) -> DataFrame:
-    return histogram(log, "latency_ms", bounds)
+    return histogram(log, latency(), bounds)
 
 
 def bucket_quantile(q: float, bounds: Sequence[float], column=lambda i: f"le_{i}") -> Column:
@@ -153,10 +177,9 @@ def request_sums() -> dict[str, Column]:
 
 
 def prediction_sums(threshold: float = OPERATING_THRESHOLD) -> dict[str, Column]:
-    p = F.col("probability")
+    hit = at_or_above(probability_of(), threshold)
     return {
-        "fraud": count_where(p.isNotNull() & at_or_above(p, threshold)),
-        "non_fraud": count_where(p.isNotNull() & ~at_or_above(p, threshold)),
+        "fraud": count_where(hit), "non_fraud": count_where(~hit), "invalid_scores": count_where(is_invalid()),
     }
 
 
@@ -180,7 +203,7 @@ def add_fraud_rate(windows: DataFrame) -> DataFrame:
 
 
 def latency_sums(bounds: Sequence[float] = LATENCY_BUCKETS_MS) -> dict[str, Column]:
-    return {f"le_{i}": c for i, c in enumerate(_cumulative(F.col("latency_ms"), bounds))}
+    return {f"le_{i}": c for i, c in enumerate(_cumulative(latency(), bounds))}
 
 
 def add_latency_quantile(windows: DataFrame, q: float, bounds: Sequence[float]) -> DataFrame:
@@ -215,15 +238,55 @@ def latency_quantile(
 def exact_latency_quantile(
     log: DataFrame, q: float = 0.95, minutes: int = 60, slide: int | None = None, buckets: int | None = None
 ) -> DataFrame:
-    """The exact q-quantile of latency per window (tumbling without ``slide``).
+    """The exact q-quantile of latency per window (tumbling without ``slide``), linear between ranks.
 
-    Quantiles do not add up over panes, so a row goes to each of its minutes / slide windows.
+    Rows collapse once into counts per pane and value, which add up over panes. Counts per
+    pane and bucket of values, copied into the windows instead of rows, show which bucket holds the wanted rank of each
+    window; only value counts of those buckets meet the windows of their panes.
     """
-    window = F.window("ts", f"{minutes} minutes", f"{slide or minutes} minutes")
-    rows = log.select(window.getField("start").alias("window_start"), "latency_ms")
-    return exact_quantiles(rows, "latency_ms", [q], ["window_start"], buckets).select(
-        "window_start", F.col("n").alias("requests"), F.col("quantile").alias("quantile_ms")
-    )
+    slide = slide or minutes
+    step = math.gcd(minutes, slide)
+    rows = log.select(F.window("ts", f"{step} minutes").getField("start").alias("_pane"), latency().alias("_v")).where("_v IS NOT NULL")
+    placed = with_bucket(rows, "_v", split_points(rows, "_v", buckets))
+    counts = stored(placed.groupBy("_pane", BUCKET, "_v").agg(F.count("*").alias("_n")), "pane-values")
+    cells = counts.groupBy("_pane", BUCKET).agg(F.sum("_n").alias("_n")).groupBy(
+        F.window("_pane", f"{minutes} minutes", f"{slide} minutes").getField("start").alias("window_start"), BUCKET).agg(F.sum("_n").alias("_n"))
+    # at most one row per bucket in a window
+    below = Window.partitionBy("window_start").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    position = F.lit(float(q)) * (F.col("requests") - 1)
+    ranked = cells.select(
+        "window_start", BUCKET, "_n", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy("window_start")).alias("requests"),
+    ).withColumns({"_low": F.floor(position), "_high": F.ceil(position), "_part": position - F.floor(position)})
+
+    def holds(rank: str) -> Column:
+        return (F.col(rank) >= F.col("_before")) & (F.col(rank) < F.col("_before") + F.col("_n"))
+
+    wanted = ranked.where(holds("_low") | holds("_high"))
+    pane = F.make_dt_interval(mins=F.lit(step))
+    panes = F.sequence("window_start", F.col("window_start") + F.make_dt_interval(mins=F.lit(minutes - step)), pane)
+    values = wanted.drop("_n").withColumn("_pane", F.explode(panes)).join(counts, ["_pane", BUCKET]).groupBy(
+        "window_start", BUCKET, "_before", "requests", "_low", "_high", "_part", "_v").agg(F.sum("_n").alias("_n"))
+    inside = Window.partitionBy("window_start", BUCKET).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # from here a row's ranks are those of its value
+    upto = values.withColumn("_before", F.col("_before") + F.sum("_n").over(inside) - F.col("_n"))
+    low, high = F.min(F.when(holds("_low"), F.col("_v"))), F.min(F.when(holds("_high"), F.col("_v")))
+    return upto.groupBy("window_start", "requests").agg((low + (high - low) * F.max("_part")).alias("quantile_ms"))
+
+
+def sketched_latency_quantile(
+    log: DataFrame, q: float = 0.95, minutes: int = 5, slide: int = 1, k: int = 200
+) -> DataFrame:
+    """The q-quantile of latency per window within a rank error that ``k`` sets (about 1.3 % at 200), from one
+    mergeable sketch per pane, however many rows and values it has."""
+    step = math.gcd(minutes, slide)
+    pane = F.window("ts", f"{step} minutes").getField("start").alias("_pane")
+    panes = log.withColumn("latency_ms", latency().cast("double")).where("latency_ms IS NOT NULL").groupBy(pane).agg(
+        F.kll_sketch_agg_double("latency_ms", F.lit(k)).alias("_s"))
+    window = F.window("_pane", f"{minutes} minutes", f"{slide} minutes").getField("start").alias("window_start")
+    merged = panes.groupBy(window).agg(F.kll_merge_agg_double("_s", F.lit(k)).alias("_s"))
+    return merged.select("window_start", F.kll_sketch_get_n_double("_s").alias("requests"),
+                         F.kll_sketch_get_quantile_double("_s", F.lit(float(q))).alias("quantile_ms"))
 
 
 def fraud_rate(log: DataFrame, threshold: float = OPERATING_THRESHOLD, minutes: int = 5, slide: int = 1) -> DataFrame:
@@ -233,8 +296,7 @@ def fraud_rate(log: DataFrame, threshold: float = OPERATING_THRESHOLD, minutes:
 
 def probability_heatmap(log: DataFrame, bounds: Sequence[float] = PROBABILITY_BUCKETS, minutes: int = 5, slide: int = 1) -> DataFrame:
     """Predictions per window and upper bucket bound (not cumulative)."""
-    p = F.col("probability")
-    rows = log.where(p.isNotNull()).withColumn("le", bucket_label(p, bounds))
+    rows = log.where(~invalid_score("probability")).withColumn("le", bucket_label(F.col("probability"), bounds))
     return sliding(rows, {"predictions": F.count(F.lit(1))}, ["le"], minutes=minutes, slide=slide)
 
 

@@ -13,8 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.config import LATENCY_BUCKETS_MS, OPERATING_THRESHOLD, PROBABILITY_BUCKETS
+from riskspark.functions import invalid_score
 from riskspark.operators import monitor as O
-from riskspark.operators.admission import violations_long
+from riskspark.operators.admission import VIOLATIONS, known_category, with_violations
 
 DELAY = "10 minutes"
 
@@ -70,7 +71,7 @@ def probability_series(
     minutes: int = 5, slide: int = 1,
 ) -> DataFrame:
     """Predictions per window and probability bucket."""
-    timed = watermarked(log, delay=delay).where(F.col("probability").isNotNull())
+    timed = watermarked(log, delay=delay).where(~invalid_score("probability"))
     rows = timed.withColumn("le", O.bucket_label(F.col("probability"), bounds))
     return sliding(rows, {"predictions": F.count(F.lit(1))}, ["le"], minutes=minutes, slide=slide)
 
@@ -78,6 +79,13 @@ def probability_series(
 def quality_series(
     requests: DataFrame, ts: str = "ts", delay: str = DELAY, minutes: int = 5, slide: int = 1
 ) -> DataFrame:
-    """Admission violations per window and category."""
-    timed = watermarked(requests, ts, delay, key=None)
-    return sliding(violations_long(timed, [ts]), {"errors": F.count(F.lit(1))}, ["category"], ts, minutes, slide)
+    """Admission violations per window and category.
+
+    All requests move the watermark. Those without a violation stay in the plan until then: dropped
+    when violations are unrolled, they would be filtered before it, and a stream of good requests
+    would never close the window of a bad one.
+    """
+    timed = with_violations(watermarked(requests, ts, delay, key=None))
+    rows = timed.select(ts, F.inline_outer(VIOLATIONS)).where(F.col("category").isNotNull())
+    rows = rows.withColumn("category", known_category(F.col("category")))
+    return sliding(rows, {"errors": F.count(F.lit(1))}, ["category"], ts, minutes, slide)

@@ -67,10 +67,11 @@ def test_chi_square_tail(x, df, want):
     assert R.chi_square_upper_tail(x, df) == pytest.approx(want, abs=1e-4 if want > 0.4 else 1e-9)
 
 
-def test_one_nan_is_not_a_fraud(spark):
+def test_scores_that_are_none_are_reported(spark):
     good = spark.createDataFrame([(0.1,)] * 8 + [(0.95,)] * 2, "p double")
-    bad = spark.createDataFrame([(0.1,)] * 8 + [(0.95,), (float("nan"),)], "p double")
-    assert R.score_drift(good, bad, "p", 0.9).where("feature = 'decision'").first().drift_score > 0
+    bad = good.unionByName(spark.createDataFrame([(float("nan"),), (1.5,), (None,), (-0.1,), (float("inf"),)], "p double"))
+    for r in R.score_drift(good, bad, "p", 0.9).collect():
+        assert (r.drift_score, r.reference_invalid_scores, r.current_invalid_scores) == (0.0, 0, 5)
 
 
 @pytest.mark.parametrize("buckets", [1, 6])

@@ -38,7 +38,7 @@ def test_prediction_summary(spark):
 
 
 def test_cumulative_histogram(spark):
-    found = dict(rows(O.probability_histogram(predictions(spark, [0.0, .05, .1, .95, 1.0]))))
+    found = dict(rows(O.probability_histogram(predictions(spark, [0.0, .05, .1, .95, 1.0])), "le", "cumulative"))
     assert (found["0"], found["0.1"], found["0.9"], found["1"], found["+Inf"]) == (1, 3, 3, 5, 5)
 
 
@@ -83,3 +83,52 @@ def test_exact_quantile_per_sliding_window(spark):
     log = spark.createDataFrame([(START + dt.timedelta(minutes=m), float(m)) for m in range(10)], "ts timestamp, latency_ms double")
     found = dict(rows(O.exact_latency_quantile(log, 0.5, minutes=5, slide=1), "window_start", "quantile_ms"))
     assert len(found) == 14 and found[START] == 2.0 and found[START - dt.timedelta(minutes=4)] == 0.0
+
+
+def test_scores_that_are_none_are_reported_only(spark):
+    log = predictions(spark, [.95, .2, float("nan"), 1.5, float("inf"), -.1, None])
+    found = O.prediction_summary(log).first()
+    assert (found.total, found.fraud, found.non_fraud, found.invalid_scores, found.max_probability) == (2, 1, 1, 4, .95)
+    buckets = {r.le: (r.cumulative, r.invalid_scores) for r in O.probability_histogram(log).collect()}
+    assert buckets["+Inf"] == buckets["1"] == (2, 4)
+    timed = log.withColumn("ts", F.lit(START))
+    assert {(r.fraud, r.non_fraud, r.invalid_scores, r.fraud_rate) for r in O.fraud_rate(timed).collect()} == {(1, 1, 4, .5)}
+    assert {r.le for r in O.probability_heatmap(timed).collect()} == {"0.2", "1"}
+
+
+def test_latencies_that_were_not_measured(spark):
+    values = [1.0, 3.0, float("nan"), float("inf"), None]
+    log = spark.createDataFrame([(START, v) for v in values], "ts timestamp, latency_ms double")
+    assert rows(O.latency_summary(log)) == [(2, 2.0, 1.0, 3.0)]
+    assert dict(rows(O.latency_histogram(log, (2.0,)), "le", "cumulative")) == {"2": 1, "+Inf": 2}
+    assert {r.requests for r in O.latency_quantile(log).collect()} == {2}
+    assert {(r.requests, r.quantile_ms) for r in O.exact_latency_quantile(log, 0.5, 5, 1).collect()} == {(2, 2.0)}
+
+
+@pytest.fixture(scope="module")
+def spread_log(spark):
+    return spark.range(6000).select(
+        (F.lit(START) + F.make_dt_interval(secs=(F.col("id") * 37 % 3600).cast("decimal(18,6)"))).alias("ts"),
+        F.when(F.col("id") % 3 == 0, 50.0).otherwise((F.col("id") * 7919 % 1009).cast("double")).alias("latency_ms")).persist()
+
+
+@pytest.mark.parametrize(("minutes", "slide"), [(5, 1), (6, 4)])
+def test_exact_quantile_without_copied_rows(spread_log, minutes, slide, monkeypatch):
+    monkeypatch.setattr("riskspark.plans.ordered.SKETCH_SHARE", 1.0)
+    ours = O.exact_latency_quantile(spread_log, 0.95, minutes, slide, buckets=12)
+    plain = spread_log.groupBy(F.window("ts", f"{minutes} minutes", f"{slide} minutes").alias("w")).agg(
+        F.count("*").alias("requests"), F.expr("percentile(latency_ms, 0.95)").alias("q")).select("w.start", "requests", "q")
+    assert sorted(rows(ours, "window_start", "requests", "quantile_ms")) == [(a, n, pytest.approx(x)) for a, n, x in sorted(rows(plain))]
+    # windows multiply counts per pane and bucket only
+    plan = ours._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan[plan.rindex("Aggregate"):] and "Range" not in plan
+
+
+def test_sketched_quantile_within_its_rank_error(spread_log):
+    found = {r.window_start: r for r in O.sketched_latency_quantile(spread_log, 0.95, 15, 5).collect()}
+    windows = spread_log.groupBy(F.window("ts", "15 minutes", "5 minutes").alias("w")).agg(F.sort_array(F.collect_list("latency_ms")).alias("v")).collect()
+    assert len(windows) == len(found) > 10
+    for r in windows:
+        f, n = found[r.w.start], len(r.v)
+        low, high = sum(x < f.quantile_ms for x in r.v) / n, sum(x <= f.quantile_ms for x in r.v) / n
+        assert f.requests == n and low - 0.03 <= 0.95 <= high + 0.03

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from riskspark.config import DriftConfig
+from riskspark.operators.admission import violations_long
 from riskspark.operators import features as X, monitor as O
 from riskspark.schema import REQUEST_LOG, SCORE_REQUEST_TEXT
 from riskspark.sources import request_log as Q, testdata as D
@@ -143,3 +144,27 @@ def test_admission_is_stateless(spark, tmp_path, part):
     stream = spark.readStream.schema(SCORE_REQUEST_TEXT).parquet(str(tmp_path / "e"))
     _, query = run(spark, part(stream), tmp_path)
     assert all(not p.stateOperators for p in query.recentProgress)
+
+
+def test_good_requests_close_the_windows_of_a_bad_one(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    schema = f"{SCORE_REQUEST_TEXT.simpleString()[7:-1].replace(':', ' ')}, ts timestamp"
+    good, bad = ("TRANSFER", "950", "0", "0", "0", "0"), ("ODD", "-5", "0", "0", "0", "0")
+    batches = [[(*bad, minutes(0)), (*good, minutes(1))], *[[(*good, minutes(60 * h))] for h in (5, 6, 7, 8)]]
+    write_files(spark, folder, batches, schema)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    found, query = run(spark, SM.quality_series(stream), tmp_path)
+    batch = O.quality_errors_over_time(violations_long(spark.read.schema(schema).parquet(folder), ["ts"]))
+    assert sorted(rows(found, *batch.columns)) == sorted(rows(batch)) and found.count() == 10
+    # good requests are not kept
+    assert max(op.numRowsTotal for p in query.recentProgress for op in p.stateOperators) <= 10
+
+
+def test_invalid_scores_of_a_stream(spark, tmp_path):
+    folder = str(tmp_path / "log")
+    odd = [0.95, 0.1, float("nan"), 1.5, float("inf"), None]
+    write_files(spark, folder, [[request(i, 0, 200, p) for i, p in enumerate(odd)] + [request(99, 60)]], REQUEST_LOG)
+    found, _ = run(spark, SM.fraud_series(Q.stream_request_log(spark, folder)), tmp_path)
+    assert set(rows(found, "fraud", "non_fraud", "invalid_scores", "fraud_rate")) == {(1, 1, 3, 0.5)}
+    found, _ = run(spark, SM.probability_series(Q.stream_request_log(spark, folder)), tmp_path, "probability")
+    assert set(rows(found, "le", "predictions")) == {("1", 1), ("0.1", 1)}
