@@ -1,16 +1,28 @@
-"""Boosted-tree training, imbalance experiments, hyper-parameter search and scoring."""
+"""Boosted-tree training, imbalance experiments, hyper-parameter search and scoring.
+
+Boosting takes Newton steps on the logistic loss: each round fits one regression tree to the step
+(y - p) / (p (1 - p)) with weight p (1 - p), so that a leaf holds the step of its rows, as in LogitBoost
+(Friedman, Hastie and Tibshirani, Annals of Statistics 28, 2000), whose bound on single steps keeps rare
+rows from running away. Columns are drawn once per tree: the others are blanked, and no tree splits on a
+constant. The trees form a ``GBTClassificationModel``, so scoring, saving and loading are MLlib's.
+"""
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark import StorageLevel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskspark.config import (
     EXPERIMENTS, NUMERIC_FEATURES, Experiment, FeatureConfig, ModelConfig, SmoteConfig, SplitConfig,
@@ -27,15 +39,69 @@ WEIGHT = "weight"
 PROBABILITY = "fraud_probability"
 
 
-def classifier(config: ModelConfig = ModelConfig(), target: str = "isFraud") -> GBTClassifier:
-    """The boosted-tree classifier; columns are drawn per node rather than per tree."""
-    return GBTClassifier(
-        featuresCol=VECTOR, labelCol=target, weightCol=WEIGHT, maxIter=config.trees,
-        maxDepth=config.depth, stepSize=config.learning_rate,
-        subsamplingRate=config.row_subsample,
-        featureSubsetStrategy=str(config.column_subsample), seed=config.seed,
-        checkpointInterval=10,
-    )
+#: The largest single Newton step, in log odds.
+LARGEST_STEP = 4.0
+#: Rounds after which the running margins are written and read back, which ends their lineage.
+WRITTEN_EVERY = 20
+
+
+def draw_columns(columns: int, share: float, trees: int, seed: int) -> list[list[int]]:
+    """The columns each tree may use: ``share`` of all, at least one, drawn anew per tree."""
+    rng = random.Random(seed)
+    n = max(1, math.floor(share * columns + 0.5))
+    return [sorted(rng.sample(range(columns), n)) for _ in range(trees)]
+
+
+def boost(rows: DataFrame, target: str = "isFraud", config: ModelConfig = ModelConfig()) -> tuple[GBTClassificationModel, list[list[int]]]:
+    """A boosted model of ``rows`` (vector, target, weight), and the columns each tree was given.
+
+    Which rows a tree sees follows from a hash of row number and round, so a recomputed task sees the same.
+    """
+    spark = rows.sparkSession
+    start = rows.select(VECTOR, F.col(target).cast("double").alias("y"), F.col(WEIGHT).cast("double").alias("w"),
+                        F.monotonically_increasing_id().alias("row"), F.lit(0.0).alias("margin"))
+    path = scratch_path(spark, "boosting")
+    start.write.parquet(path)
+    state = spark.read.schema(start.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+    size = state.select(VECTOR).first()[0].size
+    drawn = draw_columns(size, config.column_subsample, config.trees, config.seed)
+    p = 1 / (1 + F.exp(-F.col("margin")))
+    curve = F.greatest(p * (1 - p), F.lit(1e-12))
+    step = F.greatest(F.least((F.col("y") - p) / curve, F.lit(LARGEST_STEP)), F.lit(-LARGEST_STEP))
+    trees = []
+    for number, columns in enumerate(drawn):
+        used = F.array(*[F.lit(c in set(columns)) for c in range(size)])
+        given = array_to_vector(F.zip_with(vector_to_array(VECTOR), used, lambda x, u: F.when(u, x).otherwise(F.lit(0.0))))
+        seen = F.pmod(F.xxhash64("row", F.lit(config.seed), F.lit(number)), F.lit(1 << 20)) < int(config.row_subsample * (1 << 20))
+        learner = DecisionTreeRegressor(featuresCol="given", labelCol="step", weightCol="curve", predictionCol="moved",
+                                        maxDepth=config.depth, seed=config.seed + number)
+        tree = learner.fit(state.where(seen).select(given.alias("given"), step.alias("step"), (F.col("w") * curve).alias("curve")))
+        trees.append(tree)
+        moved = tree.setFeaturesCol(VECTOR).transform(state).select(
+            VECTOR, "y", "w", "row", (F.col("margin") + F.lit(config.learning_rate) * F.col("moved")).alias("margin"))
+        if (number + 1) % WRITTEN_EVERY == 0:
+            path = scratch_path(spark, "boosting")
+            moved.write.parquet(path)
+            moved = spark.read.schema(moved.schema).parquet(path)
+        moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
+        moved.count()
+        state.unpersist()
+        state = moved
+    state.unpersist()
+    # MLlib's probability is that of twice the weighted sum
+    return _ensemble(spark, trees, config.learning_rate / 2, size), drawn
+
+
+def _ensemble(spark: SparkSession, trees: Sequence, weight: float, size: int) -> GBTClassificationModel:
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    models = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
+    weights = sc._gateway.new_array(sc._gateway.jvm.double, len(trees))
+    for i, tree in enumerate(trees):
+        models[i], weights[i] = tree._java_obj, weight
+    uid = f"GBTClassifier_{trees[0].uid.rsplit('_', 1)[-1]}"
+    return GBTClassificationModel(
+        jvm.org.apache.spark.ml.classification.GBTClassificationModel(uid, models, weights, size, 2)).setFeaturesCol(VECTOR)
 
 
 def fit(
@@ -61,19 +127,24 @@ def fit(
     encoded = prepared.transform(train).select(key, VECTOR, target)
     weighted = with_class_weight(encoded, target, use_class_weight, WEIGHT)
     rows = weighted.select(VECTOR, target, WEIGHT)
+    synthetic = None
     if use_smote:
         arrays = encoded.withColumn(VECTOR, vector_to_array(VECTOR))
         # written once: boosting reads its input several times, and the search is costly
-        path = scratch_path(train.sparkSession, "synthetic")
-        smote(arrays, key, VECTOR, target, smote_config).write.parquet(path)
-        made = train.sparkSession.read.parquet(path)
+        synthetic = scratch_path(train.sparkSession, "synthetic")
+        smote(arrays, key, VECTOR, target, smote_config).write.parquet(synthetic)
+        made = train.sparkSession.read.parquet(synthetic)
         minority = with_class_weight_value(weighted, target)
         rows = rows.unionByName(
             made.select(array_to_vector(VECTOR).alias(VECTOR), F.col(target).cast("int").alias(target),
                         F.when(F.col(target) == 1, F.lit(minority)).otherwise(F.lit(1.0)).alias(WEIGHT))
         )
-    booster = classifier(model, target).fit(rows)
-    return PipelineModel(stages=[*prepared.stages, booster])
+    booster, drawn = boost(rows, target, model)
+    fitted = PipelineModel(stages=[*prepared.stages, booster])
+    names = prepared.stages[-1].getInputCols()
+    # which columns each tree was given, by name, and the table of synthetic rows
+    fitted.tree_columns, fitted.synthetic_path = [[names[c] for c in columns] for columns in drawn], synthetic
+    return fitted
 
 
 def with_class_weight_value(weighted: DataFrame, target: str) -> float:
@@ -83,7 +154,13 @@ def with_class_weight_value(weighted: DataFrame, target: str) -> float:
 
 
 def save_model(model: PipelineModel, path: str) -> str:
+    """The pipeline, and beside it the columns each tree was given."""
     model.write().overwrite().save(path)
+    drawn = getattr(model, "tree_columns", None)
+    if drawn:
+        spark = SparkSession.getActiveSession()
+        small_table(spark, list(enumerate(drawn)), "tree int, columns array<string>").coalesce(1).write.mode("overwrite").parquet(
+            f"{path}/tree_columns")
     return path
 
 
@@ -91,6 +168,10 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_tree_columns(spark: SparkSession, path: str) -> list[list[str]]:
+    return [list(r.columns) for r in spark.read.parquet(f"{path}/tree_columns").orderBy("tree").collect()]
+
+
 # --- scoring --------------------------------------------------------------------------
 
 def _require_binary(model: Model) -> None:
@@ -149,13 +230,42 @@ def run_experiments(
     return df.sparkSession.read.parquet(path).select("experiment", key, "y", "p"), fitted
 
 
+class BoostingEstimator(Estimator):
+    """``fit`` as an estimator of raw rows: scaler, levels, class weight and oversampling come from the rows it
+    is fitted on. Inside a cross-validation these are the folds trained on, and synthetic rows never
+    reach an evaluation, as the fitted pipeline only scores.
+    """
+
+    maxIter = Param(Params._dummy(), "maxIter", "number of trees", TypeConverters.toInt)
+    maxDepth = Param(Params._dummy(), "maxDepth", "depth of a tree", TypeConverters.toInt)
+    stepSize = Param(Params._dummy(), "stepSize", "learning rate", TypeConverters.toFloat)
+    subsamplingRate = Param(Params._dummy(), "subsamplingRate", "share of rows per tree", TypeConverters.toFloat)
+    columnShare = Param(Params._dummy(), "columnShare", "share of columns per tree", TypeConverters.toFloat)
+
+    def __init__(
+        self, key: str, target: str = "isFraud", model: ModelConfig = ModelConfig(), use_smote: bool = True,
+        use_class_weight: bool = True, smote_config: SmoteConfig = SmoteConfig(),
+    ):
+        super().__init__()
+        self.key, self.target, self.model = key, target, model
+        self.use_smote, self.use_class_weight, self.smote_config = use_smote, use_class_weight, smote_config
+        self._setDefault(maxIter=model.trees, maxDepth=model.depth, stepSize=model.learning_rate,
+                         subsamplingRate=model.row_subsample, columnShare=model.column_subsample)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        value = self.getOrDefault
+        config = replace(self.model, trees=value(self.maxIter), depth=value(self.maxDepth), learning_rate=value(self.stepSize),
+                         row_subsample=value(self.subsamplingRate), column_subsample=value(self.columnShare))
+        return fit(dataset, self.key, self.target, config, self.use_smote, self.use_class_weight, self.smote_config)
+
+
 # The grid the random search draws from.
 SEARCH_GRID = {
     "maxIter": (200, 500, 800),
     "maxDepth": (4, 6, 8, 10),
     "stepSize": (0.01, 0.05, 0.1),
     "subsamplingRate": (0.7, 0.9, 1.0),
-    "featureSubsetStrategy": ("0.7", "0.9", "1.0"),
+    "columnShare": (0.7, 0.9, 1.0),
 }
 
 
@@ -168,18 +278,21 @@ def search(
     seed: int = 42,
     parallelism: int = 2,
     grid: dict[str, Sequence] | None = None,
+    use_smote: bool = True,
+    use_class_weight: bool = True,
+    smote_config: SmoteConfig = SmoteConfig(),
+    keep_models: bool = False,
 ) -> tuple[CrossValidatorModel, DataFrame]:
     """Random search: distinct draws from the grid, cross-validated by F1 of class 1.
 
-    Folds come from a digest of the key.  Gives the fitted search and a table
-    (draw, one column per parameter, mean_f1).
+    Folds come from a digest of the key. Encoding, weights and oversampling are fitted on the folds
+    trained on. Gives the fitted search and a table (draw, one column per parameter, mean_f1).
     """
     grid = grid or SEARCH_GRID
     size = 1
     for values in grid.values():
         size *= len(values)
     places = random.Random(seed).sample(range(size), min(draws, size))
-    booster = classifier(ModelConfig(seed=seed), target)
 
     def settings(place: int) -> dict[str, object]:
         chosen = {}
@@ -190,20 +303,15 @@ def search(
 
     chosen = [settings(p) for p in places]
     ensure_checkpoint_dir(train.sparkSession)
-    featured = add_features(train)
-    columns = [c for c in NUMERIC_FEATURES if c in featured.columns]
-    stages = [feature_stage(), *encode_stages(fit_scaler(featured, columns), categories(train, "type"))]
-    encoded = Pipeline(stages=stages).fit(train).transform(train).select(key, VECTOR, target)
-    rows = with_class_weight(encoded, target, True, WEIGHT).withColumn(
-        "fold", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(folds)).cast("int")
-    )
+    estimator = BoostingEstimator(key, target, ModelConfig(seed=seed), use_smote, use_class_weight, smote_config)
+    rows = train.withColumn("fold", F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(folds)).cast("int"))
     validator = CrossValidator(
-        estimator=booster,
-        estimatorParamMaps=[{booster.getParam(n): v for n, v in c.items()} for c in chosen],
+        estimator=estimator,
+        estimatorParamMaps=[{estimator.getParam(n): v for n, v in c.items()} for c in chosen],
         evaluator=MulticlassClassificationEvaluator(
             labelCol=target, metricName="fMeasureByLabel", metricLabel=1.0
         ),
-        numFolds=folds, foldCol="fold", seed=seed, parallelism=parallelism,
+        numFolds=folds, foldCol="fold", seed=seed, parallelism=parallelism, collectSubModels=keep_models,
     )
     fitted = validator.fit(rows)
     table = small_table(
@@ -212,4 +320,3 @@ def search(
         "draw int, " + ", ".join(f"{n} string" for n in grid) + ", mean_f1 double",
     )
     return fitted, table
-

@@ -1,3 +1,6 @@
+import math
+import re
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -101,10 +104,70 @@ def test_training_job_writes_everything(spark, transactions, tmp_path):
     assert spark.read.json(f"{out}/metadata").where("selected").count() == 5
 
 
+GRID = {"maxIter": (1, 2), "maxDepth": (2,), "stepSize": (.1,), "subsamplingRate": (1.0,), "columnShare": (1.0,)}
+
+
 def test_search_reports_every_draw(transactions):
-    grid = {"maxIter": (1, 2), "maxDepth": (2,), "stepSize": (.1,), "subsamplingRate": (1.0,), "featureSubsetStrategy": ("1.0",)}
-    fitted, table = L.search(transactions, "txn_id", draws=5, folds=2, grid=grid)
-    assert table.count() == 2 and fitted.bestModel.getNumTrees in (1, 2)
+    fitted, table = L.search(transactions, "txn_id", draws=5, folds=2, grid=GRID, use_smote=False)
+    assert table.count() == 2 and fitted.bestModel.stages[-1].getNumTrees in (1, 2)
+
+
+def test_search_fits_encoding_and_oversampling_per_fold(spark, transactions):
+    grid = {**GRID, "maxIter": (1,)}
+    fitted, _ = L.search(transactions, "txn_id", draws=1, folds=2, grid=grid, keep_models=True)
+    folds = F.pmod(F.xxhash64("txn_id", F.lit(42)), F.lit(2)).cast("int")
+    whole = L.fit(transactions, "txn_id", model=ModelConfig(trees=1, depth=2)).stages[1].getStatement()
+    statements = [models[0].stages[1].getStatement() for models in fitted.subModels]
+    assert len({whole, *statements}) == 3  # the scaler's numbers are in the statement
+    for fold, models in enumerate(fitted.subModels):
+        held_out = transactions.where(folds == fold).select("txn_id")
+        made = spark.read.parquet(models[0].synthetic_path)
+        assert made.count() > 0
+        for side in ("base", "neighbour"):
+            assert made.join(held_out, made[side] == held_out.txn_id, "left_semi").isEmpty()
+
+
+def log_loss(scored):
+    p = F.greatest(F.least(F.col(L.PROBABILITY), F.lit(1 - 1e-15)), F.lit(1e-15))
+    return scored.agg(F.avg(F.when(F.col("isFraud") == 1, -F.ln(p)).otherwise(-F.ln(1 - p)))).first()[0]
+
+
+def test_columns_are_drawn_per_tree_and_the_loss_is_no_worse(transactions, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import GBTClassifier
+
+    train, test = P.train_test(transactions, "txn_id")
+    config = ModelConfig(trees=12, depth=3, learning_rate=0.3, column_subsample=0.5)
+    model = L.fit(train, "txn_id", model=config, use_class_weight=False)
+    names = model.stages[-2].getInputCols()
+    drawn = model.tree_columns
+    assert len(drawn) == 12 and {len(d) for d in drawn} == {6} and len(set(map(tuple, drawn))) > 6
+    # no tree splits on a column it was not given
+    for tree, given in zip(model.stages[-1].trees, drawn, strict=True):
+        used = {names[int(x)] for x in re.findall(r"feature (\d+)", tree.toDebugString)}
+        assert used <= set(given)
+    L.save_model(model, str(tmp_path / "m"))
+    assert L.load_tree_columns(transactions.sparkSession, str(tmp_path / "m")) == drawn
+    prepared = PipelineModel(stages=model.stages[:-1])
+    plain = GBTClassifier(featuresCol="features", labelCol="isFraud", maxIter=12, maxDepth=3, stepSize=0.3, subsamplingRate=0.8,
+                          featureSubsetStrategy="0.5", seed=42).fit(prepared.transform(train))
+    theirs = log_loss(L.score(test, PipelineModel(stages=[*prepared.stages, plain]), keep=["isFraud"]))
+    assert log_loss(L.score(test, model, keep=["isFraud"])) <= theirs
+
+
+def test_one_step_is_the_newton_step(spark):
+    """One tree of depth 1 from p = 1/2: a leaf's log odds are the mean of 4 (y - 1/2), at most the bound."""
+    table = [(0.0, 1)] * 3 + [(0.0, 0)] * 5 + [(1.0, 1)] * 6 + [(1.0, 0)] * 2
+    rows_ = spark.createDataFrame([(x, y, 1.0) for x, y in table], "x double, isFraud int, weight double").select(
+        F.expr("array(x)").alias("a"), "isFraud", "weight")
+    from pyspark.ml.functions import array_to_vector
+
+    rows_ = rows_.select(array_to_vector("a").alias("features"), "isFraud", "weight")
+    model, drawn = L.boost(rows_, config=ModelConfig(trees=1, depth=1, learning_rate=1.0, row_subsample=1.0, column_subsample=1.0))
+    assert drawn == [[0]]
+    found = {(r.features[0]): r.p for r in model.transform(rows_).select("features", vector_to_array("probability")[1].alias("p")).collect()}
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+    assert found[0.0] == pytest.approx(sigmoid((3 * 2 - 5 * 2) / 8)) and found[1.0] == pytest.approx(sigmoid((6 * 2 - 2 * 2) / 8))
 
 
 def test_retraining_gate(spark, sf, tmp_path, fitted):
