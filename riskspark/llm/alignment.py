@@ -7,7 +7,8 @@ import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,41 +21,38 @@ from tokenizers import Tokenizer
 from riskspark.llm.common import materialize
 from riskspark.llm.tokens import BYTE_LEVEL_PATTERN, LONG_RUN, _byte_of_char, _ranks
 
-MEMO_UNITS = 300_000        # space-separated units remembered per worker, and their characters;
-MEMO_CHARS = 12_000_000     # the memory starts again beyond either
+MEMO_UNITS = 250_000        # space-separated units remembered per worker, and their characters;
+MEMO_CHARS = 6_000_000      # the memory starts again beyond either
+LEARNED_AT_ONCE = 4_000     # units encoded by one call
 BLOCK_DOCS = 65_536         # document numbers of one bitmap container
-BLOCK_BYTES = 32_000_000    # text of one block, about
+BLOCK_BYTES = 10_000_000    # text of one block, about
 DENSE = 4_096               # documents from which a container is a bitmap instead of a list
 BASE = -1                   # the plane of all documents that hold a pair
 
 _BYTE_PIECE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
-class Aligned:
-    """What a text, or a unit of one, gives: numbers of ids, the groups as text and the linked pairs."""
+class Aligned(NamedTuple):
+    """What a text, or a unit of one, gives: the groups as text, the linked pairs, and numbers of ids."""
 
-    __slots__ = ("groups", "n_a", "n_b", "pairs")
+    groups: bytes
+    pairs: bytes
+    n_a: int
+    n_b: int
 
-    def __init__(self, a: list[int], b: list[int], a_ends: np.ndarray, b_ends: np.ndarray):
-        self.n_a, self.n_b = len(a), len(b)
-        # token ends only grow, so a common end is one token of either side
-        _, i, j = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
-        self.pairs = ((np.array(a, np.int64)[i] << 32) | np.array(b, np.int64)[j]).tobytes()
-        left, right = list(map(str, a)), list(map(str, b))
-        parts, x, y = [], 0, 0
-        for p, q in zip((i + 1).tolist(), (j + 1).tolist(), strict=True):
-            parts.append(f"{','.join(left[x:p])}|{','.join(right[y:q])}")
-            x, y = p, q
-        self.groups = ";".join(parts).encode()
+
+# A space beside white space or an end: the text is not cut at its spaces.
+_UNEVEN = re.compile(r"\A\x20|\x20\Z|\s\x20|\x20\s")
 
 
 class PairCoder:
     """Both tokenizations of a text and their alignment, equal to those of the two libraries.
 
     Where the vocabularies are of the known shapes (byte-level BPE; pieces in which the space mark
-    only leads), no token of either side runs over a single space that stands before another
-    character, so both sides end there: such texts are cut at their spaces, and each distinct unit
-    is encoded and aligned once while remembered. All other texts go to the libraries whole.
+    only leads), no token of either side runs over a single space between other characters than white
+    space, so both sides end there: texts that hold no other spaces are cut at them, and each distinct unit
+    is encoded and aligned once while remembered, many units in one call. All other texts go to the
+    libraries whole.
     """
 
     def __init__(self, a_path: str, b_path: str):
@@ -92,35 +90,63 @@ class PairCoder:
         m = _BYTE_PIECE.fullmatch(piece)
         return bytes([int(m[1], 16)]) if m else piece.replace("▁", " ").encode()
 
-    def _aligned(self, raw: bytes, a: list[int], b: list[int]) -> Aligned | None:
-        """None where a side does not give the bytes back."""
-        if any(b"".join(map(known.get, ids, [b""] * len(ids))) != raw for known, ids in ((self.a_bytes, a), (self.b_bytes, b))):
-            return None
-        return Aligned(a, b, np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
+    def _aligned(self, raw: bytes, a: np.ndarray, b: np.ndarray, ends: np.ndarray) -> list[Aligned] | None:
+        """The parts of ``raw`` that end at ``ends``, which both sides must reach; None where a side does
+        not give the bytes back."""
+        for known, ids in ((self.a_bytes, a), (self.b_bytes, b)):
+            if b"".join(map(known.get, ids.tolist(), repeat(b""))) != raw:
+                return None
+        a_ends, b_ends = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        # token ends only grow, so a common end is one token of either side
+        common, i, j = np.intersect1d(a_ends, b_ends, assume_unique=True, return_indices=True)
+        pairs = ((a[i].astype(np.int64) << 32) | b[j].astype(np.int64)).tobytes()
+        left, right = list(map(str, a.tolist())), list(map(str, b.tolist()))
+        groups, x, y = [], 0, 0
+        for p, q in zip((i + 1).tolist(), (j + 1).tolist(), strict=True):
+            groups.append(f"{left[x] if p == x + 1 else ','.join(left[x:p])}|{right[y] if q == y + 1 else ','.join(right[y:q])}")
+            x, y = p, q
+        last = np.searchsorted(common, ends)
+        if len(ends) and (last[-1] >= len(common) or (common[last] != ends).any()):
+            raise RuntimeError("a token runs over a space")
+        upto = (last + 1).tolist()
+        n_a, n_b = np.diff(i[last] + 1, prepend=0).tolist(), np.diff(j[last] + 1, prepend=0).tolist()
+        return [Aligned(";".join(groups[s:e]).encode(), pairs[8 * s : 8 * e], n, m)
+                for s, e, n, m in zip([0, *upto[:-1]], upto, n_a, n_b, strict=True)]
 
     def whole(self, text: str) -> Aligned | None:
         """The alignment of one text by the libraries themselves."""
-        return self._aligned(f" {text}".encode(), self.a.encode(f" {text}", add_special_tokens=False).ids,
-                             self.b.encode(text, num_threads=1)) if text else None
+        if not text:
+            return None
+        raw = f" {text}"
+        found = self._aligned(raw.encode(), np.array(self.a.encode(raw, add_special_tokens=False).ids, np.int64),
+                              np.array(self.b.encode(text, num_threads=1), np.int64), np.array([len(raw.encode())]))
+        return found and found[0]
 
     def _learn(self, units: list[str]) -> None:
-        b_ids = self.b.encode(units, num_threads=1)
+        """Align new units, as one text of all that keep their bytes."""
         self.chars += sum(map(len, units))
-        for unit, b in zip(units, b_ids, strict=True):
-            raw = f" {unit}"
-            a = (self.fast.encode_ordinary(raw) if len(unit) < LONG_RUN
-                 else self.a.encode(raw, add_special_tokens=False).ids)
-            self.memo[unit] = self._aligned(raw.encode(), a, b)
+        plain = [u for u in units if len(u) < LONG_RUN and "▁" not in u]
+        for u in set(units).difference(plain):
+            self.memo[u] = self.whole(u)
+        if not plain:
+            return
+        raw = " " + " ".join(plain)
+        ends = np.cumsum(np.fromiter((len(u.encode()) for u in plain), np.int64, len(plain)) + 1)
+        found = self._aligned(raw.encode(), self.fast.encode_to_numpy(raw, disallowed_special=()).astype(np.int64),
+                              np.array(self.b.encode(raw[1:], num_threads=1), np.int64), ends)
+        if found is None:  # some unit does not give its bytes back
+            found = [self.whole(u) for u in plain]
+        self.memo.update(zip(plain, found, strict=True))
 
     def align(self, texts: list[str]) -> list[list[Aligned] | None]:
         """Per text its aligned parts in order, or None where it has no tokens."""
         if len(self.memo) > MEMO_UNITS or self.chars > MEMO_CHARS:
             self.memo.clear()
             self.chars = 0
-        cut = [None if self.fast is None or not t or "  " in t or t[0] == " " or t[-1] == " " else t.split(" ") for t in texts]
+        cut = [None if self.fast is None or not t or _UNEVEN.search(t) else t.split(" ") for t in texts]
         new = list(set(chain.from_iterable(u for u in cut if u)).difference(self.memo))
-        for at in range(0, len(new), 20_000):
-            self._learn(new[at : at + 20_000])
+        for at in range(0, len(new), LEARNED_AT_ONCE):
+            self._learn(new[at : at + LEARNED_AT_ONCE])
         out: list[list[Aligned] | None] = []
         for text, units in zip(texts, cut, strict=True):
             parts = list(map(self.memo.__getitem__, units)) if units else [self.whole(text)]
