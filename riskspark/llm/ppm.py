@@ -22,7 +22,7 @@ LOCAL = 3                 # contexts that agree in so many last bytes are counte
 SYMBOLS = 256             # 255 is no byte of UTF-8: it stands before a text and ends it
 EDGE = 255
 BLOCK_DOCS = 65_536       # documents of one block, so that a gram and its document fit 64 bits
-BLOCK_BYTES = 16_000_000  # text of one block, about
+BLOCK_BYTES = 4_000_000   # text of one block, about
 RANGE_BYTES = 64_000_000  # text whose contexts one range stands for, about
 
 _DOC_BITS = np.uint64(16)
@@ -31,27 +31,32 @@ _DOC_BITS = np.uint64(16)
 def byte_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(gram, document) of every byte and end of the texts: ``ORDER`` bytes before it, then itself."""
     edge = bytes([EDGE])
-    raw = np.frombuffer(b"".join(edge * ORDER + t + edge for t in texts), np.uint8).astype(np.uint64)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    raw = np.frombuffer(b"".join(edge * ORDER + t + edge for t in texts), np.uint8)
     gram = np.zeros(len(raw) - ORDER, np.uint64)
     for k in range(ORDER + 1):
-        gram = (gram << np.uint64(8)) | raw[k : len(raw) - ORDER + k]
-    # positions whose window starts before the text's padding belong to the text before
-    starts = np.cumsum(sizes + ORDER) - sizes - ORDER
-    first = np.cumsum(sizes) - sizes
-    at = np.repeat(starts - first, sizes) + np.arange(sizes.sum())
-    return gram[at], np.repeat(np.arange(len(texts)), sizes)
+        gram <<= np.uint64(8)
+        gram |= raw[k : len(raw) - ORDER + k]
+    # windows that end in the padding of the next text are none
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
+    keep = np.ones(len(gram), bool)
+    starts = np.cumsum(sizes + ORDER)[:-1] - ORDER
+    for k in range(ORDER):
+        keep[starts + k] = False
+    return gram[keep], np.repeat(np.arange(len(texts), dtype=np.uint16), sizes)
 
 
 def counted_grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(gram, document, times), sorted; documents are numbered below ``BLOCK_DOCS``."""
-    gram, doc = byte_grams(texts)
-    both = np.sort((gram << _DOC_BITS) | doc.astype(np.uint64))
+    both, doc = byte_grams(texts)
+    total = len(both)
+    both <<= _DOC_BITS
+    both |= doc
+    both.sort()
     new = np.ones(len(both), bool)
     new[1:] = both[1:] != both[:-1]
     starts = np.flatnonzero(new)
     both = both[starts]
-    return both >> _DOC_BITS, (both & np.uint64(BLOCK_DOCS - 1)).astype(np.int64), np.diff(np.append(starts, len(gram)))
+    return both >> _DOC_BITS, (both & np.uint64(BLOCK_DOCS - 1)).astype(np.int64), np.diff(np.append(starts, total))
 
 
 class Level:
@@ -261,14 +266,14 @@ def _answers(short: bytes, n_short: int):
             levels = [level, *(level.shorter(k) for k in range(ORDER - 1, LOCAL - 1, -1))]
             low = Level(pairs[0], pairs[1].astype(np.int64))
             levels += [low, *(low.shorter(k) for k in range(LOCAL - 2, -1, -1))]
-            found, kinds = log_probabilities(grams, levels), 0
+            found, kinds = log_probabilities(grams, levels).astype("<f4"), 0
         else:
             asked = [_unpacked(x, np.uint8).tobytes().split(b" ") for x in table.column("words").to_pylist()]
             number: defaultdict[bytes, int] = defaultdict(count().__next__)
             at = np.concatenate([np.fromiter(map(number.__getitem__, x), np.int64, len(x)) for x in asked])
             n = np.zeros(len(number), np.int64)
             np.add.at(n, at, np.concatenate(ns))
-            found, kinds = n.astype(np.float64), int(np.count_nonzero(n))
+            found, kinds = n.astype("<u8"), int(np.count_nonzero(n))
         ends = np.cumsum([len(x) for x in asked])
         return pa.table({
             "block": blocks, "place": pa.array(np.full(len(asked), place, np.int32)),
@@ -285,12 +290,12 @@ def _scored(ranges: int, id_type: pa.DataType):
         docs = docs.sort_by("at")
         texts = docs.column("text").to_pylist()
         found = dict(zip(answers.column("place").to_pylist(), answers.column("values").to_pylist(), strict=True))
-        values = [_unpacked(found[p], "<f8") for p in sorted(found) if p < ranges]
+        values = [_unpacked(found[p], "<f4").astype(np.float64) for p in sorted(found) if p < ranges]
         _, _, number, doc, times = block_grams(texts, ranges)
         score = np.bincount(doc, weights=times * np.concatenate(values)[number], minlength=len(texts))
         _, _, words = block_words(texts, ranges)
-        values = [np.empty(0), *(_unpacked(found[p], "<f8") for p in sorted(found) if p >= ranges)]
-        n = np.concatenate(values)
+        values = [np.empty(0, "<u8"), *(_unpacked(found[p], "<u8") for p in sorted(found) if p >= ranges)]
+        n = np.concatenate(values).astype(np.float64)
         known, logs = n > 0, np.log10(n + 0.5)
         return pa.table({
             "doc_id": docs.column("doc_id").cast(id_type), "held_out": docs.column("held_out"),
@@ -313,8 +318,8 @@ def ppm_scores(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str
     training documents, go to ranges of the context space, packed, once per block however frequent they are. All
     contexts that agree in their last ``LOCAL`` bytes meet in one range, which holds every count that
     escapes down to ``LOCAL`` bytes need; the counts of shorter contexts, at most 2^24 whatever the
-    corpus, are known to all. Each range answers every block with one number per gram, and blocks add
-    them up. Words take the same way.
+    corpus, are known to all. Each range answers every block with one number of 32 bits per gram (seven
+    digits), and blocks add them up. Words take the same way.
 
     A null text is empty: it has its end only. A null id counts as an empty text where ``held_out`` reads it. Repeated rows count
     each; without training documents all symbols are alike; an empty table gives no rows; other
