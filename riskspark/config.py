@@ -64,7 +64,7 @@ class SmoteConfig:
     k: int = 5
     seed: int = 42
     block_rows: int = 2048
-    max_pivots: int = 32768
+    max_pivots: int = 1_000_000
 
 
 @dataclass(frozen=True)

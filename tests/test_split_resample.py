@@ -153,3 +153,22 @@ def test_a_split_by_very_many_labels(spark):
     assert marked.columns == ["id", "label", "split"] and marked.count() == 60_000
     assert marked.where("split = 'test'").count() == 18_000
     assert marked.where("split = 'test'").groupBy("label").count().agg(F.max("count")).first()[0] == 1
+
+
+def test_few_blocks_are_visited(spark):
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(3000, 3)) + rng.integers(0, 4, (3000, 1)) * 8
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "id long, v array<double>")
+    report = {}
+    found = nearest_neighbours(df, "id", F.col("v"), 5, block_rows=50, report=report)
+    assert report["vectors"] == 3000
+    assert (report["first_visits"] + report["later_visits"]) / 3000 <= 3 * 5
+    # the searches are written once, not part of the plan
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInPandas") <= 2 and "LogicalRDD" not in plan.split("Join")[-1]
+    got = {}
+    for r in found.where("id < 40").select("id", "neighbour", "rank").collect():
+        got.setdefault(r.id, []).append((r.rank, r.neighbour))
+    for i in range(40):
+        d = ((data - data[i]) ** 2).sum(axis=1)
+        assert [n for _, n in sorted(got[i])] == np.argsort(d, kind="stable")[1:6].tolist()
