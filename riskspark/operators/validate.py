@@ -47,29 +47,31 @@ def unexpected_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
 
 def schema_report(df: DataFrame, rules: ValidationRules = ValidationRules()) -> DataFrame:
     """Required columns and data types, from the schema alone."""
-    return small_table(df.sparkSession, _schema_rows(df, rules), REPORT_SCHEMA)
+    return small_table(df.sparkSession, _schema_rows(_types(df), rules), REPORT_SCHEMA)
 
 
-def _schema_rows(df: DataFrame, rules: ValidationRules) -> list[tuple]:
-    missing = missing_columns(df, rules.required)
+def _schema_rows(columns: dict[str, T.DataType], rules: ValidationRules) -> list[tuple]:
+    missing = sorted(set(rules.required) - set(columns))
     rows = [("schema", None, "FAILED" if missing else "PASSED", float(len(missing)), None)]
     rows += [("schema", c, "FAILED", None, "missing column") for c in missing]
-    rows += [("schema", c, "INFO", None, "unexpected column")
-             for c in unexpected_columns(df, rules.required)]
-    types = {f.name: f.dataType for f in df.schema.fields}
+    rows += [("schema", c, "INFO", None, "unexpected column") for c in sorted(set(columns) - set(rules.required))]
     wrong = 0
     type_rows = []
     for wanted, names, fits in (("numeric", rules.numeric, is_numeric), ("string", rules.string, is_string)):
         for name in names:
-            if name in types:
-                ok = fits(types[name])
+            if name in columns:
+                ok = fits(columns[name])
                 wrong += not ok
                 type_rows.append(("data_types", name, "PASSED" if ok else "FAILED", None,
-                                  f"expected {wanted}, found {types[name].simpleString()}"))
+                                  f"expected {wanted}, found {columns[name].simpleString()}"))
     rows.append(("data_types", None, "FAILED" if wrong else "PASSED", float(wrong), None))
     return rows + type_rows
 
 
+def _types(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema.fields}
+
+
 # --- counting rules: one aggregation ----------------------------------------------
 
 def _numeric_minimums(df: DataFrame, rules: ValidationRules) -> dict[str, float]:
@@ -196,6 +198,56 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     )
 
 
+# --- text tables: types and counts from one pass --------------------------------------------
+
+#: Types a column of text may turn out to have, in the order they are tried; text where none fits.
+TEXT_TYPES = {"bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}
+
+
+def text_profile(df: DataFrame, rules: ValidationRules = ValidationRules()) -> tuple[dict[str, T.DataType], dict[str, int]]:
+    """(type of each text column, the counts of ``profile``) from one pass over a table of text.
+
+    A column has the first of ``TEXT_TYPES`` to which no value fails to convert; one without values is text.
+    Counts that need numbers are taken of the values as numbers and used where the column turns out numeric.
+    """
+    aggs = [F.count(F.lit(1)).alias("rows")]
+    for c in df.columns:
+        text, number = F.col(f"`{c}`"), F.expr(f"try_cast(`{c}` AS double)")
+        aggs += [F.count(text).alias(f"some__{c}"), count_where(F.isnan(number)).alias(f"nan__{c}")]
+        aggs += [count_where(text.isNotNull() & F.expr(f"try_cast(`{c}` AS {t}) IS NULL")).alias(f"{t}__{c}") for t in TEXT_TYPES]
+        if c in rules.minimums:
+            aggs.append(count_where(~F.isnan(number) & (number < F.lit(float(rules.minimums[c])))).alias(f"low__{c}"))
+    if rules.target in df.columns:
+        t = F.expr(f"try_cast(`{rules.target}` AS double)")
+        some = F.col(f"`{rules.target}`").isNotNull() & ~F.coalesce(F.isnan(t), F.lit(False))
+        allowed = F.coalesce(t.isin(*[float(x) for x in rules.allowed_targets]), F.lit(False))
+        aggs += [count_where(some & ~allowed).alias("bad_target"), count_where(t == 1).alias("fraud"), count_where(t == 0).alias("non_fraud")]
+    found = df.agg(*aggs).first().asDict()
+
+    def kind(c: str) -> T.DataType:
+        fits = [of for t, of in TEXT_TYPES.items() if found[f"{t}__{c}"] == 0]
+        return fits[0] if fits and found[f"some__{c}"] else T.StringType()
+
+    types = {c: kind(c) for c in df.columns}
+    counts = {k: found[k] for k in ("rows", "bad_target", "fraud", "non_fraud") if k in found}
+    for c, of in types.items():
+        counts[f"null__{c}"] = found["rows"] - found[f"some__{c}"] + (found[f"nan__{c}"] if isinstance(of, T.DoubleType) else 0)
+        if f"low__{c}" in found:
+            counts[f"low__{c}"] = found[f"low__{c}"]
+    return types, counts
+
+
+def typed(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
+    """A table of text with its columns as ``types``."""
+    return df.select(*[F.col(f"`{c}`").cast(of).alias(c) for c, of in types.items()])
+
+
+def validate_text(df: DataFrame, rules: ValidationRules = ValidationRules()) -> DataFrame:
+    """``validate`` of a table whose columns are all text: one pass finds types and counts, one the duplicates."""
+    types, counts = text_profile(df, rules)
+    return _report(df.sparkSession, types, counts, duplicate_count(typed(df, types)).first(), rules)
+
+
 # --- the whole report --------------------------------------------------------------------
 
 def validate(df: DataFrame, rules: ValidationRules = ValidationRules()) -> DataFrame:
@@ -204,8 +256,10 @@ def validate(df: DataFrame, rules: ValidationRules = ValidationRules()) -> DataF
     The counts come from one aggregation and one duplicate search, one row each; the report
     is filled from them.
     """
-    counts = profile(df, rules).first().asDict()
-    copies = duplicate_count(df).first()
+    return _report(df.sparkSession, _types(df), profile(df, rules).first().asDict(), duplicate_count(df).first(), rules)
+
+
+def _report(spark: SparkSession, columns: dict[str, T.DataType], counts: dict, copies, rules: ValidationRules) -> DataFrame:
     rows = counts["rows"]
 
     def verdict(count: int, bad: str = "FAILED") -> str:
@@ -217,11 +271,11 @@ def validate(df: DataFrame, rules: ValidationRules = ValidationRules()) -> DataF
     def entry(check: str, item: str | None, status: str, value: float | None, detail: str | None = None) -> tuple:
         return check, item, status, None if value is None else float(value), detail
 
-    nulls = {c: counts[f"null__{c}"] for c in df.columns}
-    low = {c: counts[f"low__{c}"] for c in _numeric_minimums(df, rules)}
+    nulls = {c: counts[f"null__{c}"] for c in columns}
+    low = {c: counts[f"low__{c}"] for c in rules.minimums if c in columns and is_numeric(columns[c])}
     checks = [
         entry("dataset_size", "rows", verdict(rows == 0), rows),
-        entry("dataset_size", "columns", verdict(not df.columns), len(df.columns)),
+        entry("dataset_size", "columns", verdict(not columns), len(columns)),
         entry("null_values", None, verdict(sum(nulls.values()), "WARNING"), sum(nulls.values())),
         *[entry("null_values", c, verdict(n, "WARNING"), n, f"{share(n):.6f}%" if rows else None)
           for c, n in nulls.items()],
@@ -230,7 +284,7 @@ def validate(df: DataFrame, rules: ValidationRules = ValidationRules()) -> DataF
         entry("numerical_sanity", None, verdict(sum(low.values())), sum(low.values())),
         *[entry("numerical_sanity", c, verdict(n), n) for c, n in low.items()],
     ]
-    if rules.target in df.columns:
+    if rules.target in columns:
         checks += [
             entry("target_column", rules.target, verdict(counts["bad_target"]), counts["bad_target"]),
             entry("target_column", "fraud", "INFO", counts["fraud"]),
@@ -239,10 +293,10 @@ def validate(df: DataFrame, rules: ValidationRules = ValidationRules()) -> DataF
         ]
     else:
         checks.append(entry("target_column", rules.target, "FAILED", None, "missing column"))
-    checks = _schema_rows(df, rules) + checks
+    checks = _schema_rows(columns, rules) + checks
     failed = sum(c[2] == "FAILED" for c in checks)
     checks.append(entry("overall", None, verdict(failed), failed))
-    return small_table(df.sparkSession, checks, REPORT_SCHEMA)
+    return small_table(spark, checks, REPORT_SCHEMA)
 
 
 def overall_status(report: DataFrame) -> str:
@@ -261,12 +315,12 @@ def require_valid(df: DataFrame, rules: ValidationRules = ValidationRules()) ->
 
 def validate_csv(spark: SparkSession, path: str, rules: ValidationRules = ValidationRules()) -> DataFrame:
     """Validate a CSV file; an unreadable file gives a FAILED report, not an exception."""
-    from riskspark.sources.readers import failed_report, read_csv_or_report
+    from riskspark.sources.readers import failed_report, read_csv_text_or_report
 
-    df, failure = read_csv_or_report(spark, path)
+    df, failure = read_csv_text_or_report(spark, path)
     if failure is not None:
         return failure
     try:
-        return validate(df, rules)
+        return validate_text(df, rules)
     except (Py4JJavaError, PySparkException) as error:  # files that open but do not decode
         return failed_report(spark, f"unreadable: {str(error).splitlines()[0]}")

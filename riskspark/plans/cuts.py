@@ -25,6 +25,7 @@ HEX_DIGITS = 3
 ORDERED_ROWS = 1_000_000
 # More classes than this compare by a joined table instead of one condition each.
 CASE_CLASSES = 50
+DIGEST_DIGITS = 32
 # Digests are hex: these sort after and before all of them.
 ALL, NONE = "g", ""
 
@@ -69,7 +70,7 @@ def lowest_hash_cuts(
     while targets:
         located = _locate(cells, small_table(spark, targets, f"target_cls {kind}, want bigint"))
         cut_cells = [(r.cls, r.cell, r.rest) for r in located]
-        if max(r.n for r in located) <= ORDERED_ROWS or digits >= 32:
+        if max(r.n for r in located) <= ORDERED_ROWS or digits >= DIGEST_DIGITS:
             break
         part = _inside(rows, spark, cut_cells, kind, digits)
         targets = [(c, rest) for c, _, rest in cut_cells]
@@ -77,7 +78,10 @@ def lowest_hash_cuts(
         cells = as_literal(histogram(part, digits))
 
     cuts = {}
-    if cut_cells:
+    if cut_cells and digits >= DIGEST_DIGITS:
+        # a cell is one digest, however many rows share it
+        cuts = {c: HashCut(c, cell, wanted[c], totals[c]) for c, cell, _ in cut_cells}
+    elif cut_cells:
         order = Window.partitionBy("cls").orderBy("digest", "key")
         last = (
             _inside(rows, spark, cut_cells, kind, digits)

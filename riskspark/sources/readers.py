@@ -48,12 +48,13 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_csv_or_report(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None]:
-    """(table, None), or (None, one-row FAILED report) when the file cannot be read."""
+def read_csv_text_or_report(spark: SparkSession, path: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """(table of text, None), or (None, one-row FAILED report) when the file cannot be read. Nothing but the
+    header is read yet."""
     if not path_exists(spark, path):
         return None, failed_report(spark, f"no file at {path}")
     try:
-        return read_csv_inferred(spark, path), None
+        return spark.read.option("header", True).csv(path), None
     except (Py4JJavaError, PySparkException) as error:
         return None, failed_report(spark, f"unreadable: {str(error).splitlines()[0]}")
 
@@ -89,6 +90,28 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     return df.where(below_cut(cuts, key, seed=seed))
 
 
+def sample_contents(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """Exactly min(n, rows) rows of a table without a key, the same ones however the files are laid out.
+
+    Rows are ordered by a digest of their content. Equal rows share it, so the cut says besides how many of the
+    rows at the cut itself are taken; they are alike, so that many copies of one of them are made.
+    """
+    content = "_content"
+    keyed = df.withColumn(content, F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}))
+    cut = lowest_hash_cuts(keyed, content, lambda totals: {c: min(n, t) for c, t in totals.items()}, seed=seed)
+    if not cut or cut[0].rows >= cut[0].class_rows:
+        return df if cut else df.limit(0)
+    at = F.lit(cut[0].digest)
+    digest = hash_key(content, seed)
+    below = keyed.where(digest < at).drop(content)
+    missing = min(n, cut[0].class_rows) - below.count()
+    one = keyed.where(digest == at).drop(content).limit(1)
+    copies = df.sparkSession.range(missing).select(F.lit(1).alias("_one"))
+    # a single row
+    tied = copies.join(F.broadcast(one.withColumn("_same", F.lit(1))), F.col("_one") == F.col("_same")).drop("_one", "_same")
+    return below.unionByName(tied)
+
+
 def load_drift_table(
     spark: SparkSession,
     path: str,
@@ -105,6 +128,4 @@ def load_drift_table(
         return drift_columns(df)
     if key:
         return drift_columns(sample_rows(df, key, sample_size, seed))
-    columns = drift_columns(df)
-    keyed = columns.withColumn("_row", F.to_json(F.struct(*columns.columns)))
-    return keyed.orderBy(hash_key("_row", seed), "_row").limit(sample_size).drop("_row")
+    return sample_contents(drift_columns(df), sample_size, seed)

@@ -88,3 +88,16 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     ensure_checkpoint_dir(spark)
     assert shared_folder(spark) in spark.sparkContext.getCheckpointDir()
+
+
+@pytest.mark.parametrize("n", [1, 7, 60, 61, 139, 140, 500])
+def test_keyless_sample_takes_as_many_equal_rows_as_it_needs(spark, n):
+    # 100 rows are alike, 40 are not
+    table = spark.range(140).selectExpr("CASE WHEN id < 100 THEN 'same' ELSE concat('k', id) END AS a", "CAST(NULL AS INT) AS b")
+    one, again = R.sample_contents(table, n), R.sample_contents(table.repartition(9), n)
+    assert one.count() == min(n, 140) and one.columns == ["a", "b"]
+    assert sorted(rows(one), key=str) == sorted(rows(again), key=str)
+    assert one.exceptAll(table).isEmpty()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "Sort" not in plan.split("Union")[0]
+    assert R.sample_contents(table.limit(0), n).count() == 0

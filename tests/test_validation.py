@@ -1,9 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import RAW_DDL, RAW_ROWS
+from conftest import RAW_DDL, RAW_ROWS, rows
+from riskspark.config import ValidationRules
 from riskspark.errors import DataValidationError
 from riskspark.operators import validate as V
+from riskspark.sources import testdata as D
 
 
 def status(report, check, item=None):
@@ -124,3 +126,36 @@ def test_class_distribution_counts_null_targets_in_the_base(spark):
     table = spark.createDataFrame([(0,), (0,), (1,), (None,)], "isFraud int")
     found = V.class_distribution(table).first()
     assert (found.rows, found.fraud, found.non_fraud, found.fraud_percent, found.imbalance_ratio) == (4, 1, 2, 25.0, 2.0)
+
+
+def test_text_columns_are_typed_in_one_pass(spark, raw, tmp_path):
+    text = spark.createDataFrame(
+        [("1", "1.5", "true", "2024-01-02", "2024-01-02 03:04:05", "x", None), ("-7", "NaN", "false", "2024-02-03", "2024-02-03", "1", None),
+         (None, "2", None, None, None, None, None)], "a string, b string, c string, d string, e string, f string, g string")
+    types, counts = V.text_profile(text, ValidationRules(target="a", minimums={"a": 0, "b": 2, "f": 5}))
+    assert [t.simpleString() for t in types.values()] == ["bigint", "double", "boolean", "timestamp", "timestamp", "string", "string"]
+    assert [counts[f"null__{c}"] for c in "abcdefg"] == [1, 1, 1, 1, 1, 1, 3]
+    assert (counts["rows"], counts["low__a"], counts["low__b"], counts["bad_target"], counts["fraud"]) == (3, 1, 1, 1, 1)
+
+
+def test_csv_report_equals_that_of_the_typed_table(spark, sf, tmp_path):
+    path = str(tmp_path / "t.csv")
+    dirty = D.dirty(spark, sf).drop("txn_id", "amount_cents_text")
+    dirty.write.option("header", True).csv(path)
+    inferred = spark.read.option("header", True).option("inferSchema", True).csv(path)
+    names = ("check", "item", "status", "value")
+    want = {r for r in rows(V.validate(inferred), *names)}
+    assert {r for r in rows(V.validate_csv(spark, path), *names)} == want
+
+
+def test_csv_types_need_no_inference_job(spark, raw, tmp_path):
+    from riskspark.sources.readers import read_csv_text_or_report
+
+    path = str(tmp_path / "t.csv")
+    raw.write.option("header", True).csv(path)
+    table, _ = read_csv_text_or_report(spark, path)
+    assert {t for _, t in table.dtypes} == {"string"}
+    found = {r.item: r.status for r in V.validate_csv(spark, path).where("check = 'data_types' AND item IS NOT NULL").collect()}
+    assert found["amount"] == found["type"] == found["isFraud"] == "PASSED"
+    raw.withColumn("amount", F.lit("much")).write.option("header", True).csv(path + "2")
+    assert V.validate_csv(spark, path + "2").where("check = 'data_types' AND item = 'amount'").first().status == "FAILED"
