@@ -41,6 +41,8 @@ PROBABILITY = "fraud_probability"
 
 #: The largest single Newton step, in log odds.
 LARGEST_STEP = 4.0
+#: Rows that make it worth a task of their own in every pass.
+TASK_ROWS = 25_000
 #: Rounds after which the running margins are written and read back, which ends their lineage.
 WRITTEN_EVERY = 20
 
@@ -62,7 +64,9 @@ def boost(rows: DataFrame, target: str = "isFraud", config: ModelConfig = ModelC
                         F.monotonically_increasing_id().alias("row"), F.lit(0.0).alias("margin"))
     path = scratch_path(spark, "boosting")
     start.write.parquet(path)
-    state = spark.read.schema(start.schema).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
+    state = spark.read.schema(start.schema).parquet(path)
+    # every tree costs several passes of as many tasks
+    state = state.coalesce(math.ceil(max(1, state.count()) / TASK_ROWS)).persist(StorageLevel.MEMORY_AND_DISK)
     size = state.select(VECTOR).first()[0].size
     drawn = draw_columns(size, config.column_subsample, config.trees, config.seed)
     p = 1 / (1 + F.exp(-F.col("margin")))
