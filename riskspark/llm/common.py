@@ -43,12 +43,26 @@ def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
     return F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
 
 
+def id_kind(docs: DataFrame, id_col: str = "doc_id") -> str:
+    """The type of the id column as SQL text: ids are carried as they are."""
+    return docs.schema[id_col].dataType.simpleString()
+
+
+def free_name(docs: DataFrame, wanted: str) -> str:
+    """``wanted``, made longer until no column of ``docs`` has that name in any case."""
+    taken = {c.lower() for c in docs.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted
+
+
 def keep_rows(docs: DataFrame, rows: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` whose row key is among ``rows.row``; all columns kept. The key holds the id, so
     copies of one text spread over tasks; the kept rows grow with the corpus and are not sent whole."""
-    named = docs.withColumn("__row", row_key(id_col, text_col))
-    wanted = rows.select(F.col("row").alias("__row")).hint("merge")
-    return named.join(wanted, "__row", "left_semi").drop("__row")
+    name = free_name(docs, "__row")
+    named = docs.withColumn(name, row_key(id_col, text_col))
+    wanted = rows.select(F.col("row").alias(name)).hint("merge")
+    return named.join(wanted, name, "left_semi").drop(name)
 
 
 def bucketed(df: DataFrame, column: str, name: str, size: int = 0) -> DataFrame:

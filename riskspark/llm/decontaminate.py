@@ -6,7 +6,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskspark.llm.common import id_and_text, materialize
+from riskspark.llm.common import free_name, id_and_text, materialize
 
 # Fixed value: a word is a run of ASCII letters (before folding), ASCII digits and characters beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -121,23 +121,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
 def remove_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without its contaminated rows, all columns kept."""
+    name = free_name(docs, "__row")
     bad = (contamination(docs, benchmark, window, share, id_col=id_col, text_col=text_col).where("contaminated")
-           .select(F.col("row").alias("__row")).distinct())
+           .select(F.col("row").alias(name)).distinct())
     key = F.xxhash64(F.col(f"`{id_col}`").cast(docs.schema[id_col].dataType), F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    return docs.withColumn("__row", key).join(bad, "__row", "left_anti").drop("__row")
+    return docs.withColumn(name, key).join(bad, name, "left_anti").drop(name)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """``docs`` with every hit word, and what stands between it and the word before, cut from the text."""
     _, hits = benchmark_hits(docs, benchmark, window, id_col, text_col)
-    cut = (hits.groupBy(F.col("row").alias("__row"))
-           .agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("pos", F.col("pos") + F.col("len") - 1)))).alias("__cut")))
+    row, gone = free_name(docs, "__row"), free_name(docs, "__cut")
+    cut = (hits.groupBy(F.col("row").alias(row))
+           .agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("pos", F.col("pos") + F.col("len") - 1)))).alias(gone)))
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    joined = docs.withColumn("__row", F.xxhash64(F.col(f"`{id_col}`"), text)).join(cut, "__row", "left")
+    joined = docs.withColumn(row, F.xxhash64(F.col(f"`{id_col}`"), text)).join(cut, row, "left")
     pieces = F.regexp_extract_all(text, F.lit(OTHER + WORD), F.lit(0))
     kept = F.transform(F.array(pieces), lambda p: F.transform(
-        F.array_except(F.sequence(F.lit(1), F.size(p)), F.col("__cut")), lambda i: F.element_at(p, i)))[0]
+        F.array_except(F.sequence(F.lit(1), F.size(p)), F.col(gone)), lambda i: F.element_at(p, i)))[0]
     rest = F.concat(F.array_join(kept, ""), F.regexp_extract(text, f"(?s){OTHER}$", 0))
-    return (joined.withColumn(text_col, F.when(F.col("__cut").isNull(), F.col(f"`{text_col}`")).otherwise(rest))
-            .drop("__row", "__cut"))
+    return (joined.withColumn(text_col, F.when(F.col(gone).isNull(), F.col(f"`{text_col}`")).otherwise(rest))
+            .drop(row, gone))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.common import id_and_text, materialize
+from riskspark.llm.common import id_and_text, id_kind, materialize
 from riskspark.llm.links import link, shared_buckets
 
 BANDS, ROWS = 64, 8          # a pair at similarity 0.8 shares no band with probability 8e-6
@@ -90,7 +90,7 @@ def band_keys(items: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.nda
     return key
 
 
-SKETCH_SCHEMA = "doc_id long, row long, n_shingles long, digest binary, bands array<long>"
+SKETCH_SCHEMA = "doc_id {id}, row long, n_shingles long, digest binary, bands array<long>"
 
 
 def sketches(source: DataFrame, shingle: int) -> DataFrame:
@@ -111,11 +111,11 @@ def sketches(source: DataFrame, shingle: int) -> DataFrame:
                         known[digest] = band_keys(s).view(np.int64)
                     bands.append(known.get(digest))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").cast(pa.int64()), b.column("row"), pa.array(sizes, pa.int64()),
+                    [b.column("doc_id"), b.column("row"), pa.array(sizes, pa.int64()),
                      pa.array(digests, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                     names=["doc_id", "row", "n_shingles", "digest", "bands"])
 
-    return source.mapInArrow(run, SKETCH_SCHEMA)
+    return source.mapInArrow(run, SKETCH_SCHEMA.format(id=id_kind(source)))
 
 
 def shingle_sets(source: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:

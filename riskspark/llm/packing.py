@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.common import id_and_text, materialize
+from riskspark.llm.common import id_and_text, id_kind, materialize
 from riskspark.llm.tokens import word_coder
 
-TOKENS_SCHEMA = "doc_id long, part int, before long, doc_tokens long, ids binary"
-PIECES_SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+TOKENS_SCHEMA = "doc_id {id}, part int, before long, doc_tokens long, ids binary"
+PIECES_SCHEMA = ("doc_id {id}, start long, length long, ids_crc32 long, doc_tokens long, "
                  "sequence_id long, offset long, ids binary")
 
 
@@ -33,12 +33,12 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str
                 n = np.array([len(x) // coder.dtype.itemsize for x in ids], np.int64)
                 ends = before + np.cumsum(n)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").cast(pa.int64()), pa.array(np.full(len(n), part, np.int32)),
+                    [b.column("doc_id"), pa.array(np.full(len(n), part, np.int32)),
                      pa.array(ends - n), pa.array(n), pa.array(ids, pa.binary())],
                     names=["doc_id", "part", "before", "doc_tokens", "ids"])
                 before = int(ends[-1])
 
-    return materialize(id_and_text(docs, id_col, text_col).mapInArrow(run, TOKENS_SCHEMA), "pack-tokens")
+    return materialize(id_and_text(docs, id_col, text_col).mapInArrow(run, TOKENS_SCHEMA.format(id=id_kind(docs, id_col))), "pack-tokens")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int = 1,
@@ -79,19 +79,19 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = 2048, end_id: int =
                     out.append((doc, start, n, zlib.crc32(piece), total, sequence, offset, piece))
                     start += n
                 if len(out) >= 4096:
-                    yield _pieces(out)
+                    yield _pieces(out, batch.schema.field("doc_id").type)
                     out = []
             if out:
-                yield _pieces(out)
+                yield _pieces(out, batch.schema.field("doc_id").type)
 
     # one row per partition of the first pass
     placed = tokens.join(F.broadcast(bases), "part").select(
         "doc_id", (F.col("base") + F.col("before")).alias("position"), "doc_tokens", "ids")
-    return placed.mapInArrow(cut, PIECES_SCHEMA)
+    return placed.mapInArrow(cut, PIECES_SCHEMA.format(id=id_kind(docs, id_col)))
 
 
-def _pieces(rows: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64()] * 7 + [pa.binary()]
+def _pieces(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+    types = [id_type, *[pa.int64()] * 6, pa.binary()]
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from riskspark.llm.common import id_and_text
+from riskspark.llm.common import id_and_text, id_kind
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int]
@@ -233,7 +233,7 @@ def span_list(spans: dict[str, list[Span]]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for kind in KINDS for a, b in sorted(spans[kind]))
 
 
-REPORT_SCHEMA = ("doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
+REPORT_SCHEMA = ("doc_id {id}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, "
                  "spans string, n_added long")
 
 
@@ -260,10 +260,10 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     c.append(v)
             types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]],
+                [b.column("doc_id"), *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]],
                 names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, REPORT_SCHEMA)
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, REPORT_SCHEMA.format(id=id_kind(docs, id_col)))
 
 
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -282,7 +282,7 @@ def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), pa.array(map(masked, b.column("text").to_pylist()), pa.string())],
+                [b.column("doc_id"), pa.array(map(masked, b.column("text").to_pylist()), pa.string())],
                 names=["doc_id", "text"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, text string")
+    return id_and_text(docs, id_col, text_col).mapInArrow(run, f"doc_id {id_kind(docs, id_col)}, text string")

@@ -10,14 +10,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskspark.llm.common import materialize
+from riskspark.llm.common import id_kind, materialize
 
 # Code points of the two character sets of the base measures (fixed values).
 SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
 SYMBOLS = [ord(c) for c in "#*$%&|<>"]
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
-MEASURE_SCHEMA = "doc_id long, row long, stratum string, " + ", ".join(f"{m} long" for m in MEASURES)
+MEASURE_SCHEMA = "doc_id {id}, row long, stratum string, " + ", ".join(f"{m} long" for m in MEASURES)
 
 #: Rule -> its score; a document whose score is above the rule's cutoff is rejected. All scores
 #: are shares or bounded means, so one fixed grid of cutoffs serves any corpus.
@@ -75,13 +75,13 @@ def measures(docs: DataFrame, stratum: str = "lang", id_col: str = "doc_id", tex
             found = [measure_text(t) for t in b.column("text").to_pylist()]
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * len(MEASURES)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").cast(pa.int64()), b.column("row"), b.column("stratum"), *columns],
+                [b.column("doc_id"), b.column("row"), b.column("stratum"), *columns],
                 names=["doc_id", "row", "stratum", *MEASURES])
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("row"),
                          F.col(f"`{stratum}`").cast("string").alias("stratum"), text.alias("text"))
-    return source.mapInArrow(run, MEASURE_SCHEMA)
+    return source.mapInArrow(run, MEASURE_SCHEMA.format(id=id_kind(docs, id_col)))
 
 
 def binomial_lower_tail(n: int, k: int, p: float) -> float:

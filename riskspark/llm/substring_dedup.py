@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from riskspark.llm.common import bucketed, id_and_text, materialize
+from riskspark.llm.common import bucketed, id_and_text, id_kind, materialize
 from riskspark.llm.minhash import mix
 from riskspark.llm.suffix_groups import neighbour_prefixes, suffix_array
 
@@ -252,7 +252,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 column.append(v)
         types = [pa.int64()] * 3 + [pa.string(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), *[pa.array(c, t) for c, t in zip(out, types, strict=True)]],
+            [batch.column("doc_id"), *[pa.array(c, t) for c, t in zip(out, types, strict=True)]],
             names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
 
@@ -315,4 +315,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
         F.collect_list(F.struct("a", "b")).alias("cuts"))
     cuts = materialize(cuts, "substring-cuts")
     return source.join(cuts.hint("merge"), "row", "left").select("doc_id", "cuts", "text").mapInArrow(
-        _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+        _cut, f"doc_id {id_kind(docs, id_col)}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
