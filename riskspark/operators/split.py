@@ -3,43 +3,40 @@
 from __future__ import annotations
 
 import math
-from typing import Any
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from riskspark.config import SplitConfig
 from riskspark.functions import count_where
-from riskspark.plans import HashCut, lowest_hash_cuts, with_below_cut
+from riskspark.plans import below_cut, hash_cut_table, lowest_hash_cuts, with_cut_table
 
 SPLIT = "split"
 
 
-def test_sizes(totals: dict[Any, int], test_size: float) -> dict[Any, int]:
-    """Test rows per class: ceil(share * rows) in all, spread by largest remainder."""
-    rows = sum(totals.values())
+def test_quotas(totals: DataFrame, test_size: float) -> DataFrame:
+    """(cls, n, want): ceil(share * rows) test rows in all, spread over the classes by largest remainder, ties by
+    the class as text. The window is over one row per class."""
+    whole = totals.agg(F.sum("n").alias("rows")).first()
+    rows = whole.rows or 0
     wanted = math.ceil(test_size * rows)
-    exact = {c: wanted * n / rows for c, n in totals.items()}
-    sizes = {c: math.floor(x) for c, x in exact.items()}
-    spare = wanted - sum(sizes.values())
-    order = sorted(totals, key=lambda c: (-(exact[c] - sizes[c]), str(c)))
-    for c in order[:spare]:
-        sizes[c] += 1
-    return sizes
+    exact = F.lit(float(wanted)) * F.col("n") / F.lit(float(max(rows, 1)))
+    shares = totals.select("cls", "n", F.floor(exact).alias("low"), (exact - F.floor(exact)).alias("part"))
+    spare = wanted - (shares.agg(F.sum("low")).first()[0] or 0)
+    place = F.row_number().over(Window.orderBy(F.desc("part"), F.col("cls").cast("string")))
+    return shares.select("cls", "n", (F.col("low") + (place <= spare).cast("long")).alias("want"))
 
 
-test_sizes.__test__ = False  # not a pytest case
-
-
-def split_cuts(df: DataFrame, key: str, target: str = "isFraud", config: SplitConfig = SplitConfig()) -> list[HashCut]:
-    by = target if config.stratify else None
-    return lowest_hash_cuts(df, key, lambda t: test_sizes(t, config.test_size), by=by, seed=config.seed)
+test_quotas.__test__ = False  # not a pytest case
 
 
 def assign_split(df: DataFrame, key: str, target: str = "isFraud", config: SplitConfig = SplitConfig()) -> DataFrame:
-    """Add ``split`` = train / test with exact sizes; a projection while classes are few."""
-    cuts = split_cuts(df, key, target, config)
-    by = target if config.stratify else None
-    marked = with_below_cut(df, cuts, SPLIT, key, by=by, seed=config.seed)
+    """Add ``split`` = train / test with exact sizes: a comparison with the cut of the row's class."""
+    if config.stratify:
+        cuts = hash_cut_table(df, key, lambda totals: test_quotas(totals, config.test_size), target, config.seed)
+        marked = with_cut_table(df, cuts, SPLIT, key, target, config.seed)
+    else:
+        cuts = lowest_hash_cuts(df, key, lambda t: {c: math.ceil(config.test_size * n) for c, n in t.items()}, seed=config.seed)
+        marked = df.withColumn(SPLIT, below_cut(cuts, key, seed=config.seed))
     return marked.withColumn(SPLIT, F.when(F.col(SPLIT), "test").otherwise("train"))
 
 

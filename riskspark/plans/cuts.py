@@ -17,14 +17,12 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.functions import hash_key, small_table
-from riskspark.plans.ordered import as_literal
+from riskspark.plans.ordered import as_literal, stored
 
 # Cells per class and level: 16 ** 3, so a task sends at most 4,096 rows per class.
 HEX_DIGITS = 3
 # A cell up to this size is ordered by one task.
 ORDERED_ROWS = 1_000_000
-# More classes than this compare by a joined table instead of one condition each.
-CASE_CLASSES = 50
 DIGEST_DIGITS = 32
 # Digests are hex: these sort after and before all of them.
 ALL, NONE = "g", ""
@@ -91,19 +89,62 @@ def lowest_hash_cuts(
     return [cuts.get(c) or _whole_or_none(c, wanted.get(c, 0), n) for c, n in totals.items()]
 
 
-def _locate(cells: DataFrame, targets: DataFrame) -> list:
-    """The cell holding the wanted row of each class, and its place inside the cell."""
+def hash_cut_table(
+    df: DataFrame, key: str, quotas: Callable[[DataFrame], DataFrame], by: str, seed: int = 42
+) -> DataFrame:
+    """(cls, digest): the cut of every class as a table, however many classes there are.
+
+    ``quotas`` turns the class totals (cls, n) into (cls, n, want). Cells are refined as in
+    ``lowest_hash_cuts``, for all classes at once; the driver sees single numbers only.
+    """
+    cls = F.col(f"`{by}`")
+    rows = df.select(cls.alias("cls"), F.col(f"`{key}`").alias("key"), hash_key(key, seed).alias("digest"))
+
+    def histogram(part: DataFrame, digits: int) -> DataFrame:
+        return stored(part.groupBy("cls", F.substring("digest", 1, digits).alias("cell")).agg(F.count("*").alias("n")), "cut-cells")
+
+    def inside(cut: DataFrame, digits: int) -> DataFrame:
+        cut = cut.select(F.col("cls").alias("cut_cls"), F.col("cell").alias("cut_cell"), "rest")
+        same = F.col("cls").eqNullSafe(F.col("cut_cls")) & (F.substring("digest", 1, digits) == F.col("cut_cell"))
+        return rows.join(cut, same).drop("cut_cls", "cut_cell")
+
+    digits = HEX_DIGITS
+    cells = histogram(rows, digits)
+    wanted = stored(quotas(cells.groupBy("cls").agg(F.sum("n").alias("n"))).select("cls", "n", "want"), "cut-quotas")
+    targets = wanted.where("want > 0 AND want < n").select(F.col("cls").alias("target_cls"), "want")
+    while True:
+        cut = stored(_located(cells, targets).select("cls", "cell", "n", "rest"), "cut-located")
+        largest = cut.agg(F.max("n")).first()[0] or 0
+        if largest <= ORDERED_ROWS or digits >= DIGEST_DIGITS:
+            break
+        targets = cut.select(F.col("cls").alias("target_cls"), F.col("rest").alias("want"))
+        digits += HEX_DIGITS
+        cells = histogram(inside(cut, digits - HEX_DIGITS), digits)
+    if digits >= DIGEST_DIGITS:
+        last = cut.select("cls", F.col("cell").alias("digest"))  # a cell is one digest
+    else:
+        order = Window.partitionBy("cls").orderBy("digest", "key")
+        last = inside(cut, digits).withColumn("place", F.row_number().over(order)).where("place = rest").select("cls", "digest")
+    rest = wanted.where("NOT (want > 0 AND want < n)").select("cls", F.when(F.col("want") > 0, ALL).otherwise(NONE).alias("digest"))
+    return stored(last.unionByName(rest), "cuts")
+
+
+def _located(cells: DataFrame, targets: DataFrame) -> DataFrame:
+    """The cell holding the wanted row of each class, and its place inside the cell (``rest``)."""
     below = Window.partitionBy("cls").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     # at most 4,096 cells per class
     return (
         cells.withColumn("before", F.coalesce(F.sum("n").over(below), F.lit(0)))
         .join(targets, F.col("cls").eqNullSafe(F.col("target_cls")))
         .where((F.col("before") < F.col("want")) & (F.col("want") <= F.col("before") + F.col("n")))
-        .select("cls", "cell", "n", (F.col("want") - F.col("before")).alias("rest"))
-        .collect()
+        .withColumn("rest", F.col("want") - F.col("before"))
     )
 
 
+def _locate(cells: DataFrame, targets: DataFrame) -> list:
+    return _located(cells, targets).select("cls", "cell", "n", "rest").collect()
+
+
 def _inside(rows: DataFrame, spark, cut_cells: list[tuple], kind: str, digits: int) -> DataFrame:
     """Rows of the cut cells, with the wanted place; a join with a literal table."""
     cut = small_table(spark, cut_cells, f"cut_cls {kind}, cut_cell string, rest bigint")
@@ -130,15 +171,9 @@ def below_cut(cuts: Sequence[HashCut], key: str, by: str | None = None, seed: in
     return hash_key(key, seed) <= limit
 
 
-def with_below_cut(
-    df: DataFrame, cuts: Sequence[HashCut], name: str, key: str, by: str | None = None, seed: int = 42
-) -> DataFrame:
-    """``df`` with a boolean column: whether the cuts select the row. A projection while classes
-    are few, else a join with the table of cuts, whose size is known."""
-    if not by or len(cuts) <= CASE_CLASSES:
-        return df.withColumn(name, below_cut(cuts, key, by, seed))
-    kind = df.schema[by].dataType.simpleString()
-    table = small_table(df.sparkSession, [(c.cls, c.digest) for c in cuts], f"_cut_cls {kind}, _cut_digest string")
-    joined = df.join(table, F.col(by).eqNullSafe(F.col("_cut_cls")), "left")
-    limit = F.coalesce("_cut_digest", F.lit(NONE))
-    return joined.withColumn(name, hash_key(key, seed) <= limit).drop("_cut_cls", "_cut_digest")
+def with_cut_table(df: DataFrame, cuts: DataFrame, name: str, key: str, by: str, seed: int = 42) -> DataFrame:
+    """``df`` with a boolean column: whether a ``hash_cut_table`` selects the row. The table's size is known to
+    Spark, which sends a small one whole and joins a large one by shuffle."""
+    table = cuts.select(F.col("cls").alias("_cut_cls"), F.col("digest").alias("_cut_digest"))
+    joined = df.join(table, F.col(f"`{by}`").eqNullSafe(F.col("_cut_cls")), "left")
+    return joined.withColumn(name, hash_key(key, seed) <= F.coalesce("_cut_digest", F.lit(NONE))).drop("_cut_cls", "_cut_digest")

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from riskspark.plans import below_cut, exact_quantiles, lowest_hash_cuts, ordered_cumsum, split_points
+from riskspark.plans import below_cut, exact_quantiles, hash_cut_table, lowest_hash_cuts, ordered_cumsum, split_points
 from riskspark.plans import ordered as O
 
 
@@ -113,10 +113,16 @@ def test_hash_cuts_take_all_or_nothing(values):
     assert values.where(below_cut(nothing, "id")).count() == 0
 
 
-def test_very_many_classes(spark):
-    table = spark.range(60_000).selectExpr("id", "id % 20000 AS c")
-    cuts = lowest_hash_cuts(table, "id", lambda t: {c: 1 for c in t}, by="c")
-    assert len(cuts) == 20_000 and all(c.rows == 1 and c.class_rows == 3 for c in cuts)
+def test_cut_tables_equal_cut_lists(values, monkeypatch):
+    from riskspark.plans import cuts
+
+    lists = {c.cls: c.digest for c in lowest_hash_cuts(values, "id", lambda t: {"a": t["a"] // 2, "b": 0}, by="k")}
+    want = F.when(F.col("cls") == "a", F.floor(F.col("n") / 2)).otherwise(0)
+    found = lambda: dict(rows(hash_cut_table(values, "id", lambda t: t.withColumn("want", want), "k")))
+    assert found() == lists
+    monkeypatch.setattr(cuts, "HEX_DIGITS", 1)
+    monkeypatch.setattr(cuts, "ORDERED_ROWS", 3)
+    assert found() == lists
 
 
 def test_stored_rows_give_the_same(spark, values):

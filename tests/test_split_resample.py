@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -13,13 +15,31 @@ def labelled(spark):
     return spark.range(100).selectExpr("id", "CAST(id % 4 = 0 AS INT) AS isFraud").persist()
 
 
-def test_sizes_follow_the_shares():
-    assert P.test_sizes({0: 6354407, 1: 8213}, 0.3) == {0: 1906322, 1: 2464}
-    assert P.test_sizes({0: 20, 1: 20}, 0.25) == {0: 5, 1: 5}
-    sizes = P.test_sizes({0: 75, 1: 25}, 0.3)
+def quotas(spark, totals, share):
+    return dict(rows(P.test_quotas(spark.createDataFrame(list(totals.items()), "cls int, n long"), share), "cls", "want"))
+
+
+def test_sizes_follow_the_shares(spark):
+    assert quotas(spark, {0: 6354407, 1: 8213}, 0.3) == {0: 1906322, 1: 2464}
+    assert quotas(spark, {0: 20, 1: 20}, 0.25) == {0: 5, 1: 5}
+    sizes = quotas(spark, {0: 75, 1: 25}, 0.3)
     assert sum(sizes.values()) == 30 and sizes[1] in (7, 8)
 
 
+def test_split_of_very_many_classes(spark):
+    """Every class has its quota by largest remainder, and no list of classes reaches the driver."""
+    table = spark.range(50_000).selectExpr("id", "CASE WHEN id % 5 = 0 THEN NULL ELSE concat('c', id % 9000) END AS c")
+    marked = P.assign_split(table, "id", "c").persist()
+    sizes = {r.c: (r.n, r.t) for r in marked.groupBy("c").agg(F.count("*").alias("n"), F.count_if(F.col("split") == "test").alias("t")).collect()}
+    wanted = math.ceil(0.3 * 50_000)
+    exact = {c: wanted * n / 50_000 for c, (n, _) in sizes.items()}
+    low = {c: math.floor(x) for c, x in exact.items()}
+    order = sorted(exact, key=lambda c: (-(exact[c] - low[c]), "" if c is None else c))
+    for c in order[: wanted - sum(low.values())]:
+        low[c] += 1
+    assert {c: t for c, (_, t) in sizes.items()} == low
+
+
 def test_split_is_exact_disjoint_and_covering(labelled):
     train, test = P.train_test(labelled, "id")
     assert (train.count(), test.count()) == (70, 30)
@@ -42,9 +62,9 @@ def test_split_without_strata(labelled):
     assert test.count() == 30
 
 
-def test_split_is_a_projection(labelled):
+def test_split_does_not_shuffle_the_table(labelled):
     marked = P.assign_split(labelled, "id")
-    assert "Exchange" not in marked._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in marked._jdf.queryExecution().executedPlan().toString()
 
 
 def test_class_weights(labelled):
