@@ -175,7 +175,8 @@ def block_grams(texts: list[bytes], ranges: int) -> tuple[np.ndarray, np.ndarray
 
 
 def block_words(texts: list[bytes], ranges: int) -> tuple[list[bytes], np.ndarray, list[np.ndarray]]:
-    """A block's distinct words by place and word, their places, and per document the numbers of its words."""
+    """A block's distinct words by place and first appearance, their places, and per document the numbers of its
+    words; the same for the same texts."""
     ids: defaultdict[bytes, int] = defaultdict(count().__next__)
     docs = []
     for t in texts:
@@ -183,10 +184,10 @@ def block_words(texts: list[bytes], ranges: int) -> tuple[list[bytes], np.ndarra
         docs.append(np.fromiter(map(ids.__getitem__, found), np.int64, len(found)))
     words = list(ids)
     place = _word_places(words, ranges)
-    order = sorted(range(len(words)), key=lambda i: (place[i], words[i]))
+    order = np.argsort(place, kind="stable")
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
-    return [words[i] for i in order], place[order], [number[d] for d in docs]
+    return [words[i] for i in order.tolist()], place[order], [number[d] for d in docs]
 
 
 def _blocks(ranges: int, id_type: pa.DataType):
@@ -207,10 +208,8 @@ def _blocks(ranges: int, id_type: pa.DataType):
         ns = np.bincount(number, weights=times * train[doc], minlength=len(grams)).astype("<u8")
         out = [(p, None, _packed(np.diff(grams[a:b], prepend=np.uint64(0))), _packed(ns[a:b])) for p, a, b in _runs(place)]
         words, place, docs = block_words(texts, ranges)
-        ns = np.zeros(len(words), "<u8")
-        for d, here in zip(docs, train.tolist(), strict=True):
-            if here:
-                np.add.at(ns, d, 1)
+        trained = [d for d, here in zip(docs, train.tolist(), strict=True) if here]
+        ns = np.bincount(np.concatenate([np.empty(0, np.int64), *trained]), minlength=len(words)).astype("<u8")
         out += [(p, _packed(np.frombuffer(b" ".join(words[a:b]), np.uint8)), None, _packed(ns[a:b])) for p, a, b in _runs(place)]
         for a in range(0, len(out), 100):
             part = out[a : a + 100]
