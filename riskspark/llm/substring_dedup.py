@@ -303,7 +303,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     contexts of an anchor are equal all is repeated. The other contexts are cut to the part they
     may share, and the suffix order of what is left tells which places repeat. Contexts of an
     anchor with more than ``HOT_CONTEXTS`` distinct ones are compared window by window over all
-    tasks, so no task holds an unbounded group. Digests are 128 bits wide.
+    tasks, so no task holds an unbounded group. Contexts are told apart by 64 bits of the anchor and 64 of
+    the context, windows of such anchors by 128.
 
     Null and empty texts have no bytes; repeated rows are documents of their own, whose windows
     repeat each other's; null ids stay null; an empty table gives no rows; extra columns are
