@@ -19,7 +19,7 @@ SCALE = 1_000_000_000     # probabilities are whole billionths
 MIN_DOCS = 3              # documents of a language that a kept term is in
 TOP_TERMS = 200           # reported terms of a source
 RANGE_BYTES = 64_000_000  # text whose chunks one range of the hash space stands for, about
-BATCH_BYTES = 16_000_000  # text counted at once
+BATCH_BYTES = 8_000_000   # text counted at once
 
 _TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 _PLACES = "place int, data binary"
