@@ -46,10 +46,13 @@ _dot = r"[ \t]+(?:dot|point|punkt|punto)[ \t]+"
 DIGIT_RUN = re.compile(rf"(?<!\w){_digit}(?:(?:[ \t]*,[ \t]*|[ \t-]+|{_dot}){_digit})+(?!\w)")
 DIGIT_WORD = re.compile(_digit)
 PLUS = re.compile(r"(?<!\w)plus[ \t]+(?=[0-9])")
-BRACKETED = re.compile(
-    r"[ \t]*(?:\[[ \t]*(at|arroba|dot|punkt|punto|point)[ \t]*\]|\([ \t]*(at|arroba|dot|punkt|punto|point)[ \t]*\)"
-    r"|\{[ \t]*(at|arroba|dot|punkt|punto|point)[ \t]*\}|<[ \t]*(at|arroba|dot|punkt|punto|point)[ \t]*>)[ \t]*")
-SIGN_OF = {"at": "@", "arroba": "@"}  # every other bracketed word is a dot
+# a word or the sign itself, in brackets of any kind
+_sign = r"[ \t]*(at|arroba|dot|punkt|punto|point|@|\.)[ \t]*"
+BRACKETED = re.compile(rf"(?:(?<![ \t])[ \t]++)?+(?:\[{_sign}\]|\({_sign}\)|\{{{_sign}\}}|<{_sign}>)[ \t]*")
+SIGN_OF = {"at": "@", "arroba": "@", "@": "@"}  # every other bracketed word is a dot
+# "name_at_host_dot_tld", with one joining sign throughout; labels of the host hold no such sign
+JOINED = re.compile(r"(?<=[a-z0-9.%+])(?P<join>[_-])at(?P=join)(?P<host>[a-z0-9]++(?:(?P=join)dot(?P=join)[a-z0-9]++)+)(?![a-z0-9_-])")
+JOINED_DOT = re.compile(r"[_-]dot[_-]")
 # "name at host dot tld": plain words count only in this whole shape, or with "@" already there
 # (an article after "at" opens no host name: "at the dot com party")
 SPOKEN = re.compile(
@@ -191,9 +194,12 @@ def _sign_edits(low: str) -> list[tuple[int, int, str]]:
 
 
 def _spoken_edits(low: str) -> list[tuple[int, int, str]]:
-    if " dot" not in low and "\tdot" not in low:
+    if "dot" not in low:
         return []
     edits = []
+    for m in JOINED.finditer(low):
+        edits.append((m.start(), m.start("host"), "@"))
+        edits += [(*d.span(), ".") for d in JOINED_DOT.finditer(low, m.start("host"), m.end("host"))]
     for m in SPOKEN.finditer(low):
         dots = list(SPOKEN_DOT.finditer(low, m.start("rest"), m.end("rest")))
         if dots:

@@ -50,6 +50,12 @@ DISGUISED = [
      "four one one one one one one one one one one one one one one one"),
     ("4111 1111 1111 １１１１", "card", "4111 1111 1111 １１１１"),
     ("one nine two dot one six eight dot one dot one", "ip", "one nine two dot one six eight dot one dot one"),
+    ("mail user[@]host[.]com or", "email", "user[@]host[.]com"),
+    ("user (@) mail{.}host <.> org", "email", "user (@) mail{.}host <.> org"),
+    ("up 192[.]168[.]0[.]1 down", "ip", "192[.]168[.]0[.]1"),
+    ("ip 10(.)0 (dot) 0 [.] 7", "ip", "10(.)0 (dot) 0 [.] 7"),
+    ("write john_at_example_dot_com now", "email", "john_at_example_dot_com"),
+    ("j.doe-at-mail-dot-example-dot-com", "email", "j.doe-at-mail-dot-example-dot-com"),
     ("host 10 dot 0 dot 0 dot 7 up", "ip", "10 dot 0 dot 0 dot 7"),
 ]
 
@@ -64,14 +70,15 @@ def test_disguises_map_back_to_the_source(text, kind, span):
 
 @pytest.mark.parametrize("text", [
     "look at example.com", "1 dot 2", "one two three four five six seven eight nine", "meet at noon, dot the i",
-    "E. é ö ﬁ m² ½", "un dos tres", "he was at the dot com party", "null acht neun", "a (at) b", "Версия 1.2.3",
+    "E. é ö ﬁ m² ½", "un dos tres", "he was at the dot com party", "null acht neun", "a (at) b", "f(.) and g[.]x", "a[@] b", "look_at_me", "meet-at-noon", "_at_x_dot_y", "a_at_b-dot-c", "a_at_b_dot_c_d", "Версия 1.2.3",
 ])
 def test_clean_text_gains_nothing(text):
     assert not any(find_spans(text)[1].values())
 
 
 @pytest.mark.parametrize("text", ["a+" * 50_000, "1" * 100_000, "1." * 50_000, "@" * 50_000, "a@" * 50_000, "+1" * 50_000,
-                                  "one " * 20_000, "x dot " * 20_000, "​" * 50_000, "[at" * 30_000, "a" * 100_000 + " at b"])
+                                  "one " * 20_000, "x dot " * 20_000, "​" * 50_000, "[at" * 30_000, "a_at_" * 30_000,
+                                  "a_at_b" + "_dot_b" * 20_000 + "_", "a-at-b" * 20_000, "[.]" * 40_000, " " * 100_000 + "(at", "a (at)" + "\t" * 100_000, "a" * 100_000 + " at b"])
 def test_long_runs_stay_fast(text):
     start = time.process_time()
     find_spans(text)
