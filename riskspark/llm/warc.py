@@ -20,6 +20,9 @@ BLOCK_LINES = 1000
 ARCHIVE_BYTES = 1 << 30
 CAPTURE_DATE = "2024-01-01T00:00:00Z"  # the pages table has no capture time
 MIN_REVISIT_BYTES = 100
+READ_BYTES = 256 << 20  # of archives per reading task, about
+STRETCH = 64 << 20  # of an archive, read by one task
+PART_LINES = 1_000_000  # of the index, about
 
 ENTRY_SCHEMA = ("key string, page_id long, file string, offset long, length long, record_type string, "
                 "payload_digest string, payload_bytes long, refers_to long")
@@ -27,9 +30,32 @@ ENTRY_SCHEMA = ("key string, page_id long, file string, offset long, length long
 
 # --- files in the shared folder -------------------------------------------------------------
 
+# Schemes that Hadoop and Arrow name differently.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme and host by which Spark itself resolves it; a path on the local
+    file system, such as a mount that all executors share, stays plain."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return file_system(whole)[1] if whole.startswith("file:/") else whole
+
+
 def file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """The store of ``uri`` and the path in it; a path without a scheme is a shared mount."""
-    return fs.FileSystem.from_uri(uri) if ":/" in uri else (fs.LocalFileSystem(), uri)
+    """The store of a qualified folder or file, and the path in it."""
+    scheme, sign, rest = uri.partition(":/")
+    if not sign:
+        return fs.LocalFileSystem(), uri
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:/{rest}")
+
+
+def tasks_for(spark: SparkSession, amount: int, per_task: int) -> int:
+    """Numbered partitions: their rows are pointers, by whose bytes adaptive execution would merge
+    what reads many times as much."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), amount // per_task + 1)
 
 
 class Ranges:
@@ -123,6 +149,7 @@ def write_archives(pages: DataFrame, folder: str, **names: str) -> DataFrame:
     Each task writes files of its own under unique names and reports where each record lies, so
     what a lost or repeated task leaves behind is never referred to.
     """
+    folder = qualified(pages.sparkSession, folder)
     store, path = file_system(folder)
     store.create_dir(path, recursive=True)
 
@@ -201,6 +228,8 @@ def build_index(entries: DataFrame, folder: str, block_lines: int = BLOCK_LINES)
 
     A key with very many captures is spread by page, so no task holds a whole hot host or page.
     """
+    spark = entries.sparkSession
+    folder = qualified(spark, folder)
     store, path = file_system(folder)
     store.create_dir(path, recursive=True)
 
@@ -240,8 +269,7 @@ def build_index(entries: DataFrame, folder: str, block_lines: int = BLOCK_LINES)
             pa.schema([("first", pa.string()), ("last", pa.string()), ("blocks", pa.string()), ("directory", pa.string()),
                        ("size", pa.int64())]))
 
-    spark = entries.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = tasks_for(spark, entries.count(), PART_LINES)
     ordered = entries.repartitionByRange(n, "key", "page_id", "offset").sortWithinPartitions("key", "page_id", "file", "offset")
     parts = materialize(ordered.mapInArrow(run, PART_SCHEMA), "warc-parts")
     return CaptureIndex([tuple(r) for r in parts.collect()])  # one row per part
@@ -274,15 +302,18 @@ def lookup(keys: DataFrame, index: CaptureIndex, spark: SparkSession) -> DataFra
                 rows += found.get(key, [])
             yield _entries(rows)
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = tasks_for(spark, len(index.parts), 1)
     wanted = keys.select("key").where("key IS NOT NULL").distinct().repartitionByRange(n, "key").sortWithinPartitions("key")
     blocks = wanted.mapInArrow(find, "key string, block string, offset long, length long")
-    return (blocks.repartition("block", "offset").sortWithinPartitions("block", "offset", "key")
+    return (blocks.repartition(n, "block", "offset").sortWithinPartitions("block", "offset", "key")
             .mapInArrow(read, ENTRY_SCHEMA))
 
 
 def read_records(entries: DataFrame) -> DataFrame:
-    """page_id, record_type, header_digest, refers_to and the payload of the entries' records."""
+    """page_id, record_type, header_digest, refers_to and the payload of the entries' records.
+
+    ``entries`` is read twice, the first time for the bytes to read; a written table is best.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = Ranges()
         for batch in batches:
@@ -299,8 +330,10 @@ def read_records(entries: DataFrame) -> DataFrame:
                     ("page_id", pa.int64()), ("record_type", pa.string()), ("header_digest", pa.string()),
                     ("refers_to", pa.int64()), ("payload", pa.binary())]))
 
-    stretch = (F.col("offset") / F.lit(64 << 20)).cast("long")
-    return (entries.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
+    stretch = (F.col("offset") / F.lit(STRETCH)).cast("long")
+    amount = entries.agg(F.sum("length")).first()[0] or 0
+    n = tasks_for(entries.sparkSession, amount, READ_BYTES)
+    return (entries.select("file", "offset", "length").repartition(n, "file", stretch).sortWithinPartitions("file", "offset")
             .mapInArrow(run, "page_id long, record_type string, header_digest string, refers_to long, payload binary"))
 
 
@@ -319,7 +352,7 @@ def archive_round_trip(pages: DataFrame, folder: str, **names: str) -> DataFrame
     spark = pages.sparkSession
     entries = write_archives(pages, f"{folder.rstrip('/')}/archives", **names)
     index = build_index(entries, f"{folder.rstrip('/')}/index")
-    records = read_records(lookup(entries.select("key"), index, spark))
+    records = read_records(materialize(lookup(entries.select("key"), index, spark), "warc-found"))
     records = materialize(
         records.select("page_id", "record_type", "header_digest", "refers_to", F.length("payload").cast("long").alias("payload_bytes"),
                        F.sha2("payload", 256).alias("payload_digest")), "warc-records")

@@ -1,11 +1,16 @@
 import gzip
 import hashlib
 import random
+from collections import Counter
 
 import pytest
+from pyarrow import fs
+from pyspark.sql import functions as F
 
+from riskspark.llm import warc
 from riskspark.llm.warc import (
-    Ranges, archive_round_trip, build_index, lookup, parse_record, read_records, record, url_key, write_archives,
+    Ranges, archive_round_trip, build_index, file_system, lookup, parse_record, qualified, read_records, record, url_key,
+    write_archives,
 )
 
 DDL = "page_id long, url string, html string, key string, file string, first long"
@@ -80,3 +85,36 @@ def test_keys_and_records():
     assert payload == b"a\r\n\r\nb" and headers["X-Page-ID"] == "5"
     headers, payload = parse_record(record(5, "u", b"abc", "d", 3, True))
     assert payload == b"" and headers["X-Refers-To-Page-ID"] == "3" and headers["WARC-Type"] == "revisit"
+
+
+def test_reading_is_spread_by_the_bytes_to_read(spark, tmp_path, monkeypatch):
+    # AQE would merge partitions of so few pointers into one
+    rows = [(i, f"http://h{i}.example/", random.Random(i).randbytes(800).hex()) for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    entries = write_archives(df, str(tmp_path / "a"))
+    monkeypatch.setattr(warc, "STRETCH", 20_000)
+    monkeypatch.setattr(warc, "READ_BYTES", 30_000)
+    monkeypatch.setattr(warc, "PART_LINES", 40)
+    index = build_index(entries, str(tmp_path / "i"), 7)
+    assert len(index.parts) > 4
+    found = lookup(entries.select("key"), index, spark)
+    used = read_records(found).select("page_id", F.spark_partition_id().alias("task")).collect()
+    assert sorted(r.page_id for r in used) == list(range(300))
+    per = Counter(r.task for r in used)
+    assert len(per) > 4 and max(per.values()) < 150
+
+
+def test_folders_are_resolved_as_spark_resolves_them(spark, tmp_path):
+    assert qualified(spark, str(tmp_path)) == qualified(spark, f"file://{tmp_path}") == str(tmp_path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    # a default store other than the local one, reached by a class that needs no network
+    conf.set("fs.defaultFS", "viewfs://cluster/")
+    conf.set("fs.viewfs.mounttable.cluster.link./data", f"file://{tmp_path}")
+    try:
+        assert qualified(spark, "/data/x") == "viewfs://cluster/data/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert isinstance(file_system("file:/a/b")[0], fs.LocalFileSystem) and file_system("file:///a/b")[1] == "/a/b"
+    store, path = file_system("s3a://bucket/a/b?region=us-east-1")
+    assert (store.type_name, path) == ("s3", "bucket/a/b")
