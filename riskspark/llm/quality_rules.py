@@ -17,7 +17,7 @@ SPACES = [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]
 SYMBOLS = [ord(c) for c in "#*$%&|<>"]
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks")
-MEASURE_SCHEMA = "doc_id {id}, row long, stratum string, " + ", ".join(f"{m} long" for m in MEASURES)
+MEASURE_SCHEMA = "doc_id {id}, row long, same_text long, stratum string, " + ", ".join(f"{m} long" for m in MEASURES)
 
 #: Rule -> its score; a document whose score is above the rule's cutoff is rejected. All scores
 #: are shares or bounded means, so one fixed grid of cutoffs serves any corpus.
@@ -31,7 +31,7 @@ RULES = {
     "short_words": "1 - least(try_divide(word_chars, n_words) / 8, 1)",
 }
 GRID = 200  # cutoffs are k / GRID
-BUCKETS = 1000  # of document ids, by which labels are dealt to design and test
+BUCKETS = 1000  # of texts, by which labels are dealt to design and test
 
 
 def measure_text(text: str) -> tuple[int, ...]:
@@ -67,20 +67,20 @@ def repeated_words(ids: np.ndarray, kinds: int) -> int:
 
 
 def measures(docs: DataFrame, stratum: str = "lang", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row, stratum and the measures of each document's whole text (null text: empty).
-    ``row`` hashes id and text."""
+    """doc_id, row, same_text, stratum and the measures of each document's whole text (null text: empty).
+    ``row`` hashes id and text, ``same_text`` the text alone."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [measure_text(t) for t in b.column("text").to_pylist()]
             columns = [pa.array(c, pa.int64()) for c in zip(*found, strict=True)] or [pa.array([], pa.int64())] * len(MEASURES)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("row"), b.column("stratum"), *columns],
-                names=["doc_id", "row", "stratum", *MEASURES])
+                [b.column("doc_id"), b.column("row"), b.column("same_text"), b.column("stratum"), *columns],
+                names=["doc_id", "row", "same_text", "stratum", *MEASURES])
 
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     source = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.xxhash64(F.col(f"`{id_col}`"), text).alias("row"),
-                         F.col(f"`{stratum}`").cast("string").alias("stratum"), text.alias("text"))
+                         F.xxhash64(text).alias("same_text"), F.col(f"`{stratum}`").cast("string").alias("stratum"), text.alias("text"))
     return source.mapInArrow(run, MEASURE_SCHEMA.format(id=id_kind(docs, id_col)))
 
 
@@ -118,7 +118,7 @@ def _with_stratum(rows: DataFrame, per: DataFrame) -> DataFrame:
 
 def _halved(holdout: DataFrame, risk: float, limit: float) -> DataFrame:
     """The holdout with ``design`` (else the document is tested) and n_bad, n_design, n_test of its
-    stratum. Bad documents are in both parts. The hash of the id alone decides, and a quarter of
+    stratum. Bad documents are in both parts. The hash of the text alone decides, and a quarter of
     the good ones at most, as far as the rest can still pass, goes to the design."""
     run = Window.partitionBy("stratum").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     good = F.sum("good").over(Window.partitionBy("stratum"))
@@ -183,15 +183,18 @@ def choose_cutoffs(
     """stratum, rule, cutoff, n_good, good_lost, bad_caught, p_value; the last four are those of all
     cutoffs of the stratum together.
 
-    Holdout: documents labelled 1 (good) or 0 (bad) that pass the base rules; of several labels
-    of one document the lowest holds, null labels count for nothing. Each stratum tests one
+    Holdout: the distinct texts of documents labelled 1 (good) or 0 (bad) that pass the base rules; of several
+    labels of one document, or of one text of a stratum, the lowest holds, null labels count for nothing. Copies of a text
+    are one draw, so the counts are of texts and the bound is for the distinct good texts of a stratum, not for
+    its rows: a text that is wrongly rejected goes with all its copies. Texts that differ at all, near copies too,
+    are draws of their own. Each stratum tests one
     chain of cutoff vectors, each stricter than the last: rule by rule in the order of its
     path, from the mildest cutoff of the grid down to the path's. The path comes from the bad documents and a
     part of the good ones, the test from the other good ones, so the order does not depend on them. A vector
     passes if the exact binomial probability of losing as few good documents to any of its rules as
     seen, were the true share ``risk``, is at most ``error`` / strata (Bonferroni over
     strata); the chain ends at its first failure, which needs no further correction. With
-    probability 1 - ``error`` every stratum so loses at most ``risk`` of its good documents. Of
+    probability 1 - ``error`` every stratum so loses at most ``risk`` of its good texts. Of
     the passing vectors the one with the best share of bad documents caught, less ``loss_weight`` times the
     share of good ones lost, is taken, the mildest of equals; without gain there is none.
     """
@@ -207,7 +210,8 @@ def choose_cutoffs(
     holdout = materialize(
         measured.where(f"n_words >= {min_words} AND 100 * n_repeat_words <= 50 * n_words")
         .join(held, "doc_id")
-        .select("stratum", "good", bins.alias("bins"), F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).alias("bucket")),
+        .groupBy("stratum", "same_text").agg(F.min("good").alias("good"), F.first(bins).alias("bins"))  # a text has one row of bins
+        .select("stratum", "good", "bins", F.pmod(F.xxhash64("same_text"), F.lit(BUCKETS)).alias("bucket")),
         "quality-holdout")
     limit = error / max(1, holdout.select("stratum").distinct().count())
     holdout = _halved(holdout, risk, limit)

@@ -81,6 +81,26 @@ def test_few_labels_give_no_cutoffs(spark):
     assert all(r.kept for r in got.collect())
 
 
+def test_copies_are_one_draw(spark):
+    rows, labels = documents(700, 5)
+    good = [i for i, q, _ in labels if q == 1]
+    texts = dict((r[0], r[1]) for r in rows)
+    # 2,000 more good documents of one text: they are no evidence
+    one = texts[good[0]]
+    copies = [(10_000 + i, one, "en", "s", "r", "c") for i in range(2000)]
+    same = [(r[0], r[1], "en", *r[3:]) for r in rows]
+    measured = measures(spark.createDataFrame(same + copies, DDL))
+    few = [x for x in labels if x[1] == 0 or x[0] in good[:11]] + [(c[0], 1, 0) for c in copies]
+    schema = "doc_id long, quality int, toxic int"
+    assert choose_cutoffs(measured, spark.createDataFrame(few, schema)).collect() == []
+    # with enough texts, copies change no count, whatever other label one of them has
+    once = choose_cutoffs(measured, spark.createDataFrame(labels, schema)).collect()
+    again = choose_cutoffs(measured, spark.createDataFrame(labels + [(c[0], 1, 0) for c in copies], schema)).collect()
+    assert once and sorted(once) == sorted(again) and all(r.n_good <= len(good) for r in once)
+    mixed = choose_cutoffs(measured, spark.createDataFrame([*labels, (10_007, 0, 0)], schema)).collect()
+    assert all(r.n_good <= len(good) - 1 for r in mixed)
+
+
 def test_default_risk_needs_some_hundred_labels(spark):
     """480 good labels a stratum, as sf0.1 has for its smaller languages, and the shipped 1 %."""
     rng = random.Random(7)
