@@ -93,16 +93,21 @@ SPLIT = r"(?<=[.!?;])\s+|(?<=:)[ \t]*\n\s*|\n[ \t]*\n\s*|\x01\s*"
 GAP = 2  # unknown sentences allowed between two sentences of a rule
 
 
+# the expression of an identifier line, without what closes a comment
+EXPRESSION = r"(?im)^[^a-z\n]*spdx-license-identifier[ \t]*:[ \t]*([^\s*>][^\n]*?)[ \t]*(?:\*+/|-->|#+\}|\*\))?[ \t\r]*$"
 SPDX = r"(?is)^[^a-z]*spdx-license-identifier\s*:(.*)$"
 WINDOWS = 3  # places of a full text, of three sentences each, that show it
 
 
+AND_LATER = r"(?<=[0-9])[+](?![0-9a-z+])"  # "GPLv2+"
+
+
 def normalise(sentence: str) -> str:
-    return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
+    return re.sub("[^a-z0-9]+", " ", re.sub(AND_LATER, " or later", sentence.lower())).strip()
 
 
 def _normalised(c: Column) -> Column:
-    c = F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
+    c = F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), AND_LATER, " or later"), "[^a-z0-9]+", " "))
     for pattern, plain in license_table.FIELDS:
         c = F.regexp_replace(c, pattern, plain)
     return c
@@ -167,8 +172,9 @@ def knowledge() -> tuple[dict[str, str], list[tuple[str | None, list[str]]]]:
 
 def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: dict[str, str] | None = None,
              rules: list[tuple[str, list[str]]] | None = None, gap: int = GAP) -> DataFrame:
-    """Per document: doc_id, n_sentences, n_known, sentence_ids (comma-joined, in order) and
-    licenses (distinct, sorted, comma-joined).
+    """Per document: doc_id, n_sentences, n_known, sentence_ids (comma-joined, in order),
+    licenses (distinct, sorted, comma-joined) and expressions (those of identifier lines as they stand, with
+    operators and exceptions; distinct, sorted).
 
     Sentences end at ``.!?;`` before white space, at a colon that ends its line, at blank lines, and around copyright and
     identifier lines; they compare by lower-case ASCII letters and digits only. A rule matches
@@ -190,22 +196,25 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kn
     rules = [r for r in rules if len(r[1]) > 1 or r[1][0] not in alone]
     table = spark.createDataFrame([(s, k, alone.get(k)) for s, k in held.items()], "sentence string, sid string, alone string")
     split = id_and_text(docs, id_col, text_col).select(
-        "doc_id", F.xxhash64("doc_id", "text").alias("row"), sentences(F.col("text")).alias("s"))
+        "doc_id", F.xxhash64("doc_id", "text").alias("row"), sentences(F.col("text")).alias("s"),
+        F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit(EXPRESSION), 1))).alias("expressions"))
     marker = F.array(F.struct(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("sentence")))
     numbered = F.transform(F.col("s"), lambda s, i: F.struct(i.alias("pos"), s.alias("sentence")))
     found = materialize(
-        split.select("doc_id", "row", F.size("s").alias("n_sentences"), F.inline(F.concat(marker, numbered)))
+        split.select("doc_id", "row", F.size("s").alias("n_sentences"), "expressions", F.inline(F.concat(marker, numbered)))
+        .withColumn("expressions", F.when(F.col("pos") == -1, F.col("expressions")))  # on the marker row alone
         .join(F.broadcast(table), "sentence", "left").where("sid IS NOT NULL OR pos = -1").drop("sentence"),
         "license-sentences")
     # one marker row per input row; of repeated rows each sentence counts once
     per = (found.where("pos >= 0").select("doc_id", "row", "pos", "sid", "alone").distinct()
            .groupBy("row", "doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "sid", "alone"))).alias("hits")))
     joined_ids = F.aggregate("hits", F.struct(F.lit("").alias("seq"), F.lit(-1).alias("last")), lambda acc, h: F.struct(
-        F.concat(acc["seq"], F.when((acc["last"] >= 0) & (h["pos"] - acc["last"] > gap + 1), " |").otherwise(""),
-                 F.lit(" "), h["sid"]).alias("seq"),
+        F.concat(acc["seq"], F.when((acc["last"] >= 0) & (h["pos"] - acc["last"] > gap + 1), " | ").otherwise(""),
+                 F.lit(" "), h["sid"], F.lit(" ")).alias("seq"),
         h["pos"].alias("last")))
-    start = F.struct(F.concat(joined_ids["seq"], F.lit(" ")).alias("seq"), F.array().cast("array<string>").alias("found"))
-    tried = F.array(*[F.struct(F.lit(name).cast("string").alias("name"), F.lit(" " + " ".join(ids) + " ").alias("ids")) for name, ids in rules])
+    # each identifier between blanks of its own, so that neighbours are matched apart
+    start = F.struct(joined_ids["seq"].alias("seq"), F.array().cast("array<string>").alias("found"))
+    tried = F.array(*[F.struct(F.lit(name).cast("string").alias("name"), F.lit("".join(f" {i} " for i in ids)).alias("ids")) for name, ids in rules])
     matched = F.aggregate(tried, start, lambda acc, rule: F.struct(
         F.when(F.contains(acc["seq"], rule["ids"]), F.replace(acc["seq"], rule["ids"], F.lit(" | "))).otherwise(acc["seq"]).alias("seq"),
         F.when(F.contains(acc["seq"], rule["ids"]), F.array_append(acc["found"], rule["name"])).otherwise(acc["found"]).alias("found")))
@@ -216,4 +225,5 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", kn
         "doc_id", F.col("n_sentences").cast("long").alias("n_sentences"),
         F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_known"),
         F.coalesce(F.array_join("ids", ","), F.lit("")).alias("sentence_ids"),
-        F.coalesce(F.array_join(F.array_sort(F.array_distinct("found")), ","), F.lit("")).alias("licenses"))
+        F.coalesce(F.array_join(F.array_sort(F.array_distinct("found")), ","), F.lit("")).alias("licenses"),
+        "expressions")

@@ -1,7 +1,10 @@
+import random
+import re
+
 import pytest
 
 from riskspark.llm import license_table
-from riskspark.llm.licenses import SENTENCES, licenses, normalise, plain_sentences
+from riskspark.llm.licenses import GAP, SENTENCES, knowledge, licenses, normalise, plain_sentences
 
 DDL = "doc_id long, text string, sid string, pos string"
 MIT = ("MIT License\n\nCopyright (c) 2020 Foo Bar\n\n" + SENTENCES["mit-grant"].replace(", ", ",\n", 4) + "\n\n"
@@ -84,3 +87,94 @@ def test_full_texts_and_all_identifiers(spark):
 def test_headings_of_full_texts_are_no_licence_sentences(spark):
     got = licenses(spark.createDataFrame([(1, "Preamble. See below. And so on. We read it.")], "doc_id long, text string")).first()
     assert (got.n_known, got.licenses) == (0, "")
+
+
+GNU3 = ("{} is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published "
+        "by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.")
+FORMS = [
+    (GNU3.format("Foo Bar"), "GPL-3.0-or-later"),
+    (GNU3.format("GNU Emacs").replace("Foundation, either", "Foundation; either").replace("version 3", "version 2"), "GPL-2.0-or-later"),
+    ('Licensed under the MIT License (the "License");\nyou may go.', "MIT"),
+    ("This code is MIT licensed.", "MIT"),
+    ("MIT licensed.", "MIT"),
+    ("released under the terms of the GNU GPL v3", "GPL-3.0-only"),
+    ("All files in this folder are released under the terms and conditions of the GPLv2+.", "GPL-2.0-or-later"),
+    ("The source code is available under LGPL 2.1 or later.", "LGPL-2.1-or-later"),
+    ("Frobnicate is distributed under the New BSD Licence.", "BSD-3-Clause"),
+    ("Our plugin is made available under an Apache 2.0 license.", "Apache-2.0"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License.", "CC-BY-4.0"),
+    # no statements of a licence
+    ("This code is not licensed under the MIT License.", ""),
+    ("The law of this state is licensed under pressure.", ""),
+    ("They ask whether code under the MIT License may be sold.", ""),
+    ("GNU is free software, is it not?", ""),
+]
+
+
+def test_leads_names_and_definitions(spark):
+    got = licenses(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(FORMS)], "doc_id long, text string")).collect()
+    assert [(FORMS[r.doc_id][0], r.licenses) for r in sorted(got)] == FORMS
+
+
+def test_expressions_are_kept(spark):
+    text = ("// SPDX-License-Identifier: (MIT OR GPL-2.0-only WITH Classpath-exception-2.0)\n/* SPDX-License-Identifier: ISC */\n"
+            "<!-- spdx-license-identifier: 0BSD -->\r\nSPDX-License-Identifier:\n# SPDX-License-Identifier: ISC")
+    got = licenses(spark.createDataFrame([(1, text), (2, None), (3, "none")], "doc_id long, text string")).collect()
+    assert {r.doc_id: r.expressions for r in got} == {
+        1: ["(MIT OR GPL-2.0-only WITH Classpath-exception-2.0)", "0BSD", "ISC"], 2: [], 3: []}
+
+
+def plain(text):
+    """Sentences of the identifier lines apart, then each rule in turn over lists of identifiers."""
+    known, rules = knowledge()
+    parts = []
+    for s in plain_sentences_raw(text or ""):
+        m = re.match(r"(?is)[^a-z]*spdx-license-identifier\s*:(.*)", s)
+        if m:
+            line = re.sub(r"[+](?=[\s)]|$)", "-or-later", m[1])
+            parts += ["SPDX-License-Identifier: " + p for p in re.split(r"(?i)\s+(?:and|or|with)\s+", line)]
+        else:
+            parts.append(s)
+    seen = [n for p in parts if len(n := license_table.canonical(normalise(p))) > 2]
+    runs, last = [], None
+    for i, s in enumerate(seen):
+        if s in known:
+            if last is None or i - last > GAP + 1:
+                runs.append([])
+            runs[-1].append(known[s])
+            last = i
+    ids, found = [i for run in runs for i in run], set()
+    for name, want in rules:
+        hit, left = False, []
+        for run in runs:
+            at = start = 0
+            while at + len(want) <= len(run):
+                if run[at : at + len(want)] == want:
+                    hit = True
+                    left.append(run[start:at])
+                    at = start = at + len(want)
+                else:
+                    at += 1
+            left.append(run[start:])
+        if hit:
+            runs = left
+            found |= {name} - {None}
+    return len(seen), ids, ",".join(sorted(found))
+
+
+def plain_sentences_raw(text):
+    from riskspark.llm.licenses import OWN_LINE, SPLIT
+
+    return re.split(SPLIT, re.sub(OWN_LINE, "\x01\\1\x01", text + "\n"))
+
+
+def test_rules_match_a_plain_matcher(spark):
+    rng = random.Random(4)
+    pieces = [t for _, t, _ in CASES if t] + [t for t, _ in REAL + FORMS]
+    pieces += [s if s[-1] in ".:;" else s + "." for s in SENTENCES.values()] + ["One here.", "Two there.", "\n\n", "Copyright 2020 X"]
+    rows = [(i, rng.choice([" ", "\n"]).join(rng.choices(pieces, k=rng.randint(1, 14)))) for i in range(400)]
+    got = {r.doc_id: r for r in licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        n, ids, want = plain(text)
+        r = got[i]
+        assert (r.n_sentences, r.sentence_ids, r.licenses) == (n, ",".join(ids), want), text
