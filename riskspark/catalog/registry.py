@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskspark.catalog import (
-    drift, exploration, features, metrics, modelling, monitoring, selection, splitting, streams,
+    drift, exploration, features, metrics, modelling, monitoring, selection, splitting, storage, streams,
     validation,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
 FAMILIES = (validation, features, exploration, splitting, metrics, selection, drift, monitoring,
-            streams, modelling)
+            streams, modelling, storage)
 
 
 def _all() -> dict[str, tuple[Query, str | None]]:

@@ -15,3 +15,11 @@ def small_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFra
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     arrays = [pa.array(values, type=f.type) for values, f in zip(columns, schema)]
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=schema))
+
+
+def free_name(df: DataFrame, wanted: str) -> str:
+    """``wanted``, made longer until no column of ``df`` has that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while wanted.lower() in taken:
+        wanted += "_"
+    return wanted

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, VectorAssembler
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskspark.config import NUMERIC_FEATURES, TRANSACTION_TYPES, FeatureConfig
-from riskspark.functions import as_number, is_numeric, is_string
+from riskspark.functions import as_number, free_name, is_numeric, is_string
+from riskspark.plans.ordered import stored
 
 VECTOR = "features"
 
@@ -38,6 +39,44 @@ def one_hot(column: str, levels: Sequence[str]) -> dict[str, Column]:
     }
 
 
+def level_table(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """Every level of ``column`` with its ``slot``, and how many there are.
+
+    Slots count from 0 in ascending order of the levels after the first; the first level has the
+    last slot. Levels are sorted over all tasks; only the row counts of the sorted parts, one
+    number per task, meet the driver.
+    """
+    spark = df.sparkSession
+    levels = df.where(F.col(column).isNotNull()).select(F.col(column).alias("level")).distinct()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    inside = Window.partitionBy("part").orderBy("level")
+    numbered = stored(
+        levels.repartitionByRange(parts, "level").withColumn("part", F.spark_partition_id())
+        .withColumn("place", F.row_number().over(inside) - 1), "levels")
+    counts = sorted((r.part, r["count"]) for r in numbered.groupBy("part").count().collect())
+    before, total = {}, 0
+    for part, n in counts:
+        before[part], total = total, total + n
+    if not total:
+        return numbered.select("level", F.lit(0).alias("slot")), 0
+    offset = F.element_at(F.create_map(*[F.lit(v) for pair in before.items() for v in pair]), F.col("part"))
+    slot = F.pmod(F.col("place") + offset - 1, F.lit(total))
+    return numbered.select("level", slot.cast("int").alias("slot")), total
+
+
+def one_hot_vectors(df: DataFrame, column: str, out: str = "onehot") -> DataFrame:
+    """``df`` with a sparse 1.0 / 0.0 vector for the levels but the first, for columns of any number
+    of levels; unknown and null values give all zeros, as the first level does."""
+    levels, n = level_table(df, column)
+    level, slot = free_name(df, "level"), free_name(df, "slot")
+    joined = df.join(levels.withColumnsRenamed({"level": level, "slot": slot}), F.col(column) == F.col(level), "left").drop(level)
+    # the last slot gets no entry; the encoder wants at least two
+    known = F.when(F.col(slot) < n - 1, F.col(slot)).otherwise(max(n, 2) - 1).cast("double")
+    meta = {"ml_attr": {"type": "nominal", "num_vals": max(n, 2)}}
+    placed = joined.withColumn(slot, known.alias(slot, metadata=meta))
+    return OneHotEncoder(inputCol=slot, outputCol=out, dropLast=True).fit(placed).transform(placed).drop(slot)
+
+
 @dataclass(frozen=True)
 class Scaler:
     """Mean and population standard deviation per column."""

@@ -100,13 +100,29 @@ def drift_job(
     return spark.read.json(f"{out}/summary")
 
 
+def same_holdout(
+    test: DataFrame, models: dict[str, PipelineModel], key: str, target: str, threshold: float, path: str
+) -> DataFrame:
+    """All models over the same rows: ``experiment``, the key, ``y`` and ``p``, written under ``path``.
+    Stops on scores that are none and on rows that were lost or scored twice."""
+    for name, fitted in models.items():
+        L.score(test, fitted, threshold, keep=[key, target]).select(
+            key, F.col(target).alias("y"), F.col(L.PROBABILITY).alias("p")
+        ).write.mode("overwrite").parquet(f"{path}/experiment={name}")
+    scored = test.sparkSession.read.parquet(path)
+    for name in models:
+        require_scored(test, scored.where(F.col("experiment") == name), key, "p", name)
+    return scored
+
+
 def retrain_job(
     raw: DataFrame, champion: PipelineModel, out: str, key: str | None = None, target: str = "isFraud",
     rules: ValidationRules = ValidationRules(), model: ModelConfig = ModelConfig(),
-    split: SplitConfig = SplitConfig(), criteria: PromotionCriteria = PromotionCriteria(),
+    split: SplitConfig = SplitConfig(), criteria: PromotionCriteria = PromotionCriteria(), run: str | None = None,
 ) -> DataFrame:
     """Validate new data, fit a candidate, score it and the champion on the same test rows,
-    and append the gate's decision to the log.  Promotion itself is left to a person."""
+    and append the gate's decision to the log.  Promotion itself is left to a person.
+    A job that is repeated under the name ``run`` logs its decision once."""
     V.require_valid(raw, rules)
     X.require_target(raw, target)
     if key is None:
@@ -114,13 +130,7 @@ def retrain_job(
     train, test = P.train_test(raw, key, target, split)
     candidate = L.fit(train, key, target, model, use_smote=False, use_class_weight=True)
     L.save_model(candidate, f"{out}/candidate")
-    for name, fitted in (("candidate", candidate), ("champion", champion)):
-        L.score(test, fitted, model.threshold, keep=[key, target]).select(
-            key, F.col(target).alias("y"), F.col(L.PROBABILITY).alias("p")
-        ).write.mode("overwrite").parquet(f"{out}/scored/experiment={name}")
-    scored = raw.sparkSession.read.parquet(f"{out}/scored")
-    for name in ("candidate", "champion"):
-        require_scored(test, scored.where(F.col("experiment") == name), key, "p", name)
+    scored = same_holdout(test, {"candidate": candidate, "champion": champion}, key, target, model.threshold, f"{out}/scored")
     metrics = M.metric_bundle(scored, model.threshold)
-    W.append_decisions(S.promotion_gate(S.metric_deltas(metrics), criteria), f"{out}/decisions")
+    W.append_decisions(S.promotion_gate(S.metric_deltas(metrics), criteria), f"{out}/decisions", run)
     return W.read_decisions(raw.sparkSession, f"{out}/decisions")

@@ -29,14 +29,38 @@ def write_report(report: DataFrame, path: str) -> str:
     return path
 
 
-def append_decisions(decisions: DataFrame, path: str) -> str:
-    """Add gate decisions to the log; earlier records are never rewritten."""
-    decisions.withColumn("recorded_at", F.current_timestamp()).write.mode("append").parquet(path)
+def append_decisions(decisions: DataFrame, path: str, run: str | None = None, keys: Sequence[str] = ()) -> str:
+    """Add gate decisions to the log; earlier records are never rewritten.
+
+    ``run`` names the job and ``keys`` the columns that tell its decisions apart (none: it makes
+    one). Their digest is the ``decision_id``, so a job that is run again under its name adds
+    nothing. Without ``run`` every call makes decisions of their own.
+    """
+    spark = decisions.sparkSession
+    name = F.uuid() if run is None else F.sha2(F.to_json(F.struct(F.lit(run).alias("run"), *keys), {"ignoreNullFields": "false"}), 256)
+    new = decisions.withColumns({"decision_id": name, "recorded_at": F.current_timestamp()})
+    if run is not None and _exists(spark, path):
+        logged = spark.read.option("mergeSchema", "true").parquet(path)
+        if "decision_id" in logged.columns:
+            new = new.join(logged.select("decision_id"), "decision_id", "left_anti").select(*new.columns)
+    new.write.mode("append").parquet(path)
     return path
 
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """One row per decision: where two tries of a job wrote at the same time, the earlier record.
+    Records of older logs, without an id, stand each."""
+    log = spark.read.option("mergeSchema", "true").parquet(path)
+    if "decision_id" not in log.columns:
+        return log
+    whole = F.struct(*log.columns)
+    first = log.where("decision_id IS NOT NULL").groupBy("decision_id").agg(F.min_by(whole, "recorded_at").alias("r"))
+    return first.select("r.*").unionByName(log.where("decision_id IS NULL"))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
 def write_with_stage_report(

@@ -64,3 +64,23 @@ def test_stage_reports(raw, tmp_path, spark):
     back = spark.read.parquet(path)
     assert back.columns == cleaned.columns and back.count() == 2
     assert back.where(F.col("isFraud") == 1).count() == 1
+
+
+def test_one_hot_vectors_equal_one_hot_columns(spark):
+    """Levels of a column in slots, sorted over several tasks; the first, unknown and null ones give zeros."""
+    from pyspark.ml.functions import vector_to_array
+    from riskspark.operators import encode as C
+
+    table = spark.range(3000).selectExpr("id", "CASE WHEN id % 50 = 7 THEN NULL ELSE concat('l', id % 400) END AS k", "'x' AS level", "0 AS slot")
+    levels, n = C.level_table(table, "k")
+    names = sorted({r.k for r in table.collect()} - {None})
+    assert n == len(names) and {r.level: r.slot for r in levels.collect()} == {v: (i - 1) % n for i, v in enumerate(names)}
+    out = C.one_hot_vectors(table, "k")
+    assert out.columns == ["id", "k", "level", "slot", "onehot"]
+    for r in out.withColumn("a", vector_to_array("onehot")).where("id < 450").collect():
+        at = names.index(r.k) - 1 if r.k else -1
+        assert len(r.a) == n - 1 and [i for i, v in enumerate(r.a) if v] == ([at] if at >= 0 else [])
+    one = spark.createDataFrame([("a",), (None,)], "k string")
+    assert [r.onehot.toArray().tolist() for r in C.one_hot_vectors(one, "k").collect()] == [[0.0], [0.0]]
+    none = spark.createDataFrame([], "k string")
+    assert C.level_table(none, "k")[1] == 0 and C.one_hot_vectors(none, "k").count() == 0

@@ -68,6 +68,25 @@ def test_decision_log_only_grows(spark, tmp_path):
     assert log.count() == 2 and "recorded_at" in log.columns
 
 
+def test_a_repeated_job_logs_its_decision_once(spark, tmp_path):
+    path = str(tmp_path / "log")
+    one = spark.createDataFrame([("a", 1.0, "REJECT"), ("b", None, "PROMOTE")], "model string, delta double, decision string")
+    for run in ("r1", "r1", "r2", None, None):
+        W.append_decisions(one, path, run, ["model"])
+    assert sorted(rows(W.read_decisions(spark, path).groupBy("model").count())) == [("a", 4), ("b", 4)]
+    # two tries that did not see each other: the earlier record stands, however metrics differ
+    again = spark.read.parquet(path).orderBy("decision_id").limit(1)
+    again.withColumns({"delta": F.lit(9.0), "recorded_at": F.current_timestamp()}).write.mode("append").parquet(path)
+    log = W.read_decisions(spark, path)
+    assert log.count() == 8 and log.where("delta = 9").count() == 0
+    # a log begun before there were ids
+    old = str(tmp_path / "old")
+    one.withColumn("recorded_at", F.current_timestamp()).write.parquet(old)
+    assert W.read_decisions(spark, old).count() == 2
+    W.append_decisions(one, old, "r1", ["model"])
+    assert W.read_decisions(spark, old).count() == 4
+
+
 def test_request_log_round_trip(spark, sf, tmp_path):
     path = str(tmp_path / "log")
     log = D.requests(spark, sf).withColumn("ts", F.col("ts").cast("timestamp"))
