@@ -14,13 +14,11 @@ import random
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -29,6 +27,7 @@ from riskspark.config import (
 )
 from riskspark.errors import ScoringError
 from riskspark.functions import at_or_above, small_table
+from riskspark.operators import trees
 from riskspark.operators.encode import VECTOR, categories, encode_stages, feature_stage, fit_scaler
 from riskspark.operators.features import add_features
 from riskspark.operators.resample import smote
@@ -41,10 +40,6 @@ PROBABILITY = "fraud_probability"
 
 #: The largest single Newton step, in log odds.
 LARGEST_STEP = 4.0
-#: Rows that make it worth a task of their own in every pass.
-TASK_ROWS = 25_000
-#: Rounds after which the running margins are written and read back, which ends their lineage.
-WRITTEN_EVERY = 20
 
 
 def draw_columns(columns: int, share: float, trees: int, seed: int) -> list[list[int]]:
@@ -60,50 +55,32 @@ def boost(rows: DataFrame, target: str = "isFraud", config: ModelConfig = ModelC
     Which rows a tree sees follows from a hash of row number and round, so a recomputed task sees the same.
     """
     spark = rows.sparkSession
-    start = rows.select(VECTOR, F.col(target).cast("double").alias("y"), F.col(WEIGHT).cast("double").alias("w"),
-                        F.monotonically_increasing_id().alias("row"), F.lit(0.0).alias("margin"))
+    ensure_checkpoint_dir(spark)
+    start = rows.select(vector_to_array(VECTOR).alias("x"), F.col(target).cast("double").alias("y"),
+                        F.col(WEIGHT).cast("double").alias("w"), F.monotonically_increasing_id().alias("row"))
+    # written once, as every row keeps its number and the bins need a pass of their own
     path = scratch_path(spark, "boosting")
     start.write.parquet(path)
-    state = spark.read.schema(start.schema).parquet(path)
-    # every tree costs several passes of as many tasks
-    state = state.coalesce(math.ceil(max(1, state.count()) / TASK_ROWS)).persist(StorageLevel.MEMORY_AND_DISK)
-    size = state.select(VECTOR).first()[0].size
-    drawn = draw_columns(size, config.column_subsample, config.trees, config.seed)
-    p = 1 / (1 + F.exp(-F.col("margin")))
-    curve = F.greatest(p * (1 - p), F.lit(1e-12))
-    step = F.greatest(F.least((F.col("y") - p) / curve, F.lit(LARGEST_STEP)), F.lit(-LARGEST_STEP))
-    trees = []
-    for number, columns in enumerate(drawn):
-        used = F.array(*[F.lit(c in set(columns)) for c in range(size)])
-        given = array_to_vector(F.zip_with(vector_to_array(VECTOR), used, lambda x, u: F.when(u, x).otherwise(F.lit(0.0))))
-        seen = F.pmod(F.xxhash64("row", F.lit(config.seed), F.lit(number)), F.lit(1 << 20)) < int(config.row_subsample * (1 << 20))
-        learner = DecisionTreeRegressor(featuresCol="given", labelCol="step", weightCol="curve", predictionCol="moved",
-                                        maxDepth=config.depth, seed=config.seed + number)
-        tree = learner.fit(state.where(seen).select(given.alias("given"), step.alias("step"), (F.col("w") * curve).alias("curve")))
-        trees.append(tree)
-        moved = tree.setFeaturesCol(VECTOR).transform(state).select(
-            VECTOR, "y", "w", "row", (F.col("margin") + F.lit(config.learning_rate) * F.col("moved")).alias("margin"))
-        if (number + 1) % WRITTEN_EVERY == 0:
-            path = scratch_path(spark, "boosting")
-            moved.write.parquet(path)
-            moved = spark.read.schema(moved.schema).parquet(path)
-        moved = moved.persist(StorageLevel.MEMORY_AND_DISK)
-        moved.count()
-        state.unpersist()
-        state = moved
-    state.unpersist()
+    table = spark.read.schema(start.schema).parquet(path)
+    found = table.agg(F.count("*").alias("rows"), F.max(F.size("x")).alias("size")).first()
+    if not found.rows:
+        raise ValueError("no rows to fit a model on")
+    drawn = draw_columns(found.size, config.column_subsample, config.trees, config.seed)
+    cuts = trees.cut_points(table, found.size)
+    grown = trees.grow(table, found.rows, cuts, drawn, config.depth, config.learning_rate, config.row_subsample, config.seed,
+                       LARGEST_STEP)
     # MLlib's probability is that of twice the weighted sum
-    return _ensemble(spark, trees, config.learning_rate / 2, size), drawn
+    return _ensemble(spark, trees.as_models(spark, grown, cuts), config.learning_rate / 2, found.size), drawn
 
 
-def _ensemble(spark: SparkSession, trees: Sequence, weight: float, size: int) -> GBTClassificationModel:
+def _ensemble(spark: SparkSession, members: Sequence, weight: float, size: int) -> GBTClassificationModel:
     sc = spark.sparkContext
     jvm = sc._jvm
-    models = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees))
-    weights = sc._gateway.new_array(sc._gateway.jvm.double, len(trees))
-    for i, tree in enumerate(trees):
-        models[i], weights[i] = tree._java_obj, weight
-    uid = f"GBTClassifier_{trees[0].uid.rsplit('_', 1)[-1]}"
+    models = sc._gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(members))
+    weights = sc._gateway.new_array(sc._gateway.jvm.double, len(members))
+    for i, member in enumerate(members):
+        models[i], weights[i] = member, weight
+    uid = f"GBTClassifier_{members[0].uid().rsplit('_', 1)[-1]}"
     return GBTClassificationModel(
         jvm.org.apache.spark.ml.classification.GBTClassificationModel(uid, models, weights, size, 2)).setFeaturesCol(VECTOR)
 
