@@ -22,10 +22,12 @@ from riskspark.streaming import scoring as SS
 _saved: dict[tuple[str, str], str] = {}
 
 
-def _model(s, sf):
+def _model(s, sf, train: DataFrame | None = None):
+    """``train`` saves splitting the table again where the caller has its training rows."""
     place = (s.sparkContext.applicationId, sf)
     if place not in _saved:
-        train, _ = P.train_test(D.transactions(s, sf), "txn_id")
+        if train is None:
+            train, _ = P.train_test(D.transactions(s, sf), "txn_id")
         _saved[place] = L.save_model(L.fit(train, "txn_id", model=ModelConfig()), scratch_path(s, "model"))
     return L.load_model(_saved[place])
 
@@ -39,8 +41,8 @@ def _checked(scored: DataFrame, *keep: str) -> DataFrame:
 
 
 def gbt_train_score(s, sf):
-    _, test = P.train_test(D.transactions(s, sf), "txn_id")
-    return _checked(L.score(test, _model(s, sf), keep=["txn_id", "isFraud"]), "txn_id", "isFraud")
+    train, test = P.train_test(D.transactions(s, sf), "txn_id")
+    return _checked(L.score(test, _model(s, sf, train), keep=["txn_id", "isFraud"]), "txn_id", "isFraud")
 
 
 def score_transactions(s, sf):

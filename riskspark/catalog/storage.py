@@ -83,8 +83,8 @@ NAMES = ("type", "nameOrig", "nameDest")
 
 def model_round_trip(s, sf):
     """Scores of the model and of the model saved and loaded again, over the test rows."""
-    _, test = P.train_test(T(s, sf), "txn_id")
-    model = _model(s, sf)
+    train, test = P.train_test(T(s, sf), "txn_id")
+    model = _model(s, sf, train)
     again = L.load_model(L.save_model(model, scratch_path(s, "model-again")))
     a, b = (L.score(test, m, keep=["txn_id"]).select("txn_id", F.col(L.PROBABILITY).alias(n)) for m, n in ((model, "a"), (again, "b")))
     return a.join(b, "txn_id").select("txn_id", (F.col("a") == F.col("b")).alias("same"))
@@ -92,8 +92,8 @@ def model_round_trip(s, sf):
 
 def same_holdout(s, sf):
     """Two models over one holdout: every row once for each, with the same label."""
-    _, test = P.train_test(T(s, sf), "txn_id")
-    model = _model(s, sf)
+    train, test = P.train_test(T(s, sf), "txn_id")
+    model = _model(s, sf, train)
     scored = J.same_holdout(test, {"candidate": model, "champion": model}, "txn_id", "isFraud", ModelConfig().threshold,
                             scratch_path(s, "holdout"))
     return scored.select("experiment", "txn_id", "y")

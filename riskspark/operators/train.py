@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
@@ -69,8 +70,10 @@ def boost(rows: DataFrame, target: str = "isFraud", config: ModelConfig = ModelC
     cuts = trees.cut_points(table, found.size)
     grown = trees.grow(table, found.rows, cuts, drawn, config.depth, config.learning_rate, config.row_subsample, config.seed,
                        LARGEST_STEP)
+    with ThreadPoolExecutor(1) as maker:  # a tree becomes MLlib's, node by node, while the next one grows
+        members = [maker.submit(trees.as_model, spark, tree, cuts) for tree in grown]
     # MLlib's probability is that of twice the weighted sum
-    return _ensemble(spark, trees.as_models(spark, grown, cuts), config.learning_rate / 2, found.size), drawn
+    return _ensemble(spark, [m.result() for m in members], config.learning_rate / 2, found.size), drawn
 
 
 def _ensemble(spark: SparkSession, members: Sequence, weight: float, size: int) -> GBTClassificationModel:
@@ -167,11 +170,15 @@ def decide(probability: Column, threshold: float) -> Column:
 
 def score(df: DataFrame, model: PipelineModel, threshold: float = ModelConfig().threshold,
           keep: Sequence[str] | None = None) -> DataFrame:
-    """Probability of class 1 and the decision; the same call serves batch and stream."""
+    """Probability of class 1 and the decision; the same call serves batch and stream.
+
+    A row takes many trees' time and few bytes, so the rows of a batch are dealt out over all cores first, however few
+    files they lie in.
+    """
     _require_binary(model)
     columns = list(keep if keep is not None else df.columns)
     return (
-        model.transform(df)
+        model.transform(df if df.isStreaming else df.hint("rebalance"))
         .withColumn(PROBABILITY, vector_to_array("probability")[1])
         .select(*columns, PROBABILITY)
         .withColumn("is_fraud", decide(F.col(PROBABILITY), threshold))

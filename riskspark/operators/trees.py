@@ -194,13 +194,12 @@ def _added(state: RDD, work, size: int) -> np.ndarray:
 
 
 def grow(table: DataFrame, rows: int, cuts: list[np.ndarray], drawn: Sequence[Sequence[int]], depth: int, rate: float,
-         share: float, seed: int, largest: float) -> list[Tree]:
+         share: float, seed: int, largest: float) -> Iterator[Tree]:
     """One tree per entry of ``drawn``, the columns it may split, each fitted to the steps the trees before it leave."""
-    state, trees = blocks(table, rows, cuts).persist(StorageLevel.MEMORY_AND_DISK), []
+    state, last = blocks(table, rows, cuts).persist(StorageLevel.MEMORY_AND_DISK), None
     for turn, columns in enumerate(drawn):
         before = state
-        if trees:
-            last = trees[-1]
+        if last:
             state = before.map(lambda b, last=last: b.moved(last, rate, depth)).persist(StorageLevel.MEMORY_AND_DISK)
             if turn % KEPT_EVERY == 0:
                 state.checkpoint()
@@ -214,27 +213,26 @@ def grow(table: DataFrame, rows: int, cuts: list[np.ndarray], drawn: Sequence[Se
             nodes = tree.split(sums, nodes, columns)
             if not nodes:
                 break
-        trees.append(tree)
+        last = tree
+        yield tree
     state.unpersist()
-    return trees
 
 
-def as_models(spark: SparkSession, trees: Sequence[Tree], cuts: list[np.ndarray]) -> list:
-    """The trees as MLlib's regression models, in the JVM."""
+def as_model(spark: SparkSession, tree: Tree, cuts: list[np.ndarray]):
+    """The tree as MLlib's regression model, in the JVM."""
     jvm = spark.sparkContext._jvm
     node, impurity = jvm.org.apache.spark.ml.tree, jvm.org.apache.spark.mllib.tree.impurity
     leaf, inner, bound = node.LeafNode, node.InternalNode, node.ContinuousSplit
     calculator, parse = impurity.VarianceCalculator, jvm.org.apache.spark.mllib.linalg.Vectors.parse
-    model = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
 
-    def made(tree: Tree, at: int):
+    def made(at: int):
         n, *sums = tree.total[at].tolist()
         variance = max(0.0, (sums[2] - sums[1] ** 2 / sums[0]) / sums[0])
         stats = calculator(parse(f"[{','.join(map(repr, sums))}]").toArray(), int(n))
         if tree.feature[at] < 0:
             return leaf(float(tree.value[at]), variance, stats)
         feature = int(tree.feature[at])
-        return inner(float(tree.value[at]), variance, float(tree.gain[at]), made(tree, 2 * at), made(tree, 2 * at + 1),
+        return inner(float(tree.value[at]), variance, float(tree.gain[at]), made(2 * at), made(2 * at + 1),
                      bound(feature, float(cuts[feature][tree.cut[at]])), stats)
 
-    return [model(f"dtr_{uuid.uuid4().hex[:12]}", made(tree, 1), len(cuts)) for tree in trees]
+    return jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel(f"dtr_{uuid.uuid4().hex[:12]}", made(1), len(cuts))
