@@ -13,6 +13,8 @@ from riskspark.llm.common import drop_shuffles, materialize
 from riskspark.llm.components import components
 
 STAR_ROUNDS = 2
+#: Nodes of a key, at most, that are compared pair by pair without the bound by elements their home lacks.
+FEW = 8
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
@@ -90,7 +92,8 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
     remaining node holds are common to no pair. And two nodes compared with one pivot that share
     no element the pivot lacks differ in all such elements of both, and at least in as many of
     the pivot's as the numbers they lack differ. Pairs that do share some are found by them, and the
-    same difference, less what they share, must be small enough.
+    same difference, less what they share, must be small enough. These elements are many rows, so the pairs of a
+    key with at most ``FEW`` remaining nodes are compared without asking for them.
     """
     members = materialize(members.select("key", "node").join(sets.select("node", "size"), "node"), "link-members")
     crowds = members.groupBy("key").agg(F.count("*").alias("crowd"))
@@ -156,12 +159,17 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
     one_home = F.coalesce(F.col("home") == F.col("other_home"), F.lit(False))
     names = ["node", "size", "comp", "shared", "home", "novel", "lacks"]
     renamed = {n: "other" if n == "node" else f"other_{n}" for n in [*names, "keys"]}
-    by_key = rest.join(rest.withColumnsRenamed(renamed), "key").where("comp < other_comp").where(
-        fits("shared", "other_shared")).where(~one_home | near).where(
+    crowds = rest.groupBy("key").agg(F.count("*").alias("crowd"))
+    by_key = rest.join(rest.withColumnsRenamed(renamed), "key").join(crowds, "key").where("comp < other_comp").where(
+        fits("shared", "other_shared")).where(~one_home | near | (F.col("crowd") <= FEW)).where(
         # each pair at one of the keys it shares
         F.array_min(F.array_intersect("keys", "other_keys")) == F.col("key"))
     nodes = rest.select(*names).distinct()
-    novel = materialize(novel_elements(sets, nodes.where("home IS NOT NULL AND home <> node"), elements), "link-novel")
+    # a pair left open meets at a key of many, with one home and in two components
+    meet = (rest.select("key", "home", "comp").where("home IS NOT NULL").join(crowds.where(F.col("crowd") > FEW), "key")
+            .groupBy("key", "home").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "home"))
+    away = rest.where("home <> node").select("key", "node", "home").join(meet, ["key", "home"]).select("node", "home").distinct()
+    novel = materialize(novel_elements(sets, materialize(away, "link-away"), elements), "link-novel")
     held = novel.groupBy("home", "item").agg(F.count("*").alias("n")).where("n > 1").select("home", "item")
     held = materialize(novel.join(held, ["home", "item"]).select("home", "item", "node"), "link-held")
     drop_shuffles(sets.sparkSession)
