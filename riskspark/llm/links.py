@@ -13,8 +13,14 @@ from riskspark.llm.common import drop_shuffles, materialize
 from riskspark.llm.components import components
 
 STAR_ROUNDS = 2
-#: Nodes of a key, at most, that are compared pair by pair without the bound by elements their home lacks.
+#: Nodes of a key, at most, that make do with coarse bits.
 FEW = 8
+#: Cells of an element in the bits of nodes that meet more than ``FEW`` others, and 2^cells at most in a node's bits.
+FINE, CELL_BITS = 4, 20
+#: Nodes of a key, at most, that one task compares.
+BLOCK = 2048
+
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def shared_buckets(members: DataFrame) -> DataFrame:
@@ -41,39 +47,136 @@ def compared(pairs: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.n
     return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a long, b long, common long")
 
 
-def shared_sizes(sets: DataFrame, nodes: DataFrame, elements: Callable[[bytes], np.ndarray]) -> DataFrame:
-    """(node, shared): how many elements of each node's set some other of the nodes holds too."""
+def element_bits(sets: DataFrame, nodes: DataFrame, elements: Callable[[bytes], np.ndarray], per_element: int) -> DataFrame:
+    """(node, bits): the parity of the elements of each node's set in 2^k cells, at least ``per_element`` cells an element.
+
+    An element that two sets share falls out of the difference of their bits, so that has at most as many ones as elements
+    that only one of them holds. A wider set is folded onto fewer cells by its halves' difference.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for node, data in zip(b.column("node").to_pylist(), b.column("data").to_pylist(), strict=True):
-                items = elements(data).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), node)), pa.array(items)], names=["node", "item"])
+            bits = []
+            for data in b.column("data"):
+                items = elements(data.as_py())
+                cells = 1 << min(max(len(items) * per_element - 1, 0).bit_length(), CELL_BITS)
+                place = ((items * _SPREAD) >> np.uint64(32)).astype(np.int64) & (max(cells, 64) - 1)
+                bits.append(np.packbits(np.bincount(place, minlength=max(cells, 64)).astype(np.uint8) & 1).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(bits, pa.binary())], names=["node", "bits"])
+
+    return sets.join(nodes, "node", "left_semi").select("node", "data").mapInArrow(run, "node long, bits binary")
+
+
+def novel_elements(sets: DataFrame, nodes: DataFrame, elements: Callable[[bytes], np.ndarray]) -> DataFrame:
+    """(node, bits): ``element_bits`` of nodes that meet many others, fine enough to tell nearly all elements that one
+    of two nodes has and the other lacks."""
+    return element_bits(sets, nodes, elements, FINE)
+
+
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    while words.shape[1] > width:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
+    return words
+
+
+def _close(node: np.ndarray, comp: np.ndarray, size: np.ndarray, side: np.ndarray, bits: list[bytes], percent: int,
+           forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Arrays (a, b) of the nodes of two components, and of two sides where there are two, whose bits do not exclude a
+    link; of a ``forest`` only so many as join all components that these pairs may join."""
+    width = np.fromiter(map(len, bits), np.int64, len(bits)) // 8
+    kinds, of, n = np.unique(comp, return_inverse=True, return_counts=True)
+    if len(kinds) < 2:
+        return
+    outside = of != n.argmax()  # each pair across components has such a node
+    above = list(range(len(kinds)))
 
-    items = sets.join(nodes, "node", "left_semi").select("node", "data").mapInArrow(run, "node long, item long")
-    alone = (items.groupBy("item").agg(F.min("node").alias("node"), F.count("*").alias("n")).where("n = 1")
-             .groupBy("node").agg(F.count("*").alias("alone")))
-    return sets.select("node", "size").join(nodes, "node", "left_semi").join(alone, "node", "left").select(
-        "node", (F.col("size") - F.coalesce("alone", F.lit(0))).alias("shared"))
+    def root(k: int) -> int:
+        while above[k] != k:
+            above[k] = k = above[above[k]]
+        return k
 
+    def joining(x: np.ndarray, y: np.ndarray) -> list[int]:
+        kept, now = [], np.fromiter(map(root, range(len(kinds))), np.int64, len(kinds))[of]
+        for at in np.flatnonzero(now[x] != now[y]).tolist():
+            p, q = root(int(of[x[at]])), root(int(of[y[at]]))
+            if p != q:
+                above[p] = q
+                kept.append(at)
+        return kept
 
-def novel_elements(sets: DataFrame, homes: DataFrame, elements: Callable[[bytes], np.ndarray]) -> DataFrame:
-    """(home, item, node): the elements of each node's set that the set of its home lacks, by 32 of their
-    bits: where two agree by chance, a bound only grows."""
+    two = side.min() != side.max()
+    for w in np.unique(width):
+        here = np.flatnonzero(width >= w)
+        own = width[here] == w  # wider sets meet each other at their own width
+        words = np.empty((len(here), w), np.uint64)
+        for k in np.unique(width[here]):
+            which = np.flatnonzero(width[here] == k)
+            raw = np.frombuffer(b"".join([bits[i] for i in here[which]]), np.uint64).reshape(len(which), k)
+            words[which] = _folded(raw, w)
+        step, pairs = max(1, (1 << 20) // len(here)), max(1, (1 << 20) // int(w))
+        rows = np.flatnonzero(outside[here])
+        for at in range(0, len(rows), step):
+            r = rows[at : at + step]
+            u, v = here[r][:, None], here[None, :]
+            total = (size[u] + size[v]) * (100 - percent)
+            ok = (comp[u] != comp[v]) & (own[r][:, None] | own[None, :]) & ((100 + percent) * np.abs(size[u] - size[v]) <= total)
+            ok &= ~outside[v] | (node[u] < node[v])  # a pair of two such nodes once
+            if two:
+                ok &= side[u] != side[v]
+            i, j = np.nonzero(ok)
+            for cut in range(0, len(i), pairs):
+                p, q = i[cut : cut + pairs], j[cut : cut + pairs]
+                apart = np.bitwise_count(words[r[p]] ^ words[q]).sum(axis=1, dtype=np.int64)
+                left = (100 + percent) * apart <= total[p, q]
+                x, y = here[r[p[left]]], here[q[left]]
+                if forest:
+                    kept = joining(x, y)
+                    x, y = x[kept], y[kept]
+                if len(x):
+                    yield node[x], node[y]
+
+
+def close_pairs(rows: DataFrame, percent: int, forest: bool = False) -> DataFrame:
+    """(a, b): the pairs of one key and two components that sizes and bits leave open; ``rows`` has (key, n, node, comp,
+    size, bits), n the nodes of the key. Of a ``forest`` a key gives at most one pair less than it has components.
+
+    Keys are compared in tasks, each by arrays; one of more than ``BLOCK`` nodes is cut into blocks, of which any two meet
+    in a task of their own.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("node", "comp", "size", "block")
+
+        def found(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            t = pa.Table.from_batches(parts).combine_chunks()
+            columns = [t.column(c).to_numpy() for c in names]
+            for x, y in _close(*columns, t.column("bits").to_pylist(), percent, forest):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        last = None
         for b in batches:
-            columns = (b.column(c) for c in ("home", "node", "data", "home_data"))
-            for home, node, data, other in zip(*columns, strict=True):
-                items = np.setdiff1d(elements(data.as_py()), elements(other.as_py()), assume_unique=True)
-                items = np.unique((items >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(items), home.as_py())), pa.array(items), pa.array(np.full(len(items), node.as_py()))],
-                    names=["home", "item", "node"])
+            cell = np.stack([b.column(c).to_numpy() for c in ("key", "low", "high")])
+            if not b.num_rows:
+                continue
+            starts = [0, *(np.flatnonzero((cell[:, 1:] != cell[:, :-1]).any(axis=0)) + 1).tolist(), b.num_rows]
+            for start, end in zip(starts[:-1], starts[1:], strict=True):
+                here = tuple(cell[:, start].tolist())
+                if held and here != last:
+                    yield from found(held)
+                    held = []
+                held.append(b.slice(start, end - start))
+                last = here
+        if held:
+            yield from found(held)
 
-    at_home = sets.select(F.col("node").alias("home"), F.col("data").alias("home_data"))
-    return (homes.select("node", "home").join(sets.select("node", "data"), "node").join(at_home, "home")
-            .mapInArrow(run, "home long, item int, node long"))
+    blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
+    cells = (rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+             .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                     "node", "comp", "size", "block", "bits"))
+    return cells.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, "a long, b long").distinct()
 
 
 def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.ndarray], percent: int) -> tuple[DataFrame, DataFrame]:
@@ -87,13 +190,10 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
     one most of its buckets share. So a large group of near copies costs one comparison per node.
 
     Then the remaining candidate pairs across two components are compared; inside one component
-    a further link would change nothing. Two exact bounds keep nodes that drifted a little too far
-    from a large group from being compared with each of its members. Elements that no other
-    remaining node holds are common to no pair. And two nodes compared with one pivot that share
-    no element the pivot lacks differ in all such elements of both, and at least in as many of
-    the pivot's as the numbers they lack differ. Pairs that do share some are found by them, and the
-    same difference, less what they share, must be small enough. These elements are many rows, so the pairs of a
-    key with at most ``FEW`` remaining nodes are compared without asking for them.
+    a further link would change nothing. An exact bound keeps nodes that drifted a little too far
+    from a large group from being compared with each of its members: each node's set is put into
+    bits whose differences are at most those of the sets, and pairs whose bits differ by more
+    than the similarity allows are no links. One row per node and key travels for it, not one per element.
     """
     members = materialize(members.select("key", "node").join(sets.select("node", "size"), "node"), "link-members")
     crowds = members.groupBy("key").agg(F.count("*").alias("crowd"))
@@ -124,7 +224,6 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
         common = F.least(F.col(a), F.col(b))
         return 100 * common >= percent * (F.col("size") + F.col("other_size") - common)
 
-    homes = None
     for turn in range(STAR_ROUNDS):
         rated = labelled.join(weights, "node") if turn == 0 else labelled.withColumn("weight", F.lit(0))
         open_keys = materialize(
@@ -138,66 +237,26 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
             .groupBy("node", "pivot", "rank").count()
             .groupBy("node").agg(F.max(F.struct("rank", "count", "pivot")).alias("best")).select("node", "best.pivot"), "link-chosen")
         settle(chosen.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        if homes is None:
-            homes = _homes(chosen, tested, sizes)
     mixed = materialize(
         labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"),
                                     F.min("node").alias("a"), F.max("node").alias("b"))
         .where("lo <> hi").select("key", "n", "a", "b"), "link-mixed")
     # a key of two nodes is one pair
     twos = mixed.where("n = 2").select("a", "b").distinct()
-    rest = materialize(labelled.join(mixed.where("n > 2").select("key"), "key"), "link-rest")
-    shared = materialize(shared_sizes(sets, rest.select("node").distinct(), elements), "link-shared")
-    # a node too far from every set of any size needs no partner
-    able = F.col("shared") * 100 >= percent * F.col("size")
-    # at most one key per band and node
-    keys = rest.groupBy("node").agg(F.collect_set("key").alias("keys"))
-    rest = materialize(rest.join(shared, "node").where(able).join(homes, "node", "left").join(keys, "node"), "link-able")
-
-    apart = F.col("novel") + F.col("other_novel") + F.abs(F.col("lacks") - F.col("other_lacks"))
-    near = (100 + percent) * apart <= (100 - percent) * (F.col("size") + F.col("other_size"))
-    one_home = F.coalesce(F.col("home") == F.col("other_home"), F.lit(False))
-    names = ["node", "size", "comp", "shared", "home", "novel", "lacks"]
-    renamed = {n: "other" if n == "node" else f"other_{n}" for n in [*names, "keys"]}
-    crowds = rest.groupBy("key").agg(F.count("*").alias("crowd"))
-    by_key = rest.join(rest.withColumnsRenamed(renamed), "key").join(crowds, "key").where("comp < other_comp").where(
-        fits("shared", "other_shared")).where(~one_home | near | (F.col("crowd") <= FEW)).where(
-        # each pair at one of the keys it shares
-        F.array_min(F.array_intersect("keys", "other_keys")) == F.col("key"))
-    nodes = rest.select(*names).distinct()
-    # a pair left open meets at a key of many, with one home and in two components
-    meet = (rest.select("key", "home", "comp").where("home IS NOT NULL").join(crowds.where(F.col("crowd") > FEW), "key")
-            .groupBy("key", "home").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key", "home"))
-    away = rest.where("home <> node").select("key", "node", "home").join(meet, ["key", "home"]).select("node", "home").distinct()
-    novel = materialize(novel_elements(sets, materialize(away, "link-away"), elements), "link-novel")
-    held = novel.groupBy("home", "item").agg(F.count("*").alias("n")).where("n > 1").select("home", "item")
-    held = materialize(novel.join(held, ["home", "item"]).select("home", "item", "node"), "link-held")
-    drop_shuffles(sets.sparkSession)
-    # at most the elements of one set
-    items = held.groupBy("node").agg(F.collect_set("item").alias("items"))
-    held = held.join(nodes.drop("home").join(items, "node"), "node")
-    other = held.withColumnsRenamed({"items": "other_items"} | {k: v for k, v in renamed.items() if k not in ("home", "keys")})
-    both = F.array_intersect("items", "other_items")
-    still = (100 + percent) * (apart - 2 * F.size(both)) <= (100 - percent) * (F.col("size") + F.col("other_size"))
-    by_novel = held.join(other, ["home", "item"]).where("comp < other_comp").where(
-        fits("shared", "other_shared")).where(still).where(F.array_min(both) == F.col("item"))
-    pair = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
+    rest = materialize(labelled.join(mixed.where("n > 2").select("key", "n"), "key"), "link-rest")
+    few, many = rest.where(F.col("n") <= FEW), rest.where(F.col("n") > FEW)
+    coarse = materialize(element_bits(sets, few.select("node").distinct(), elements, 1), "link-coarse")
+    fine = materialize(novel_elements(sets, many.select("node").distinct(), elements), "link-fine")
+    # what of a key may hang together is tried by one pair per component first, so that groups which no pivot met do not
+    # come with all their pairs
+    settle(close_pairs(many.join(fine, "node"), percent, forest=True))
+
+    def now(rows: DataFrame) -> DataFrame:
+        return rows.drop("comp").join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+
+    close = close_pairs(now(few).join(coarse, "node").unionByName(now(many).join(fine, "node")), percent)
     twos = (twos.join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "other_size"), "b")
             .where(fits("size", "other_size")).select("a", "b"))
-    settle(by_key.select(*pair).unionByName(by_novel.select(*pair)).unionByName(twos).distinct())
+    settle(close.unionByName(twos).distinct())
     return labels, edges
 
-
-def _homes(chosen: DataFrame, tested: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(node, home, novel, lacks): the pivot a node was compared with, how many of the node's
-    elements the pivot lacks and the reverse; a pivot is its own home."""
-    pairs = chosen.withColumn("a", F.least("node", "pivot")).withColumn("b", F.greatest("node", "pivot")).join(
-        tested.select("a", "b", "common"), ["a", "b"])
-    pivots = chosen.select("pivot").distinct()
-    own = pivots.select(F.col("pivot").alias("node"), F.col("pivot").alias("home"), F.lit(0).cast("long").alias("novel"),
-                        F.lit(0).cast("long").alias("lacks"))
-    away = (pairs.join(pivots.toDF("node"), "node", "left_anti").join(sizes, "node")
-            .join(sizes.toDF("pivot", "pivot_size"), "pivot")
-            .select("node", F.col("pivot").alias("home"), (F.col("size") - F.col("common")).alias("novel"),
-                    (F.col("pivot_size") - F.col("common")).alias("lacks")))
-    return materialize(own.unionByName(away), "link-homes")
