@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskspark.llm.common import bucketed, drop_shuffles, materialize
-from riskspark.llm.links import link
+from riskspark.llm.links import distinct_keys, link
 from riskspark.llm.minhash import mix
 
 SHINGLE = 5            # code points, so that scripts of two and three bytes are judged alike
@@ -36,7 +36,21 @@ def normal_line(line: str) -> bytes:
 
 def text_lines(text: str) -> list[tuple[int, bytes]]:
     """(position, normalised line) of the lines that hold a word."""
-    return [(i, n) for i, line in enumerate(text.split("\n")) if (n := normal_line(line))]
+    return [(i, b" ".join(words)) for i, line in enumerate(text.encode().lower().split(b"\n")) if (words := line.split())]
+
+
+def lines_at(batch: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
+    """Names and normalised lines of the ``wanted`` (lo, pos) of each ``text`` of a batch."""
+    wanted = batch.column("wanted")
+    each = wanted.flatten()
+    names, places = (each.field(c).to_numpy() for c in ("lo", "pos"))
+    ends, places = np.cumsum(wanted.value_lengths().to_numpy()).tolist(), places.tolist()
+    out, at = [], 0
+    for end, text in zip(ends, batch.column("text").to_pylist(), strict=True):
+        lines = text.encode().lower().split(b"\n")
+        out += [b" ".join(lines[i].split()) for i in places[at:end]]
+        at = end
+    return names, out
 
 
 def points(line: bytes) -> int:
@@ -91,10 +105,11 @@ def line_sketches(items: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return bins.reshape(n, size)
 
 
-def line_bands(lines: list[bytes]) -> np.ndarray:
-    """Band keys, one row per line; every line has at least ``SHINGLE`` code points."""
+def line_bands(lines: list[bytes], sizes: np.ndarray | None = None) -> np.ndarray:
+    """Band keys, one row per line; every line has at least ``SHINGLE`` code points, ``sizes`` if given."""
     h = rolling_hashes(b"".join(lines), wide=False)
-    sizes = np.fromiter(map(points, lines), np.int64, len(lines))
+    if sizes is None:
+        sizes = np.fromiter(map(points, lines), np.int64, len(lines))
     inside = np.ones(sizes.sum(), bool)
     for k in range(1, SHINGLE):  # no string runs over the end of its line
         inside[np.cumsum(sizes) - k] = False
@@ -106,31 +121,56 @@ def line_bands(lines: list[bytes]) -> np.ndarray:
     return keys
 
 
-def all_bands(lines: list[bytes]) -> np.ndarray:
-    """``line_bands`` in chunks of lines of about one length, which need about as many rounds."""
-    out = np.empty((len(lines), BANDS), np.uint64)
-    order = sorted(range(len(lines)), key=lambda i: len(lines[i]))
+def chunks(lines: list[bytes]) -> Iterator[list[int]]:
+    """Places of the lines in parts of about ``CHUNK`` bytes and of lines of about one length."""
     part: list[int] = []
     held = 0
-    for i in order:
+    for i in sorted(range(len(lines)), key=lambda i: len(lines[i])):
         part.append(i)
         held += len(lines[i])
         if held >= CHUNK:
-            out[part] = line_bands([lines[j] for j in part])
+            yield part
             part, held = [], 0
     if part:
-        out[part] = line_bands([lines[j] for j in part])
+        yield part
+
+
+def all_bands(lines: list[bytes], sizes: np.ndarray | None = None) -> np.ndarray:
+    """``line_bands`` in chunks of lines of about one length, which need about as many rounds."""
+    out = np.empty((len(lines), BANDS), np.uint64)
+    for part in chunks(lines):
+        out[part] = line_bands([lines[j] for j in part], None if sizes is None else sizes[part])
     return out
 
 
-def shingle_hashes(line: bytes) -> np.ndarray:
-    """The set of a line's shingles, by their 64-bit hashes; empty for shorter lines."""
-    return np.unique(rolling_hashes(line)) if points(line) >= SHINGLE else np.empty(0, np.uint64)
+def _distinct(hashes: np.ndarray) -> np.ndarray:
+    """``np.unique`` without its overhead for short arrays."""
+    h = np.sort(hashes)
+    keep = np.empty(len(h), bool)
+    keep[:1] = True
+    np.not_equal(h[1:], h[:-1], out=keep[1:])
+    return h[keep]
+
+
+def set_sizes(lines: list[bytes]) -> np.ndarray:
+    """How many distinct shingles each line has, many lines at once."""
+    sizes = np.fromiter(map(points, lines), np.int64, len(lines))
+    out = np.zeros(len(lines), np.int64)
+    for part in chunks(lines):
+        part = [i for i in part if sizes[i] >= SHINGLE]
+        if not part:
+            continue
+        h = rolling_hashes(b"".join([lines[i] for i in part]))
+        at = 0
+        for i, n in zip(part, sizes[part].tolist(), strict=True):
+            out[i] = len(_distinct(h[at : at + n - SHINGLE + 1]))
+            at += n
+    return out
 
 
-def _halves(line: bytes) -> tuple[int, int]:
-    d = np.frombuffer(xxhash.xxh3_128_digest(line), np.int64)
-    return int(d[0]), int(d[1])
+def shingle_hashes(line: bytes) -> np.ndarray:
+    """The set of a line's shingles, by their 64-bit hashes; empty for shorter lines."""
+    return _distinct(rolling_hashes(line)) if points(line) >= SHINGLE else np.empty(0, np.uint64)
 
 
 LINE_SCHEMA = "row long, pos int, lo long, hi long"
@@ -140,16 +180,12 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """row, pos and digest of every line with a word."""
     for batch in batches:
         rows, places, digests = [], [], []
-        kinds: dict[bytes, tuple[int, int]] = {}
         for row, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
             for i, line in text_lines(text):
-                found = kinds.get(line)
-                if found is None:
-                    found = kinds[line] = _halves(line)
                 rows.append(row)
                 places.append(i)
-                digests.append(found)
-        both = np.array(digests, np.int64).reshape(-1, 2)
+                digests.append(xxhash.xxh3_128_digest(line))
+        both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
             [pa.array(rows, pa.int64()), pa.array(places, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1])],
             names=["row", "pos", "lo", "hi"])
@@ -194,19 +230,15 @@ def _band_runs(ranges: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lines, nodes = [], []
-            for wanted, text in zip(batch.column("wanted").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                parts = text.split("\n")
-                for w in wanted:
-                    line = normal_line(parts[w["pos"]])
-                    if points(line) >= SHINGLE:
-                        lines.append(line)
-                        nodes.append(w["lo"])
-            if not lines:
+            nodes, lines = lines_at(batch)
+            sizes = np.fromiter(map(points, lines), np.int64, len(lines))
+            long = sizes >= SHINGLE
+            if not long.any():
                 continue
-            keys = (all_bands(lines) >> np.uint64(64 - _KEY_BITS)).ravel()
-            node = np.repeat(np.array(nodes, np.int64).view(np.uint64) >> np.uint64(64 - _NODE_BITS), BANDS)
-            order = np.argsort(keys, kind="stable")
+            keys = (all_bands([line for line, ok in zip(lines, long.tolist(), strict=True) if ok], sizes[long])
+                    >> np.uint64(64 - _KEY_BITS)).ravel()
+            node = np.repeat(nodes[long].view(np.uint64) >> np.uint64(64 - _NODE_BITS), BANDS)
+            order = np.argsort(keys)
             keys, node = keys[order], node[order]
             first = np.diff(keys, prepend=~keys[:1]) != 0
             place = (keys * np.uint64(ranges) >> np.uint64(_KEY_BITS)).astype(np.int32)
@@ -236,8 +268,8 @@ def _shared_keys(ranges: int):
 
 
 def shared_bands(texts: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows (key, node) of the band keys that several distinct lines hold, and one place (row, pos) per
-    distinct line (lo).
+    """Rows (key, node, n, times) of the band keys that several distinct lines hold, as ``distinct_keys`` gives
+    them, and of each distinct line (lo) one place (row, pos) and how often it occurs.
 
     Every distinct line is sketched once. Most of its keys are its own, so they travel packed, 9
     bytes each, to ranges of the key space that find those held more than once; a range has about
@@ -245,44 +277,40 @@ def shared_bands(texts: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFra
     names a line may coincide for others; such members only cost a comparison.
     """
     spark = texts.sparkSession
-    places = materialize(lines.groupBy("lo").agg(F.min(F.struct("row", "pos")).alias("at"))
-                         .select("lo", "at.row", "at.pos"), "line-places")
+    # row and pos are of one line, as both are taken of the same rows; any line will do
+    places = materialize(lines.groupBy("lo").agg(F.first("row").alias("row"), F.first("pos").alias("pos"), F.count("*").alias("n")),
+                         "line-places")
     # one list per document, at most its lines
     wanted = places.groupBy("row").agg(F.collect_list(F.struct("lo", "pos")).alias("wanted"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = max(4 * parts, places.count() * BANDS // RANGE_KEYS + 1)
     runs = texts.join(wanted.hint("merge"), "row").select("wanted", "text").mapInArrow(_band_runs(ranges), RUN_SCHEMA)
     shared = materialize(runs.groupBy("place").applyInArrow(_shared_keys(ranges), "key long, part long").distinct(), "line-keys")
+    drop_shuffles(spark)  # the packed keys
     names = places.select(F.shiftrightunsigned("lo", 64 - _NODE_BITS).alias("part"), F.col("lo").alias("node"))
-    return materialize(shared.join(names, "part").select("key", "node"), "line-buckets"), places
+    members = distinct_keys(shared.withColumnRenamed("part", "node")).withColumnRenamed("node", "part")
+    return materialize(members.join(names, "part").drop("part"), "line-buckets"), places
 
 
 def _wanted_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        nodes, data, sizes = [], [], []
-        for wanted, text in zip(batch.column("wanted").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            lines = text.split("\n")
-            for w in wanted:
-                nodes.append(w["lo"])
-                line = normal_line(lines[w["pos"]])
-                data.append(line)
-                sizes.append(len(shingle_hashes(line)))
+        nodes, lines = lines_at(batch)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(nodes, pa.int64()), pa.array(data, pa.binary()), pa.array(sizes, pa.int64())], names=["node", "data", "size"])
+            [pa.array(nodes), pa.array(lines, pa.binary()), pa.array(set_sizes(lines))], names=["node", "data", "size"])
 
 
-def _cut_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows, total, gone, texts = batch.column("row"), [], [], []
-        for drop, text in zip(batch.column("drop").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            out = set(drop or ())
-            lines = text.split("\n")
-            total.append(sum(1 for line in lines if line.strip(" \t\n\v\f\r")))
-            gone.append(len(out))
-            texts.append("\n".join(line for i, line in enumerate(lines) if i not in out) if out else text)
-        yield pa.RecordBatch.from_arrays(
-            [rows, pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.string())],
-            names=["row", "n_lines", "n_removed", "text"])
+def _without(rows: DataFrame) -> DataFrame:
+    """``rows`` with n_lines, the lines of ``text`` that hold a word, n_removed, and ``text`` without the lines at the places
+    ``drop`` (null: none)."""
+    # a column of their own, as the places are looked up one by one
+    rows = rows.withColumn("lines", F.split("text", "\n", -1))
+    kept = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop")
+    whole = F.col("drop").isNull()
+    return rows.select(
+        *[c for c in rows.columns if c not in ("text", "drop", "lines")],
+        F.size(F.filter("lines", lambda line: line.rlike("[^ \t\n\x0B\f\r]"))).cast("long").alias("n_lines"),
+        F.when(whole, 0).otherwise(F.size("drop")).cast("long").alias("n_removed"),
+        F.when(whole, F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.col("lines")[i]), "\n")).alias("text"))
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -314,7 +342,6 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     lines = materialize(texts.mapInArrow(_line_rows, LINE_SCHEMA), "line-ids")
 
     members, places = shared_bands(texts, lines)
-    drop_shuffles(docs.sparkSession)  # the packed keys
     nodes = members.select(F.col("node").alias("lo")).distinct()
     # one list per document, at most its lines
     wanted = materialize(places.join(nodes, "lo", "left_semi").groupBy("row").agg(
@@ -324,14 +351,13 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
     labels, _ = link(members, sets, shingle_hashes, percent)
     drop_shuffles(docs.sparkSession)
 
-    labels = labels.select(F.col("node").alias("lo"), "root")
-    grouped = lines.join(labels, "lo", "left").select(
-        "row", "pos", F.coalesce("root", "lo").alias("c1"), F.when(F.col("root").isNull(), F.col("hi")).alias("hi"), "lo")
     # the root of a labelled component carries no label of its own
-    roots = labels.select(F.col("root").alias("c1")).distinct().withColumn("is_root", F.lit(True))
-    grouped = materialize(
-        grouped.join(roots, "c1", "left").select("row", "pos", "c1", F.when(F.col("is_root").isNull(), F.col("hi")).alias("c2")),
-        "line-groups")
+    marks = labels.select(F.col("node").alias("lo"), "root").unionByName(
+        labels.select(F.col("root").alias("lo"), "root").distinct())
+    # lines that occur once and are near to no other stay
+    repeated = places.select("lo", "n").join(marks, "lo", "left").where("n > 1 OR root IS NOT NULL").select("lo", "root")
+    grouped = materialize(lines.join(repeated, "lo").select(
+        "row", "pos", F.coalesce("root", "lo").alias("c1"), F.when(F.col("root").isNull(), F.col("hi")).alias("c2")), "line-groups")
     owners = source.select("row", "doc_id")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "pos")
     first = materialize(
@@ -342,7 +368,5 @@ def dedup_lines(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id",
              .where("row <> keep_row OR pos <> keep_pos")
              .groupBy("row").agg(F.collect_list("pos").alias("drop")))
     drops = materialize(drops, "line-drops")
-    cut = texts.join(drops.hint("merge"), "row", "left").select("row", "drop", "text").mapInArrow(
-        _cut_lines, "row long, n_lines long, n_removed long, text string")
-    return cut.join(source.select("row", "doc_id", "rest", "no_text"), "row").select(
-        "doc_id", "rest", "n_lines", "n_removed", F.when(~F.col("no_text"), F.col("text")).alias("text"))
+    cut = _without(source.join(drops.hint("merge"), "row", "left"))
+    return cut.select("doc_id", "rest", "n_lines", "n_removed", F.when(~F.col("no_text"), F.col("text")).alias("text"))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskspark.llm.common import drop_shuffles, materialize
 from riskspark.llm.components import components
 
-STAR_ROUNDS = 2
 #: Nodes of a key, at most, that make do with coarse bits.
 FEW = 8
 #: Cells of an element in the bits of nodes that meet more than ``FEW`` others, and 2^cells at most in a node's bits.
@@ -30,21 +29,36 @@ def shared_buckets(members: DataFrame) -> DataFrame:
     return materialize(members.join(keys, "key"), "buckets")
 
 
+def distinct_keys(members: DataFrame) -> DataFrame:
+    """(key, node, n, times): of the keys that hold the same nodes one, with the number of its nodes and of such keys.
+
+    Near copies share many bands, so most keys repeat the nodes of another. Sets of nodes are told apart by 128 bits.
+    """
+    per_key = members.groupBy("key").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    kept = per_key.where("n > 1").groupBy("n", "x", "y").agg(F.min("key").alias("key"), F.count("*").alias("times"))
+    return members.select("key", "node").join(materialize(kept.select("key", "n", "times"), "link-keys"), "key")
+
+
 def compared(pairs: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.ndarray]) -> DataFrame:
-    """(a, b, common): the size of the intersection of each pair's full sets; contents travel to
+    """(a, b, common, size_a, size_b): the sizes of each pair's full sets and of their intersection; contents travel to
     the pairs by shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = lru_cache(maxsize=4096)(elements)  # members of a group come back again and again
         for b in batches:
-            common = [
-                len(np.intersect1d(known(x.as_py()), known(y.as_py()), assume_unique=True))
-                for x, y in zip(b.column("data_a"), b.column("data_b"), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(common, pa.int64())], names=["a", "b", "common"])
+            found = []
+            for x, y in zip(b.column("data_a"), b.column("data_b"), strict=True):
+                x, y = known(x.as_py()), known(y.as_py())
+                found.append((len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
+            sizes = np.array(found, np.int64).reshape(-1, 3)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a"), b.column("b"), *(pa.array(sizes[:, i]) for i in range(3))], names=["a", "b", "common", "size_a", "size_b"])
 
     left = sets.select(F.col("node").alias("a"), F.col("data").alias("data_a"))
     right = sets.select(F.col("node").alias("b"), F.col("data").alias("data_b"))
-    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a long, b long, common long")
+    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(
+        run, "a long, b long, common long, size_a long, size_b long")
 
 
 def element_bits(sets: DataFrame, nodes: DataFrame, elements: Callable[[bytes], np.ndarray], per_element: int) -> DataFrame:
@@ -182,12 +196,12 @@ def close_pairs(rows: DataFrame, percent: int, forest: bool = False) -> DataFram
 def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.ndarray], percent: int) -> tuple[DataFrame, DataFrame]:
     """(labels, edges): labels are ``components`` of the verified links between bucket members.
 
-    ``members`` has (key, node), rows of keys that nodes share; ``sets`` has (node, data, size),
-    ``elements`` gives the distinct hashes that ``data`` stands for. A pair is a candidate if it
-    shares a key and its sizes allow ``percent`` Jaccard similarity. First, twice, each node is
-    compared with one pivot: of the pivots of its buckets that lie outside its component the first
-    time the one that meets most other nodes, which is the middle of its group, the second time the
-    one most of its buckets share. So a large group of near copies costs one comparison per node.
+    ``members`` has (key, node), rows of keys that nodes share, or what ``distinct_keys`` makes of them;
+    ``sets`` has (node, data, size), ``elements`` gives the distinct hashes that ``data`` stands for. A
+    pair is a candidate if it shares a key and its sizes allow ``percent`` Jaccard similarity. Of keys
+    with the same nodes one is looked at; a key of two nodes is one pair and waits for the end. First each
+    node is compared with one pivot: of the pivots of its buckets the one that meets most other nodes,
+    which is the middle of its group. So a large group of near copies costs one comparison per node.
 
     Then the remaining candidate pairs across two components are compared; inside one component
     a further link would change nothing. An exact bound keeps nodes that drifted a little too far
@@ -195,68 +209,53 @@ def link(members: DataFrame, sets: DataFrame, elements: Callable[[bytes], np.nda
     bits whose differences are at most those of the sets, and pairs whose bits differ by more
     than the similarity allows are no links. One row per node and key travels for it, not one per element.
     """
-    members = materialize(members.select("key", "node").join(sets.select("node", "size"), "node"), "link-members")
-    crowds = members.groupBy("key").agg(F.count("*").alias("crowd"))
-    weights = materialize(members.join(crowds, "key").groupBy("node").agg(F.sum("crowd").alias("weight")), "link-weights")
-    sizes = sets.select("node", "size")
-    labelled = members.withColumn("comp", F.col("node"))
-    tested = edges = labels = None
-
-    def linked(a: str, b: str, common: str) -> Column:
-        return 100 * F.col(common) >= percent * (F.col(a) + F.col(b) - F.col(common))
+    if "times" not in members.columns:
+        members = distinct_keys(members)
+    members = materialize(members.join(sets.select("node", "size"), "node"), "link-members")
+    edges = labels = None
 
     def settle(pairs: DataFrame) -> None:
-        """Compare new pairs, extend the edges, label the buckets anew."""
-        nonlocal tested, edges, labels, labelled
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        found = compared(materialize(pairs, "link-pairs"), sets, elements)
-        found = materialize(
-            found.join(sizes.toDF("a", "size_a"), "a").join(sizes.toDF("b", "size_b"), "b"), "link-compared")
-        tested = found if tested is None else tested.unionByName(found)
+        """Compare pairs, extend the edges, label the nodes anew."""
+        nonlocal edges, labels
+        found = materialize(compared(materialize(pairs, "link-pairs"), sets, elements), "link-compared")
         drop_shuffles(sets.sparkSession)
-        edges = tested.where(linked("size_a", "size_b", "common")).select("a", "b")
-        labels = components(edges)
-        labelled = members.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
-
-    def fits(a: str, b: str) -> Column:
-        """Whether sets with at most ``a`` and ``b`` elements in common can reach the similarity."""
-        common = F.least(F.col(a), F.col(b))
-        return 100 * common >= percent * (F.col("size") + F.col("other_size") - common)
-
-    for turn in range(STAR_ROUNDS):
-        rated = labelled.join(weights, "node") if turn == 0 else labelled.withColumn("weight", F.lit(0))
-        open_keys = materialize(
-            rated.groupBy("key").agg(
-                F.min(F.struct((-F.col("weight")).alias("less"), F.xxhash64("node", F.lit(turn)).alias("place"), F.col("node").alias("pivot"),
-                               F.col("size").alias("other_size"), F.col("comp").alias("other"))).alias("p"),
-                F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-            .where("lo <> hi").select("key", "p.pivot", "p.other_size", "p.other", (-F.col("p").getField("less")).alias("rank")), "link-pivots")
-        chosen = materialize(
-            labelled.join(open_keys, "key").where(F.col("comp") != F.col("other")).where(fits("size", "other_size"))
-            .groupBy("node", "pivot", "rank").count()
-            .groupBy("node").agg(F.max(F.struct("rank", "count", "pivot")).alias("best")).select("node", "best.pivot"), "link-chosen")
-        settle(chosen.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-    mixed = materialize(
-        labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n"),
-                                    F.min("node").alias("a"), F.max("node").alias("b"))
-        .where("lo <> hi").select("key", "n", "a", "b"), "link-mixed")
-    # a key of two nodes is one pair
-    twos = mixed.where("n = 2").select("a", "b").distinct()
-    rest = materialize(labelled.join(mixed.where("n > 2").select("key", "n"), "key"), "link-rest")
+        new = found.where(100 * F.col("common") >= percent * (F.col("size_a") + F.col("size_b") - F.col("common"))).select("a", "b")
+        edges = new if edges is None else edges.unionByName(new)
+        # what is labelled goes in as stars
+        labels = components(new if labels is None else new.unionByName(labels.toDF("a", "b")))
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return rows.join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+
+    def fits(small: Column, large: Column) -> Column:
+        """Whether sets of two sizes can reach the similarity."""
+        return 100 * small >= percent * large
+
+    many = members.where("n > 2")
+    weights = many.groupBy("node").agg(F.sum(F.col("n") * F.col("times")).alias("weight"))
+    pivots = materialize(
+        many.join(weights, "node").groupBy("key").agg(
+            F.min(F.struct((-F.col("weight")).alias("less"), F.xxhash64("node").alias("place"), F.col("node").alias("pivot"),
+                           F.col("size").alias("other_size"))).alias("p"))
+        .select("key", "p.pivot", "p.other_size", (-F.col("p").getField("less")).alias("rank")), "link-pivots")
+    chosen = (many.join(pivots, "key").where(F.col("node") != F.col("pivot"))
+              .where(fits(F.least("size", "other_size"), F.greatest("size", "other_size")))
+              .groupBy("node", "pivot", "rank").agg(F.sum("times").alias("times"))
+              .groupBy("node").agg(F.max(F.struct("rank", "times", "pivot")).alias("best")).select("node", "best.pivot"))
+    settle(chosen.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+
+    mixed = labelled(many).groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    rest = materialize(many.join(mixed, "key").select("key", "n", "node", "size"), "link-rest")
     few, many = rest.where(F.col("n") <= FEW), rest.where(F.col("n") > FEW)
     coarse = materialize(element_bits(sets, few.select("node").distinct(), elements, 1), "link-coarse")
     fine = materialize(novel_elements(sets, many.select("node").distinct(), elements), "link-fine")
     # what of a key may hang together is tried by one pair per component first, so that groups which no pivot met do not
     # come with all their pairs
-    settle(close_pairs(many.join(fine, "node"), percent, forest=True))
-
-    def now(rows: DataFrame) -> DataFrame:
-        return rows.drop("comp").join(labels, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+    settle(close_pairs(labelled(many).join(fine, "node"), percent, forest=True))
 
-    close = close_pairs(now(few).join(coarse, "node").unionByName(now(many).join(fine, "node")), percent)
-    twos = (twos.join(sizes.toDF("a", "size"), "a").join(sizes.toDF("b", "other_size"), "b")
-            .where(fits("size", "other_size")).select("a", "b"))
+    close = close_pairs(labelled(few).join(coarse, "node").unionByName(labelled(many).join(fine, "node")), percent)
+    twos = (labelled(members.where("n = 2")).groupBy("key").agg(
+        F.min("node").alias("a"), F.max("node").alias("b"), F.min("size").alias("small"), F.max("size").alias("large"),
+        F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").where(fits(F.col("small"), F.col("large"))).select("a", "b"))
     settle(close.unionByName(twos).distinct())
     return labels, edges
-
