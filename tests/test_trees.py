@@ -1,3 +1,6 @@
+import glob
+import shutil
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -97,3 +100,60 @@ def test_many_tasks_and_checkpoints_change_nothing(spark, monkeypatch):
     other = scores()
     rows.unpersist()
     assert one.keys() == other.keys() and all(one[k] == pytest.approx(other[k]) for k in one)
+
+
+def test_what_is_left_of_a_parent_is_what_summing_it_up_gives(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 100, (3000, 6))
+    rows = table(spark, x, x[:, 0] * x[:, 1] % 7 == 0, 1.0 + rng.integers(0, 50, 3000)).persist()
+    config = ModelConfig(trees=6, depth=5, learning_rate=0.4)
+    asked, added = [], R._added
+
+    def told(held, layout, step):
+        asked.append(len(step.nodes))
+        return added(held, layout, step)
+
+    monkeypatch.setattr(R, "_added", told)
+    found = []
+    for least in (R.LEAST_LEFT, float("inf")):  # infinity: every node is summed up
+        monkeypatch.setattr(R, "LEAST_LEFT", least)
+        model, _ = L.boost(rows, config=config)
+        found.append([r.p for r in model.transform(rows).select(vector_to_array("probability")[1].alias("p")).collect()])
+    rows.unpersist()
+    half = len(asked) // 2
+    assert sum(asked[:half]) < 0.7 * sum(asked[half:])
+    # rounding decides between splits of one gain
+    assert np.mean(np.abs(np.subtract(*found)) > 1e-9) < 0.01
+
+
+def test_rows_that_are_lost_are_made_again(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.integers(0, 50, (800, 3))
+    rows = table(spark, x, x[:, 0] > x[:, 2]).persist()
+    config = ModelConfig(trees=9, depth=3, learning_rate=0.3)
+
+    def scores():
+        model, _ = L.boost(rows, config=config)
+        return [r.p for r in model.transform(rows).select(vector_to_array("probability")[1].alias("p")).collect()]
+
+    want, added, steps = scores(), R._added, []
+
+    def losing(held, layout, step):
+        steps.append((step.turn, step.level))
+        if len(steps) in (2, 14, 20):
+            held.foreach(lambda folder: shutil.rmtree(folder))
+        return added(held, layout, step)
+
+    monkeypatch.setattr(R, "_added", losing)
+    monkeypatch.setattr(R, "KEPT_EVERY", 2)
+    monkeypatch.setattr(R.time, "sleep", lambda seconds: None)
+    got = scores()
+    rows.unpersist()
+    assert len(steps) > len(set(steps)) and got == pytest.approx(want, abs=1e-12)
+
+
+def test_no_files_are_left(spark):
+    folders = f"{spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]}/boosting-*"
+    x = np.arange(200).reshape(100, 2)
+    L.boost(table(spark, x, x[:, 0] > 90), config=ModelConfig(trees=2, depth=2))
+    assert not glob.glob(folders)
