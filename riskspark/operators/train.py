@@ -28,7 +28,7 @@ from riskspark.config import (
 )
 from riskspark.errors import ScoringError
 from riskspark.functions import at_or_above, small_table
-from riskspark.operators import trees
+from riskspark.operators import forest, trees
 from riskspark.operators.encode import VECTOR, categories, encode_stages, feature_stage, fit_scaler
 from riskspark.operators.features import add_features
 from riskspark.operators.resample import smote
@@ -173,14 +173,20 @@ def score(df: DataFrame, model: PipelineModel, threshold: float = ModelConfig().
     """Probability of class 1 and the decision; the same call serves batch and stream.
 
     A row takes many trees' time and few bytes, so the rows of a batch are dealt out over all cores first, however few
-    files they lie in.
+    files they lie in. Boosted trees take whole batches of rows (``forest``); any other model scores as MLlib does.
     """
     _require_binary(model)
     columns = list(keep if keep is not None else df.columns)
+    rows = df if df.isStreaming else df.hint("rebalance")
+    last = model.stages[-1] if isinstance(model, PipelineModel) else model
+    members = forest.members(last) if isinstance(last, GBTClassificationModel) else None
+    if members:
+        before = PipelineModel(stages=model.stages[:-1]).transform(rows) if isinstance(model, PipelineModel) else rows
+        scored = before.withColumn(PROBABILITY, forest.probability(members, vector_to_array(last.getFeaturesCol())))
+    else:
+        scored = model.transform(rows).withColumn(PROBABILITY, vector_to_array("probability")[1])
     return (
-        model.transform(df if df.isStreaming else df.hint("rebalance"))
-        .withColumn(PROBABILITY, vector_to_array("probability")[1])
-        .select(*columns, PROBABILITY)
+        scored.select(*columns, PROBABILITY)
         .withColumn("is_fraud", decide(F.col(PROBABILITY), threshold))
         .withColumn("threshold", F.lit(float(threshold)))
     )

@@ -73,3 +73,21 @@ def test_lost_rows(spark):
     inputs = spark.createDataFrame([(1,), (2,), (3,)], "id int")
     scored = spark.createDataFrame([(1,), (3,), (3,)], "id int")
     assert sorted(rows(A.lost_rows(inputs, scored, "id"))) == [(2, 1, 0), (3, 1, 2)]
+
+
+def test_admission_is_compiled_and_says_what_the_violations_say(spark):
+    texts = ("1", "-1", "0", "-0.0", "NaN", "Infinity", "-Infinity", "1e400", " 2 ", "x", "", None)
+    fields = SCORE_REQUEST_TEXT.names
+    values = [("TRANSFER", *["1"] * 5)] + [("TRANSFER", *[t if i == j else "1" for i in range(5)]) for j in range(5) for t in texts]
+    values += [(kind, *["1"] * 5) for kind in ("UNKNOWN", None, "", "transfer", "DEBIT")]
+    table = spark.createDataFrame(values, SCORE_REQUEST_TEXT)
+    numbers = table.select("type", *[F.col(c).try_cast("double").alias(c) for c in fields[1:]])
+    for t in (table, numbers, table.drop("amount"), numbers.drop("type")):
+        keyed = t.withColumn("key", F.monotonically_increasing_id()).persist()
+        checked = {r.key: len(r.violations) for r in A.with_violations(keyed).collect()}
+        valid, bad = A.admit(keyed)
+        assert {r.key for r in valid.collect()} == {k for k, n in checked.items() if not n}
+        assert {r.key: len(r.violations) for r in bad.collect()} == {k: n for k, n in checked.items() if n}
+        keyed.unpersist()
+    plan = A.admit(table)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(" not in plan and "size(" not in plan
