@@ -65,8 +65,8 @@ def admissible(df: DataFrame) -> Column:
         return F.lit(False)
 
     def fits(name: str) -> Column:
-        value = _number(df, name)
-        return F.coalesce((value >= 0) & ~F.isnan(value), F.lit(False))
+        # the value once, as Spark writes out what it comes from wherever it stands
+        return F.coalesce(F.nanvl(_number(df, name), F.lit(-1.0)) >= 0, F.lit(False))
 
     return reduce(and_, map(fits, fields[1:]), F.coalesce(F.col("type").isin(*TRANSACTION_TYPES), F.lit(False)))
 
